@@ -100,7 +100,7 @@ def clean_country(c: Column | str) -> Column:
 def parse_date_multi(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """First format that parses wins, else NULL."""
     c = _c(c)
-    return F.coalesce(*[F.try_to_date(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
 
 
 def parse_ts_multi(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:

@@ -25,6 +25,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
