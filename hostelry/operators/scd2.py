@@ -119,7 +119,9 @@ def asof_version(facts: DataFrame, versions: DataFrame, key: str, at: str,
     f = facts.select(*fcols, F.col(at).cast("timestamp").alias("_t"), F.lit(1).alias("_kind"),
                      F.lit(None).cast("long").alias("_tie"),
                      F.lit(None).cast(v.schema["_v"].dataType).alias("_v"))
-    w = (Window.partitionBy(key).orderBy("_t", "_kind", "_tie")
+    # Zero-length versions (valid_to == valid_from) sort before their successor.
+    w = (Window.partitionBy(key)
+         .orderBy("_t", "_kind", F.col("_v.vto").asc_nulls_last(), "_tie")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     carried = (f.unionByName(v).select("*", F.last("_v", ignorenulls=True).over(w).alias("_lv"))
                .filter(F.col("_kind") == 1))

@@ -155,3 +155,207 @@ def kpi_executive_dashboard(spark, sf):
 def ancillary_by_category(spark, sf):
     b = Bronze(spark, sf)
     return gold.ancillary_by_category(_stays(b), _pos(b))
+
+
+# ------------------------------------------------------------ analyses
+from . import analyst, quality  # noqa: E402
+from ..functions import clean as C  # noqa: E402
+
+
+def _late(b: Bronze) -> DataFrame:
+    return analyst.late_checkout_pos(_pos(b), _stays(b))
+
+
+@query
+def late_checkout_pos(spark, sf):
+    return _late(Bronze(spark, sf))
+
+
+@query
+def late_checkout_analysis(spark, sf):
+    return analyst.late_checkout_summary(_late(Bronze(spark, sf)))
+
+
+@query
+def late_pos_linked(spark, sf):
+    b = Bronze(spark, sf)
+    return analyst.link_late_pos(_late(b), _stays(b))
+
+
+@query
+def weekend_pricing_analysis(spark, sf):
+    return analyst.weekend_pricing(_stays(Bronze(spark, sf)))
+
+
+@query
+def weekend_premium(spark, sf):
+    return analyst.weekend_premium(_stays(Bronze(spark, sf)))
+
+
+@query
+def fuzzy_guest_match(spark, sf):
+    return analyst.fuzzy_guest_match(silver.clean_guests(Bronze(spark, sf).guests))
+
+
+# ------------------------------------------------------------- summaries
+@query
+def stays_summary(spark, sf):
+    return analyst.stays_averages(_stays(Bronze(spark, sf)))
+
+
+@query
+def tier_distribution(spark, sf):
+    return analyst.distribution(_dim(Bronze(spark, sf)).filter(F.col("is_current")), "loyalty_tier")
+
+
+@query
+def channel_distribution(spark, sf):
+    return analyst.distribution(_stays(Bronze(spark, sf)), "booking_channel")
+
+
+@query
+def room_type_distribution(spark, sf):
+    return analyst.distribution(_stays(Bronze(spark, sf)), "room_type")
+
+
+@query
+def distinct_counts(spark, sf):
+    b = Bronze(spark, sf)
+    return analyst.distinct_counts(_stays(b), _calendar(b))
+
+
+@query
+def stay_date_range(spark, sf):
+    return analyst.date_range(_stays(Bronze(spark, sf)))
+
+
+def _kpis(b: Bronze):
+    m = gold.nightly_measures(_stays(b))
+    rooms = gold.rooms_by_day(_calendar(b))
+    return (gold.kpi_revpar(m, rooms), gold.kpi_adr(m), gold.kpi_ancillary(m),
+            gold.kpi_housekeeping_turnover(silver.checkout_events(b.reservations),
+                                           silver.clean_housekeeping(b.housekeeping)))
+
+
+@query
+def kpi_averages(spark, sf):
+    return analyst.kpi_averages(*_kpis(Bronze(spark, sf)))
+
+
+@query
+def guests_multi_version(spark, sf):
+    return analyst.multi_version_guests(silver.scd2_history(Bronze(spark, sf).guest_changes))
+
+
+@query
+def top_revpar_days(spark, sf):
+    return analyst.top_revpar_days(_kpis(Bronze(spark, sf))[0])
+
+
+@query
+def reservations_one_per_id(spark, sf):
+    """dropDuplicates on res_id, keeping columns equal across copies."""
+    from ..operators import dedup
+    r = silver.parse_reservations(Bronze(spark, sf).reservations).select("res_id", "hotel_id", "guest_id")
+    return dedup.drop_duplicates_key(r, ["res_id"])
+
+
+# ------------------------------------------------------------------ spec-only ops
+@query
+def availability_calendar(spark, sf):
+    b = Bronze(spark, sf)
+    return analyst.full_availability_calendar(silver.clean_inventory(b.inventory), _calendar(b))
+
+
+@query
+def orphan_stays(spark, sf):
+    b = Bronze(spark, sf)
+    stays_all = silver.fact_stays(_res(b), silver.pos_by_reservation(_pos(b)))
+    return analyst.orphan_stays(stays_all, _dim(b), b.inventory)
+
+
+@query
+def stays_with_known_room(spark, sf):
+    b = Bronze(spark, sf)
+    return analyst.stays_with_known_room(_res(b), silver.clean_inventory(b.inventory))
+
+
+@query
+def stays_with_tier_asof(spark, sf):
+    b = Bronze(spark, sf)
+    return analyst.stays_with_tier_asof(_stays(b), silver.scd2_history(b.guest_changes))
+
+
+# --------------------------------------------------------------- quality (Q01-Q13)
+@query
+def dq_step_counts(spark, sf):
+    b = Bronze(spark, sf)
+    return quality.metrics(
+        quality.step_counts("guests", b.guests, silver.latest_guests(silver.clean_guests(b.guests))),
+        quality.step_counts("reservations", b.reservations, _res(b)),
+        quality.step_counts("pos_transactions", b.pos, _pos(b)),
+        quality.step_counts("hotel_inventory", b.inventory, silver.clean_inventory(b.inventory)),
+        quality.step_counts("housekeeping_logs", b.housekeeping, silver.clean_housekeeping(b.housekeeping)),
+        quality.step_counts("fact_stays_unified", _res(b), _stays(b)))
+
+
+@query
+def dq_duplicate_reservations(spark, sf):
+    b = Bronze(spark, sf)
+    return quality.duplicate_reservations(silver.parse_reservations(b.reservations), _res(b))
+
+
+@query
+def dq_overbooked_slots(spark, sf):
+    return quality.overbooked_slots(_calendar(Bronze(spark, sf)))
+
+
+@query
+def dq_null_critical(spark, sf):
+    return quality.null_critical(Bronze(spark, sf).reservations)
+
+
+@query
+def dq_fk_violations(spark, sf):
+    b = Bronze(spark, sf)
+    stays_all = silver.fact_stays(_res(b), silver.pos_by_reservation(_pos(b)))
+    from ..operators import joins
+    rooms = joins.orphans(_res(b).filter(F.col("room_number").isNotNull()),
+                          silver.clean_inventory(b.inventory), ["hotel_id", "room_number"])
+    return quality.fk_violations(analyst.orphan_stays(stays_all, _dim(b), b.inventory), rooms)
+
+
+@query
+def dq_metric_range(spark, sf):
+    return quality.metric_out_of_range(_kpis(Bronze(spark, sf))[0], 0.0, 1000.0)
+
+
+@query
+def dq_dimension_totals(spark, sf):
+    return quality.dimension_totals(silver.scd2_history(Bronze(spark, sf).guest_changes))
+
+
+@query
+def dq_latest_load(spark, sf):
+    return quality.latest_load(_res(Bronze(spark, sf)))
+
+
+@query
+def dq_dirty_profile(spark, sf):
+    return quality.dirty_profile(Bronze(spark, sf).reservations)
+
+
+# ------------------------------------------------------ documented SQL
+def _analyst_sql(name):
+    def run(spark, sf):
+        b = Bronze(spark, sf)
+        revpar, adr, anc, turnover = _kpis(b)
+        analyst.register_views(spark, dim_guests=_dim(b), fact_stays=_stays(b), kpi_revpar=revpar,
+                               kpi_ancillary=anc, kpi_turnover=turnover)
+        return spark.sql(analyst.ANALYST_SQL[name])
+    run.__name__ = name
+    return run
+
+
+for _n in analyst.ANALYST_SQL:
+    QUERIES[_n] = _analyst_sql(_n)

@@ -102,13 +102,14 @@ def bronze_guests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def guest_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tier history: every order is a profile update of its customer."""
+    """Tier history: every order is a profile update of its customer, moved
+    forward 28 years so the history overlaps the 2024 stays."""
     o = _read(spark, sf_dir, "orders")
     p = F.col("o_orderpriority")
     tier = (F.when(p == "1-URGENT", "Platinum").when(p == "2-HIGH", "Gold")
             .when(p == "3-MEDIUM", "Silver").otherwise("Bronze"))
     return o.select(F.col("o_custkey").alias("guest_id"), tier.alias("loyalty_tier"),
-                    F.col("o_orderdate").alias("updated_at"), F.col("o_orderkey").alias("change_seq"))
+                    F.timestamp_add("YEAR", F.lit(28), F.col("o_orderdate")).alias("updated_at"), F.col("o_orderkey").alias("change_seq"))
 
 
 def bronze_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -261,6 +261,16 @@ FROM revenue_daily
 """)
 
 
+cte("kpi_turnover", f"""
+SELECT check_out_date AS date, hotel_id, count(*) AS total_checkouts,
+  {r2('avg(turnover_seconds) / 60.0')} AS avg_turnover_time_minutes,
+  {r2('quantile_disc(turnover_time_minutes, 0.5)')} AS median_turnover_time_minutes,
+  {r2('min(turnover_time_minutes)')} AS min_turnover_time_minutes,
+  {r2('max(turnover_time_minutes)')} AS max_turnover_time_minutes
+FROM turnover GROUP BY check_out_date, hotel_id
+""")
+
+
 def _resolve(names: list[str]) -> list[str]:
     order: list[str] = []
 
@@ -322,14 +332,8 @@ sql("fact_room_availability_raw", "SELECT * FROM calendar_raw")
 sql("kpi_revpar", "SELECT * FROM kpi_revpar")
 sql("kpi_adr", "SELECT * FROM kpi_adr")
 sql("kpi_ancillary_attachment_rate", "SELECT * FROM kpi_ancillary")
-sql("kpi_housekeeping_turnover_time", f"""
-SELECT check_out_date AS date, hotel_id, count(*) AS total_checkouts,
-  {r2('avg(turnover_seconds) / 60.0')} AS avg_turnover_time_minutes,
-  {r2('quantile_disc(turnover_time_minutes, 0.5)')} AS median_turnover_time_minutes,
-  {r2('min(turnover_time_minutes)')} AS min_turnover_time_minutes,
-  {r2('max(turnover_time_minutes)')} AS max_turnover_time_minutes
-FROM turnover GROUP BY check_out_date, hotel_id
-""")
+sql("kpi_housekeeping_turnover_time", "SELECT * FROM kpi_turnover")
+
 sql("kpi_weekend_vs_weekday_revenue", f"""
 SELECT date, hotel_id, is_weekend,
   CASE WHEN rooms_sold > 0 THEN {r2('total_room_revenue / rooms_sold')} ELSE 0.0 END AS adr,
@@ -365,3 +369,211 @@ FROM (SELECT date, hotel_id, count(*) AS total_guests,
             ON s.res_id = x.res_id)
       GROUP BY date, hotel_id)
 """)
+
+
+def r2s(x: str) -> str:
+    """Half-up rounding for values of either sign."""
+    return f"round(({x}) + sign({x}) * 1e-9, 2)"
+
+
+cte("inv_clean", f"""
+SELECT hotel_id, room_number,
+  {canon('room_type', ['Standard', 'Deluxe', 'Suite', 'Presidential'], 'Standard')} AS room_type,
+  floor, max_occupancy
+FROM bronze_inventory WHERE hotel_id IS NOT NULL AND room_number IS NOT NULL AND room_number <> '9999'
+""")
+
+cte("late_pos", """
+SELECT p.txn_id, p.res_id, s.guest_id, s.check_out_date, CAST(p."timestamp" AS DATE) AS pos_date, p."timestamp",
+  p.category, p.amount, CAST(p."timestamp" AS DATE) >= s.check_out_date AS is_late_checkout
+FROM pos_clean p JOIN fact_stays s ON p.res_id = s.res_id
+""")
+
+cte("guest_survivors", """
+SELECT dedup_key, guest_id AS survivor_guest_id, name AS survivor_name FROM (
+ SELECT *, row_number() OVER (PARTITION BY dedup_key ORDER BY updated_at DESC NULLS LAST, guest_id DESC) AS rn
+ FROM guests_clean) WHERE rn = 1
+""")
+
+cte("orphans", """
+SELECT res_id, guest_id, hotel_id, 'guest' AS orphan_reason FROM stays_all s
+WHERE NOT EXISTS (SELECT 1 FROM dim_guests d WHERE d.guest_id = s.guest_id)
+UNION ALL
+SELECT res_id, guest_id, hotel_id, 'hotel' AS orphan_reason FROM stays_all s
+WHERE NOT EXISTS (SELECT 1 FROM bronze_inventory i WHERE i.hotel_id = s.hotel_id)
+""")
+
+sql("late_checkout_pos", "SELECT * FROM late_pos")
+sql("late_checkout_analysis", f"""
+SELECT count(*) AS total_pos_with_res, count(*) FILTER (WHERE is_late_checkout) AS late_checkout_count,
+  CASE WHEN count(*) > 0 THEN {r2('count(*) FILTER (WHERE is_late_checkout) / count(*) * 100')} ELSE 0.0 END
+    AS late_checkout_pct
+FROM late_pos
+""")
+sql("late_pos_linked", """
+SELECT txn_id, res_id, guest_id, pos_date, linked_res_id,
+  CASE WHEN linked_res_id = res_id THEN 'same_stay' ELSE 'later_stay' END AS link_status
+FROM (SELECT l.txn_id, l.res_id, l.guest_id, l.pos_date,
+        (SELECT s.res_id FROM fact_stays s WHERE s.guest_id = l.guest_id AND s.check_in_date <= l.pos_date
+         ORDER BY s.check_in_date DESC, s.res_id DESC LIMIT 1) AS linked_res_id
+      FROM late_pos l WHERE l.is_late_checkout)
+""")
+sql("weekend_pricing_analysis", """
+SELECT dayofweek(check_in_date) IN (0, 6) AS is_weekend, count(*) AS reservation_count,
+  avg(total_price) AS avg_price, min(total_price) AS min_price, max(total_price) AS max_price
+FROM fact_stays GROUP BY 1
+""")
+sql("weekend_premium", f"""
+SELECT weekend_avg_price, weekday_avg_price, {r2s('(weekend_avg_price / weekday_avg_price - 1) * 100')} AS premium_pct,
+  abs((weekend_avg_price / weekday_avg_price - 1) * 100 - 100) < 10 AS premium_validated
+FROM (SELECT avg(CASE WHEN dayofweek(check_in_date) IN (0, 6) THEN total_price END) AS weekend_avg_price,
+             avg(CASE WHEN dayofweek(check_in_date) NOT IN (0, 6) THEN total_price END) AS weekday_avg_price
+      FROM fact_stays)
+""")
+sql("fuzzy_guest_match", """
+SELECT g.guest_id, s.survivor_guest_id, g.dedup_key, g.name, s.survivor_name,
+  CAST(levenshtein(lower(g.name), lower(s.survivor_name)) AS INTEGER) AS name_distance,
+  levenshtein(lower(g.name), lower(s.survivor_name)) <= 3 AS is_same_person
+FROM guests_clean g JOIN guest_survivors s ON g.dedup_key = s.dedup_key
+WHERE g.guest_id <> s.survivor_guest_id
+""")
+sql("stays_summary", f"""
+SELECT count(*) AS total_stays, count(*) FILTER (WHERE pos_item_count > 0) AS stays_with_pos,
+  count(*) FILTER (WHERE pos_item_count = 0) AS stays_without_pos, avg(total_price) AS avg_room_price,
+  avg(stay_length_nights) AS avg_stay_nights, avg(total_pos_amount) AS avg_pos_amount,
+  avg(total_folio_amount) AS avg_folio_amount,
+  CASE WHEN count(*) > 0 THEN {r2('count(*) FILTER (WHERE pos_item_count > 0) / count(*) * 100')} ELSE 0.0 END
+    AS pos_share_pct
+FROM fact_stays
+""")
+sql("tier_distribution", "SELECT loyalty_tier, count(*) AS n FROM dim_guests WHERE is_current GROUP BY 1")
+sql("channel_distribution", "SELECT booking_channel, count(*) AS n FROM fact_stays GROUP BY 1")
+sql("room_type_distribution", "SELECT room_type, count(*) AS n FROM fact_stays GROUP BY 1")
+sql("distinct_counts", """
+SELECT 'distinct_guests' AS metric, count(DISTINCT guest_id) AS value FROM fact_stays
+UNION ALL SELECT 'distinct_hotels', count(DISTINCT hotel_id) FROM fact_stays
+UNION ALL SELECT 'stays', count(*) FROM fact_stays
+UNION ALL SELECT 'booked_room_nights', count(*) FROM calendar
+UNION ALL SELECT 'overbooked_room_nights', count(*) FILTER (WHERE is_overbooked) FROM calendar
+""")
+sql("stay_date_range", """
+SELECT min(check_in_date) AS first_check_in, max(check_in_date) AS last_check_in,
+  min(check_out_date) AS first_check_out, max(check_out_date) AS last_check_out FROM fact_stays
+""")
+
+
+def dec_avg(col: str, digits: int = 2) -> str:
+    return f"round(avg(CAST({col} AS DECIMAL(18,2))) + 1e-9, {digits})"
+
+
+sql("kpi_averages", f"""
+SELECT 'avg_revpar' AS metric, {dec_avg('revpar')} AS value FROM kpi_revpar
+UNION ALL SELECT 'avg_adr', {dec_avg('adr')} FROM kpi_adr
+UNION ALL SELECT 'avg_attachment_rate', {dec_avg('attachment_rate_percentage')} FROM kpi_ancillary
+UNION ALL SELECT 'avg_turnover_minutes', {dec_avg('avg_turnover_time_minutes')} FROM kpi_turnover
+""")
+sql("guests_multi_version", """
+SELECT * FROM scd2_hist WHERE guest_id IN (SELECT guest_id FROM scd2_hist GROUP BY guest_id HAVING count(*) > 1)
+""")
+sql("top_revpar_days", "SELECT * FROM kpi_revpar ORDER BY revpar DESC, date, hotel_id LIMIT 10")
+sql("reservations_one_per_id", """
+SELECT DISTINCT res_id, hotel_id, guest_id FROM res_parsed
+WHERE check_in_date IS NOT NULL AND check_out_date IS NOT NULL AND check_out_date > check_in_date
+""")
+sql("availability_calendar", """
+SELECT CAST(t.d AS DATE) AS date, i.hotel_id, i.room_number, i.room_type, c.res_id IS NULL AS is_available,
+  c.res_id, c.guest_id, coalesce(c.is_overbooked, false) AS is_overbooked
+FROM inv_clean i CROSS JOIN generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-12-31', INTERVAL 1 DAY) t(d)
+LEFT JOIN calendar c ON c.hotel_id = i.hotel_id AND c.room_number = i.room_number AND c.date = CAST(t.d AS DATE)
+""")
+sql("orphan_stays", "SELECT * FROM orphans")
+sql("stays_with_known_room", """
+SELECT * FROM res_clean r WHERE room_number IS NOT NULL
+  AND EXISTS (SELECT 1 FROM inv_clean i WHERE i.hotel_id = r.hotel_id AND i.room_number = r.room_number)
+""")
+sql("stays_with_tier_asof", """
+SELECT s.res_id, s.guest_id, s.check_in_date, h.loyalty_tier AS tier_at_check_in, h.version AS version_at_check_in
+FROM fact_stays s LEFT JOIN scd2_hist h ON h.guest_id = s.guest_id
+  AND h.valid_from <= CAST(s.check_in_date AS TIMESTAMP)
+  AND (h.valid_to IS NULL OR CAST(s.check_in_date AS TIMESTAMP) < h.valid_to)
+""")
+
+
+def _step(entity: str, read: str, kept: str) -> str:
+    return (f"SELECT '{entity}' AS entity, r AS records_read, k AS records_kept, r - k AS records_dropped "
+            f"FROM (SELECT (SELECT count(*) FROM {read}) AS r, (SELECT count(*) FROM {kept}) AS k)")
+
+
+sql("dq_step_counts", " UNION ALL ".join([
+    _step("guests", "bronze_guests", "guests_latest"),
+    _step("reservations", "bronze_reservations", "res_clean"),
+    _step("pos_transactions", "bronze_pos", "pos_clean"),
+    _step("hotel_inventory", "bronze_inventory", "inv_clean"),
+    _step("housekeeping_logs", "bronze_housekeeping", "hk_clean"),
+    _step("fact_stays_unified", "res_clean", "fact_stays")]))
+sql("dq_duplicate_reservations", """
+SELECT 'rows_before_dedup' AS metric, count(*) AS value FROM res_parsed
+  WHERE check_in_date IS NOT NULL AND check_out_date IS NOT NULL AND check_out_date > check_in_date
+UNION ALL SELECT 'rows_after_dedup', count(*) FROM res_clean
+UNION ALL SELECT 'content_duplicates', coalesce(sum(n - 1), 0) FROM (
+  SELECT count(*) AS n FROM res_clean GROUP BY guest_id, hotel_id, room_number, room_type, check_in_date,
+    check_out_date, total_price, booking_channel)
+""")
+sql("dq_overbooked_slots", """
+SELECT count(*) FILTER (WHERE is_overbooked) AS overbooked_slots, count(*) AS booked_slots FROM calendar
+""")
+sql("dq_null_critical", "SELECT count(*) AS rows, " + ", ".join(
+    f"count(*) FILTER (WHERE {c} IS NULL) AS null_{c}" for c in
+    ["res_id", "guest_id", "hotel_id", "room_number", "check_in_date", "check_out_date", "total_price",
+     "created_at"]) + " FROM bronze_reservations")
+sql("dq_fk_violations", """
+SELECT orphan_reason AS kind, count(*) AS violations FROM orphans GROUP BY 1
+UNION ALL
+SELECT 'room' AS kind, count(*) AS violations FROM res_clean r WHERE room_number IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM inv_clean i WHERE i.hotel_id = r.hotel_id AND i.room_number = r.room_number)
+""")
+sql("dq_metric_range", "SELECT date, hotel_id, revpar FROM kpi_revpar WHERE revpar < 0 OR revpar > 1000")
+sql("dq_dimension_totals", """
+SELECT count(*) AS total_rows, count(DISTINCT guest_id) AS unique_guests,
+  count(*) FILTER (WHERE is_current) AS current_rows, count(*) FILTER (WHERE NOT is_current) AS historical_rows
+FROM scd2_hist
+""")
+sql("dq_latest_load", "SELECT max(created_at) AS latest_created_at, count(*) AS rows FROM res_clean")
+
+
+def _shape(c: str) -> str:
+    return (f"CASE WHEN {c} IS NULL THEN 'null' "
+            f"WHEN regexp_matches({c}, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') THEN 'yyyy-MM-dd' "
+            f"WHEN regexp_matches({c}, '^[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}$') THEN 'nn/nn/yyyy' "
+            f"WHEN regexp_matches({c}, '^[0-9]{{2}}-[0-9]{{2}}-[0-9]{{4}}$') THEN 'MM-dd-yyyy' ELSE 'other' END")
+
+
+_RT = canon('room_type', ['Standard', 'Deluxe', 'Suite', 'Presidential'], 'Standard')
+sql("dq_dirty_profile", f"""
+SELECT field, shape, count(*) AS n FROM (
+  SELECT 'check_in_date' AS field, {_shape('check_in_date')} AS shape FROM bronze_reservations
+  UNION ALL SELECT 'check_out_date', {_shape('check_out_date')} FROM bronze_reservations
+  UNION ALL SELECT 'room_type', CASE WHEN room_type IS NULL THEN 'null' WHEN room_type = {_RT} THEN 'canonical'
+      WHEN upper(room_type) = upper({_RT}) THEN 'case_variant' ELSE 'unknown_code' END FROM bronze_reservations
+  UNION ALL SELECT 'total_price', CASE WHEN total_price IS NULL THEN 'null' WHEN total_price <= 0 THEN 'non_positive'
+      WHEN total_price >= 10000 THEN 'too_high' ELSE 'in_range' END FROM bronze_reservations
+  UNION ALL SELECT 'room_number', CASE WHEN room_number IS NULL THEN 'null' WHEN room_number = '9999'
+      THEN 'sentinel' ELSE 'value' END FROM bronze_reservations
+  UNION ALL SELECT 'created_at', CASE WHEN created_at IS NULL THEN 'null'
+      WHEN {ts_multi('created_at')} IS NULL THEN 'unparseable' ELSE 'parseable' END FROM bronze_reservations)
+GROUP BY field, shape
+""")
+sql("analyst_current_tiers", "SELECT guest_id, name, loyalty_tier FROM dim_guests WHERE is_current")
+sql("analyst_hotel_revenue", f"""
+SELECT hotel_id, count(DISTINCT res_id) AS reservations, {r2('sum(total_folio_amount)')} AS total_revenue,
+  {r2('avg(total_folio_amount)')} AS avg_folio FROM fact_stays GROUP BY hotel_id
+""")
+sql("analyst_revpar_by_date", f"SELECT date, {dec_avg('revpar')} AS avg_revpar FROM kpi_revpar GROUP BY date")
+sql("analyst_hotels_by_revpar", f"SELECT hotel_id, {dec_avg('revpar')} AS avg_revpar FROM kpi_revpar GROUP BY hotel_id")
+sql("analyst_turnover_by_date", f"""
+SELECT date, {dec_avg('avg_turnover_time_minutes', 0)} AS avg_turnover_minutes FROM kpi_turnover GROUP BY date
+""")
+sql("analyst_low_attachment_hotels", f"""
+SELECT hotel_id, {dec_avg('attachment_rate_percentage')} AS avg_attachment_rate FROM kpi_ancillary
+GROUP BY hotel_id HAVING avg(CAST(attachment_rate_percentage AS DECIMAL(18,2))) < 60
+""")

@@ -50,7 +50,7 @@ _CHANGES = """
 SELECT o_custkey AS guest_id,
   CASE o_orderpriority WHEN '1-URGENT' THEN 'Platinum' WHEN '2-HIGH' THEN 'Gold'
        WHEN '3-MEDIUM' THEN 'Silver' ELSE 'Bronze' END AS loyalty_tier,
-  o_orderdate AS updated_at, o_orderkey AS change_seq
+  o_orderdate + INTERVAL 28 YEAR AS updated_at, o_orderkey AS change_seq
 FROM orders
 """
 
