@@ -359,3 +359,97 @@ def _analyst_sql(name):
 
 for _n in analyst.ANALYST_SQL:
     QUERIES[_n] = _analyst_sql(_n)
+
+
+# ------------------------------------------------ sources, sinks and streaming
+import uuid  # noqa: E402
+
+from .. import schemas  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import json_io  # noqa: E402
+from ..streaming import incremental  # noqa: E402
+
+RESERVATIONS_NARROW = schemas._schema(*[(f.name, f.dataType) for f in schemas.RESERVATIONS.fields
+                                        if f.name not in ("booking_channel", "created_at")])
+
+
+def _scratch(spark, what: str) -> str:
+    return scratch_path(spark, "hostelry", f"{what}-{uuid.uuid4().hex[:12]}")
+
+
+def _reservations_json(spark, sf) -> str:
+    path = _scratch(spark, "bronze-reservations")
+    json_io.chunked_json_sink(Bronze(spark, sf).reservations, path, 3000)   # S16
+    return path
+
+
+@query
+def json_roundtrip_reservations(spark, sf):
+    """S16 then S01: bronze reservations as JSON-lines files and back."""
+    return json_io.json_scan(spark, _reservations_json(spark, sf), schemas.RESERVATIONS)
+
+
+@query
+def json_rescued_fields(spark, sf):
+    """S05 + Q02: read with a schema lacking two fields; what does not fit is
+    rescued, reported as the sorted list of rescued keys per row."""
+    lines = json_io.read_lines(spark, _reservations_json(spark, sf))
+    r = json_io.rescue_malformed(lines, RESERVATIONS_NARROW)
+    keys = F.array_join(F.array_sort(F.map_keys(F.from_json(json_io.RESCUED, "map<string,string>"))), ",")
+    return r.select("res_id", keys.alias("rescued_keys"))
+
+
+@query
+def json_evolved_schema(spark, sf):
+    """The same narrow schema widened by the keys found in the files."""
+    path = _reservations_json(spark, sf)
+    evolved = json_io.evolve_schema(json_io.read_lines(spark, path), RESERVATIONS_NARROW)
+    return json_io.json_scan(spark, path, evolved)
+
+
+def _snapshot(spark, path):
+    from ..sources.tables import SnapshotTable
+    return SnapshotTable(spark, path)
+
+
+def _two_drops(spark, src: str, first: DataFrame, second: DataFrame, fn) -> None:
+    """Write ``first`` as JSON files, drain the stream, then append ``second``
+    and drain again with the same checkpoint: the second run sees only the
+    new files."""
+    ckpt = _scratch(spark, "ckpt")
+    for part in (first, second):
+        json_io.chunked_json_sink(part, src, 3000, mode="append")
+        stream = incremental.json_stream(spark, src, _schema_of(part))
+        incremental.run_available_now(incremental.foreach_batch_sink(stream, fn, ckpt))
+
+
+def _schema_of(df: DataFrame):
+    names = set(df.columns)
+    for sch in schemas.BY_ENTITY.values():
+        if set(sch.fieldNames()) == names:
+            return sch
+    raise ValueError("no declared schema for these columns")
+
+
+@query
+def stream_fact_stays(spark, sf):
+    """T02/P04 (+T04): reservations arrive in two file drops, the second with
+    corrected re-sends; each micro-batch is upserted by res_id."""
+    from ..sources.driver_views import reservation_drops
+    b = Bronze(spark, sf)
+    first, second = reservation_drops(spark, sf)
+    table = _snapshot(spark, _scratch(spark, "fact-stays"))
+    fn = incremental.stays_batch_fn(table, _pos(b), _dim(b), b.inventory)
+    _two_drops(spark, _scratch(spark, "stream-reservations"), first, second, fn)
+    return table.read()
+
+
+@query
+def stream_dim_guests(spark, sf):
+    """Guests arrive, then a drop of profile updates; each batch is
+    folded into the SCD2 dimension (J09-J11 detect, S12 expire, insert)."""
+    b = Bronze(spark, sf)
+    table = _snapshot(spark, _scratch(spark, "dim-guests"))
+    _two_drops(spark, _scratch(spark, "stream-guests"), b.guests, incremental.profile_updates(b.guests),
+               incremental.guests_batch_fn(table))
+    return table.read()

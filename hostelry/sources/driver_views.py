@@ -200,6 +200,17 @@ def bronze_reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return base.unionByName(resend).unionByName(copies)
 
 
+def reservation_drops(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The reservations as two deliveries: first the originals and content
+    copies, later the corrected re-sends (for incremental loads)."""
+    o = _read(spark, sf_dir, "orders")
+    first = _reservation_columns(o, corrected=False).unionByName(
+        _reservation_columns(o.filter(F.col("o_orderkey") % 101 == 0), corrected=False)
+        .withColumn("res_id", F.col("res_id") + COPY_RES_OFFSET))
+    second = _reservation_columns(o.filter(F.col("o_orderkey") % 25 == 0), corrected=True)
+    return first, second
+
+
 def bronze_pos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Point-of-sale charges; each falls on a day of its reservation's stay or
     on the check-out day (late)."""

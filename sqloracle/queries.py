@@ -577,3 +577,58 @@ sql("analyst_low_attachment_hotels", f"""
 SELECT hotel_id, {dec_avg('attachment_rate_percentage')} AS avg_attachment_rate FROM kpi_ancillary
 GROUP BY hotel_id HAVING avg(CAST(attachment_rate_percentage AS DECIMAL(18,2))) < 60
 """)
+
+
+sql("json_roundtrip_reservations", "SELECT * FROM bronze_reservations")
+sql("json_evolved_schema", "SELECT * FROM bronze_reservations")
+sql("json_rescued_fields", """
+SELECT res_id, NULLIF(concat_ws(',', CASE WHEN booking_channel IS NOT NULL THEN 'booking_channel' END,
+                                CASE WHEN created_at IS NOT NULL THEN 'created_at' END), '') AS rescued_keys
+FROM bronze_reservations
+""")
+sql("stream_fact_stays", "SELECT * FROM fact_stays")
+
+cte("guest_updates", """
+SELECT guest_id, name, email,
+  CASE WHEN upper(coalesce(loyalty_tier, '')) = 'GOLD' THEN 'Silver' ELSE 'Gold' END AS loyalty_tier,
+  country, registration_date, '2024-06-01T00:00:00Z' AS updated_at
+FROM bronze_guests WHERE guest_id % 7 = 0
+""")
+
+cte("updates_latest", f"""
+SELECT guest_id, name, email, loyalty_tier, country, registration_date, updated_at FROM (
+ SELECT *, row_number() OVER (PARTITION BY dedup_key ORDER BY updated_at DESC NULLS LAST, guest_id DESC) AS rn
+ FROM (SELECT *, coalesce(email_base, 'guest_' || CAST(guest_id AS VARCHAR)) AS dedup_key FROM (
+   SELECT *, regexp_replace(email, '\\+.*@', '@') AS email_base FROM (
+    SELECT guest_id,
+     coalesce(regexp_replace(trim(name), '\\s+', ' ', 'g'), 'Unknown') AS name,
+     CASE WHEN email <> 'invalid-email' THEN lower(trim(email)) END AS email,
+     {canon('loyalty_tier', ['Bronze', 'Silver', 'Gold', 'Platinum'], 'Bronze')} AS loyalty_tier,
+     coalesce(upper(trim(country)), 'UNKNOWN') AS country,
+     {date_multi('registration_date')} AS registration_date,
+     {ts_multi('updated_at')} AS updated_at
+    FROM guest_updates WHERE guest_id IS NOT NULL))))
+WHERE rn = 1 AND updated_at IS NOT NULL
+""")
+
+cte("dim_v1", """
+SELECT CAST(guest_id AS VARCHAR) || '_1' AS guest_sk, guest_id, name, email, loyalty_tier, country,
+  registration_date, updated_at AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, true AS is_current,
+  CAST(1 AS BIGINT) AS version
+FROM guests_latest
+""")
+
+sql("stream_dim_guests", """
+SELECT d.guest_sk, d.guest_id, d.name, d.email, d.loyalty_tier, d.country, d.registration_date, d.valid_from,
+  CASE WHEN c.guest_id IS NOT NULL THEN c.updated_at ELSE d.valid_to END AS valid_to,
+  d.is_current AND c.guest_id IS NULL AS is_current, d.version
+FROM dim_v1 d LEFT JOIN (SELECT u.guest_id, u.updated_at FROM updates_latest u JOIN dim_v1 v
+                         ON u.guest_id = v.guest_id AND v.is_current AND u.loyalty_tier <> v.loyalty_tier) c
+  ON d.guest_id = c.guest_id
+UNION ALL
+SELECT CAST(u.guest_id AS VARCHAR) || '_' || CAST(coalesce(v.version + 1, 1) AS VARCHAR), u.guest_id, u.name,
+  u.email, u.loyalty_tier, u.country, u.registration_date, u.updated_at, CAST(NULL AS TIMESTAMP), true,
+  CAST(coalesce(v.version + 1, 1) AS BIGINT)
+FROM updates_latest u LEFT JOIN dim_v1 v ON u.guest_id = v.guest_id AND v.is_current
+WHERE v.guest_id IS NULL OR u.loyalty_tier <> v.loyalty_tier
+""")
