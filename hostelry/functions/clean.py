@@ -54,7 +54,7 @@ def canonical(c: Column | str, labels: Iterable[str], default: str,
     """
     key = F.upper(_c(c))
     lookup = F.create_map(*[x for lab in labels for x in (F.lit(lab.upper()), F.lit(lab))])
-    parts = [F.element_at(lookup, key)] if labels else []
+    parts = [lookup[key]] if labels else []
     for sub, label in contains:
         parts.append(F.when(key.contains(sub), F.lit(label)))
     parts.append(F.lit(default))
@@ -97,16 +97,44 @@ def clean_country(c: Column | str) -> Column:
     return F.coalesce(F.upper(F.trim(_c(c))), F.lit(UNKNOWN_COUNTRY))
 
 
+def pattern_shape(fmt: str) -> str:
+    """A regular expression every string the datetime pattern can parse
+    matches (a superset: fixed-width fields, 4+ digit year, literals).
+
+    Used as a guard so the parser only sees plausible strings: a failed parse
+    costs an exception inside the task, a failed regex test does not."""
+    out, i = ["^"], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        if ch == "'":
+            j = fmt.index("'", i + 1)
+            out.append("".join("\\" + c if not c.isalnum() else c for c in fmt[i + 1:j]))
+            i = j + 1
+            continue
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        run = j - i
+        if ch == "y":
+            out.append("[+-]?[0-9]{%d,}" % run)
+        elif ch.isalpha():
+            out.append("[0-9]{%d}" % run)
+        else:
+            out.append("\\" + ch if not ch.isalnum() and ch != " " else ch)
+        i = j
+    return "".join(out) + "$"
+
+
 def parse_date_multi(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
     """First format that parses wins, else NULL."""
     c = _c(c)
-    return F.coalesce(*[F.try_to_date(c, f) for f in formats])
+    return F.coalesce(*[F.when(c.rlike(pattern_shape(f)), F.try_to_date(c, f)) for f in formats])
 
 
 def parse_ts_multi(c: Column | str, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
     """First timestamp format that parses wins, else NULL (C11)."""
     c = _c(c)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.when(c.rlike(pattern_shape(f)), F.try_to_timestamp(c, F.lit(f))) for f in formats])
 
 
 def null_outside_range(c: Column | str, lo: float, hi: float) -> Column:

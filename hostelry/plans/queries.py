@@ -12,9 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.driver_views import Bronze
+from ..sources import driver_views, landing
 from . import gold, silver
 
+
+def Bronze(spark: SparkSession, sf: str):
+    """Bronze entities: landed JSON files when ``sf`` is a landing folder,
+    else the views over the driver tables."""
+    if landing.is_landed(sf):
+        return landing.LandedBronze(spark, sf)
+    return driver_views.Bronze(spark, sf)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 

@@ -24,3 +24,5 @@ HOUSEKEEPING = _schema(("log_id", _L), ("hotel_id", _L), ("room_number", _S), ("
 
 BY_ENTITY = {"guests": GUESTS, "hotel_inventory": INVENTORY, "reservations": RESERVATIONS,
              "pos_transactions": POS, "housekeeping_logs": HOUSEKEEPING}
+GUEST_CHANGES = _schema(("guest_id", _L), ("loyalty_tier", _S), ("updated_at", T.TimestampNTZType()),
+                        ("change_seq", _L))
