@@ -4,8 +4,8 @@ S17, S18).
 Plain Parquet has no MERGE. An upsert here computes the whole new snapshot as
 one DataFrame (``merge_upsert``) and writes it as a new version partition of
 the table folder (``SnapshotTable``). Readers take the highest committed
-version, so a reader never sees half of a merge; replaying a batch rewrites
-the same version number, so a replay is harmless.
+version, so a reader never sees half of a merge; a replayed batch finds its
+version already committed and leaves it as it is.
 """
 
 from __future__ import annotations
@@ -118,11 +118,21 @@ class SnapshotTable:
         The previous snapshot is the highest version *below* ``version``, so a
         replayed batch recomputes exactly the same snapshot and never reads
         the partition it overwrites."""
+        if self.has_version(version):
+            # Replay after a failure that followed the commit: the snapshot is
+            # already there and, being a function of the same inputs, equal to
+            # what we would write. Rewriting it would pull files from under
+            # readers of that version.
+            return self.read(version)
         prev_v = self.current_version(before=version)
         prev = None if prev_v is None else self.read(prev_v)
         self.write(build(prev), version)
         return self.read(version)
 
+    def has_version(self, version: int) -> bool:
+        df = self._all()
+        return df is not None and df.filter(F.col("snapshot_id") == version).limit(1).count() > 0
+
     def upsert(self, source: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
         """S11 on storage: version = merge(previous version, source)."""
         return self.commit(lambda cur: source if cur is None else merge_upsert(cur, source, keys), version)
