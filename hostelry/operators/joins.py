@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import ordered
+
 # Default row bound under which a dimension side is broadcast explicitly.
 BROADCAST_MAX_ROWS = 2_000_000
 
@@ -22,10 +24,19 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if n <= max_rows else df
 
 
-def keep_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+def keep_known(df: DataFrame, known: DataFrame, keys: Sequence[str],
+               small_domain_rows: int | None = None) -> DataFrame:
     """Rows whose key exists in ``known`` (J02, J03, J05): a left-semi join,
-    which needs no distinct on the known side and never multiplies rows."""
-    return df.join(known.select(*keys), list(keys), "left_semi")
+    which never multiplies rows.
+
+    ``small_domain_rows``: the key has a small domain (e.g. hotel ids). Its
+    distinct values are then broadcast behind the size check of
+    ``broadcast_if_small`` -- a shuffle on such a key would send all rows of
+    one hotel to one task."""
+    right = known.select(*keys)
+    if small_domain_rows:
+        right = broadcast_if_small(right.distinct(), small_domain_rows)
+    return df.join(right, list(keys), "left_semi")
 
 
 def orphans(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -60,8 +71,9 @@ def last_before(facts: DataFrame, anchors: DataFrame, key: str, fact_at: str, an
     """For each fact, the id of the latest anchor of the same key with
     ``anchor_at <= fact_at`` (ties: highest id) (J17).
 
-    Union + ``last(ignorenulls)`` over one time-ordered stream per key:
-    linear, no pairs between facts and anchors.
+    Union + ``last(ignorenulls)`` over one time-ordered stream per key
+    (segment-wise, so a hot key is split): linear, no pairs between facts
+    and anchors.
     """
     fcols = list(facts.columns)
     a = anchors.select(
@@ -70,7 +82,6 @@ def last_before(facts: DataFrame, anchors: DataFrame, key: str, fact_at: str, an
         F.col(anchor_id).alias("_aid"))
     f = facts.select(*fcols, F.col(fact_at).cast("date").alias("_t"), F.lit(1).alias("_kind"),
                      F.lit(None).cast(anchors.schema[anchor_id].dataType).alias("_aid"))
-    w = (Window.partitionBy(key).orderBy("_t", "_kind", "_aid")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (f.unionByName(a).withColumn(out, F.last("_aid", ignorenulls=True).over(w))
-            .filter(F.col("_kind") == 1).select(*fcols, out))
+    order = [("_t", True), ("_kind", True), ("_aid", True)]
+    out_df = ordered.carry_last_nonnull(f.unionByName(a), key, order, "_aid", out)
+    return out_df.filter(F.col("_kind") == 1).select(*fcols, out)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import surrogate_key
+from . import ordered
 
 DIM_COLUMNS = ("guest_sk", "guest_id", "name", "email", "loyalty_tier", "country",
                "registration_date", "valid_from", "valid_to", "is_current", "version")
@@ -30,27 +31,25 @@ def scd2_from_history(df: DataFrame, key: str = "guest_id", ts: str = "updated_a
 
     Row mode (``collapse=False``) keeps every input row: ``valid_to`` is the
     next row's timestamp even when the tracked value did not change, so rows of
-    one run share a version. ``collapse=True`` keeps only the first row of each
-    run, making (key, version) unique.
+    one run share a version. ``collapse=True`` keeps the first row of each run
+    with the run's end, making (key, version) unique; runs are folded by a
+    (key, version) aggregation, which combines map-side.
+    The ordered scan is segment-wise (``ordered.change_versions``), so one key
+    with a huge history does not become one task.
     Adds ``valid_from``, ``valid_to``, ``is_current``, ``version`` and ``guest_sk``.
     """
-    order = [F.col(ts).asc_nulls_last(), *[F.col(t).asc() for t in tie]]
-    w = Window.partitionBy(key).orderBy(*order)
-    prev = F.lag(tracked).over(w)
-    out = df.withColumn("_chg", F.when(prev.isNotNull() & (prev != F.col(tracked)), 1).otherwise(0))
+    order = [(ts, True), *[(t, True) for t in tie]]
+    v = ordered.change_versions(df, key, order, tracked, ts)
+    out = (v.withColumn("valid_from", F.col(ts)).withColumn("valid_to", F.col("_next_ts"))
+           .drop("_prev", "_chg", "_next_ts"))
     if collapse:
-        out = (out.withColumn("_first", F.row_number().over(w) == 1)
-               .filter(F.col("_first") | (F.col("_chg") == 1)).drop("_first"))
-    running = F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    if collapse:
-        running = F.row_number().over(w) - 1
-    out = (out.withColumn("version", (running + 1).cast("long"))
-           .withColumn("valid_from", F.col(ts))
-           .withColumn("valid_to", F.lead(ts).over(w))
-           .withColumn("is_current", F.col("valid_to").isNull())
-           .withColumn("guest_sk", surrogate_key(key, "version"))
-           .drop("_chg"))
-    return out
+        ordkey = ordered.order_struct(order)
+        cols = [c for c in out.columns if c not in (key, "version", "valid_to")]
+        out = (out.groupBy(key, "version")
+               .agg(F.min_by(F.struct(*cols), ordkey).alias("_f"), F.max_by("valid_to", ordkey).alias("valid_to"))
+               .select(key, "version", *[F.col(f"_f.{c}").alias(c) for c in cols], "valid_to"))
+    return (out.withColumn("is_current", F.col("valid_to").isNull())
+            .withColumn("guest_sk", surrogate_key(key, "version")))
 
 
 def scd2_apply_batch(dim: DataFrame | None, batch: DataFrame, key: str = "guest_id",
@@ -104,8 +103,9 @@ def asof_version(facts: DataFrame, versions: DataFrame, key: str, at: str,
 
     Instead of a range join (all versions x all facts of a key), facts and
     versions are merged into one time-ordered stream per key and each fact
-    takes the last version seen so far (``last(..., ignorenulls)``): linear in
-    the input, no pairs. Versions sort before facts at equal times and by
+    takes the last version seen so far (``last(..., ignorenulls)``, computed
+    segment-wise by ``ordered.carry_last_nonnull``): linear in the input, no
+    pairs, balanced under a hot key. Versions sort before facts at equal times and by
     ``order_tie`` among themselves, so zero-length versions lose to their
     successor exactly as the interval test says.
     """
@@ -119,11 +119,10 @@ def asof_version(facts: DataFrame, versions: DataFrame, key: str, at: str,
     f = facts.select(*fcols, F.col(at).cast("timestamp").alias("_t"), F.lit(1).alias("_kind"),
                      F.lit(None).cast("long").alias("_tie"),
                      F.lit(None).cast(v.schema["_v"].dataType).alias("_v"))
-    # Zero-length versions (valid_to == valid_from) sort before their successor.
-    w = (Window.partitionBy(key)
-         .orderBy("_t", "_kind", F.col("_v.vto").asc_nulls_last(), "_tie")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carried = (f.unionByName(v).select("*", F.last("_v", ignorenulls=True).over(w).alias("_lv"))
-               .filter(F.col("_kind") == 1))
+    # Versions sort before facts at equal times; zero-length versions
+    # (valid_to == valid_from) before their successor.
+    stream = f.unionByName(v).withColumn("_vto", F.col("_v.vto"))
+    order = [("_t", True), ("_kind", True), ("_vto", True), ("_tie", True)]
+    carried = ordered.carry_last_nonnull(stream, key, order, "_v", "_lv").filter(F.col("_kind") == 1)
     ok = F.col("_lv").isNotNull() & (F.col("_lv.vto").isNull() | (F.col("_t") < F.col("_lv.vto")))
     return carried.select(*fcols, *[F.when(ok, F.col(f"_lv.{c}")).alias(c) for c in vcols])

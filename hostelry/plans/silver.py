@@ -14,6 +14,7 @@ from ..operators import dedup, filters, joins, nights, scd2
 
 PRICE_BOUNDS = (0.0, 10000.0)     # fixed value: open interval for room price
 POS_AMOUNT_BOUNDS = (0.0, 5000.0)  # fixed value: open interval for POS amount
+HOTEL_IDS_BROADCAST_MAX = 1_000_000  # distinct hotel ids broadcast up to this many
 
 RES_COLUMNS = ("res_id", "guest_id", "hotel_id", "room_number", "room_type", "check_in_date",
                "check_out_date", "total_price", "booking_channel", "created_at")
@@ -131,7 +132,7 @@ def fact_stays_unified(res_clean: DataFrame, pos_clean: DataFrame, dim_guests: D
     """Folio fact restricted to known guests (J02) and hotels."""
     stays = fact_stays(res_clean, pos_by_reservation(pos_clean))
     stays = joins.keep_known(stays, dim_guests, ["guest_id"])
-    return joins.keep_known(stays, raw_inventory, ["hotel_id"])
+    return joins.keep_known(stays, raw_inventory, ["hotel_id"], small_domain_rows=HOTEL_IDS_BROADCAST_MAX)
 
 
 # ------------------------------------------------------------------ daily calendar
