@@ -78,10 +78,9 @@ def change_versions(df: DataFrame, key: str, order: Sequence[tuple[str, bool]],
     seg = segment(df, order, unit)
     w = Window.partitionBy(key, SEG).orderBy(*window_order(order))
     wrun = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = (seg.withColumn("_lprev", F.lag(tracked).over(w))
-             .withColumn("_lnext", F.lead(ts).over(w))
-             .withColumn("_rn", F.row_number().over(w))
-             .withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(key, SEG))))
+    local = seg.withColumns({
+        "_lprev": F.lag(tracked).over(w), "_lnext": F.lead(ts).over(w), "_rn": F.row_number().over(w),
+        "_cnt": F.count(F.lit(1)).over(Window.partitionBy(key, SEG))})
     local = local.withColumn("_lchg", F.when(F.col("_lprev").isNotNull() & (F.col("_lprev") != F.col(tracked)), 1)
                              .otherwise(0))
     local = local.withColumn("_lcum", F.sum("_lchg").over(wrun))
@@ -101,9 +100,10 @@ def change_versions(df: DataFrame, key: str, order: Sequence[tuple[str, bool]],
     first = F.col("_rn") == 1
     last = F.col("_rn") == F.col("_cnt")
     prev = F.when(first, F.col("_carry_val")).otherwise(F.col("_lprev"))
-    return (j.withColumn("_prev", prev)
-            .withColumn("_chg", F.when(first, F.col("_b")).otherwise(F.col("_lchg")))
-            .withColumn("version", (F.col("_before") + F.col("_b") + F.col("_lcum") + 1).cast("long"))
-            .withColumn("_next_ts", F.when(last, F.col("_next_first_ts")).otherwise(F.col("_lnext")))
-            .drop("_lprev", "_lnext", "_rn", "_cnt", "_lchg", "_lcum", "_carry_val", "_b", "_before",
-                  "_next_first_ts", SEG))
+    return j.withColumns({
+        "_prev": prev,
+        "_chg": F.when(first, F.col("_b")).otherwise(F.col("_lchg")),
+        "version": (F.col("_before") + F.col("_b") + F.col("_lcum") + 1).cast("long"),
+        "_next_ts": F.when(last, F.col("_next_first_ts")).otherwise(F.col("_lnext")),
+    }).drop("_lprev", "_lnext", "_rn", "_cnt", "_lchg", "_lcum", "_carry_val", "_b", "_before",
+            "_next_first_ts", SEG)

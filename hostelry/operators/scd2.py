@@ -40,16 +40,14 @@ def scd2_from_history(df: DataFrame, key: str = "guest_id", ts: str = "updated_a
     """
     order = [(ts, True), *[(t, True) for t in tie]]
     v = ordered.change_versions(df, key, order, tracked, ts)
-    out = (v.withColumn("valid_from", F.col(ts)).withColumn("valid_to", F.col("_next_ts"))
-           .drop("_prev", "_chg", "_next_ts"))
+    out = v.withColumns({"valid_from": F.col(ts), "valid_to": F.col("_next_ts")}).drop("_prev", "_chg", "_next_ts")
     if collapse:
         ordkey = ordered.order_struct(order)
         cols = [c for c in out.columns if c not in (key, "version", "valid_to")]
         out = (out.groupBy(key, "version")
                .agg(F.min_by(F.struct(*cols), ordkey).alias("_f"), F.max_by("valid_to", ordkey).alias("valid_to"))
                .select(key, "version", *[F.col(f"_f.{c}").alias(c) for c in cols], "valid_to"))
-    return (out.withColumn("is_current", F.col("valid_to").isNull())
-            .withColumn("guest_sk", surrogate_key(key, "version")))
+    return out.withColumns({"is_current": F.col("valid_to").isNull(), "guest_sk": surrogate_key(key, "version")})
 
 
 def scd2_apply_batch(dim: DataFrame | None, batch: DataFrame, key: str = "guest_id",
