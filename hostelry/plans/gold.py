@@ -48,6 +48,24 @@ def rooms_by_day(calendar: DataFrame) -> DataFrame:
     return calendar.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("total_available_rooms"))
 
 
+def inventory_capacity(inventory_clean: DataFrame) -> DataFrame:
+    """D08 alternative: capacity = rooms in the cleaned inventory per hotel
+    (one row per hotel, independent of bookings)."""
+    return inventory_clean.groupBy("hotel_id").agg(
+        F.countDistinct("room_number").alias("total_available_rooms"))
+
+
+def kpi_revpar_inventory(measures: DataFrame, capacity: DataFrame) -> DataFrame:
+    """P07 with ``capacity='inventory'``: revenue over inventory rooms, and the
+    occupancy this implies, for every (date, hotel) with sales. Capacity has
+    one row per hotel, so the planner broadcasts it."""
+    j = measures.join(capacity, "hotel_id", "left")
+    return j.select(*KEYS, F.round("total_room_revenue", 2).alias("total_room_revenue"), "rooms_sold",
+                    "total_available_rooms",
+                    C.safe_ratio("total_room_revenue", "total_available_rooms").alias("revpar"),
+                    C.safe_percent("rooms_sold", "total_available_rooms").alias("occupancy_rate"))
+
+
 def kpi_revpar(measures: DataFrame, rooms: DataFrame) -> DataFrame:
     """Rooms ⟕ revenue (J06), missing revenue 0 (C17), safe ratio."""
     j = rooms.join(measures.select(*KEYS, "total_room_revenue"), list(KEYS), "left")
@@ -137,10 +155,17 @@ def turnover_pairs(checkouts: DataFrame, cleanings: DataFrame,
 
 
 def kpi_housekeeping_turnover(checkouts: DataFrame, cleanings: DataFrame,
-                              max_minutes: float = MAX_TURNOVER_MINUTES) -> DataFrame:
+                              max_minutes: float = MAX_TURNOVER_MINUTES,
+                              first_clean_only: bool = False) -> DataFrame:
     """P10: A06 + A07 per (check-out date, hotel), C24 rename.
-    ``total_checkouts`` counts matched pairs (D10)."""
+    ``total_checkouts`` counts matched pairs (D10); with ``first_clean_only``
+    each check-out keeps only its first cleaning (min over the check-out's
+    pairs, a partial aggregation), so it counts check-outs."""
     t = turnover_pairs(checkouts, cleanings, max_minutes)
+    if first_clean_only:
+        ident = ["res_id", "hotel_id", "room_number", "check_out_date", "checkout_timestamp"]
+        t = t.groupBy(*ident).agg(F.min("turnover_time_minutes").alias("turnover_time_minutes"),
+                                  F.min("_turnover_seconds").alias("_turnover_seconds"))
     m = F.col("turnover_time_minutes")
     return (t.groupBy("check_out_date", "hotel_id").agg(
         F.count(F.lit(1)).alias("total_checkouts"),

@@ -159,6 +159,22 @@ def kpi_executive_dashboard(spark, sf):
     return gold.kpi_dashboard(gold.nightly_measures(_stays(b)), gold.rooms_by_day(_calendar(b)))
 
 
+@query
+def kpi_revpar_inventory_capacity(spark, sf):
+    """D08 option: RevPAR and occupancy against inventory rooms."""
+    b = Bronze(spark, sf)
+    return gold.kpi_revpar_inventory(gold.nightly_measures(_stays(b)),
+                                     gold.inventory_capacity(silver.clean_inventory(b.inventory)))
+
+
+@query
+def kpi_turnover_first_clean(spark, sf):
+    """D10 option: one turnover per check-out (its first cleaning)."""
+    b = Bronze(spark, sf)
+    return gold.kpi_housekeeping_turnover(silver.checkout_events(b.reservations),
+                                          silver.clean_housekeeping(b.housekeeping), first_clean_only=True)
+
+
 @query
 def ancillary_by_category(spark, sf):
     b = Bronze(spark, sf)

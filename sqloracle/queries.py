@@ -632,3 +632,24 @@ SELECT CAST(u.guest_id AS VARCHAR) || '_' || CAST(coalesce(v.version + 1, 1) AS
 FROM updates_latest u LEFT JOIN dim_v1 v ON u.guest_id = v.guest_id AND v.is_current
 WHERE v.guest_id IS NULL OR u.loyalty_tier <> v.loyalty_tier
 """)
+
+sql("kpi_revpar_inventory_capacity", f"""
+SELECT v.date, v.hotel_id, {r2('v.total_room_revenue')} AS total_room_revenue, v.rooms_sold,
+  c.total_available_rooms,
+  CASE WHEN c.total_available_rooms > 0 THEN {r2('v.total_room_revenue / c.total_available_rooms')} ELSE 0.0 END
+    AS revpar,
+  CASE WHEN c.total_available_rooms > 0 THEN {r2('v.rooms_sold / c.total_available_rooms * 100')} ELSE 0.0 END
+    AS occupancy_rate
+FROM revenue_daily v LEFT JOIN (SELECT hotel_id, count(DISTINCT room_number) AS total_available_rooms
+                                FROM inv_clean GROUP BY hotel_id) c ON v.hotel_id = c.hotel_id
+""")
+sql("kpi_turnover_first_clean", f"""
+SELECT check_out_date AS date, hotel_id, count(*) AS total_checkouts,
+  {r2('avg(s) / 60.0')} AS avg_turnover_time_minutes,
+  {r2('quantile_disc(m, 0.5)')} AS median_turnover_time_minutes,
+  {r2('min(m)')} AS min_turnover_time_minutes, {r2('max(m)')} AS max_turnover_time_minutes
+FROM (SELECT res_id, hotel_id, room_number, check_out_date, checkout_timestamp,
+        min(turnover_time_minutes) AS m, min(turnover_seconds) AS s
+      FROM turnover GROUP BY res_id, hotel_id, room_number, check_out_date, checkout_timestamp)
+GROUP BY check_out_date, hotel_id
+""")
