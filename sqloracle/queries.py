@@ -515,7 +515,7 @@ sql("dq_duplicate_reservations", """
 SELECT 'rows_before_dedup' AS metric, count(*) AS value FROM res_parsed
   WHERE check_in_date IS NOT NULL AND check_out_date IS NOT NULL AND check_out_date > check_in_date
 UNION ALL SELECT 'rows_after_dedup', count(*) FROM res_clean
-UNION ALL SELECT 'content_duplicates', coalesce(sum(n - 1), 0) FROM (
+UNION ALL SELECT 'content_duplicates', CAST(coalesce(sum(n - 1), 0) AS BIGINT) FROM (
   SELECT count(*) AS n FROM res_clean GROUP BY guest_id, hotel_id, room_number, room_type, check_in_date,
     check_out_date, total_price, booking_channel)
 """)
