@@ -431,9 +431,9 @@ def json_evolved_schema(spark, sf):
     return json_io.json_scan(spark, path, evolved)
 
 
-def _snapshot(spark, path):
-    from ..sources.tables import SnapshotTable
-    return SnapshotTable(spark, path)
+def _snapshot(spark, path, keys):
+    from ..sources.tables import BucketedSnapshotTable
+    return BucketedSnapshotTable(spark, path, keys, buckets=16)
 
 
 def _two_drops(spark, src: str, first: DataFrame, second: DataFrame, fn) -> None:
@@ -462,7 +462,7 @@ def stream_fact_stays(spark, sf):
     from ..sources.driver_views import reservation_drops
     b = Bronze(spark, sf)
     first, second = reservation_drops(spark, sf)
-    table = _snapshot(spark, _scratch(spark, "fact-stays"))
+    table = _snapshot(spark, _scratch(spark, "fact-stays"), ["res_id"])
     fn = incremental.stays_batch_fn(table, _pos(b), _dim(b), b.inventory)
     _two_drops(spark, _scratch(spark, "stream-reservations"), first, second, fn)
     return table.read()
@@ -473,7 +473,7 @@ def stream_dim_guests(spark, sf):
     """Guests arrive, then a drop of profile updates; each batch is
     folded into the SCD2 dimension (J09-J11 detect, S12 expire, insert)."""
     b = Bronze(spark, sf)
-    table = _snapshot(spark, _scratch(spark, "dim-guests"))
+    table = _snapshot(spark, _scratch(spark, "dim-guests"), ["guest_id"])
     _two_drops(spark, _scratch(spark, "stream-guests"), b.guests, incremental.profile_updates(b.guests),
                incremental.guests_batch_fn(table))
     return table.read()

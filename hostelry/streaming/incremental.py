@@ -2,11 +2,13 @@
 P02, P04).
 
 A file stream picks up only JSON files its checkpoint has not seen. Each
-micro-batch is folded into a snapshot table by ``foreachBatch``: the new
-snapshot is computed as one DataFrame from the previous snapshot and the
-batch, and committed under the batch id. Spark replays a failed batch with
-the same id and the same files, so a replay recomputes and rewrites the same
-snapshot (exactly-once effect without a transactional sink).
+micro-batch is folded into a ``BucketedSnapshotTable`` by ``foreachBatch``:
+the new rows of the key buckets the batch touches are computed as one
+DataFrame from their previous version and the batch, written as snapshot
+``batch_id`` and then committed. Spark replays a failed batch with the same
+id and the same files: a committed batch is skipped, an uncommitted one is
+recomputed over the same base (exactly-once effect without a transactional
+sink).
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import joins, scd2
 from ..plans import silver
-from ..sources.tables import SnapshotTable, merge_upsert
+from ..sources.tables import BucketedSnapshotTable
 
 
 def json_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -58,36 +60,35 @@ def stream_to_table(stream: DataFrame, name: str, checkpoint: str) -> "Streaming
 
 
 # ----------------------------------------------------------------- T01 / P02
-def guests_batch_fn(dim_table: SnapshotTable) -> Callable[[DataFrame, int], None]:
-    """foreachBatch body for the SCD2 guest dimension."""
+def guests_batch_fn(dim_table: BucketedSnapshotTable) -> Callable[[DataFrame, int], None]:
+    """foreachBatch body for the SCD2 guest dimension (P02 / T01): only the
+    buckets of the batch's guests are read and rewritten."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         latest = silver.latest_guests(silver.clean_guests(batch))
-        dim_table.commit(lambda prev: scd2.scd2_apply_batch(prev, latest), batch_id)
+        dim_table.commit(lambda cur, b: scd2.scd2_apply_batch(cur, b), latest, batch_id)
     return fn
 
 
 def incremental_dim_guests(spark: SparkSession, source: str, schema: T.StructType, table_path: str,
                            checkpoint: str) -> DataFrame:
-    """Drain the guest files into the SCD2 snapshot and return it."""
-    table = SnapshotTable(spark, table_path)
+    """Drain the guest files into the SCD2 table and return it."""
+    table = BucketedSnapshotTable(spark, table_path, ["guest_id"])
     run_available_now(foreach_batch_sink(json_stream(spark, source, schema), guests_batch_fn(table), checkpoint))
     return table.read()
 
 
 # ----------------------------------------------------------------- T02 / P04
-def stays_batch_fn(stays_table: SnapshotTable, pos_clean: DataFrame, dim_guests: DataFrame,
+def stays_batch_fn(stays_table: BucketedSnapshotTable, pos_clean: DataFrame, dim_guests: DataFrame,
                    raw_inventory: DataFrame) -> Callable[[DataFrame, int], None]:
     """foreachBatch body for the folio fact.
 
     The source re-reads every POS file per batch; here only the POS rows of
-    the batch's reservations are aggregated (semi join on res_id), so the
-    work per batch follows the batch, not the POS history."""
+    the batch's reservations are aggregated (semi join on res_id), and the
+    upsert rewrites only the res_id buckets the batch touches."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         res = silver.clean_reservations(batch)
         pos = joins.keep_known(pos_clean, res, ["res_id"])
-        stays = silver.fact_stays_unified(res, pos, dim_guests, raw_inventory)
-        stays_table.commit(lambda prev: stays if prev is None else merge_upsert(prev, stays, ["res_id"]),
-                           batch_id)
+        stays_table.upsert(silver.fact_stays_unified(res, pos, dim_guests, raw_inventory), batch_id)
     return fn
 
 
@@ -95,7 +96,7 @@ def incremental_fact_stays(spark: SparkSession, source: str, schema: T.StructTyp
                            checkpoint: str, pos_clean: DataFrame, dim_guests: DataFrame,
                            raw_inventory: DataFrame) -> DataFrame:
     """T02 (+T04: late or corrected reservations are absorbed by the upsert)."""
-    table = SnapshotTable(spark, table_path)
+    table = BucketedSnapshotTable(spark, table_path, ["res_id"])
     fn = stays_batch_fn(table, pos_clean, dim_guests, raw_inventory)
     run_available_now(foreach_batch_sink(json_stream(spark, source, schema), fn, checkpoint))
     return table.read()
