@@ -89,6 +89,23 @@ def kpi_ancillary(measures: DataFrame) -> DataFrame:
         C.safe_ratio("total_ancillary_revenue", "rooms_sold").alias("avg_ancillary_per_guest"))
 
 
+def kpi_ancillary_per_guest(stays: DataFrame) -> DataFrame:
+    """P09 with ``per='guest'`` (D11, the spec's reading): distinct guests in
+    house per (date, hotel), distinct guests with POS spend, and each stay's POS
+    total spread evenly over its nights."""
+    n = nights.explode_nights(stays.select("guest_id", "hotel_id", "check_in_date", "check_out_date",
+                                           "stay_length_nights", "total_pos_amount", "pos_item_count"))
+    m = n.groupBy(*KEYS).agg(
+        F.countDistinct("guest_id").alias("total_guests"),
+        F.countDistinct(F.when(F.col("pos_item_count") > 0, F.col("guest_id"))).alias("guests_with_ancillary_spend"),
+        F.sum(F.col("total_pos_amount") / F.col("stay_length_nights")).alias("total_ancillary_revenue"))
+    return m.select(
+        *KEYS, "total_guests", "guests_with_ancillary_spend",
+        C.safe_percent("guests_with_ancillary_spend", "total_guests").alias("attachment_rate_percentage"),
+        F.round("total_ancillary_revenue", 2).alias("total_ancillary_revenue"),
+        C.safe_ratio("total_ancillary_revenue", "total_guests").alias("avg_ancillary_per_guest"))
+
+
 def kpi_dashboard(measures: DataFrame, rooms: DataFrame) -> DataFrame:
     """P12 (J14): RevPAR ⟕ ADR ⟕ ancillary on (date, hotel). ADR and ancillary
     share the key set of ``measures``, so the chain is one left join."""

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import driver_views, landing
+from ..operators import joins as joins_mod
 from . import gold, silver
 
 
@@ -175,6 +176,31 @@ def kpi_turnover_first_clean(spark, sf):
                                           silver.clean_housekeeping(b.housekeeping), first_clean_only=True)
 
 
+@query
+def kpi_ancillary_per_guest(spark, sf):
+    """D11 option: attachment over distinct guests, POS spread over nights."""
+    return gold.kpi_ancillary_per_guest(_stays(Bronze(spark, sf)))
+
+
+@query
+def kpi_revpar_validated(spark, sf):
+    """D15 option: the calendar built from validated stays only, so RevPAR's
+    revenue and capacity come from the same population."""
+    b = Bronze(spark, sf)
+    stays = _stays(b)
+    res = joins_mod.keep_known(_res(b), stays, ["res_id"])
+    return gold.kpi_revpar(gold.nightly_measures(stays), gold.rooms_by_day(silver.fact_room_availability_daily(res)))
+
+
+@query
+def fact_stays_survivor_map(spark, sf):
+    """D05 option: reservations of guests merged away by dedup are re-pointed
+    to the surviving guest before the orphan filter."""
+    b = Bronze(spark, sf)
+    res = silver.remap_guests(_res(b), silver.survivor_map(silver.clean_guests(b.guests)))
+    return silver.fact_stays_unified(res, _pos(b), _dim(b), b.inventory)
+
+
 @query
 def ancillary_by_category(spark, sf):
     b = Bronze(spark, sf)

@@ -102,6 +102,23 @@ def pos_by_reservation(pos_clean: DataFrame) -> DataFrame:
             .agg(F.sum("amount").alias("total_pos_amount"), F.count(F.lit(1)).alias("pos_item_count")))
 
 
+def survivor_map(cleaned_guests: DataFrame) -> DataFrame:
+    """D05 option: guest_id -> the id that survived its dedup group (W01), for
+    every guest whose group has a survivor with a valid update time."""
+    order = [F.col("updated_at").desc_nulls_last(), F.col("guest_id").desc()]
+    surv = dedup.latest_per_key(cleaned_guests, ["dedup_key"], order).filter(F.col("updated_at").isNotNull())
+    return cleaned_guests.select("guest_id", "dedup_key").join(
+        surv.select("dedup_key", F.col("guest_id").alias("survivor_guest_id")), "dedup_key", "inner").drop("dedup_key")
+
+
+def remap_guests(df: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Replace guest_id by its survivor where the map has one."""
+    cols = df.columns
+    j = df.join(mapping, "guest_id", "left")
+    return j.select(*[F.coalesce("survivor_guest_id", "guest_id").alias("guest_id") if c == "guest_id" else c
+                      for c in cols])
+
+
 # ------------------------------------------------------------------------ inventory
 def clean_inventory(inv: DataFrame) -> DataFrame:
     """C01 on (hotel_id, room_number), C15 room '9999', C05."""

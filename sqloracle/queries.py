@@ -653,3 +653,55 @@ FROM (SELECT res_id, hotel_id, room_number, check_out_date, checkout_timestamp,
       FROM turnover GROUP BY res_id, hotel_id, room_number, check_out_date, checkout_timestamp)
 GROUP BY check_out_date, hotel_id
 """)
+
+sql("kpi_ancillary_per_guest", f"""
+SELECT date, hotel_id, total_guests, guests_with_ancillary_spend,
+  CASE WHEN total_guests > 0 THEN {r2('guests_with_ancillary_spend / total_guests * 100')} ELSE 0.0 END
+    AS attachment_rate_percentage,
+  {r2('total_ancillary_revenue')} AS total_ancillary_revenue,
+  CASE WHEN total_guests > 0 THEN {r2('total_ancillary_revenue / total_guests')} ELSE 0.0 END
+    AS avg_ancillary_per_guest
+FROM (SELECT date, hotel_id, count(DISTINCT guest_id) AS total_guests,
+        count(DISTINCT CASE WHEN pos_item_count > 0 THEN guest_id END) AS guests_with_ancillary_spend,
+        sum(total_pos_amount / stay_length_nights) AS total_ancillary_revenue
+      FROM (SELECT {NIGHTS} AS date, hotel_id, guest_id, pos_item_count, total_pos_amount, stay_length_nights
+            FROM fact_stays)
+      GROUP BY date, hotel_id)
+""")
+
+cte("calendar_validated", """
+SELECT date, hotel_id, room_number FROM (
+ SELECT *, row_number() OVER (PARTITION BY hotel_id, room_number, date ORDER BY res_id) AS rn
+ FROM occupancy_nights WHERE res_id IN (SELECT res_id FROM fact_stays)) WHERE rn = 1
+""")
+
+sql("kpi_revpar_validated", f"""
+SELECT r.date, r.hotel_id, {r2('coalesce(v.total_room_revenue, 0.0)')} AS total_room_revenue,
+  r.total_available_rooms,
+  CASE WHEN r.total_available_rooms > 0
+       THEN {r2('coalesce(v.total_room_revenue, 0.0) / r.total_available_rooms')} ELSE 0.0 END AS revpar
+FROM (SELECT date, hotel_id, count(DISTINCT room_number) AS total_available_rooms FROM calendar_validated
+      GROUP BY date, hotel_id) r
+LEFT JOIN revenue_daily v ON r.date = v.date AND r.hotel_id = v.hotel_id
+""")
+
+cte("survivors_valid", """
+SELECT g.guest_id, s.survivor_guest_id FROM guests_clean g JOIN (
+  SELECT dedup_key, guest_id AS survivor_guest_id FROM (
+    SELECT *, row_number() OVER (PARTITION BY dedup_key ORDER BY updated_at DESC NULLS LAST, guest_id DESC) AS rn
+    FROM guests_clean) WHERE rn = 1 AND updated_at IS NOT NULL) s ON g.dedup_key = s.dedup_key
+""")
+
+sql("fact_stays_survivor_map", """
+SELECT * FROM (
+  SELECT r.res_id, coalesce(m.survivor_guest_id, r.guest_id) AS guest_id, r.hotel_id, r.room_type,
+    r.check_in_date, r.check_out_date,
+    CAST(date_diff('day', r.check_in_date, r.check_out_date) AS INTEGER) AS stay_length_nights,
+    r.total_price, r.booking_channel, coalesce(p.total_pos_amount, 0.0) AS total_pos_amount,
+    CASE WHEN r.total_price IS NOT NULL THEN r.total_price + coalesce(p.total_pos_amount, 0.0)
+         ELSE coalesce(p.total_pos_amount, 0.0) END AS total_folio_amount,
+    coalesce(p.pos_item_count, 0) AS pos_item_count, r.created_at
+  FROM res_clean r LEFT JOIN survivors_valid m ON r.guest_id = m.guest_id
+  LEFT JOIN pos_agg p ON r.res_id = p.res_id)
+WHERE guest_id IN (SELECT guest_id FROM dim_guests) AND hotel_id IN (SELECT hotel_id FROM bronze_inventory)
+""")
