@@ -171,7 +171,7 @@ def fact_room_availability_daily(res_clean: DataFrame) -> DataFrame:
 
 
 def fact_room_availability_raw(res: DataFrame) -> DataFrame:
-    """The streaming notebook's calendar: drops room '9999', parses two
+    """The streaming job's calendar: drops room '9999', parses two
     date formats, keeps the raw room type and dedups by earliest check-in (W03)."""
     r = filters.require_keys(res, ["res_id", "room_number"])
     r = filters.drop_sentinel(r, "room_number", C.INVALID_ROOM_SENTINEL)
