@@ -51,15 +51,18 @@ def scd2_from_history(df: DataFrame, key: str = "guest_id", ts: str = "updated_a
 
 
 def scd2_apply_batch(dim: DataFrame | None, batch: DataFrame, key: str = "guest_id",
-                     tracked: str = "loyalty_tier", ts: str = "updated_at") -> DataFrame:
+                     tracked: str = "loyalty_tier", ts: str = "updated_at",
+                     type1_cols: Sequence[str] = (), reject_out_of_order: bool = False) -> DataFrame:
     """New dimension = old dimension with changed keys expired + new versions
     + new keys (P02 with J09-J11 and S12 in one plan).
 
     ``batch`` holds one cleaned row per key. A key is *changed* when it has a
     current row whose tracked value differs; it is *new* when it has no current
     row. The expired row's ``valid_to`` is the new version's ``valid_from``.
-    Unchanged keys leave the dimension untouched, so applying the same batch
-    twice equals applying it once.
+    Options (D07): ``type1_cols`` are overwritten in place on the current row
+    when the tracked value did not change; ``reject_out_of_order`` ignores
+    incoming rows older than the current version. Unchanged keys otherwise
+    leave the dimension untouched, so applying a batch twice equals once.
     """
     payload = [c for c in DIM_COLUMNS if c not in
                ("guest_sk", "valid_from", "valid_to", "is_current", "version", key, tracked)]
@@ -71,26 +74,37 @@ def scd2_apply_batch(dim: DataFrame | None, batch: DataFrame, key: str = "guest_
                 .withColumn("guest_sk", surrogate_key(key, "version"))
                 .select(*DIM_COLUMNS))
     current = dim.filter(F.col("is_current")).select(
-        F.col(key).alias("_ck"), F.col(tracked).alias("_ctier"), F.col("version").alias("_cver"))
+        F.col(key).alias("_ck"), F.col(tracked).alias("_ctier"), F.col("version").alias("_cver"),
+        F.col("valid_from").alias("_cfrom"))
     detect = batch.join(current, batch[key] == current["_ck"], "left")               # J09
+    if reject_out_of_order:
+        detect = detect.filter(F.col("_ck").isNull() | (F.col(ts) >= F.col("_cfrom")))
     changed = detect.filter(F.col("_ck").isNotNull() & (F.col(tracked) != F.col("_ctier")))  # J10
     new = detect.filter(F.col("_ck").isNull())                                       # J11
+    vto_type = dim.schema["valid_to"].dataType
     inserts = (changed.withColumn("version", F.col("_cver") + 1)
                .unionByName(new.withColumn("version", F.lit(1).cast("long")))
-               .withColumn("valid_from", F.col(ts))
-               .withColumn("valid_to", F.lit(None).cast(dim.schema["valid_to"].dataType))
-               .withColumn("is_current", F.lit(True))
+               .withColumns({"valid_from": F.col(ts), "valid_to": F.lit(None).cast(vto_type),
+                             "is_current": F.lit(True)})
                .withColumn("guest_sk", surrogate_key(key, "version"))
-               .select(key, tracked, *payload, "valid_from", "valid_to", "is_current", "version",
-                       "guest_sk"))
-    ends = changed.select(F.col(key).alias("_ek"), F.col(ts).alias("_end"))
-    expired = (dim.join(ends, dim[key] == ends["_ek"], "left")                       # S12
-               .withColumn("valid_to", F.when(F.col("is_current") & F.col("_ek").isNotNull(),
-                                              F.col("_end").cast(dim.schema["valid_to"].dataType))
-                           .otherwise(F.col("valid_to")))
-               .withColumn("is_current", F.col("is_current") & F.col("_ek").isNull())
-               .drop("_ek", "_end"))
-    return expired.select(*DIM_COLUMNS).unionByName(inserts.select(*DIM_COLUMNS))
+               .select(*DIM_COLUMNS))
+    # one action per touched key: expire (tracked value changed) or type-1 overwrite
+    t1 = list(type1_cols)
+    actions = changed.select(F.col(key).alias("_ak"), F.col(ts).cast(vto_type).alias("_end"),
+                             *[F.lit(None).cast(batch.schema[c].dataType).alias(f"_n_{c}") for c in t1])
+    if t1:
+        same = detect.filter(F.col("_ck").isNotNull() & (F.col(tracked) == F.col("_ctier")))
+        actions = actions.unionByName(same.select(F.col(key).alias("_ak"), F.lit(None).cast(vto_type).alias("_end"),
+                                                  *[F.col(c).alias(f"_n_{c}") for c in t1]))
+    j = dim.join(actions, dim[key] == actions["_ak"], "left")                        # S12
+    expire = F.col("is_current") & F.col("_end").isNotNull()
+    type1 = F.col("is_current") & F.col("_ak").isNotNull() & F.col("_end").isNull()
+    updated = j.withColumns({
+        "valid_to": F.when(expire, F.col("_end")).otherwise(F.col("valid_to")),
+        "is_current": F.col("is_current") & ~expire,
+        **{c: F.when(type1, F.col(f"_n_{c}")).otherwise(F.col(c)) for c in t1},
+    })
+    return updated.select(*DIM_COLUMNS).unionByName(inserts)
 
 
 def asof_version(facts: DataFrame, versions: DataFrame, key: str, at: str,

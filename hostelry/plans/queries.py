@@ -494,6 +494,18 @@ def stream_fact_stays(spark, sf):
     return table.read()
 
 
+@query
+def stream_dim_guests_type1(spark, sf):
+    """D07 options on T01: name/email/country corrections overwrite the
+    current row (type 1), and updates older than the current version are
+    rejected."""
+    b = Bronze(spark, sf)
+    table = _snapshot(spark, _scratch(spark, "dim-guests-t1"), ["guest_id"])
+    fn = incremental.guests_batch_fn(table, type1_cols=("name", "email", "country"), reject_out_of_order=True)
+    _two_drops(spark, _scratch(spark, "stream-guests-t1"), b.guests, incremental.profile_corrections(b.guests), fn)
+    return table.read()
+
+
 @query
 def stream_dim_guests(spark, sf):
     """Guests arrive, then a drop of profile updates; each batch is

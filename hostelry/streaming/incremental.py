@@ -60,12 +60,15 @@ def stream_to_table(stream: DataFrame, name: str, checkpoint: str) -> "Streaming
 
 
 # ----------------------------------------------------------------- T01 / P02
-def guests_batch_fn(dim_table: BucketedSnapshotTable) -> Callable[[DataFrame, int], None]:
+def guests_batch_fn(dim_table: BucketedSnapshotTable, type1_cols=(), reject_out_of_order: bool = False
+                    ) -> Callable[[DataFrame, int], None]:
     """foreachBatch body for the SCD2 guest dimension (P02 / T01): only the
     buckets of the batch's guests are read and rewritten."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         latest = silver.latest_guests(silver.clean_guests(batch))
-        dim_table.commit(lambda cur, b: scd2.scd2_apply_batch(cur, b), latest, batch_id)
+        dim_table.commit(lambda cur, b: scd2.scd2_apply_batch(cur, b, type1_cols=type1_cols,
+                                                             reject_out_of_order=reject_out_of_order),
+                         latest, batch_id)
     return fn
 
 
@@ -110,3 +113,19 @@ def profile_updates(guests: DataFrame, every: int = 7, at: str = "2024-06-01T00:
     return (guests.filter(F.col("guest_id") % every == 0)
             .withColumn("loyalty_tier", F.when(tier == "GOLD", F.lit("Silver")).otherwise(F.lit("Gold")))
             .withColumn("updated_at", F.lit(at)))
+
+
+def profile_corrections(guests: DataFrame) -> DataFrame:
+    """A later drop mixing three kinds of rows: tier changes (every 7th guest),
+    name corrections with the tier unchanged (every 11th), and stale tier
+    changes dated before the guest's registration in the system (every 13th)."""
+    k = F.col("guest_id")
+    tier = F.upper(F.coalesce(F.col("loyalty_tier"), F.lit("")))
+    changes = profile_updates(guests)
+    names = (guests.filter((k % 11 == 0) & (k % 7 != 0))
+             .withColumn("name", F.upper(F.coalesce(F.col("name"), F.lit("unknown"))))
+             .withColumn("updated_at", F.lit("2024-06-01T00:00:00Z")))
+    stale = (guests.filter((k % 13 == 0) & (k % 7 != 0) & (k % 11 != 0))
+             .withColumn("loyalty_tier", F.when(tier == "PLATINUM", F.lit("Bronze")).otherwise(F.lit("Platinum")))
+             .withColumn("updated_at", F.lit("2020-01-01T00:00:00Z")))
+    return changes.unionByName(names).unionByName(stale)

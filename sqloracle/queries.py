@@ -705,3 +705,62 @@ SELECT * FROM (
   LEFT JOIN pos_agg p ON r.res_id = p.res_id)
 WHERE guest_id IN (SELECT guest_id FROM dim_guests) AND hotel_id IN (SELECT hotel_id FROM bronze_inventory)
 """)
+
+cte("guest_corrections", """
+SELECT guest_id, name, email,
+  CASE WHEN upper(coalesce(loyalty_tier, '')) = 'GOLD' THEN 'Silver' ELSE 'Gold' END AS loyalty_tier,
+  country, registration_date, '2024-06-01T00:00:00Z' AS updated_at
+FROM bronze_guests WHERE guest_id % 7 = 0
+UNION ALL
+SELECT guest_id, upper(coalesce(name, 'unknown')) AS name, email, loyalty_tier, country, registration_date,
+  '2024-06-01T00:00:00Z' AS updated_at
+FROM bronze_guests WHERE guest_id % 11 = 0 AND guest_id % 7 <> 0
+UNION ALL
+SELECT guest_id, name, email,
+  CASE WHEN upper(coalesce(loyalty_tier, '')) = 'PLATINUM' THEN 'Bronze' ELSE 'Platinum' END AS loyalty_tier,
+  country, registration_date, '2020-01-01T00:00:00Z' AS updated_at
+FROM bronze_guests WHERE guest_id % 13 = 0 AND guest_id % 7 <> 0 AND guest_id % 11 <> 0
+""")
+
+cte("corrections_latest", f"""
+SELECT guest_id, name, email, loyalty_tier, country, registration_date, updated_at FROM (
+ SELECT *, row_number() OVER (PARTITION BY dedup_key ORDER BY updated_at DESC NULLS LAST, guest_id DESC) AS rn
+ FROM (SELECT *, coalesce(email_base, 'guest_' || CAST(guest_id AS VARCHAR)) AS dedup_key FROM (
+   SELECT *, regexp_replace(email, '\\+.*@', '@') AS email_base FROM (
+    SELECT guest_id,
+     coalesce(regexp_replace(trim(name), '\\s+', ' ', 'g'), 'Unknown') AS name,
+     CASE WHEN email <> 'invalid-email' THEN lower(trim(email)) END AS email,
+     {canon('loyalty_tier', ['Bronze', 'Silver', 'Gold', 'Platinum'], 'Bronze')} AS loyalty_tier,
+     coalesce(upper(trim(country)), 'UNKNOWN') AS country,
+     {date_multi('registration_date')} AS registration_date,
+     {ts_multi('updated_at')} AS updated_at
+    FROM guest_corrections WHERE guest_id IS NOT NULL))))
+WHERE rn = 1 AND updated_at IS NOT NULL
+""")
+
+cte("corrections_detect", """
+SELECT u.*, v.guest_id AS cur_id, v.loyalty_tier AS cur_tier, v.version AS cur_version
+FROM corrections_latest u LEFT JOIN dim_v1 v ON u.guest_id = v.guest_id AND v.is_current
+WHERE v.guest_id IS NULL OR u.updated_at >= v.valid_from
+""")
+
+sql("stream_dim_guests_type1", """
+SELECT d.guest_sk, d.guest_id,
+  CASE WHEN t.guest_id IS NOT NULL THEN t.name ELSE d.name END AS name,
+  CASE WHEN t.guest_id IS NOT NULL THEN t.email ELSE d.email END AS email,
+  d.loyalty_tier,
+  CASE WHEN t.guest_id IS NOT NULL THEN t.country ELSE d.country END AS country,
+  d.registration_date, d.valid_from,
+  CASE WHEN c.guest_id IS NOT NULL THEN c.updated_at ELSE d.valid_to END AS valid_to,
+  d.is_current AND c.guest_id IS NULL AS is_current, d.version
+FROM dim_v1 d
+LEFT JOIN (SELECT guest_id, updated_at FROM corrections_detect
+           WHERE cur_id IS NOT NULL AND loyalty_tier <> cur_tier) c ON d.guest_id = c.guest_id
+LEFT JOIN (SELECT guest_id, name, email, country FROM corrections_detect
+           WHERE cur_id IS NOT NULL AND loyalty_tier = cur_tier) t ON d.guest_id = t.guest_id
+UNION ALL
+SELECT CAST(guest_id AS VARCHAR) || '_' || CAST(coalesce(cur_version + 1, 1) AS VARCHAR), guest_id, name, email,
+  loyalty_tier, country, registration_date, updated_at, CAST(NULL AS TIMESTAMP), true,
+  CAST(coalesce(cur_version + 1, 1) AS BIGINT)
+FROM corrections_detect WHERE cur_id IS NULL OR loyalty_tier <> cur_tier
+""")
