@@ -41,7 +41,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the operator sets it to shared storage and we only read it.
     Only when it is unset (local tests) do we create a scratch folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: only the SQL conf is visible
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        return path or tempfile.mkdtemp(prefix="hostelry-ckpt-")
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if path:
         if not sc.getCheckpointDir():

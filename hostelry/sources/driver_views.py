@@ -50,10 +50,13 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     df = spark.read.parquet(path)
-    target = spark.sparkContext.defaultParallelism
-    key = (path, target)
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
+    try:
+        target = spark.sparkContext.defaultParallelism
+        key = (path, target)
+        if key not in _SPLITS:
+            _SPLITS[key] = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API (e.g. a remote session): leave the scan as it is
+        return df
     if _SPLITS[key] < target:
         df = df.repartition(target)
     return df
