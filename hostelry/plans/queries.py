@@ -449,6 +449,15 @@ def json_rescued_fields(spark, sf):
     return r.select("res_id", keys.alias("rescued_keys"))
 
 
+@query
+def json_pinned_schema(spark, sf):
+    """Infer the schema of the landed files once, store it beside them,
+    and read with the stored schema."""
+    path = _reservations_json(spark, sf)
+    schema = json_io.pin_schema(spark, path, path + "_schema")
+    return json_io.json_scan(spark, path, schema)
+
+
 @query
 def json_evolved_schema(spark, sf):
     """The same narrow schema widened by the keys found in the files."""

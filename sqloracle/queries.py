@@ -764,3 +764,5 @@ SELECT CAST(guest_id AS VARCHAR) || '_' || CAST(coalesce(cur_version + 1, 1) AS
   CAST(coalesce(cur_version + 1, 1) AS BIGINT)
 FROM corrections_detect WHERE cur_id IS NULL OR loyalty_tier <> cur_tier
 """)
+
+sql("json_pinned_schema", "SELECT * FROM bronze_reservations")
