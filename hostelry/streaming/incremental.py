@@ -24,6 +24,8 @@ from ..operators import joins, scd2
 from ..plans import silver
 from ..sources.tables import BucketedSnapshotTable
 
+BATCH_KEYS_BROADCAST_MAX = 5_000_000
+
 
 def json_stream(spark: SparkSession, path: str, schema: T.StructType,
                 max_files_per_trigger: int | None = None) -> DataFrame:
@@ -90,7 +92,9 @@ def stays_batch_fn(stays_table: BucketedSnapshotTable, pos_clean: DataFrame, dim
     upsert rewrites only the res_id buckets the batch touches."""
     def fn(batch: DataFrame, batch_id: int) -> None:
         res = silver.clean_reservations(batch)
-        pos = joins.keep_known(pos_clean, res, ["res_id"])
+        # the batch's ids are broadcast when under the bound, so the POS scan
+        # is filtered map-side instead of shuffling all POS rows
+        pos = joins.keep_known(pos_clean, res, ["res_id"], small_domain_rows=BATCH_KEYS_BROADCAST_MAX)
         stays_table.upsert(silver.fact_stays_unified(res, pos, dim_guests, raw_inventory), batch_id)
     return fn
 
