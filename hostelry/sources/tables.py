@@ -200,6 +200,20 @@ class BucketedSnapshotTable:
         df = self._read_buckets()
         return None if df is None else df.drop("bucket")
 
+    def superseded(self, keep_after: int | None = None) -> DataFrame | None:
+        """(snapshot_id, bucket) partitions no reader of the current version
+        needs: a later committed snapshot rewrote the bucket. Snapshots above
+        ``keep_after`` are kept for readers of older versions. The listing is
+        what a retention job deletes; nothing is removed here."""
+        log, live = self._log(), self.current_map()
+        if log is None:
+            return None
+        old = (log.join(live.withColumnRenamed("snapshot_id", "_live"), "bucket")
+               .filter(F.col("snapshot_id") < F.col("_live")).drop("_live"))
+        if keep_after is not None:
+            old = old.filter(F.col("snapshot_id") <= keep_after)
+        return old.select("snapshot_id", "bucket")
+
     def commit(self, build, batch: DataFrame, version: int) -> None:
         """Rewrite the buckets of ``batch``'s keys as snapshot ``version`` with
         ``build(current rows of those buckets or None, batch)``."""

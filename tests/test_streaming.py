@@ -80,6 +80,8 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark):
     assert out.filter(F.col("res_id").isin(ids) & (F.col("booking_channel") == "Phone")).count() == len(ids)
     t.upsert(few, 1)           # replay: committed, skipped
     assert t.read().count() == res.count()
+    stale = t.superseded()
+    assert stale.count() == touched and stale.filter("snapshot_id != 0").count() == 0
 
 
 def test_plain_snapshot_table_versions(spark):
