@@ -25,6 +25,7 @@ def clean_guests(guests: DataFrame) -> DataFrame:
     """Typed guests with their dedup key."""
     g = filters.require_keys(guests, ["guest_id"])
     email = C.clean_email("email")
+    base = C.email_base(email)
     return g.select(
         "guest_id",
         C.clean_name("name").alias("name"),
@@ -33,8 +34,9 @@ def clean_guests(guests: DataFrame) -> DataFrame:
         C.clean_country("country").alias("country"),
         C.parse_date_multi("registration_date").alias("registration_date"),
         C.parse_ts_multi("updated_at").alias("updated_at"),
-    ).withColumn("email_base", C.email_base("email")).withColumn(
-        "dedup_key", C.dedup_key("email_base", "guest_id"))
+        base.alias("email_base"),
+        C.dedup_key(base, "guest_id").alias("dedup_key"),
+    )
 
 
 def latest_guests(cleaned: DataFrame) -> DataFrame:
