@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hostelry.llm import bpe, language, mixing, quality, token_counts, token_files
+from hostelry.llm import bpe, language, mixing, quality, token_counts, token_files, warc
 from hostelry.llm.common import documents, ship
 
 
@@ -17,6 +17,11 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(documents(ship(spark), sf_dir), _tokenizer())
 
 
+def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{ship(spark) and sf_dir}/pages.parquet")
+    return warc.warc_round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.quality_rules(documents(ship(spark), sf_dir), labels)
@@ -38,7 +43,17 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(documents(ship(spark), sf_dir), _tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe_round_trip, op6_quality_rules, op7_token_counts, op8_mix_sources,
+QUERIES = {f.__name__: f for f in (op3_bpe_round_trip, op4_warc_archives, op6_quality_rules, op7_token_counts, op8_mix_sources,
                                    op9_language_id, op10_token_files)}
 
-SQL: dict[str, str] = {}
+OP4_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM d WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT d.page_id, d.payload_bytes, d.payload_digest,
+       CASE WHEN f.first IS NULL OR f.first IS NOT DISTINCT FROM d.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN f.first IS NOT DISTINCT FROM d.page_id THEN NULL ELSE f.first END AS refers_to
+FROM d LEFT JOIN f USING (payload_digest)
+"""
+
+SQL: dict[str, str] = {"op4_warc_archives": OP4_SQL}
