@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hostelry.llm import bpe, language, mixing, quality, token_counts, token_files, warc
+from hostelry.llm import bpe, jaccard, language, mixing, quality, token_counts, token_files, warc
 from hostelry.llm.common import documents, ship
 
 
@@ -22,6 +22,11 @@ def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.warc_round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.jaccard_components(documents(ship(spark), sf_dir))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.quality_rules(documents(ship(spark), sf_dir), labels)
@@ -43,7 +48,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(documents(ship(spark), sf_dir), _tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe_round_trip, op4_warc_archives, op6_quality_rules, op7_token_counts, op8_mix_sources,
+QUERIES = {f.__name__: f for f in (op3_bpe_round_trip, op4_warc_archives, op5_jaccard_components, op6_quality_rules, op7_token_counts, op8_mix_sources,
                                    op9_language_id, op10_token_files)}
 
 OP4_SQL = """
@@ -56,4 +61,26 @@ SELECT d.page_id, d.payload_bytes, d.payload_digest,
 FROM d LEFT JOIN f USING (payload_digest)
 """
 
-SQL: dict[str, str] = {"op4_warc_archives": OP4_SQL}
+#: Pairs by shared shingle, then the smallest document reached by following links until nothing new is reached.
+OP5_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN []
+                      WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+                      ELSE list_distinct([array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)]) END AS sh
+  FROM w),
+c AS (SELECT sh, min(doc_id) AS class, len(sh) AS n FROM (SELECT doc_id, list_sort(sh) AS sh FROM s) WHERE len(sh) > 0 GROUP BY sh),
+t AS (SELECT class, n, unnest(sh) AS shingle FROM c),
+p AS (
+  SELECT a.class AS a, b.class AS b FROM t a JOIN t b ON a.shingle = b.shingle AND a.class <> b.class
+  GROUP BY a.class, b.class, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+r(class, reached) AS (SELECT class, class FROM c UNION SELECT r.class, p.b FROM r JOIN p ON r.reached = p.a),
+m AS (SELECT class, min(reached) AS component FROM r GROUP BY class),
+k AS (SELECT c.sh, m.component FROM c JOIN m USING (class))
+SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, coalesce(k.component, s.doc_id) AS component_id
+FROM s LEFT JOIN k ON list_sort(s.sh) = k.sh
+"""
+
+SQL: dict[str, str] = {"op4_warc_archives": OP4_SQL, "op5_jaccard_components": OP5_SQL}
