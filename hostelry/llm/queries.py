@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hostelry.llm import bpe, jaccard, language, mixing, quality, token_counts, token_files, warc
+from hostelry.llm import bpe, jaccard, language, mixing, quality, substrings, token_counts, token_files, warc
 from hostelry.llm.common import documents, ship
 
 
@@ -13,6 +13,10 @@ def _tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_dedup(documents(ship(spark), sf_dir))
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(documents(ship(spark), sf_dir), _tokenizer())
 
@@ -48,7 +52,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(documents(ship(spark), sf_dir), _tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe_round_trip, op4_warc_archives, op5_jaccard_components, op6_quality_rules, op7_token_counts, op8_mix_sources,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_bpe_round_trip, op4_warc_archives, op5_jaccard_components, op6_quality_rules, op7_token_counts, op8_mix_sources,
                                    op9_language_id, op10_token_files)}
 
 OP4_SQL = """
@@ -83,4 +87,17 @@ SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, coalesce(k.component, s.doc_id
 FROM s LEFT JOIN k ON list_sort(s.sh) = k.sh
 """
 
-SQL: dict[str, str] = {"op4_warc_archives": OP4_SQL, "op5_jaccard_components": OP5_SQL}
+OP1_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+x AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS s, ws FROM w WHERE len(ws) >= 50),
+h AS (SELECT doc_id, s, md5(array_to_string(ws[s:s + 49], ' ')) AS win FROM x),
+o AS (SELECT win, min(doc_id) AS first FROM h GROUP BY win),
+r AS (SELECT h.doc_id, h.s FROM h JOIN o USING (win) WHERE h.doc_id > o.first),
+g AS (SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS i FROM r),
+k AS (SELECT doc_id, list(i) AS gone FROM g GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN ws ELSE [ws[i] FOR i IN range(1, len(ws) + 1) IF NOT list_contains(gone, i)] END, ' '), '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op4_warc_archives": OP4_SQL, "op5_jaccard_components": OP5_SQL}
