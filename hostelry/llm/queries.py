@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hostelry.llm import bpe, jaccard, language, mixing, quality, substrings, token_counts, token_files, warc
+from hostelry.llm import bpe, jaccard, language, mixing, quality, search, substrings, token_counts, token_files, warc
 from hostelry.llm.common import documents, ship
 
 
@@ -17,6 +17,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.substring_dedup(documents(ship(spark), sf_dir))
 
 
+def op2_search_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(ship(spark), sf_dir)
+    return search.search(docs, docs.filter("doc_id % 100 = 0"))
+
+
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(documents(ship(spark), sf_dir), _tokenizer())
 
@@ -52,9 +57,25 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(documents(ship(spark), sf_dir), _tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_bpe_round_trip, op4_warc_archives, op5_jaccard_components, op6_quality_rules, op7_token_counts, op8_mix_sources,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_search_top_k, op3_bpe_round_trip, op4_warc_archives, op5_jaccard_components, op6_quality_rules, op7_token_counts, op8_mix_sources,
                                    op9_language_id, op10_token_files)}
 
+OP2_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+c AS (SELECT count(*) AS n, avg(len(ws)) AS mean FROM w),
+t AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ws) AS term FROM w) GROUP BY doc_id, term),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+s AS (
+  SELECT q.doc_id AS query_id, t.doc_id,
+         round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(ws) / mean))), 6) AS score
+  FROM (SELECT doc_id, term FROM t WHERE doc_id % 100 = 0) q JOIN t USING (term) JOIN f USING (term) JOIN w ON w.doc_id = t.doc_id, c
+  GROUP BY q.doc_id, t.doc_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM s)
+SELECT query_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
 OP4_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
@@ -100,4 +121,4 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n
 FROM w LEFT JOIN k USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op4_warc_archives": OP4_SQL, "op5_jaccard_components": OP5_SQL}
+SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_search_top_k": OP2_SQL, "op4_warc_archives": OP4_SQL, "op5_jaccard_components": OP5_SQL}
