@@ -245,19 +245,6 @@ def encoder(path: str) -> FragmentEncoder:
     return _ENCODERS[path]
 
 
-def bpe_encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ids array<int>) of every row."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
-        for part in text_parts(batches, text):
-            ids, counts = enc.encode(texts(part, text))
-            offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            col = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([part.column(0), col], ["key", "ids"])
-    src = only(docs, key, text)
-    return src.mapInArrow(run, f"key {src.schema[key].dataType.simpleString()}, ids array<int>").withColumnRenamed("key", key)
-
-
 def bpe_decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "ids") -> DataFrame:
     """(key, text) of rows of ids."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,22 +256,23 @@ def bpe_decode(encoded: DataFrame, path: str, key: str = "doc_id", ids: str = "i
     return src.mapInArrow(run, f"key {src.schema[key].dataType.simpleString()}, text string").withColumnRenamed("key", key)
 
 
-def bpe_round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_tokens, ids_sha256, decoded_sha256): encode, then decode the ids,
-    in one pass; ids go as little-endian 32-bit integers into the digest."""
+def bpe_encoded(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
+    """(key, n_tokens, ids array<int> or ids_sha256, decoded_sha256) of every
+    row: encode, then decode the ids, in one pass. Ids go as little-endian
+    32-bit integers into their digest."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         for part in text_parts(batches, text):
             ids, counts = enc.encode(texts(part, text))
             ends = np.cumsum(counts)
-            digests, decoded = [], []
-            for a, b in zip(ends - counts, ends, strict=True):
-                own = ids[a:b]
-                digests.append(hashlib.sha256(own.astype("<u4").tobytes()).hexdigest())
-                decoded.append(hashlib.sha256(enc.decode(own)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(counts, pa.int64()), pa.array(digests), pa.array(decoded)],
-                ["key", "n_tokens", "ids_sha256", "decoded_sha256"])
+            own = [ids[a:b] for a, b in zip(ends - counts, ends, strict=True)]
+            decoded = pa.array([hashlib.sha256(enc.decode(x)).hexdigest() for x in own], pa.string())
+            if with_ids:
+                col = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), pa.array(ids.astype(np.int32)))
+            else:
+                col = pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in own], pa.string())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64()), col, decoded], ["key", "n_tokens", "ids", "decoded_sha256"])
     src = only(docs, key, text)
-    return src.mapInArrow(run, f"key {src.schema[key].dataType.simpleString()}, n_tokens long, "
-                               "ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)
+    kind = src.schema[key].dataType.simpleString()
+    out = src.mapInArrow(run, f"key {kind}, n_tokens long, ids {'array<int>' if with_ids else 'string'}, decoded_sha256 string")
+    return out.withColumnsRenamed({"key": key, "ids": "ids" if with_ids else "ids_sha256"})

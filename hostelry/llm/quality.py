@@ -238,19 +238,34 @@ def calibrate(scored: DataFrame, max_good_loss: float = MAX_GOOD_LOSS) -> float
     return float(useful["step"].min()) / SCORE_STEPS if len(useful) else None
 
 
-def quality_rules(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, ``STATS``, base_failed, score, kept) of every row."""
-    stats = materialize(rule_statistics(docs, key, text).withColumnRenamed(key, "doc_id"), "rule-statistics")
+def fit_rules(stats: DataFrame, labels: DataFrame) -> tuple[RuleForest | None, float | None]:
+    """Forest and threshold from the statistics (doc_id, ``STATS``) of labelled rows."""
     known = only(labels, "doc_id", "quality").filter("doc_id is not null and quality is not null")
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    labelled = stats.join(known, "doc_id").filter(~base_failed())
-    labelled = materialize(labelled, "labelled-statistics")
+    labelled = materialize(stats.join(known, "doc_id").filter(~base_failed()), "labelled-statistics")
     forest = fit_forest(labelled)
-    if forest is None:
-        scored, threshold = stats.withColumn("score", F.lit(0.0)), None
-    else:
-        scored = score(stats, forest)
-        threshold = calibrate(score(labelled, forest))
+    return forest, calibrate(score(labelled, forest)) if forest else None
+
+
+def quality_rules(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, ``STATS``, base_failed, score, kept) of every row."""
+    stats = materialize(rule_statistics(docs, key, text).withColumnRenamed(key, "doc_id"), "rule-statistics")
+    forest, threshold = fit_rules(stats, labels)
+    scored = score(stats, forest) if forest else stats.withColumn("score", F.lit(0.0))
     odd = F.lit(False) if threshold is None else F.col("score") >= threshold
     return (scored.withColumn("base_failed", base_failed())
             .withColumn("kept", ~F.col("base_failed") & ~odd).withColumnRenamed("doc_id", key))
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, unchanged. They are
+    measured again where they are, which moves no text between executors."""
+    forest, threshold = fit_rules(rule_statistics(docs, key, text).withColumnRenamed(key, "doc_id"), labels)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, raw in text_chunks(batches, text):
+            stats = pd.DataFrame(np.array([measure(x) for x in raw], np.int64).reshape(-1, len(STATS)), columns=list(STATS))
+            failed = (stats["n_words"] < MIN_WORDS) | (100 * stats["n_repeat_words"] > MAX_REPEAT_PERCENT * stats["n_words"])
+            odd = forest.scores(stats) >= threshold if threshold is not None else np.zeros(len(stats), bool)
+            yield part.filter(pa.array(~failed.to_numpy() & ~odd))
+    return docs.mapInArrow(run, docs.schema)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from hostelry.llm import bpe, jaccard, language, mixing, quality, search, substrings, token_counts, token_files, warc
 from hostelry.llm.common import documents, ship
 
@@ -23,11 +24,11 @@ def op2_search_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.bpe_round_trip(documents(ship(spark), sf_dir), _tokenizer())
+    return bpe.bpe_encoded(documents(ship(spark), sf_dir), _tokenizer(), with_ids=False)
 
 
 def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spark.read.parquet(f"{ship(spark) and sf_dir}/pages.parquet")
+    pages = ship(spark).read.parquet(f"{sf_dir}/pages.parquet")
     return warc.warc_round_trip(pages).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
@@ -37,8 +38,7 @@ def op5_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.quality_rules(documents(ship(spark), sf_dir), labels)
+    return quality.quality_rules(documents(ship(spark), sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +57,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(documents(ship(spark), sf_dir), _tokenizer())
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_search_top_k, op3_bpe_round_trip, op4_warc_archives, op5_jaccard_components, op6_quality_rules, op7_token_counts, op8_mix_sources,
+QUERIES = {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_substring_dedup, op2_search_top_k, op3_bpe_round_trip, op4_warc_archives, op5_jaccard_components, op6_quality_rules, op7_token_counts, op8_mix_sources,
                                    op9_language_id, op10_token_files)}
 
 OP2_SQL = r"""

@@ -66,18 +66,16 @@ def window_anchors(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -
 
 
 def row_facts(docs: DataFrame) -> DataFrame:
-    """(key, class, n_words, sha: SHA-256 of the words joined by a space)."""
+    """(key, class, sha: SHA-256 of the words joined by a space, n_words)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, raw in text_chunks(batches):
             rows = []
             for x in raw:
                 words = x.split()
-                joined = b" ".join(words)
-                rows.append((class_of(words), len(words), hashlib.sha256(joined).hexdigest()))
-            cols = [[r[i] for r in rows] for i in range(3)]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string())],
-                                             ["key", "class", "n_words", "sha"])
-    return docs.mapInArrow(run, "key long, class long, n_words long, sha string")
+                rows.append((class_of(words), hashlib.sha256(b" ".join(words)).digest(), len(words)))
+            yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.binary(), pa.int64()))]],
+                                             ["key", "class", "sha", "n_words"])
+    return docs.mapInArrow(run, "key long, class long, sha binary, n_words long")
 
 
 def anchors(docs: DataFrame, window: int) -> DataFrame:
@@ -245,55 +243,87 @@ def covered(starts: np.ndarray, n_words: int, window: int) -> np.ndarray:
     return np.cumsum(edge[:-1]) > 0
 
 
-def without_spans(near: DataFrame, window: int) -> DataFrame:
-    """(key, class, kept: words left, joined by a space; n_removed) of rows
-    (key, text, class, nth, marks: arrays of window starts)."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, raw in text_chunks(batches):
-            rows = []
-            for key, x, c, nth, marks in zip(part.column(0).to_pylist(), raw, part.column(2).to_pylist(), part.column(3).to_pylist(), part.column(4).to_pylist(), strict=True):
-                words = x.split()
-                if class_of(words) != c:
-                    continue
-                starts = np.frombuffer(b"".join(marks), np.int64)
-                gone = covered(starts[starts // TEXT_STRIDE == nth] % TEXT_STRIDE, len(words), window)
-                rows.append((key, c, b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]).decode(), int(gone.sum())))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.string(), pa.int64()))],
-                                             ["key", "class", "kept", "n_removed"])
-    return near.select("key", "text", "class", "nth", "marks").mapInArrow(run, "key long, class long, kept string, n_removed long")
-
-
-def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW, with_text: bool = False) -> DataFrame:
-    """(key, n_words, n_removed, kept_sha256) of every row; with_text adds
-    kept: the words left, or null where none goes."""
-    spark = docs.sparkSession
-    buckets = partitions(spark)
-    src = only(docs, key, text).toDF("key", "text").withColumn("key", F.col("key").cast("long"))
-    rows = materialize(row_facts(src), "substring-rows")
-    long = rows.filter(F.col("key").isNotNull() & (F.col("n_words") >= window))
-    classes = long.groupBy("class", "sha").agg(F.min("key").alias("first"))
+def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(key, found: array of (class, nth, copy, marks)): for each key with a text
+    that loses words, its texts by class; copy: all words go, else marks holds
+    the starts of the windows that go. docs: (key, text)."""
+    buckets = partitions(docs.sparkSession)
+    rows = materialize(row_facts(docs.filter("key is not null")).filter(F.col("n_words") >= window).select("key", "class", "sha"), "substring-rows")
+    classes = rows.groupBy("class", "sha").agg(F.min("key").alias("first"))
     # anchors that two classes have
-    found = anchors(src, window)
+    found = anchors(docs, window)
     shared = found.groupBy("anchor").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo < hi").select("anchor")
     near = found.join(shared, "anchor").groupBy("class").agg(F.collect_set("anchor").alias("shared"))
     # several texts of one key are told apart by their number
-    numbered = classes.select("class", F.col("first").alias("key"), (F.row_number().over(Window.partitionBy("first").orderBy("class")) - 1).alias("nth"))
-    near = near.join(numbered, "class")
-    runs = materialize(stretches(src.join(near, "key"), window), "substring-stretches")
-    marks = materialize(repeated_windows(runs, window, buckets), "substring-marks")
-    # back to the texts, one of each class
-    marked = marks.groupBy("key").agg(F.collect_list("starts").alias("marks"))
-    marked = marked.join(numbered, "key")
-    cut = without_spans(src.join(marked, "key"), window)
-    if not with_text:
-        cut = cut.withColumn("kept", F.sha2(F.col("kept").cast("binary"), 256))
-    cut = materialize(cut.dropDuplicates(["key", "class"]), "substring-cut")
-    out = (rows.join(classes, ["class", "sha"], "left")
-           .join(cut.select("class", F.col("key").alias("first"), "kept", "n_removed"), ["class", "first"], "left"))
-    copy = F.col("key") > F.col("first")
-    nothing = hashlib.sha256(b"").hexdigest()
-    n_removed = F.when(copy, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long")
-    own_sha = F.sha2(F.col("kept").cast("binary"), 256) if with_text else F.col("kept")
-    sha = F.when(copy, F.lit(nothing)).when(F.col("key").eqNullSafe(F.col("first")), F.coalesce(own_sha, F.col("sha"))).otherwise(F.col("sha"))
-    kept = [F.when(copy, F.lit("")).otherwise(F.when(F.col("key").eqNullSafe(F.col("first")), F.col("kept"))).alias("kept")] if with_text else []
-    return out.select(F.col("key").alias(key), "n_words", n_removed.alias("n_removed"), sha.alias("kept_sha256"), *kept)
+    nth = (F.row_number().over(Window.partitionBy("first").orderBy("class")) - 1).alias("nth")
+    numbered = materialize(classes.select("class", F.col("first").alias("key"), nth), "substring-classes")
+    runs = materialize(stretches(docs.join(near.join(numbered, "class"), "key"), window), "substring-stretches")
+    marks = repeated_windows(runs, window, buckets).groupBy("key").agg(F.collect_list("starts").alias("marks"))
+    marked = marks.join(numbered, "key").select("key", "class", "nth", F.lit(False).alias("copy"), "marks")
+    copies = rows.join(classes, ["class", "sha"]).filter(F.col("key") > F.col("first")).select("key", "class").distinct()
+    copies = copies.select("key", "class", F.lit(0).alias("nth"), F.lit(True).alias("copy"), F.lit(None).cast("array<binary>").alias("marks"))
+    every = marked.unionAll(copies)
+    return materialize(every.groupBy("key").agg(F.collect_list(F.struct("class", "nth", "copy", "marks")).alias("found")), "substring-removals")
+
+
+def kept_words(raw: bytes, found: list[dict] | None, window: int) -> tuple[list[bytes], int]:
+    """The words that a text keeps, and how many it had."""
+    words = raw.split()
+    own = class_of(words) if found else None
+    for text in found or ():
+        if text["class"] == own:
+            if text["copy"]:
+                return [], len(words)
+            starts = np.frombuffer(b"".join(text["marks"]), np.int64)
+            gone = covered(starts[starts // TEXT_STRIDE == text["nth"]] % TEXT_STRIDE, len(words), window)
+            return [w for w, g in zip(words, gone.tolist(), strict=True) if not g], len(words)
+    return words, len(words)
+
+
+def with_removals(docs: DataFrame, key: str, text: str, window: int) -> tuple[DataFrame, str]:
+    """``docs`` with what ``removals`` found in a further column, and its name."""
+    src = only(docs, key, text).toDF("key", "text").withColumn("key", F.col("key").cast("long"))
+    gone = removals(src, window)
+    name = next(n for n in ("found", *(f"found_{i}" for i in range(len(docs.columns) + 1))) if n not in docs.columns)
+    gone = gone.select(F.col("key").alias("__key"), F.col("found").alias(name))
+    return docs.join(gone, F.col(f"`{key}`").cast("long") == F.col("__key"), "left").drop("__key"), name
+
+
+def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """(key, n_words, n_removed, kept_sha256) of every row."""
+    joined, found = with_removals(only(docs, key, text), key, text, window)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, raw in text_chunks(batches, text):
+            rows = []
+            for x, f in zip(raw, part.column(2), strict=True):
+                kept, n = kept_words(x, f.as_py(), window)
+                rows.append((n, n - len(kept), hashlib.sha256(b" ".join(kept)).hexdigest()))
+            yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.string()))]],
+                                             ["key", "n_words", "n_removed", "kept_sha256"])
+    kind = docs.schema[key].dataType.simpleString()
+    out = joined.select(key, text, found).mapInArrow(run, f"key {kind}, n_words long, n_removed long, kept_sha256 string")
+    return out.withColumnRenamed("key", key)
+
+
+def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """``docs`` with the words left, joined by a space, as text where some go;
+    other texts unchanged, and rows that lose all their words dropped."""
+    columns, schema = docs.columns, docs.schema
+    at = columns.index(text)
+    joined, found = with_removals(docs, key, text, window)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, raw in text_chunks(batches, text):
+            old, new, stay = part.column(at).to_pylist(), [], []
+            for x, f, was in zip(raw, part.column(len(columns)), old, strict=True):
+                if f.is_valid:
+                    kept, n = kept_words(x, f.as_py(), window)
+                    was = b" ".join(kept).decode() if len(kept) < n else was
+                    stay.append(bool(kept) or not n)
+                else:
+                    stay.append(True)
+                new.append(was)
+            out = part.set_column(at, part.schema.field(at), pa.array(new, part.column(at).type)).select(range(len(columns)))
+            yield out.filter(pa.array(stay, pa.bool_()))
+    return joined.select(*[f"`{c}`" for c in columns], found).mapInArrow(run, schema)
