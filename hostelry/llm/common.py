@@ -128,7 +128,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     from the files when an executor is lost, and the plan does not grow."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

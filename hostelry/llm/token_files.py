@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from hostelry.llm import files
 from hostelry.llm.bpe import encoder
-from hostelry.llm.common import materialize, only, scratch, text_parts, texts
+from hostelry.llm.common import materialize, only, partitions, scratch, text_parts, texts
 
 MAGIC = b"RANKSVB1"
 #: Values of a block: bounds what a reader holds.
@@ -215,7 +215,8 @@ def read_token_files(manifest: DataFrame, key: str = "doc_id") -> DataFrame:
                     start += len(ids)
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["key", "start", "n_tokens", "ids_crc32"])
-    one_each = manifest.select("uri", "start").repartition(F.col("uri"))
+    # a number given keeps these small rows, each a whole file of work, in partitions of their own
+    one_each = manifest.select("uri", "start").repartition(partitions(manifest.sparkSession), "uri")
     return one_each.mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long").withColumnRenamed("key", key)
 
 

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hostelry.llm import files
-from hostelry.llm.common import materialize, only, scratch, text_chunks
+from hostelry.llm.common import materialize, only, partitions, scratch, text_chunks
 
 MIN_REVISIT = 100
 #: An archive is closed once its records take this many bytes.
@@ -269,7 +269,8 @@ def read_warc(manifest: DataFrame) -> DataFrame:
                         yield batch(rows)
                         rows = []
                 yield batch(rows)
-    return manifest.select("uri").repartition(F.col("uri")).mapInArrow(
+    # a number given keeps these small rows, each a whole archive of work, in partitions of their own
+    return manifest.select("uri").repartition(partitions(manifest.sparkSession), "uri").mapInArrow(
         run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
