@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from hostelry.llm.common import only, text_parts, texts
 
 #: Fragments remembered by a worker before it starts anew.
-FRAGMENT_CACHE = 700_000
+FRAGMENT_CACHE = 1_000_000
 #: Fragments given to the library in one string.
 TOGETHER = 64
 #: Fixed value: the pattern by which byte-level BPE splits text before the merges.

@@ -81,9 +81,10 @@ class TokenFileWriter:
         self.pending: list[np.ndarray] = []
         self.held = 0
 
-    def add(self, key: int | None, ids: np.ndarray) -> None:
-        self.keys.append(key)
-        self.counts.append(len(ids))
+    def add(self, keys: list[int | None], counts: list[int], ids: np.ndarray) -> None:
+        """Documents in order, their ids one after the other."""
+        self.keys += keys
+        self.counts += counts
         self.pending.append(ids)
         self.held += len(ids)
         if self.held >= BLOCK:
@@ -144,6 +145,18 @@ def read_token_file(uri: str) -> Iterator[tuple[int | None, np.ndarray]]:
             held = held[need:]
 
 
+def flat_ids(column: pa.Array, widths: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Runs of rows with ids of one width: their rows, ids and counts."""
+    width = widths.to_numpy()
+    cuts = [0, *(np.flatnonzero(np.diff(width)) + 1).tolist(), len(width)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            part = column.slice(a, b - a)
+            ends = np.frombuffer(part.buffers()[1], np.int32)[part.offset:part.offset + b - a + 1].astype(np.int64)
+            raw = np.frombuffer(part.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+            yield slice(a, b), raw.view(f"<u{width[a]}") if len(raw) else np.empty(0, np.uint32), np.diff(ends) // width[a]
+
+
 def encoded_ids(docs: DataFrame, path: str, end_id: int, key: str, text: str) -> DataFrame:
     """(key, ids: bytes of little-endian ids as narrow as the vocabulary allows, wide: their width)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,8 +177,7 @@ def id_frequencies(encoded: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for b in batches:
-            for width in set(b.column(1).to_pylist()):
-                ids = np.frombuffer(b"".join(x for x, w in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if w == width), f"<u{width}")
+            for _, ids, _ in flat_ids(b.column(0), b.column(1)):
                 got = np.bincount(ids, minlength=len(total))
                 got[:len(total)] += total
                 total = got
@@ -189,8 +201,9 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 0,
             if writer is None and len(b):
                 uri = f"{folder}/part-{part:06d}-{uuid.uuid4().hex[:12]}.ids"
                 writer = TokenFileWriter(uri, ids_by_rank)
-            for k, ids, width in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), strict=True):
-                writer.add(k, np.frombuffer(ids.as_buffer(), f"<u{width}"))
+            keys = b.column(0).to_pylist()
+            for rows, ids, counts in flat_ids(b.column(1), b.column(2)):
+                writer.add(keys[rows], counts.tolist(), ids)
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_arrays(
