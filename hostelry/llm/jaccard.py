@@ -7,8 +7,8 @@ whole sequence if it has fewer words). Two documents link when
 1. Documents with equal sets are one class; the smallest key stands for it.
 2. Prefix filter: in any fixed order of all tokens, two linked sets share a token
    among the first size - ceil(0.8 * size) + 1 of each. The order puts tokens
-   that a sample shows to be frequent last; the sample serves for speed alone,
-   any order finds all links. Prefix tokens are dealt to buckets by hash, in
+   found to be frequent last; that serves for speed alone, any order finds all
+   links. Prefix tokens are dealt to buckets by hash, in
    which those of two or more classes are found; what one batch holds several
    times is sent once.
 3. Stars: every class is compared with the smallest class of each token it
@@ -47,8 +47,8 @@ from hostelry.llm.common import hash_words, materialize, mix, ngram_hashes, only
 from hostelry.llm.components import connected_components
 
 N, PERCENT = 5, 80
-#: One document in so many is counted for the order of tokens; this many tokens at most are put last.
-ORDER_SAMPLE, ORDER_TOKENS = 16, 200_000
+#: This many tokens at most are put last in the common order.
+ORDER_TOKENS = 200_000
 #: Members of a group at most.
 GROUP = 64
 #: Rows of candidate pairs compared at once.
@@ -90,27 +90,27 @@ def identity(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def set_rows(docs: DataFrame) -> DataFrame:
-    """(key, fp, fp2, size) of each row of (key, text)."""
+    """(key, fp, fp2, size, often) of each row of (key, text). often: on one row
+    of each batch, the tokens that several of its sets have, else null."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, raw in text_chunks(batches):
-            rows = [(*identity(s), len(s)) for s in map(shingles, raw)]
+            sets = list(map(shingles, raw))
+            rows = [(*identity(s), len(s)) for s in sets]
+            distinct = {r: s for r, s in zip(rows, sets, strict=True)}
+            tokens, counts = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
+            often = [signed(tokens[counts > 1])] + [None] * (len(rows) - 1)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), *[pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]], ["key", "fp", "fp2", "size"])
-    return docs.mapInArrow(run, "key long, fp long, fp2 long, size long")
+                [part.column(0), *[pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], pa.array(often, pa.list_(pa.int64()))],
+                ["key", "fp", "fp2", "size", "often"])
+    return docs.mapInArrow(run, "key long, fp long, fp2 long, size long, often array<long>")
 
 
-def frequent_tokens(docs: DataFrame) -> np.ndarray:
-    """Sorted tokens to put last: the most frequent of a sample, at most
-    ``ORDER_TOKENS``. Only the speed depends on them."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, raw in text_chunks(batches):
-            distinct = {s.tobytes(): s for s in map(shingles, raw)}
-            tokens, counts = np.unique(np.concatenate([np.empty(0, np.uint64), *distinct.values()]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(tokens)), pa.array(counts, pa.int64())], ["token", "n"])
-    sample = docs.filter(F.pmod(F.xxhash64("key"), F.lit(ORDER_SAMPLE)) == 0)
-    counts = sample.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter("n > 1")
-    rows = counts.orderBy(F.desc("n"), "token").limit(ORDER_TOKENS).select("token").toPandas()["token"]
-    return np.sort(rows.to_numpy(np.int64).view(np.uint64))
+def frequent_tokens(rows: DataFrame) -> np.ndarray:
+    """Sorted tokens to put last: those that most batches hold several times, at
+    most ``ORDER_TOKENS``. Only the speed depends on them."""
+    often = rows.filter("often is not null").select(F.explode("often").alias("token"))
+    top = often.groupBy("token").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "token").limit(ORDER_TOKENS)
+    return np.sort(top.select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
 
 
 def shared_prefix_tokens(docs: DataFrame, late: np.ndarray, buckets: int) -> DataFrame:
@@ -232,17 +232,19 @@ def make_groups(members: DataFrame) -> DataFrame:
     return gathered.mapInArrow(run, "g long, union binary, low long, high long")
 
 
-def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
+def links(docs: DataFrame, classes: DataFrame, late: np.ndarray) -> DataFrame:
     """(a, b) of classes (their fp): enough links for all components. docs:
-    (key, text); classes: (fp, class_id: smallest key, size) of non-empty sets."""
+    (key, text); classes: (fp, class_id: smallest key, size, n: rows of that
+    key) of non-empty sets; late: tokens to put last."""
     buckets = partitions(docs.sparkSession)
-    late = frequent_tokens(docs)
     shared = shared_prefix_tokens(docs, late, buckets)
-    shared = materialize(shared.join(classes, "fp").select("token", "fp", "class_id", "size"), "jaccard-shared")
+    shared = materialize(shared.join(classes, "fp").select("token", "fp", "class_id", "size", "n"), "jaccard-shared")
     # sets of the classes that share a prefix token with another, each from one of its texts
-    near = materialize(shared.select("fp", F.col("class_id").alias("key")).distinct(), "jaccard-near")
-    sets = token_sets(docs.join(near, "key", "left_semi")).join(near, "fp", "left_semi").dropDuplicates(["fp"])
-    sets = materialize(sets, "jaccard-sets")
+    near = materialize(shared.select("fp", F.col("class_id").alias("key"), "n").distinct(), "jaccard-near")
+    texts = docs.join(near.select("key", "n").distinct(), "key")
+    once = token_sets(texts.filter("n = 1").select("key", "text"))
+    repeated = token_sets(texts.filter("n > 1").select("key", "text")).join(near, "fp", "left_semi").dropDuplicates(["fp"])
+    sets = materialize(once.unionAll(repeated), "jaccard-sets")
 
     def with_sets(pairs: DataFrame) -> DataFrame:
         one = pairs.join(sets.select(F.col("fp").alias("a"), F.col("tokens").alias("tokens_a")), "a")
@@ -269,7 +271,8 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
              .agg(F.min("size").alias("low"), F.max("size").alias("high")))
     asked = (open_.select("token", F.col("fp").alias("a"), F.col("root").alias("root_a"), "size").join(cells, "token")
              .filter(F.col("root_a") != F.col("root")).filter(sizes_allow("size", "low", "high")).select("a", "g").distinct())
-    asked = asked.join(matrix, "g").join(sets.select(F.col("fp").alias("a"), F.col("tokens").alias("tokens_a")), "a")
+    # the unions come last: they are read where they lie, once for each class that asks, and move once a group
+    asked = asked.join(sets.select(F.col("fp").alias("a"), F.col("tokens").alias("tokens_a")), "a").join(matrix, "g")
     opened = materialize(passing(asked), "jaccard-opened")
     inside = seat.select("g", F.col("fp").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"))
     own = seat.select(F.col("fp").alias("a"), F.col("root").alias("root_a"), F.col("size").alias("size_a"))
@@ -296,8 +299,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     src = only(docs, key, text).toDF("key", "text").withColumn("key", F.col("key").cast("long"))
     rows = materialize(set_rows(src), "jaccard-rows")
     classes = rows.filter("size > 0").groupBy("fp", "fp2").agg(F.min("key").alias("class_id"), F.first("size").alias("size"))
-    classes = materialize(classes, "jaccard-classes")
-    found = links(src, classes.filter("class_id is not null").select("fp", "class_id", "size"))
+    times = rows.groupBy(F.col("key").alias("class_id")).agg(F.count(F.lit(1)).alias("n"))
+    classes = materialize(classes.join(times, "class_id", "left"), "jaccard-classes")
+    found = links(src, classes.filter("class_id is not null").select("fp", "class_id", "size", "n"), frequent_tokens(rows))
     roots = connected_components(materialize(found, "jaccard-links")).withColumnRenamed("node", "fp")
     rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     component = rooted.groupBy("root").agg(F.min("class_id").alias("component"))
