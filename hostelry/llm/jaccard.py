@@ -11,8 +11,8 @@ whole sequence if it has fewer words). Two documents link when
    links. Prefix tokens are dealt to buckets by hash, in
    which those of two or more classes are found; what one batch holds several
    times is sent once.
-3. Stars: every class is compared with the smallest class of each token it
-   shares. Linked ones are in one component; a large group of near copies is
+3. Stars: every class is compared with the smallest class of tokens it shares,
+   if it shares enough of them. Linked ones are in one component; a large group of near copies is
    settled here with one comparison a copy and no pairs.
 4. Groups: classes are partitioned into groups of similar documents (those that
    share a smallest token), of at most ``GROUP`` members; a group keeps the
@@ -49,10 +49,10 @@ from hostelry.llm.components import connected_components
 N, PERCENT = 5, 80
 #: This many tokens at most are put last in the common order.
 ORDER_TOKENS = 200_000
+#: All early tokens (those not put last) up to this hash, a fifth of them, are sent.
+LIMIT = np.uint64((1 << 64) // 5)
 #: Members of a group at most.
 GROUP = 64
-#: Rows of candidate pairs compared at once.
-_ROWS = 2_000
 
 
 def shingles(raw: bytes, n: int = N) -> np.ndarray:
@@ -70,17 +70,21 @@ def needed(size_a, size_b):
     return -(-(PERCENT * (size_a + size_b)) // (100 + PERCENT))
 
 
-def prefix(tokens: np.ndarray, late: np.ndarray) -> np.ndarray:
-    """The first tokens, in the common order, of which a linked set shares one.
-    late: sorted tokens that come last."""
+def prefix(tokens: np.ndarray, late: np.ndarray) -> tuple[np.ndarray, int]:
+    """The first tokens, in the common order, of which a linked set shares one,
+    and all other early tokens up to ``LIMIT``; and how many tokens are not early
+    ones up to ``LIMIT``. late: sorted tokens that come last."""
     size = len(tokens)
     count = size - -(-PERCENT * size // 100) + 1
-    if not len(late):
-        return tokens[:count]
-    at = np.minimum(np.searchsorted(late, tokens), len(late) - 1)
-    is_late = late[at] == tokens
+    is_late = np.zeros(size, bool)
+    if len(late) and size:
+        is_late = late[np.minimum(np.searchsorted(late, tokens), len(late) - 1)] == tokens
     early = tokens[~is_late]
-    return early[:count] if len(early) >= count else np.concatenate([early, tokens[is_late][:count - len(early)]])
+    under = int(np.searchsorted(early, LIMIT, "right"))
+    head = early[:max(count, under)]
+    if len(head) < count:
+        head = np.concatenate([head, tokens[is_late][:count - len(head)]])
+    return head, size - under
 
 
 def identity(tokens: np.ndarray) -> tuple[int, int]:
@@ -114,11 +118,13 @@ def frequent_tokens(rows: DataFrame) -> np.ndarray:
 
 
 def shared_prefix_tokens(docs: DataFrame, late: np.ndarray, buckets: int) -> DataFrame:
-    """(token, fp) of prefix tokens that two or more sets have, once each."""
+    """(token, fp, rest) of prefix tokens that two or more sets have; and for
+    every set a row without token that has its rest: its size less its early
+    tokens up to ``LIMIT``."""
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows(found: list[tuple[int, bytes, bytes, bool]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], k) for i, k in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.bool_()))],
-                                              ["bucket", "tokens", "fps", "shared"])
+        def rows(found: list[tuple[int, bytes, bytes, str]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], k) for i, k in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.string()))],
+                                              ["bucket", "tokens", "fps", "kind"])
         for _, raw in text_chunks(batches):
             distinct = {}
             for s in map(shingles, raw):
@@ -127,8 +133,10 @@ def shared_prefix_tokens(docs: DataFrame, late: np.ndarray, buckets: int) -> Dat
             if not distinct:
                 continue
             heads = [prefix(s, late) for s in distinct.values()]
-            tokens = np.concatenate(heads)
-            fps = np.repeat(np.fromiter(distinct, np.int64, len(distinct)), [len(h) for h in heads])
+            tokens = np.concatenate([h for h, _ in heads])
+            own = np.fromiter(distinct, np.int64, len(distinct))
+            fps = np.repeat(own, [len(h) for h, _ in heads])
+            yield rows([(int(own[0] % buckets), np.array([r for _, r in heads], np.int64).tobytes(), own.tobytes(), "rest")])
             order = np.argsort(tokens, kind="stable")
             tokens, fps = tokens[order], fps[order]
             first = np.ones(len(tokens), bool)
@@ -136,26 +144,32 @@ def shared_prefix_tokens(docs: DataFrame, late: np.ndarray, buckets: int) -> Dat
             several = ~first
             several[:-1] |= ~first[1:]
             # what is shared within the batch is known; its first row goes on to meet other batches
-            yield rows([(0, tokens[several].tobytes(), fps[several].tobytes(), True)])
+            if several.any():
+                yield rows([(int(fps[0] % buckets), tokens[several].tobytes(), fps[several].tobytes(), "shared")])
             one_t, one_f = tokens[first], fps[first]
             to = (mix(one_t) % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(to, kind="stable")
             cuts = np.searchsorted(to[by], np.arange(buckets + 1))
-            yield rows([(b, one_t[by[x:y]].tobytes(), one_f[by[x:y]].tobytes(), False)
+            yield rows([(b, one_t[by[x:y]].tobytes(), one_f[by[x:y]].tobytes(), "alone")
                         for b, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if y > x])
 
-    def pairs(tokens: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for i in range(0, len(tokens), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(signed(tokens[i:i + 100_000])), pa.array(fps[i:i + 100_000])], ["token", "fp"])
-
-    def within(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for t, f in zip(b.column(0), b.column(1), strict=True):
-                yield from pairs(np.frombuffer(t.as_buffer(), np.uint64), np.frombuffer(f.as_buffer(), np.int64))
+    def out(tokens: np.ndarray | None, fps: np.ndarray, rests: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(fps), 100_000):
+            n = len(fps[i:i + 100_000])
+            yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()) if tokens is None else pa.array(signed(tokens[i:i + n])), pa.array(fps[i:i + n]),
+                                              pa.nulls(n, pa.int64()) if rests is None else pa.array(rests[i:i + n])], ["token", "fp", "rest"])
 
     def across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(np.frombuffer(t.as_buffer(), np.uint64), np.frombuffer(f.as_buffer(), np.int64))
-                for b in batches for t, f in zip(b.column(0), b.column(1), strict=True)]
+        held = []
+        for b in batches:
+            for t, f, kind in zip(b.column(0), b.column(1), b.column(2).to_pylist(), strict=True):
+                fps = np.frombuffer(f.as_buffer(), np.int64)
+                if kind == "rest":
+                    yield from out(None, fps, np.frombuffer(t.as_buffer(), np.int64))
+                elif kind == "shared":
+                    yield from out(np.frombuffer(t.as_buffer(), np.uint64), fps)
+                else:
+                    held.append((np.frombuffer(t.as_buffer(), np.uint64), fps))
         if held:
             tokens, fps = (np.concatenate([h[i] for h in held]) for i in range(2))
             order = np.lexsort((fps, tokens))
@@ -167,11 +181,9 @@ def shared_prefix_tokens(docs: DataFrame, late: np.ndarray, buckets: int) -> Dat
             several = np.zeros(len(tokens), bool)
             several[1:] |= same
             several[:-1] |= same
-            yield from pairs(tokens[several], fps[several])
-    dealt = materialize(docs.mapInArrow(deal, "bucket int, tokens binary, fps binary, shared boolean"), "jaccard-prefix")
-    inner = dealt.filter("shared").select("tokens", "fps").mapInArrow(within, "token long, fp long")
-    outer = dealt.filter("not shared").repartition(buckets, "bucket").select("tokens", "fps").mapInArrow(across, "token long, fp long")
-    return inner.unionAll(outer).distinct()
+            yield from out(tokens[several], fps[several])
+    dealt = docs.mapInArrow(deal, "bucket int, tokens binary, fps binary, kind string").repartition(buckets, "bucket")
+    return dealt.select("tokens", "fps", "kind").mapInArrow(across, "token long, fp long, rest long").distinct()
 
 
 def token_sets(docs: DataFrame) -> DataFrame:
@@ -237,48 +249,86 @@ def links(docs: DataFrame, classes: DataFrame, late: np.ndarray) -> DataFrame:
     (key, text); classes: (fp, class_id: smallest key, size, n: rows of that
     key) of non-empty sets; late: tokens to put last."""
     buckets = partitions(docs.sparkSession)
-    shared = shared_prefix_tokens(docs, late, buckets)
-    shared = materialize(shared.join(classes, "fp").select("token", "fp", "class_id", "size", "n"), "jaccard-shared")
-    # sets of the classes that share a prefix token with another, each from one of its texts
-    near = materialize(shared.select("fp", F.col("class_id").alias("key"), "n").distinct(), "jaccard-near")
-    texts = docs.join(near.select("key", "n").distinct(), "key")
-    once = token_sets(texts.filter("n = 1").select("key", "text"))
-    repeated = token_sets(texts.filter("n > 1").select("key", "text")).join(near, "fp", "left_semi").dropDuplicates(["fp"])
-    sets = materialize(once.unionAll(repeated), "jaccard-sets")
-
-    def with_sets(pairs: DataFrame) -> DataFrame:
+    sent = materialize(shared_prefix_tokens(docs, late, buckets), "jaccard-sent")
+    rests = sent.filter("token is null").select("fp", "rest")
+    shared = sent.filter("token is not null").select("token", "fp").join(classes.join(rests, "fp"), "fp")
+    shared = materialize(shared.select("token", "fp", "class_id", "size", "rest", (F.col("token").between(0, int(LIMIT))).cast("long").alias("low_hash")), "jaccard-shared")
+    def sets_of(some: DataFrame, name: str) -> DataFrame:
+        """(fp, tokens) of the classes in column fp, each from one of its texts."""
+        near = some.select("fp").distinct().join(classes, "fp").select("fp", F.col("class_id").alias("key"), "n")
+        near = materialize(near, f"{name}-classes")
+        texts = docs.join(near.select("key", "n").distinct(), "key")
+        once = token_sets(texts.filter("n = 1").select("key", "text"))
+        repeated = token_sets(texts.filter("n > 1").select("key", "text")).join(near, "fp", "left_semi").dropDuplicates(["fp"])
+        return materialize(once.unionAll(repeated), name)
+
+    def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         one = pairs.join(sets.select(F.col("fp").alias("a"), F.col("tokens").alias("tokens_a")), "a")
-        return one.join(sets.select(F.col("fp").alias("b"), F.col("tokens").alias("tokens_b")), "b")
+        return linked(one.join(sets.select(F.col("fp").alias("b"), F.col("tokens").alias("tokens_b")), "b"))
 
-    def sizes_allow(one: str, low: str, high: str):
-        return F.expr(f"100 * {one} >= {PERCENT} * {low} and 100 * {high} >= {PERCENT} * {one}")
+    def both(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array(*[c for c in pairs.columns if c in ("a", "b")])).alias("fp"))
     # stars around the class with the smallest key of each token
-    first = shared.groupBy("token").agg(F.min(F.struct("class_id", "fp", "size")).alias("lead"))
-    stars = (shared.join(first, "token").filter("fp <> lead.fp").filter(sizes_allow("size", "lead.size", "lead.size"))
-             .select(F.col("fp").alias("a"), F.col("lead.fp").alias("b")).distinct())
-    found = materialize(linked(with_sets(stars)), "jaccard-stars")
+    first = shared.groupBy("token").agg(F.min(F.struct("class_id", "fp", "size", "rest")).alias("lead"))
+    stars = (shared.join(first, "token").filter("fp <> lead.fp")
+             .groupBy(F.col("fp").alias("a"), F.col("lead.fp").alias("b"), "size", "rest", F.col("lead.size").alias("low"), F.col("lead.rest").alias("other_rest"))
+             .agg(F.sum("low_hash").alias("met"), F.count(F.lit(1)).alias("met_all")).withColumn("high", F.col("low")).filter(may_link()).select("a", "b"))
+    stars = materialize(stars, "jaccard-star-pairs")
+    found = materialize(compared(stars, sets_of(both(stars), "jaccard-star-sets")), "jaccard-stars")
     # tokens that classes of more than one component share so far
     roots = materialize(connected_components(found), "jaccard-roots")
     placed = shared.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
-    open_ = materialize(placed.join(mixed, "token"), "jaccard-open")
+    open_ = placed.join(mixed, "token").select("token", "fp", "size", "rest", "low_hash", "root")
     # groups of similar classes: those with the same smallest open token
+    open_ = materialize(open_, "jaccard-open")
     seat = open_.groupBy("fp").agg(F.min("token").alias("head"), F.min("size").alias("size"), F.min("root").alias("root"))
     seat = materialize(chunked(seat), "jaccard-seats")
-    matrix = materialize(make_groups(seat.join(sets, "fp").select("g", "tokens")), "jaccard-groups")
-    # the matrix by prefix token: a class asks the groups that have one of its prefix tokens
-    cells = (open_.join(seat.select("fp", "g"), "fp").groupBy("token", "g", "root")
-             .agg(F.min("size").alias("low"), F.max("size").alias("high")))
-    asked = (open_.select("token", F.col("fp").alias("a"), F.col("root").alias("root_a"), "size").join(cells, "token")
-             .filter(F.col("root_a") != F.col("root")).filter(sizes_allow("size", "low", "high")).select("a", "g").distinct())
+    open_ = materialize(open_.join(seat.select("fp", "g"), "fp"), "jaccard-seated")
+    # the matrix by prefix token: a class asks the other groups that have one of its prefix tokens
+    cells = open_.groupBy("token", "g").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.max("rest").alias("other_rest"),
+                                            F.min("root").alias("lo"), F.max("root").alias("hi"))
+    asking = open_.select("token", "low_hash", F.col("fp").alias("a"), F.col("root").alias("root_a"), "size", "rest", F.col("g").alias("own"))
+    asked = (asking.join(cells, "token").filter("own <> g and (lo <> root_a or hi <> root_a)").groupBy("a", "g", "size", "rest")
+             .agg(F.sum("low_hash").alias("met"), F.count(F.lit(1)).alias("met_all"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("other_rest").alias("other_rest"))
+             .filter(may_link()).select("a", "g"))
+    asked = materialize(asked, "jaccard-asked")
+    # inside a group, at most GROUP classes meet
+    other = open_.select("token", F.col("g").alias("own"), F.col("fp").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("low"), F.col("rest").alias("other_rest"))
+    inner = (asking.join(other, ["token", "own"]).filter("a > b and root_a <> root_b").groupBy("a", "b", "size", "rest", "low", "other_rest")
+             .agg(F.sum("low_hash").alias("met"), F.count(F.lit(1)).alias("met_all")).withColumn("high", F.col("low")).filter(may_link()).select("a", "b"))
+    inner = materialize(inner, "jaccard-inner")
+    members = seat.join(asked.select("g").distinct(), "g", "left_semi").select("fp", "g", "root", "size")
+    sets = sets_of(asked.select(F.col("a").alias("fp")).unionAll(members.select("fp")).unionAll(both(inner)), "jaccard-sets")
+    matrix = materialize(make_groups(members.join(sets, "fp").select("g", "tokens")), "jaccard-groups")
     # the unions come last: they are read where they lie, once for each class that asks, and move once a group
     asked = asked.join(sets.select(F.col("fp").alias("a"), F.col("tokens").alias("tokens_a")), "a").join(matrix, "g")
     opened = materialize(passing(asked), "jaccard-opened")
-    inside = seat.select("g", F.col("fp").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"))
+    inside = members.select("g", F.col("fp").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"))
     own = seat.select(F.col("fp").alias("a"), F.col("root").alias("root_a"), F.col("size").alias("size_a"))
-    rest = (opened.join(inside, "g").join(own, "a").filter("root_a <> root_b").filter(sizes_allow("size_a", "size_b", "size_b"))
-            .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    return found.unionAll(linked(with_sets(rest)))
+    rest = (opened.join(inside, "g").join(own, "a").filter("root_a <> root_b")
+            .filter(f"100 * least(size_a, size_b) >= {PERCENT} * greatest(size_a, size_b)")
+            .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    return found.unionAll(compared(rest.unionAll(inner).distinct(), sets))
+
+
+def may_link():
+    """Whether a class (size, rest) can link with one of others (sizes low to
+    high, largest other_rest) that it shares ``met`` tokens up to ``LIMIT`` with.
+    Two bounds hold. Of the early tokens up to LIMIT both have sent all, so at
+    most min(rest, other_rest) common tokens remain beside those met; the
+    smallest partner that the sizes allow needs the fewest. And of all tokens up
+    to the earlier end of the two prefixes both have sent all, ``met_all`` in
+    common; beyond it lie at most ceil(0.8 * larger size) - 1, which asks the
+    least at one end of the sizes allowed."""
+    small, large = f"greatest(low, ceil({PERCENT} * size / 100.0D))", f"least(high, floor(100 * size / {PERCENT}.0D))"
+
+    def want(s: str) -> str:
+        return f"ceil({PERCENT} * (size + {s}) / {100 + PERCENT}.0D)"
+
+    def beyond(s: str) -> str:
+        return f"({want(s)} - ceil({PERCENT} * greatest(size, {s}) / 100.0D) + 1)"
+    return F.expr(f"{small} <= {large} and {want(small)} <= met + least(rest, other_rest) and met_all >= least({beyond(small)}, {beyond(large)})")
 
 
 def chunked(seat: DataFrame) -> DataFrame:
