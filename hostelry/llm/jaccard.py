@@ -6,10 +6,10 @@ whole sequence if it has fewer words). Two documents link when
 
 1. Documents with equal sets are one class; the smallest key stands for it.
 2. Prefix filter: in any fixed order of all tokens, two linked sets share a token
-   among the first size - ceil(0.8 * size) + 1 of each. The order puts tokens
-   found to be frequent last; that serves for speed alone, any order finds all
-   links. Prefix tokens are dealt to buckets by hash, in
-   which those of two or more classes are found; what one batch holds several
+   among the first size - ceil(0.8 * size) + 1 of each. Every set sends its
+   tokens up to a fixed hash to buckets, which find out how many sets have each;
+   the rarest come first in the order. Most sets have enough tokens of their own
+   to be settled by that: they link with nothing. What one batch holds several
    times is sent once.
 3. Stars: every class is compared with the smallest class of tokens it shares,
    if it shares enough of them. Linked ones are in one component; a large group of near copies is
@@ -47,10 +47,8 @@ from hostelry.llm.common import hash_words, materialize, mix, ngram_hashes, only
 from hostelry.llm.components import connected_components
 
 N, PERCENT = 5, 80
-#: This many tokens at most are put last in the common order.
-ORDER_TOKENS = 200_000
-#: All early tokens (those not put last) up to this hash, a fifth of them, are sent.
-LIMIT = np.uint64((1 << 64) // 5)
+#: All tokens up to this hash, three in ten, are sent and put first in the common order.
+LIMIT = np.uint64((1 << 64) * 3 // 10)
 #: Members of a group at most.
 GROUP = 64
 
@@ -70,21 +68,16 @@ def needed(size_a, size_b):
     return -(-(PERCENT * (size_a + size_b)) // (100 + PERCENT))
 
 
-def prefix(tokens: np.ndarray, late: np.ndarray) -> tuple[np.ndarray, int]:
-    """The first tokens, in the common order, of which a linked set shares one,
-    and all other early tokens up to ``LIMIT``; and how many tokens are not early
-    ones up to ``LIMIT``. late: sorted tokens that come last."""
-    size = len(tokens)
-    count = size - -(-PERCENT * size // 100) + 1
-    is_late = np.zeros(size, bool)
-    if len(late) and size:
-        is_late = late[np.minimum(np.searchsorted(late, tokens), len(late) - 1)] == tokens
-    early = tokens[~is_late]
-    under = int(np.searchsorted(early, LIMIT, "right"))
-    head = early[:max(count, under)]
-    if len(head) < count:
-        head = np.concatenate([head, tokens[is_late][:count - len(head)]])
-    return head, size - under
+def prefix_size(size):
+    """Of the first this many tokens, in any common order, linked sets share one."""
+    return size - -(-PERCENT * size // 100) + 1
+
+
+def head(tokens: np.ndarray) -> tuple[np.ndarray, int]:
+    """The tokens that a set sends: those up to ``LIMIT``, and further ones by
+    hash if these do not fill its prefix; and how many are up to LIMIT."""
+    under = int(np.searchsorted(tokens, LIMIT, "right"))
+    return tokens[:max(under, prefix_size(len(tokens)))], under
 
 
 def identity(tokens: np.ndarray) -> tuple[int, int]:
@@ -94,33 +87,18 @@ def identity(tokens: np.ndarray) -> tuple[int, int]:
 
 
 def set_rows(docs: DataFrame) -> DataFrame:
-    """(key, fp, fp2, size, often) of each row of (key, text). often: on one row
-    of each batch, the tokens that several of its sets have, else null."""
+    """(key, fp, fp2, size) of each row of (key, text)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, raw in text_chunks(batches):
-            sets = list(map(shingles, raw))
-            rows = [(*identity(s), len(s)) for s in sets]
-            distinct = {r: s for r, s in zip(rows, sets, strict=True)}
-            tokens, counts = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
-            often = [signed(tokens[counts > 1])] + [None] * (len(rows) - 1)
+            rows = [(*identity(s), len(s)) for s in map(shingles, raw)]
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), *[pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], pa.array(often, pa.list_(pa.int64()))],
-                ["key", "fp", "fp2", "size", "often"])
-    return docs.mapInArrow(run, "key long, fp long, fp2 long, size long, often array<long>")
-
+                [part.column(0), *[pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]], ["key", "fp", "fp2", "size"])
+    return docs.mapInArrow(run, "key long, fp long, fp2 long, size long")
 
-def frequent_tokens(rows: DataFrame) -> np.ndarray:
-    """Sorted tokens to put last: those that most batches hold several times, at
-    most ``ORDER_TOKENS``. Only the speed depends on them."""
-    often = rows.filter("often is not null").select(F.explode("often").alias("token"))
-    top = often.groupBy("token").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "token").limit(ORDER_TOKENS)
-    return np.sort(top.select("token").toPandas()["token"].to_numpy(np.int64).view(np.uint64))
 
-
-def shared_prefix_tokens(docs: DataFrame, late: np.ndarray, buckets: int) -> DataFrame:
-    """(token, fp, rest) of prefix tokens that two or more sets have; and for
-    every set a row without token that has its rest: its size less its early
-    tokens up to ``LIMIT``."""
+def shared_tokens(docs: DataFrame, buckets: int) -> DataFrame:
+    """(token, fp, under) of sent tokens that two or more sets have; and for every
+    set a row without token that has the number of its tokens up to ``LIMIT``."""
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(found: list[tuple[int, bytes, bytes, str]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], k) for i, k in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.string()))],
@@ -132,11 +110,11 @@ def shared_prefix_tokens(docs: DataFrame, late: np.ndarray, buckets: int) -> Dat
                     distinct.setdefault(identity(s)[0], s)
             if not distinct:
                 continue
-            heads = [prefix(s, late) for s in distinct.values()]
+            heads = [head(s) for s in distinct.values()]
             tokens = np.concatenate([h for h, _ in heads])
             own = np.fromiter(distinct, np.int64, len(distinct))
             fps = np.repeat(own, [len(h) for h, _ in heads])
-            yield rows([(int(own[0] % buckets), np.array([r for _, r in heads], np.int64).tobytes(), own.tobytes(), "rest")])
+            yield rows([(int(own[0] % buckets), np.array([n for _, n in heads], np.int64).tobytes(), own.tobytes(), "under")])
             order = np.argsort(tokens, kind="stable")
             tokens, fps = tokens[order], fps[order]
             first = np.ones(len(tokens), bool)
@@ -153,18 +131,18 @@ def shared_prefix_tokens(docs: DataFrame, late: np.ndarray, buckets: int) -> Dat
             yield rows([(b, one_t[by[x:y]].tobytes(), one_f[by[x:y]].tobytes(), "alone")
                         for b, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)) if y > x])
 
-    def out(tokens: np.ndarray | None, fps: np.ndarray, rests: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    def out(tokens: np.ndarray | None, fps: np.ndarray, unders: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
         for i in range(0, len(fps), 100_000):
             n = len(fps[i:i + 100_000])
             yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()) if tokens is None else pa.array(signed(tokens[i:i + n])), pa.array(fps[i:i + n]),
-                                              pa.nulls(n, pa.int64()) if rests is None else pa.array(rests[i:i + n])], ["token", "fp", "rest"])
+                                              pa.nulls(n, pa.int64()) if unders is None else pa.array(unders[i:i + n])], ["token", "fp", "under"])
 
     def across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for b in batches:
             for t, f, kind in zip(b.column(0), b.column(1), b.column(2).to_pylist(), strict=True):
                 fps = np.frombuffer(f.as_buffer(), np.int64)
-                if kind == "rest":
+                if kind == "under":
                     yield from out(None, fps, np.frombuffer(t.as_buffer(), np.int64))
                 elif kind == "shared":
                     yield from out(np.frombuffer(t.as_buffer(), np.uint64), fps)
@@ -183,7 +161,7 @@ def shared_prefix_tokens(docs: DataFrame, late: np.ndarray, buckets: int) -> Dat
             several[:-1] |= same
             yield from out(tokens[several], fps[several])
     dealt = docs.mapInArrow(deal, "bucket int, tokens binary, fps binary, kind string").repartition(buckets, "bucket")
-    return dealt.select("tokens", "fps", "kind").mapInArrow(across, "token long, fp long, rest long").distinct()
+    return dealt.select("tokens", "fps", "kind").mapInArrow(across, "token long, fp long, under long").distinct()
 
 
 def token_sets(docs: DataFrame) -> DataFrame:
@@ -244,15 +222,33 @@ def make_groups(members: DataFrame) -> DataFrame:
     return gathered.mapInArrow(run, "g long, union binary, low long, high long")
 
 
-def links(docs: DataFrame, classes: DataFrame, late: np.ndarray) -> DataFrame:
+def candidate_tokens(sent: DataFrame, classes: DataFrame) -> DataFrame:
+    """(token, fp, class_id, size) of the shared tokens in the prefixes. Tokens
+    up to LIMIT come first in the common order, the rarest (by the number of sets
+    that have them) leading, so a set's own unshared ones open its prefix; tokens
+    beyond LIMIT follow by hash."""
+    shared = sent.filter("token is not null").select("token", "fp", F.col("token").between(0, int(LIMIT)).alias("low"))
+    df = shared.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    unders = sent.filter("token is null").select("fp", "under")
+    known = shared.filter("low").groupBy("fp").agg(F.count(F.lit(1)).alias("shared_low"))
+    # what is left of a set's prefix for shared tokens; sets that have none left link with nothing
+    size = F.col("size")
+    left = classes.join(unders, "fp").join(known, "fp", "left").withColumn(
+        "left", size - F.ceil(PERCENT * size / 100) + 1 - (F.col("under") - F.coalesce("shared_low", F.lit(0))))
+    left = left.filter("left > 0").select("fp", "class_id", "size", "left")
+    rank = F.row_number().over(Window.partitionBy("fp", "low").orderBy("df", "token"))
+    ranked = shared.join(left, "fp").join(df, "token").withColumn("rank", rank)
+    return ranked.filter("not low or rank <= left").select("token", "fp", "class_id", "size")
+
+
+def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b) of classes (their fp): enough links for all components. docs:
     (key, text); classes: (fp, class_id: smallest key, size, n: rows of that
-    key) of non-empty sets; late: tokens to put last."""
+    key) of non-empty sets."""
     buckets = partitions(docs.sparkSession)
-    sent = materialize(shared_prefix_tokens(docs, late, buckets), "jaccard-sent")
-    rests = sent.filter("token is null").select("fp", "rest")
-    shared = sent.filter("token is not null").select("token", "fp").join(classes.join(rests, "fp"), "fp")
-    shared = materialize(shared.select("token", "fp", "class_id", "size", "rest", (F.col("token").between(0, int(LIMIT))).cast("long").alias("low_hash")), "jaccard-shared")
+    sent = materialize(shared_tokens(docs, buckets), "jaccard-sent")
+    shared = materialize(candidate_tokens(sent, classes), "jaccard-shared")
+
     def sets_of(some: DataFrame, name: str) -> DataFrame:
         """(fp, tokens) of the classes in column fp, each from one of its texts."""
         near = some.select("fp").distinct().join(classes, "fp").select("fp", F.col("class_id").alias("key"), "n")
@@ -269,34 +265,34 @@ def links(docs: DataFrame, classes: DataFrame, late: np.ndarray) -> DataFrame:
     def both(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.explode(F.array(*[c for c in pairs.columns if c in ("a", "b")])).alias("fp"))
     # stars around the class with the smallest key of each token
-    first = shared.groupBy("token").agg(F.min(F.struct("class_id", "fp", "size", "rest")).alias("lead"))
+    first = shared.groupBy("token").agg(F.min(F.struct("class_id", "fp", "size")).alias("lead"))
     stars = (shared.join(first, "token").filter("fp <> lead.fp")
-             .groupBy(F.col("fp").alias("a"), F.col("lead.fp").alias("b"), "size", "rest", F.col("lead.size").alias("low"), F.col("lead.rest").alias("other_rest"))
-             .agg(F.sum("low_hash").alias("met"), F.count(F.lit(1)).alias("met_all")).withColumn("high", F.col("low")).filter(may_link()).select("a", "b"))
+             .groupBy(F.col("fp").alias("a"), F.col("lead.fp").alias("b"), "size", F.col("lead.size").alias("low"))
+             .agg(F.count(F.lit(1)).alias("met")).withColumn("high", F.col("low")).filter(may_link()).select("a", "b"))
     stars = materialize(stars, "jaccard-star-pairs")
     found = materialize(compared(stars, sets_of(both(stars), "jaccard-star-sets")), "jaccard-stars")
     # tokens that classes of more than one component share so far
     roots = materialize(connected_components(found), "jaccard-roots")
     placed = shared.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
-    open_ = placed.join(mixed, "token").select("token", "fp", "size", "rest", "low_hash", "root")
+    open_ = placed.join(mixed, "token").select("token", "fp", "size", "root")
     # groups of similar classes: those with the same smallest open token
     open_ = materialize(open_, "jaccard-open")
     seat = open_.groupBy("fp").agg(F.min("token").alias("head"), F.min("size").alias("size"), F.min("root").alias("root"))
     seat = materialize(chunked(seat), "jaccard-seats")
     open_ = materialize(open_.join(seat.select("fp", "g"), "fp"), "jaccard-seated")
     # the matrix by prefix token: a class asks the other groups that have one of its prefix tokens
-    cells = open_.groupBy("token", "g").agg(F.min("size").alias("low"), F.max("size").alias("high"), F.max("rest").alias("other_rest"),
+    cells = open_.groupBy("token", "g").agg(F.min("size").alias("low"), F.max("size").alias("high"),
                                             F.min("root").alias("lo"), F.max("root").alias("hi"))
-    asking = open_.select("token", "low_hash", F.col("fp").alias("a"), F.col("root").alias("root_a"), "size", "rest", F.col("g").alias("own"))
-    asked = (asking.join(cells, "token").filter("own <> g and (lo <> root_a or hi <> root_a)").groupBy("a", "g", "size", "rest")
-             .agg(F.sum("low_hash").alias("met"), F.count(F.lit(1)).alias("met_all"), F.min("low").alias("low"), F.max("high").alias("high"), F.max("other_rest").alias("other_rest"))
+    asking = open_.select("token", F.col("fp").alias("a"), F.col("root").alias("root_a"), "size", F.col("g").alias("own"))
+    asked = (asking.join(cells, "token").filter("own <> g and (lo <> root_a or hi <> root_a)").groupBy("a", "g", "size")
+             .agg(F.count(F.lit(1)).alias("met"), F.min("low").alias("low"), F.max("high").alias("high"))
              .filter(may_link()).select("a", "g"))
     asked = materialize(asked, "jaccard-asked")
     # inside a group, at most GROUP classes meet
-    other = open_.select("token", F.col("g").alias("own"), F.col("fp").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("low"), F.col("rest").alias("other_rest"))
-    inner = (asking.join(other, ["token", "own"]).filter("a > b and root_a <> root_b").groupBy("a", "b", "size", "rest", "low", "other_rest")
-             .agg(F.sum("low_hash").alias("met"), F.count(F.lit(1)).alias("met_all")).withColumn("high", F.col("low")).filter(may_link()).select("a", "b"))
+    other = open_.select("token", F.col("g").alias("own"), F.col("fp").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("low"))
+    inner = (asking.join(other, ["token", "own"]).filter("a > b and root_a <> root_b").groupBy("a", "b", "size", "low")
+             .agg(F.count(F.lit(1)).alias("met")).withColumn("high", F.col("low")).filter(may_link()).select("a", "b"))
     inner = materialize(inner, "jaccard-inner")
     members = seat.join(asked.select("g").distinct(), "g", "left_semi").select("fp", "g", "root", "size")
     sets = sets_of(asked.select(F.col("a").alias("fp")).unionAll(members.select("fp")).unionAll(both(inner)), "jaccard-sets")
@@ -313,22 +309,15 @@ def links(docs: DataFrame, classes: DataFrame, late: np.ndarray) -> DataFrame:
 
 
 def may_link():
-    """Whether a class (size, rest) can link with one of others (sizes low to
-    high, largest other_rest) that it shares ``met`` tokens up to ``LIMIT`` with.
-    Two bounds hold. Of the early tokens up to LIMIT both have sent all, so at
-    most min(rest, other_rest) common tokens remain beside those met; the
-    smallest partner that the sizes allow needs the fewest. And of all tokens up
-    to the earlier end of the two prefixes both have sent all, ``met_all`` in
-    common; beyond it lie at most ceil(0.8 * larger size) - 1, which asks the
-    least at one end of the sizes allowed."""
+    """Whether a class of ``size`` that met others of sizes low to high in ``met``
+    prefix tokens can link with one. Common tokens up to the earlier end of two
+    prefixes were all met; beyond it lie at most ceil(0.8 * larger size) - 1. What
+    must be met is least at one end of the sizes that a partner may have."""
     small, large = f"greatest(low, ceil({PERCENT} * size / 100.0D))", f"least(high, floor(100 * size / {PERCENT}.0D))"
 
-    def want(s: str) -> str:
-        return f"ceil({PERCENT} * (size + {s}) / {100 + PERCENT}.0D)"
-
-    def beyond(s: str) -> str:
-        return f"({want(s)} - ceil({PERCENT} * greatest(size, {s}) / 100.0D) + 1)"
-    return F.expr(f"{small} <= {large} and {want(small)} <= met + least(rest, other_rest) and met_all >= least({beyond(small)}, {beyond(large)})")
+    def least_met(s: str) -> str:
+        return f"(ceil({PERCENT} * (size + {s}) / {100 + PERCENT}.0D) - ceil({PERCENT} * greatest(size, {s}) / 100.0D) + 1)"
+    return F.expr(f"{small} <= {large} and met >= least({least_met(small)}, {least_met(large)})")
 
 
 def chunked(seat: DataFrame) -> DataFrame:
@@ -351,7 +340,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     classes = rows.filter("size > 0").groupBy("fp", "fp2").agg(F.min("key").alias("class_id"), F.first("size").alias("size"))
     times = rows.groupBy(F.col("key").alias("class_id")).agg(F.count(F.lit(1)).alias("n"))
     classes = materialize(classes.join(times, "class_id", "left"), "jaccard-classes")
-    found = links(src, classes.filter("class_id is not null").select("fp", "class_id", "size", "n"), frequent_tokens(rows))
+    found = links(src, classes.filter("class_id is not null").select("fp", "class_id", "size", "n"))
     roots = connected_components(materialize(found, "jaccard-links")).withColumnRenamed("node", "fp")
     rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     component = rooted.groupBy("root").agg(F.min("class_id").alias("component"))
