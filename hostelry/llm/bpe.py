@@ -32,7 +32,9 @@ from pyspark.sql import DataFrame
 from hostelry.llm.common import only, text_parts, texts
 
 #: Fragments remembered by a worker before it starts anew.
-FRAGMENT_CACHE = 1_000_000
+FRAGMENT_CACHE = 400_000
+#: Bytes of text encoded at once: more means fewer lookups of the same fragment.
+ENCODE_BYTES = 8 << 20
 #: Fragments given to the library in one string.
 TOGETHER = 64
 #: Fixed value: the pattern by which byte-level BPE splits text before the merges.
@@ -262,7 +264,7 @@ def bpe_encoded(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
     32-bit integers into their digest."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for part in text_parts(batches, text):
+        for part in text_parts(batches, text, ENCODE_BYTES):
             ids, counts = enc.encode(texts(part, text))
             ends = np.cumsum(counts)
             own = [ids[a:b] for a, b in zip(ends - counts, ends, strict=True)]

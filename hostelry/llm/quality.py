@@ -40,8 +40,8 @@ from hostelry.llm.common import hash_words, materialize, only, text_chunks
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Bound on labelled good rows that the forest is fitted on, and the bad share added to them.
-SAMPLE_GOOD, SAMPLE_BAD = 20_000, 2_000
+#: Bounds on labelled rows that the forest is fitted on; one bad row is added to so many good ones.
+SAMPLE_GOOD, SAMPLE_BAD, BAD_SHARE = 20_000, 400, 50
 TREES, TREE_SAMPLE, SEED = 200, 256, 7
 #: Share of good sample rows beyond either end of a statistic's usual range.
 TAIL = 0.0005
@@ -210,7 +210,7 @@ def fit_forest(labelled: DataFrame) -> RuleForest | None:
     good, bad = sample(1, SAMPLE_GOOD), sample(0, SAMPLE_BAD)
     if not len(good):
         return None
-    bad = bad.head(max(1, len(good) // 10))
+    bad = bad.head(max(1, len(good) // BAD_SHARE))
     return RuleForest(ratios(good), ratios(bad))
 
 

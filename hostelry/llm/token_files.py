@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hostelry.llm import files
-from hostelry.llm.bpe import encoder
+from hostelry.llm.bpe import ENCODE_BYTES, encoder
 from hostelry.llm.common import materialize, only, partitions, scratch, text_parts, texts
 
 MAGIC = b"RANKSVB1"
@@ -162,7 +162,7 @@ def encoded_ids(docs: DataFrame, path: str, end_id: int, key: str, text: str) ->
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
         width = 2 if len(enc.lengths) <= 1 << 16 else 4
-        for part in text_parts(batches, text):
+        for part in text_parts(batches, text, ENCODE_BYTES):
             ids, counts = enc.encode(texts(part, text))
             ends = np.cumsum(counts)
             with_end = np.insert(ids, ends, end_id).astype(f"<u{width}")
