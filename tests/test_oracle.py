@@ -4,6 +4,7 @@ import pytest
 import __spark_entry__ as E
 from sqloracle.compare import compare, duck
 from conftest import SF001
+from hostelry.plans.queries import QUERIES
 
 ORACLE = E.oracle_sql()
 
@@ -13,7 +14,7 @@ def con():
     return duck(SF001)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     assert name in ORACLE, f"{name} has no oracle SQL"
     res = compare(E.queries()[name](spark, SF001), con, ORACLE[name])
