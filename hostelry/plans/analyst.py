@@ -177,29 +177,29 @@ def register_views(spark: SparkSession, prefix: str = "hx_", **frames: DataFrame
         df.createOrReplaceTempView(prefix + name)
 
 
+# Output column names are fixed values: the documented ones.
 ANALYST_SQL = {
     "analyst_current_tiers": """
-        SELECT guest_id, name, loyalty_tier FROM hx_dim_guests WHERE is_current
+        SELECT guest_id, name, email, loyalty_tier FROM hx_dim_guests WHERE is_current
         ORDER BY loyalty_tier DESC, guest_id""",
     "analyst_hotel_revenue": """
-        SELECT hotel_id, COUNT(DISTINCT res_id) AS reservations,
+        SELECT hotel_id, COUNT(DISTINCT res_id) AS total_reservations,
                ROUND(SUM(total_folio_amount), 2) AS total_revenue,
-               ROUND(AVG(total_folio_amount), 2) AS avg_folio
+               ROUND(AVG(total_folio_amount), 2) AS avg_revenue_per_stay
         FROM hx_fact_stays GROUP BY hotel_id ORDER BY total_revenue DESC""",
     "analyst_revpar_by_date": """
-        SELECT date, CAST(ROUND(AVG(CAST(revpar AS DECIMAL(18,2))), 2) AS DOUBLE) AS avg_revpar
+        SELECT date, CAST(ROUND(AVG(CAST(revpar AS DECIMAL(18,2))), 2) AS DOUBLE) AS avg_revpar_all_hotels
         FROM hx_kpi_revpar GROUP BY date ORDER BY date""",
     "analyst_hotels_by_revpar": """
         SELECT hotel_id, CAST(ROUND(AVG(CAST(revpar AS DECIMAL(18,2))), 2) AS DOUBLE) AS avg_revpar
         FROM hx_kpi_revpar GROUP BY hotel_id ORDER BY avg_revpar DESC""",
     "analyst_turnover_by_date": """
         SELECT date, CAST(ROUND(AVG(CAST(avg_turnover_time_minutes AS DECIMAL(18,2))), 0) AS DOUBLE)
-               AS avg_turnover_minutes
+               AS avg_minutes
         FROM hx_kpi_turnover GROUP BY date ORDER BY date""",
     "analyst_low_attachment_hotels": """
-        SELECT hotel_id, CAST(ROUND(AVG(CAST(attachment_rate_percentage AS DECIMAL(18,2))), 2) AS DOUBLE)
-               AS avg_attachment_rate
+        SELECT hotel_id, CAST(ROUND(AVG(CAST(attachment_rate_percentage AS DECIMAL(18,2))), 1) AS DOUBLE) AS attach_rate
         FROM hx_kpi_ancillary GROUP BY hotel_id
-        HAVING AVG(CAST(attachment_rate_percentage AS DECIMAL(18,2))) < 60
-        ORDER BY avg_attachment_rate""",
+        HAVING attach_rate < 60
+        ORDER BY attach_rate""",
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -45,7 +46,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = spark.sparkContext
     except Exception:  # remote session: only the SQL conf is visible
         path = spark.conf.get("spark.checkpoint.dir", None)
-        return path or tempfile.mkdtemp(prefix="hostelry-ckpt-")
+        if not path:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share") from None
+        return path
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if path:
         if not sc.getCheckpointDir():
@@ -54,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = tempfile.mkdtemp(prefix="hostelry-ckpt-")
     sc.setCheckpointDir(path)
     return path

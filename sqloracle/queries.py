@@ -563,19 +563,19 @@ SELECT field, shape, count(*) AS n FROM (
       WHEN {ts_multi('created_at')} IS NULL THEN 'unparseable' ELSE 'parseable' END FROM bronze_reservations)
 GROUP BY field, shape
 """)
-sql("analyst_current_tiers", "SELECT guest_id, name, loyalty_tier FROM dim_guests WHERE is_current")
+sql("analyst_current_tiers", "SELECT guest_id, name, email, loyalty_tier FROM dim_guests WHERE is_current")
 sql("analyst_hotel_revenue", f"""
-SELECT hotel_id, count(DISTINCT res_id) AS reservations, {r2('sum(total_folio_amount)')} AS total_revenue,
-  {r2('avg(total_folio_amount)')} AS avg_folio FROM fact_stays GROUP BY hotel_id
+SELECT hotel_id, count(DISTINCT res_id) AS total_reservations, {r2('sum(total_folio_amount)')} AS total_revenue,
+  {r2('avg(total_folio_amount)')} AS avg_revenue_per_stay FROM fact_stays GROUP BY hotel_id
 """)
-sql("analyst_revpar_by_date", f"SELECT date, {dec_avg('revpar')} AS avg_revpar FROM kpi_revpar GROUP BY date")
+sql("analyst_revpar_by_date", f"SELECT date, {dec_avg('revpar')} AS avg_revpar_all_hotels FROM kpi_revpar GROUP BY date")
 sql("analyst_hotels_by_revpar", f"SELECT hotel_id, {dec_avg('revpar')} AS avg_revpar FROM kpi_revpar GROUP BY hotel_id")
 sql("analyst_turnover_by_date", f"""
-SELECT date, {dec_avg('avg_turnover_time_minutes', 0)} AS avg_turnover_minutes FROM kpi_turnover GROUP BY date
+SELECT date, {dec_avg('avg_turnover_time_minutes', 0)} AS avg_minutes FROM kpi_turnover GROUP BY date
 """)
 sql("analyst_low_attachment_hotels", f"""
-SELECT hotel_id, {dec_avg('attachment_rate_percentage')} AS avg_attachment_rate FROM kpi_ancillary
-GROUP BY hotel_id HAVING avg(CAST(attachment_rate_percentage AS DECIMAL(18,2))) < 60
+SELECT hotel_id, {dec_avg('attachment_rate_percentage', 1)} AS attach_rate FROM kpi_ancillary
+GROUP BY hotel_id HAVING {dec_avg('attachment_rate_percentage', 1)} < 60
 """)
 
 
