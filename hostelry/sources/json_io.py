@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +28,12 @@ def chunked_json_sink(df: DataFrame, path: str, max_records: int, mode: str = "o
     df.write.mode(mode).option("maxRecordsPerFile", max_records).json(path)
 
 
+def is_missing(e: AnalysisException) -> bool:
+    """Whether a read failed because there is nothing at the path yet; any other
+    failure of the storage must not pass for an empty table."""
+    return e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def pin_schema(spark: SparkSession, sample_path: str, schema_path: str) -> T.StructType:
     """Infer the schema once and reuse the stored copy afterwards.
 
@@ -35,8 +42,10 @@ def pin_schema(spark: SparkSession, sample_path: str, schema_path: str) -> T.Str
     """
     try:
         text = spark.read.text(schema_path).first()
-    except Exception:  # first run: nothing stored yet
-        text = None
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
+        text = None  # first run: nothing stored yet
     if text is not None:
         return T.StructType.fromJson(json.loads(text[0]))
     schema = spark.read.json(sample_path).schema

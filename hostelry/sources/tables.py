@@ -13,9 +13,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hostelry.sources.json_io import is_missing
+
 
 def table_scan(spark: SparkSession, name: str) -> DataFrame:
     """S06."""
@@ -83,8 +86,10 @@ class SnapshotTable:
     def _all(self) -> DataFrame | None:
         try:
             return self.spark.read.parquet(self.path)
-        except Exception:  # no committed version yet
-            return None
+        except AnalysisException as e:
+            if not is_missing(e):
+                raise
+            return None  # no committed version yet
 
     def current_version(self, before: int | None = None) -> int | None:
         """Highest committed version (strictly below ``before`` if given)."""
@@ -168,8 +173,10 @@ class BucketedSnapshotTable:
     def _log(self) -> DataFrame | None:
         try:
             return self.spark.read.parquet(self.commits)
-        except Exception:  # nothing committed yet
-            return None
+        except AnalysisException as e:
+            if not is_missing(e):
+                raise
+            return None  # nothing committed yet
 
     def is_committed(self, version: int) -> bool:
         log = self._log()
