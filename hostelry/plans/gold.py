@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
@@ -156,15 +156,21 @@ def ancillary_by_category(stays: DataFrame, pos_clean: DataFrame,
 
 def turnover_pairs(checkouts: DataFrame, cleanings: DataFrame,
                    max_minutes: float = MAX_TURNOVER_MINUTES) -> DataFrame:
-    """J08 + C30 + C31: (check-out, cleaning) pairs with 0 < minutes <= cap.
+    """J08 + C30 + C31: (check-out, cleaning) pairs with 0 < minutes <= cap, equal
+    ones as one row with ``n_checkouts`` and ``n_cleanings``.
 
-    The source window is [checkout, checkout + 1 day] followed by the
+    All check-outs of a room-day share one instant, so both sides are first
+    aggregated to their distinct (room, instant): the join meets one row per
+    room-day with that day's cleaning instants, and its output grows with the
+    input. The source window is [checkout, checkout + 1 day] followed by the
     minutes cap; only the tighter cap matters, so the interval join uses it
     and its bounded day span as an equi key."""
+    room = ["hotel_id", "room_number"]
     pairs = joins.same_day_interval_join(
-        cleanings.select("hotel_id", "room_number", "timestamp"),
-        checkouts.select("res_id", "hotel_id", "room_number", "check_out_date", "checkout_timestamp"),
-        ["hotel_id", "room_number"], "checkout_timestamp", "timestamp", min(max_minutes, 24 * 60))
+        cleanings.groupBy(*room, "timestamp").agg(F.count(F.lit(1)).alias("n_cleanings")),
+        checkouts.groupBy(*room, "check_out_date", "checkout_timestamp").agg(
+            F.count(F.lit(1)).alias("n_checkouts")),
+        room, "checkout_timestamp", "timestamp", min(max_minutes, 24 * 60))
     pairs = (pairs.withColumn("turnover_time_minutes", C.minutes_between("checkout_timestamp", "timestamp"))
              .withColumn("_turnover_seconds",
                          F.unix_timestamp("timestamp") - F.unix_timestamp("checkout_timestamp")))
@@ -176,19 +182,33 @@ def kpi_housekeeping_turnover(checkouts: DataFrame, cleanings: DataFrame,
                               first_clean_only: bool = False) -> DataFrame:
     """P10: A06 + A07 per (check-out date, hotel), C24 rename.
     ``total_checkouts`` counts matched pairs (D10); with ``first_clean_only``
-    each check-out keeps only its first cleaning (min over the check-out's
-    pairs, a partial aggregation), so it counts check-outs."""
-    t = turnover_pairs(checkouts, cleanings, max_minutes)
+    each check-out keeps only its first cleaning, so it counts check-outs.
+
+    Pairs are weighted, not expanded. The median is the smallest duration at or
+    below which half of the weight lies, over the distinct durations of a (date,
+    hotel), of which the cap allows ``60 * max_minutes`` at most."""
+    by = ["check_out_date", "hotel_id"]
     if first_clean_only:
-        ident = ["res_id", "hotel_id", "room_number", "check_out_date", "checkout_timestamp"]
-        t = t.groupBy(*ident).agg(F.min("turnover_time_minutes").alias("turnover_time_minutes"),
-                                  F.min("_turnover_seconds").alias("_turnover_seconds"))
+        checkouts = checkouts.distinct()
+        t = turnover_pairs(checkouts, cleanings, max_minutes)
+        t = t.groupBy(*by, "room_number", "checkout_timestamp", "n_checkouts").agg(
+            F.min("turnover_time_minutes").alias("turnover_time_minutes"),
+            F.min("_turnover_seconds").alias("_turnover_seconds")).withColumn("_w", F.col("n_checkouts"))
+    else:
+        t = turnover_pairs(checkouts, cleanings, max_minutes).withColumn(
+            "_w", F.col("n_checkouts") * F.col("n_cleanings"))
+    d = t.groupBy(*by, "turnover_time_minutes", "_turnover_seconds").agg(F.sum("_w").alias("_w"))
+    w = Window.partitionBy(*by)
+    d = (d.withColumn("_upto", F.sum("_w").over(w.orderBy("turnover_time_minutes").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)))
+         .withColumn("_all", F.sum("_w").over(w)))
     m = F.col("turnover_time_minutes")
-    return (t.groupBy("check_out_date", "hotel_id").agg(
-        F.count(F.lit(1)).alias("total_checkouts"),
+    return (d.groupBy(*by).agg(
+        F.sum("_w").alias("total_checkouts"),
         # mean of whole seconds, then minutes: exact, so rounding is stable
-        F.round(F.avg("_turnover_seconds") / 60.0, 2).alias("avg_turnover_time_minutes"),
-        F.round(F.percentile_approx(m, 0.5), 2).alias("median_turnover_time_minutes"),
+        F.round(F.sum(F.col("_w") * F.col("_turnover_seconds")) / F.sum("_w") / 60.0, 2)
+        .alias("avg_turnover_time_minutes"),
+        F.round(F.min(F.when(F.col("_upto") * 2 >= F.col("_all"), m)), 2).alias("median_turnover_time_minutes"),
         F.round(F.min(m), 2).alias("min_turnover_time_minutes"),
         F.round(F.max(m), 2).alias("max_turnover_time_minutes"))
         .withColumnRenamed("check_out_date", "date"))

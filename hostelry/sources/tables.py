@@ -37,8 +37,9 @@ def overwrite_table(df: DataFrame, name: str) -> None:
 
 def overwrite_partitioned(df: DataFrame, name: str, col: str) -> None:
     """As S08, one folder per value of ``col`` (e.g. a date). Rows are
-    clustered by the partition column first so each task writes few files."""
-    df.repartition(col).write.mode("overwrite").partitionBy(col).saveAsTable(name)
+    clustered by the partition column first so each task writes few files; the
+    rebalance hint lets AQE split a value that holds many rows over several tasks."""
+    df.hint("rebalance", col).write.mode("overwrite").partitionBy(col).saveAsTable(name)
 
 
 def append_table(df: DataFrame, name: str) -> None:
@@ -149,17 +150,21 @@ class BucketedSnapshotTable:
     Layout under ``path``:
 
     * ``data/snapshot_id=<n>/bucket=<b>/`` -- rows of bucket b as of batch n;
-    * ``commits/snapshot_id=<n>/`` -- the (bucket) list batch n rewrote,
-      written after its data, so a bucket version is visible only once
+    * ``commits/snapshot_id=<n>/`` -- the (bucket, stream, batch_id) rows of the
+      commit, written after its data, so a bucket version is visible only once
       committed.
 
+    A batch is known by its stream and its number in that stream: numbers start
+    again at 0 in a second stream, or once a checkpoint is deleted, and such
+    batches are new ones. Snapshots are numbered by the table, one writer at a time.
+
     The current table is, per bucket, the highest committed snapshot that
     rewrote it. The (bucket, snapshot) map comes from the commit log (at most
     ``buckets`` rows per batch) and is broadcast into a semi join on the two
-    partition columns, so a read opens only current files. A batch costs
-    reading and writing the buckets its keys hash to, not the whole table. A
-    replayed batch whose commit exists is skipped; one that failed before its
-    commit rewrites its (invisible) snapshot.
+    partition columns. A batch rewrites the buckets its keys hash to: of a batch
+    with many more keys than ``buckets`` that is every bucket. A replayed batch
+    whose commit exists is skipped; one that failed before its commit leaves an
+    invisible snapshot, which the next commit writes over.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64):
@@ -178,21 +183,24 @@ class BucketedSnapshotTable:
                 raise
             return None  # nothing committed yet
 
-    def is_committed(self, version: int) -> bool:
+    def _next(self, batch_id: int, stream: str) -> int | None:
+        """Number of the next snapshot; None if the stream's batch is committed."""
         log = self._log()
-        return log is not None and log.filter(F.col("snapshot_id") == version).limit(1).count() > 0
+        if log is None:
+            return 0
+        same = (F.col("batch_id") == batch_id) & (F.col("stream") == stream)
+        last, done = log.agg(F.max("snapshot_id"), F.count_if(same)).first()
+        return None if done else int(last) + 1
 
-    def current_map(self, before: int | None = None) -> DataFrame | None:
+    def current_map(self) -> DataFrame | None:
         """(bucket, snapshot_id) of the live version of each bucket."""
         log = self._log()
         if log is None:
             return None
-        if before is not None:
-            log = log.filter(F.col("snapshot_id") < before)
         return log.groupBy("bucket").agg(F.max("snapshot_id").alias("snapshot_id"))
 
-    def _read_buckets(self, before: int | None = None, buckets: DataFrame | None = None) -> DataFrame | None:
-        live = self.current_map(before)
+    def _read_buckets(self, buckets: DataFrame | None = None) -> DataFrame | None:
+        live = self.current_map()
         if live is None:
             return None
         if buckets is not None:
@@ -221,23 +229,31 @@ class BucketedSnapshotTable:
             old = old.filter(F.col("snapshot_id") <= keep_after)
         return old.select("snapshot_id", "bucket")
 
-    def commit(self, build, batch: DataFrame, version: int) -> None:
-        """Rewrite the buckets of ``batch``'s keys as snapshot ``version`` with
-        ``build(current rows of those buckets or None, batch)``."""
-        if self.is_committed(version):
+    def commit(self, build, batch: DataFrame, batch_id: int, stream: str = "") -> None:
+        """Rewrite the buckets of ``batch``'s keys as the next snapshot with
+        ``build(current rows of those buckets or None, batch)``; nothing if batch
+        ``batch_id`` of ``stream`` is committed already. Duplicate keys in the
+        batch are refused, as MERGE does."""
+        version = self._next(batch_id, stream)
+        if version is None:
             return
-        batch = self.bucket_of(batch)
-        touched = batch.select("bucket").distinct()
-        base = self._read_buckets(before=version, buckets=touched)
-        cols = [c for c in batch.columns if c != "bucket"]
-        new = build(None if base is None else base.drop("bucket"), batch.select(*cols))
-        (self.bucket_of(new).withColumn("snapshot_id", F.lit(version).cast("long"))
-         .repartition("bucket").write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-         .partitionBy("snapshot_id", "bucket").parquet(self.data))
-        (touched.withColumn("snapshot_id", F.lit(version).cast("long")).coalesce(1).write
-         .option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("snapshot_id")
-         .parquet(self.commits))
-
-    def upsert(self, source: DataFrame, version: int) -> None:
+        batch = persist_reuse(batch)  # its rows are read by the checks and both writes
+        try:
+            assert_unique_keys(batch, self.keys)
+            keyed = self.bucket_of(batch)
+            touched = keyed.select("bucket").distinct()
+            base = self._read_buckets(touched)
+            new = build(None if base is None else base.drop("bucket"), batch)
+            (self.bucket_of(new).withColumn("snapshot_id", F.lit(version).cast("long"))
+             .hint("rebalance", "bucket").write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+             .partitionBy("snapshot_id", "bucket").parquet(self.data))
+            (touched.withColumn("stream", F.lit(stream)).withColumn("batch_id", F.lit(batch_id).cast("long"))
+             .withColumn("snapshot_id", F.lit(version).cast("long")).coalesce(1).write
+             .option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("snapshot_id")
+             .parquet(self.commits))
+        finally:
+            batch.unpersist()
+
+    def upsert(self, source: DataFrame, batch_id: int, stream: str = "") -> None:
         """S11 per touched bucket: merge_upsert(current bucket rows, source)."""
-        self.commit(lambda cur, src: src if cur is None else merge_upsert(cur, src, self.keys), source, version)
+        self.commit(lambda cur, src: src if cur is None else merge_upsert(cur, src, self.keys), source, batch_id, stream)

@@ -4,15 +4,16 @@ P02, P04).
 A file stream picks up only JSON files its checkpoint has not seen. Each
 micro-batch is folded into a ``BucketedSnapshotTable`` by ``foreachBatch``:
 the new rows of the key buckets the batch touches are computed as one
-DataFrame from their previous version and the batch, written as snapshot
-``batch_id`` and then committed. Spark replays a failed batch with the same
-id and the same files: a committed batch is skipped, an uncommitted one is
-recomputed over the same base (exactly-once effect without a transactional
-sink).
+DataFrame from their previous version and the batch, written as the next
+snapshot and then committed under (stream id, batch id). Spark replays a failed
+batch with the same ids and files: a committed batch is skipped, an uncommitted
+one is recomputed over the same base (exactly-once effect without a transactional
+sink). A deleted checkpoint makes a new stream id, so all files are applied again.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,16 +37,24 @@ def json_stream(spark: SparkSession, path: str, schema: T.StructType,
     return r.json(path)
 
 
-def foreach_batch_sink(stream: DataFrame, fn: Callable[[DataFrame, int], None],
+def foreach_batch_sink(stream: DataFrame, fn: Callable[[DataFrame, int, str], None],
                        checkpoint: str) -> "StreamingQuery":
-    """S13 + S14: run ``fn`` on each non-empty micro-batch, draining every
-    pending file and then stopping (``availableNow``)."""
+    """S13 + S14: run ``fn(batch, batch id, stream id)`` on each non-empty
+    micro-batch, draining every pending file and then stopping
+    (``availableNow``). The stream id lives in the checkpoint: a restart keeps
+    it, a new or deleted checkpoint makes another."""
+    started, ids = threading.Event(), []
+
     def guarded(df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():          # S13 empty-batch guard
             return
-        fn(df, batch_id)
-    return (stream.writeStream.foreachBatch(guarded).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+        started.wait()            # start() returns while the first batch runs
+        fn(df, batch_id, ids[0])
+    query = (stream.writeStream.foreachBatch(guarded).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    ids.append(str(query.id))
+    started.set()
+    return query
 
 
 def run_available_now(query: "StreamingQuery") -> None:
@@ -63,14 +72,14 @@ def stream_to_table(stream: DataFrame, name: str, checkpoint: str) -> "Streaming
 
 # ----------------------------------------------------------------- T01 / P02
 def guests_batch_fn(dim_table: BucketedSnapshotTable, type1_cols=(), reject_out_of_order: bool = False
-                    ) -> Callable[[DataFrame, int], None]:
+                    ) -> Callable[[DataFrame, int, str], None]:
     """foreachBatch body for the SCD2 guest dimension (P02 / T01): only the
     buckets of the batch's guests are read and rewritten."""
-    def fn(batch: DataFrame, batch_id: int) -> None:
+    def fn(batch: DataFrame, batch_id: int, stream: str = "") -> None:
         latest = silver.latest_guests(silver.clean_guests(batch))
         dim_table.commit(lambda cur, b: scd2.scd2_apply_batch(cur, b, type1_cols=type1_cols,
                                                              reject_out_of_order=reject_out_of_order),
-                         latest, batch_id)
+                         latest, batch_id, stream)
     return fn
 
 
@@ -84,18 +93,18 @@ def incremental_dim_guests(spark: SparkSession, source: str, schema: T.StructTyp
 
 # ----------------------------------------------------------------- T02 / P04
 def stays_batch_fn(stays_table: BucketedSnapshotTable, pos_clean: DataFrame, dim_guests: DataFrame,
-                   raw_inventory: DataFrame) -> Callable[[DataFrame, int], None]:
+                   raw_inventory: DataFrame) -> Callable[[DataFrame, int, str], None]:
     """foreachBatch body for the folio fact.
 
     The source re-reads every POS file per batch; here only the POS rows of
     the batch's reservations are aggregated (semi join on res_id), and the
     upsert rewrites only the res_id buckets the batch touches."""
-    def fn(batch: DataFrame, batch_id: int) -> None:
+    def fn(batch: DataFrame, batch_id: int, stream: str = "") -> None:
         res = silver.clean_reservations(batch)
         # the batch's ids are broadcast when under the bound, so the POS scan
         # is filtered map-side instead of shuffling all POS rows
         pos = joins.keep_known(pos_clean, res, ["res_id"], small_domain_rows=BATCH_KEYS_BROADCAST_MAX)
-        stays_table.upsert(silver.fact_stays_unified(res, pos, dim_guests, raw_inventory), batch_id)
+        stays_table.upsert(silver.fact_stays_unified(res, pos, dim_guests, raw_inventory), batch_id, stream)
     return fn
 
 

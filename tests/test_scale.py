@@ -57,3 +57,21 @@ def test_hotel_ids_are_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert any("BroadcastHashJoin" in line and "LeftSemi" in line and "hotel_id" in line
                for line in plan.splitlines())
+
+
+def test_turnover_join_is_linear_in_checkouts(spark):
+    """Check-outs of one room-day meet its cleanings as one weighted row."""
+    import datetime as dt
+
+    from hostelry.plans import gold
+    day, noon = dt.date(2024, 1, 3), dt.datetime(2024, 1, 3, 11, 0)
+    co = spark.range(500).selectExpr("id AS res_id", "1L AS hotel_id", "'7' AS room_number").withColumn(
+        "check_out_date", F.lit(day)).withColumn("checkout_timestamp", F.lit(noon))
+    cl = spark.range(300).selectExpr("1L AS hotel_id", "'7' AS room_number", "id % 3 AS k").withColumn(
+        "timestamp", F.expr("timestamp'2024-01-03 12:00:00' + make_interval(0, 0, 0, 0, CAST(k AS INT))")).drop("k")
+    assert gold.turnover_pairs(co, cl).count() == 3
+    r = gold.kpi_housekeeping_turnover(co, cl).first()
+    assert r["total_checkouts"] == 150_000 and r["median_turnover_time_minutes"] == 120.0
+    assert r["avg_turnover_time_minutes"] == 120.0 and r["max_turnover_time_minutes"] == 180.0
+    f = gold.kpi_housekeeping_turnover(co, cl, first_clean_only=True).first()
+    assert f["total_checkouts"] == 500 and f["median_turnover_time_minutes"] == 60.0

@@ -1,6 +1,7 @@
 """Incremental loads: two drops equal one batch; a replayed batch changes nothing."""
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from hostelry import schemas
@@ -36,11 +37,11 @@ def test_stream_reads_only_new_files(spark):
     json_io.chunked_json_sink(g.filter(F.col("guest_id") % 2 == 0), f"{base}/src", 100, mode="append")
     seen = []
     q = incremental.foreach_batch_sink(incremental.json_stream(spark, f"{base}/src", schemas.GUESTS),
-                                       lambda df, i: seen.append(df.count()), f"{base}/ckpt")
+                                       lambda df, i, s: seen.append(df.count()), f"{base}/ckpt")
     incremental.run_available_now(q)
     json_io.chunked_json_sink(g.filter(F.col("guest_id") % 2 == 1), f"{base}/src", 100, mode="append")
     q = incremental.foreach_batch_sink(incremental.json_stream(spark, f"{base}/src", schemas.GUESTS),
-                                       lambda df, i: seen.append(df.count()), f"{base}/ckpt")
+                                       lambda df, i, s: seen.append(df.count()), f"{base}/ckpt")
     incremental.run_available_now(q)
     assert sum(seen) == g.count()
 
@@ -70,7 +71,7 @@ def test_bucketed_upsert_rewrites_only_touched_buckets(spark):
     t = BucketedSnapshotTable(spark, base, ["res_id"], 16)
     res = silver.clean_reservations(Bronze(spark, SF001).reservations)
     t.upsert(res, 0)
-    few = res.limit(3).withColumn("booking_channel", F.lit("Phone"))
+    few = res.orderBy("res_id").limit(3).withColumn("booking_channel", F.lit("Phone"))
     t.upsert(few, 1)
     touched = spark.read.parquet(base + "/commits").filter("snapshot_id = 1").count()
     assert 1 <= touched <= 3
@@ -91,3 +92,28 @@ def test_plain_snapshot_table_versions(spark):
     t.upsert(res, ["res_id"], 1)
     assert t.current_version() == 1 and t.read().count() == res.count()
     assert t.read(0).count() == res.filter("res_id % 2 = 0").count()
+
+
+def test_batch_numbers_belong_to_their_stream(spark):
+    t = BucketedSnapshotTable(spark, tempfile.mkdtemp(prefix="two-", dir="/tmp") + "/t", ["k"], 4)
+    one, two = (spark.createDataFrame([(i, "x") for i in r], "k long, v string") for r in (range(10), range(10, 20)))
+    t.upsert(one, 0, "a")
+    t.upsert(two, 0, "b")      # batch 0 of another stream
+    t.upsert(two, 0, "b")      # replayed
+    assert t.read().count() == 20
+    with pytest.raises(ValueError):
+        t.upsert(one.unionAll(one), 1, "a")
+
+
+def test_deleted_checkpoint_applies_all_files_again(spark):
+    base = tempfile.mkdtemp(prefix="reset-", dir="/tmp")
+    t = BucketedSnapshotTable(spark, base + "/t", ["guest_id"], 4)
+    g = Bronze(spark, SF001).guests.filter("guest_id is not null").dropDuplicates(["guest_id"])
+
+    def drain(part, ckpt):
+        json_io.chunked_json_sink(part, f"{base}/src", 100, mode="append")
+        stream = incremental.json_stream(spark, f"{base}/src", schemas.GUESTS)
+        incremental.run_available_now(incremental.foreach_batch_sink(stream, t.upsert, ckpt))
+    drain(g.filter("guest_id % 2 = 0"), f"{base}/c1")
+    drain(g.filter("guest_id % 2 = 1"), f"{base}/c2")   # another checkpoint: batch 0 again, all files
+    assert t.read().count() == g.count()
