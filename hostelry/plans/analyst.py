@@ -116,6 +116,28 @@ def date_range(stays: DataFrame) -> DataFrame:
                      F.max("check_out_date").alias("last_check_out"))
 
 
+def calendar_range(calendar: DataFrame) -> DataFrame:
+    """First and last night of the daily calendar."""
+    return calendar.agg(F.min("date").alias("min_date"), F.max("date").alias("max_date"))
+
+
+def kpi_weekend_comparison(weekend_kpi: DataFrame) -> DataFrame:
+    """A14 over the KPI rows: mean ADR and occupancy of weekend and weekday
+    nights, the premium, and whether it is within the tolerance of the expected
+    one. Means are taken in DECIMAL(18,2) arithmetic, as in ``kpi_averages``."""
+    we = F.col("is_weekend")
+
+    def mean(cond, col, name):
+        return F.avg(F.when(cond, F.col(col).cast("decimal(18,2)"))).cast("double").alias(name)
+    a = weekend_kpi.agg(mean(we, "adr", "weekend_adr"), mean(~we, "adr", "weekday_adr"),
+                        mean(we, "occupancy_rate", "weekend_occ"), mean(~we, "occupancy_rate", "weekday_occ"))
+    # no weekday rows count as an ADR of 1, no weekend rows as 0; an ADR of 0 gives no premium
+    weekend, weekday = F.coalesce("weekend_adr", F.lit(0.0)), F.coalesce("weekday_adr", F.lit(1.0))
+    prem = F.when(weekday > 0, (weekend / weekday - 1) * 100).otherwise(F.lit(0.0))
+    return a.select(*[F.round(c, 2).alias(c) for c in a.columns], F.round(prem, 1).alias("premium_pct"),
+                    (F.abs(prem - WEEKEND_PREMIUM_EXPECTED) < WEEKEND_PREMIUM_TOLERANCE).alias("premium_validated"))
+
+
 def kpi_averages(revpar: DataFrame, adr: DataFrame, anc: DataFrame, turnover: DataFrame) -> DataFrame:
     """The mean of each KPI column as (metric, value). KPIs are rounded to
     cents, so their mean is taken in DECIMAL(18,2) arithmetic (exact), then rounded."""
@@ -125,6 +147,7 @@ def kpi_averages(revpar: DataFrame, adr: DataFrame, anc: DataFrame, turnover: Da
     from .quality import metrics
     return metrics(mean(revpar, "revpar", "avg_revpar"), mean(adr, "adr", "avg_adr"),
                    mean(anc, "attachment_rate_percentage", "avg_attachment_rate"),
+                   mean(anc, "avg_ancillary_per_guest", "avg_ancillary_per_guest"),
                    mean(turnover, "avg_turnover_time_minutes", "avg_turnover_minutes"))
 
 
@@ -166,8 +189,13 @@ def stays_with_tier_asof(stays: DataFrame, history: DataFrame) -> DataFrame:
 
 
 def full_availability_calendar(inventory_clean: DataFrame, calendar: DataFrame,
-                               start: str = "2024-01-01", end: str = "2024-12-31") -> DataFrame:
-    """Every inventory room on every date of [start, end], free or booked."""
+                               start: str | None = None, end: str | None = None) -> DataFrame:
+    """Every inventory room on every date of [start, end], free or booked.
+    Unset bounds are the calendar's first and last night, found by one
+    aggregation whose two dates come to the driver; without nights there are no dates."""
+    if start is None or end is None:
+        lo, hi = calendar_range(calendar).first()
+        start, end = start or lo, end or hi
     return nights.availability_calendar(inventory_clean, calendar, start, end)
 
 

@@ -65,11 +65,12 @@ def null_critical(bronze_res: DataFrame) -> DataFrame:
 
 
 def fk_violations(orphans: DataFrame, unknown_rooms: DataFrame) -> DataFrame:
-    """Q07: foreign-key violations by kind."""
-    o = orphans.groupBy("orphan_reason").agg(F.count(F.lit(1)).alias("violations")).select(
-        F.col("orphan_reason").alias("kind"), "violations")
-    r = unknown_rooms.agg(F.count(F.lit(1)).alias("violations")).select(F.lit("room").alias("kind"), "violations")
-    return o.unionByName(r)
+    """Q07: foreign-key violations by kind; a kind without any reports 0."""
+    found = orphans.select(F.col("orphan_reason").alias("kind"), F.lit(1).alias("n")).unionByName(
+        unknown_rooms.select(F.lit("room").alias("kind"), F.lit(1).alias("n")))
+    kinds = orphans.sparkSession.range(1).select(
+        F.explode(F.array(*map(F.lit, ("guest", "hotel", "room")))).alias("kind"), F.lit(0).alias("n"))
+    return found.unionByName(kinds).groupBy("kind").agg(F.sum("n").alias("violations"))
 
 
 def metric_out_of_range(revpar: DataFrame, lo: float = REVPAR_RANGE[0], hi: float = REVPAR_RANGE[1]) -> DataFrame:
@@ -84,9 +85,9 @@ def dimension_totals(dim: DataFrame) -> DataFrame:
                    F.count_if(~F.col("is_current")).alias("historical_rows"))
 
 
-def latest_load(res_clean: DataFrame) -> DataFrame:
-    """Q12: latest record creation time loaded."""
-    return res_clean.agg(F.max("created_at").alias("latest_created_at"), F.count(F.lit(1)).alias("rows"))
+def latest_load(stays: DataFrame) -> DataFrame:
+    """Q12: latest record creation time in the stays fact."""
+    return stays.agg(F.max("created_at").alias("latest_created_at"), F.count(F.lit(1)).alias("rows"))
 
 
 def table_counts(spark: SparkSession, names: list[str]) -> DataFrame:

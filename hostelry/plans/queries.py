@@ -45,8 +45,13 @@ def _dim(b: Bronze) -> DataFrame:
     return silver.dim_guests_batch(b.guests)
 
 
+def _guest_ids(b: Bronze) -> DataFrame:
+    """Ids in the guest dimension, without building its versions."""
+    return silver.latest_guests(silver.clean_guests(b.guests)).select("guest_id").distinct()
+
+
 def _stays(b: Bronze) -> DataFrame:
-    return silver.fact_stays_unified(_res(b), _pos(b), _dim(b), b.inventory)
+    return silver.fact_stays_unified(_res(b), _pos(b), _guest_ids(b), b.inventory)
 
 
 def _calendar(b: Bronze) -> DataFrame:
@@ -198,7 +203,7 @@ def fact_stays_survivor_map(spark, sf):
     to the surviving guest before the orphan filter."""
     b = Bronze(spark, sf)
     res = silver.remap_guests(_res(b), silver.survivor_map(silver.clean_guests(b.guests)))
-    return silver.fact_stays_unified(res, _pos(b), _dim(b), b.inventory)
+    return silver.fact_stays_unified(res, _pos(b), _guest_ids(b), b.inventory)
 
 
 @query
@@ -265,7 +270,7 @@ def channel_distribution(spark, sf):
 
 @query
 def room_type_distribution(spark, sf):
-    return analyst.distribution(_stays(Bronze(spark, sf)), "room_type")
+    return analyst.distribution(_calendar(Bronze(spark, sf)), "room_type")
 
 
 @query
@@ -279,6 +284,18 @@ def stay_date_range(spark, sf):
     return analyst.date_range(_stays(Bronze(spark, sf)))
 
 
+@query
+def calendar_date_range(spark, sf):
+    return analyst.calendar_range(_calendar(Bronze(spark, sf)))
+
+
+@query
+def kpi_weekend_comparison(spark, sf):
+    b = Bronze(spark, sf)
+    return analyst.kpi_weekend_comparison(
+        gold.kpi_weekend_vs_weekday(gold.nightly_measures(_stays(b)), gold.rooms_by_day(_calendar(b))))
+
+
 def _kpis(b: Bronze):
     m = gold.nightly_measures(_stays(b))
     rooms = gold.rooms_by_day(_calendar(b))
@@ -321,7 +338,7 @@ def availability_calendar(spark, sf):
 def orphan_stays(spark, sf):
     b = Bronze(spark, sf)
     stays_all = silver.fact_stays(_res(b), silver.pos_by_reservation(_pos(b)))
-    return analyst.orphan_stays(stays_all, _dim(b), b.inventory)
+    return analyst.orphan_stays(stays_all, _guest_ids(b), b.inventory)
 
 
 @query
@@ -372,7 +389,7 @@ def dq_fk_violations(spark, sf):
     from ..operators import joins
     rooms = joins.orphans(_res(b).filter(F.col("room_number").isNotNull()),
                           silver.clean_inventory(b.inventory), ["hotel_id", "room_number"])
-    return quality.fk_violations(analyst.orphan_stays(stays_all, _dim(b), b.inventory), rooms)
+    return quality.fk_violations(analyst.orphan_stays(stays_all, _guest_ids(b), b.inventory), rooms)
 
 
 @query
@@ -387,7 +404,7 @@ def dq_dimension_totals(spark, sf):
 
 @query
 def dq_latest_load(spark, sf):
-    return quality.latest_load(_res(Bronze(spark, sf)))
+    return quality.latest_load(_stays(Bronze(spark, sf)))
 
 
 @query
@@ -449,6 +466,14 @@ def json_rescued_fields(spark, sf):
     return r.select("res_id", keys.alias("rescued_keys"))
 
 
+@query
+def json_rescued_count(spark, sf):
+    """Q02: rows read and rows with rescued content."""
+    lines = json_io.read_lines(spark, _reservations_json(spark, sf))
+    r = json_io.rescue_malformed(lines, RESERVATIONS_NARROW)
+    return r.agg(F.count(F.lit(1)).alias("records_read"), F.count(json_io.RESCUED).alias("records_rescued"))
+
+
 @query
 def json_pinned_schema(spark, sf):
     """Infer the schema of the landed files once, store it beside them,
@@ -498,7 +523,7 @@ def stream_fact_stays(spark, sf):
     b = Bronze(spark, sf)
     first, second = reservation_drops(spark, sf)
     table = _snapshot(spark, _scratch(spark, "fact-stays"), ["res_id"])
-    fn = incremental.stays_batch_fn(table, _pos(b), _dim(b), b.inventory)
+    fn = incremental.stays_batch_fn(table, _pos(b), _guest_ids(b), b.inventory)
     _two_drops(spark, _scratch(spark, "stream-reservations"), first, second, fn)
     return table.read()
 
@@ -524,3 +549,82 @@ def stream_dim_guests(spark, sf):
     _two_drops(spark, _scratch(spark, "stream-guests"), b.guests, incremental.profile_updates(b.guests),
                incremental.guests_batch_fn(table))
     return table.read()
+
+
+@query
+def stream_replay_reset(spark, sf):
+    """The stream stops, its checkpoint is lost, and a new one applies all
+    files again together with those that came since: nothing is lost or doubled."""
+    from ..sources.driver_views import reservation_drops
+    b = Bronze(spark, sf)
+    table = _snapshot(spark, _scratch(spark, "replay"), ["res_id"])
+    fn = incremental.stays_batch_fn(table, _pos(b), _guest_ids(b), b.inventory)
+    src = _scratch(spark, "replay-reservations")
+    for part in reservation_drops(spark, sf):
+        json_io.chunked_json_sink(part, src, 3000, mode="append")
+        stream = incremental.json_stream(spark, src, _schema_of(part))
+        incremental.run_available_now(incremental.foreach_batch_sink(stream, fn, _scratch(spark, "ckpt")))
+    return table.read()
+
+
+# --------------------------------------------------------- saved tables
+from ..sources import tables  # noqa: E402
+
+
+def _table(what: str) -> str:
+    return f"hx_{what}_{uuid.uuid4().hex[:12]}"
+
+
+@query
+def table_overwrite_scan(spark, sf):
+    """Reservations saved twice over each other, then read."""
+    name, res = _table("res"), _res(Bronze(spark, sf))
+    tables.overwrite_table(res.select("res_id"), name)
+    if tables.table_exists(spark, name):
+        tables.overwrite_table(res, name)
+    return tables.table_scan(spark, name)
+
+
+@query
+def table_partitioned_calendar(spark, sf):
+    """The daily calendar saved with a folder per date, then read."""
+    name = _table("calendar")
+    tables.overwrite_partitioned(_calendar(Bronze(spark, sf)), name, "date")
+    return tables.table_scan(spark, name)
+
+
+@query
+def table_append_counts(spark, sf):
+    """S10 + Q11: charges with and without a reservation appended to one table;
+    the row counts of it and of a table that does not exist."""
+    name, pos = _table("pos"), _pos(Bronze(spark, sf))
+    tables.append_table(pos.filter("res_id is not null"), name)
+    tables.append_table(pos.filter("res_id is null"), name)
+    counts = quality.table_counts(spark, [name, _table("missing")])
+    return counts.select(F.when(F.col("table") == name, "pos").otherwise("missing").alias("table"), "rows")
+
+
+@query
+def stream_saved_reservations(spark, sf):
+    """A cleaned file stream appended to a table, which is then read."""
+    name, src = _table("stream"), _reservations_json(spark, sf)
+    cleaned = silver.parse_reservations(incremental.json_stream(spark, src, schemas.RESERVATIONS))
+    incremental.run_available_now(incremental.stream_to_table(cleaned, name, _scratch(spark, "ckpt")))
+    return tables.table_scan(spark, name)
+
+
+@query
+def compacted_calendar(spark, sf):
+    """The calendar rewritten range-clustered by hotel and date, then read."""
+    path = _scratch(spark, "compacted")
+    tables.compact_clustered(_calendar(Bronze(spark, sf)), path, ["hotel_id", "date"], 8)
+    return spark.read.parquet(path)
+
+
+@query
+def persisted_reuse(spark, sf):
+    """One kept calendar serves both the slot counts and the date range."""
+    kept = tables.persist_reuse(_calendar(Bronze(spark, sf)))
+    slots, dates = quality.overbooked_slots(kept), analyst.calendar_range(kept)
+    return slots.select(F.lit("slots").alias("report"), F.col("booked_slots").cast("string").alias("value")).unionByName(
+        dates.select(F.lit("first").alias("report"), F.col("min_date").cast("string").alias("value")))

@@ -334,7 +334,7 @@ sql("kpi_adr", "SELECT * FROM kpi_adr")
 sql("kpi_ancillary_attachment_rate", "SELECT * FROM kpi_ancillary")
 sql("kpi_housekeeping_turnover_time", "SELECT * FROM kpi_turnover")
 
-sql("kpi_weekend_vs_weekday_revenue", f"""
+cte("kpi_weekend", f"""
 SELECT date, hotel_id, is_weekend,
   CASE WHEN rooms_sold > 0 THEN {r2('total_room_revenue / rooms_sold')} ELSE 0.0 END AS adr,
   CASE WHEN total_available_rooms > 0 THEN {r2('total_room_revenue / total_available_rooms')} ELSE 0.0 END
@@ -348,6 +348,7 @@ FROM (SELECT n.date, n.hotel_id, dayofweek(n.date) IN (0, 6) AS is_weekend,
       FROM stay_nights n LEFT JOIN rooms_daily r ON n.date = r.date AND n.hotel_id = r.hotel_id
       GROUP BY n.date, n.hotel_id, dayofweek(n.date) IN (0, 6))
 """)
+sql("kpi_weekend_vs_weekday_revenue", "SELECT * FROM kpi_weekend")
 sql("kpi_executive_dashboard", """
 SELECT p.date, p.hotel_id, p.revpar, a.adr, c.attachment_rate_percentage, c.avg_ancillary_per_guest
 FROM kpi_revpar p
@@ -448,7 +449,7 @@ FROM fact_stays
 """)
 sql("tier_distribution", "SELECT loyalty_tier, count(*) AS n FROM dim_guests WHERE is_current GROUP BY 1")
 sql("channel_distribution", "SELECT booking_channel, count(*) AS n FROM fact_stays GROUP BY 1")
-sql("room_type_distribution", "SELECT room_type, count(*) AS n FROM fact_stays GROUP BY 1")
+sql("room_type_distribution", "SELECT room_type, count(*) AS n FROM calendar GROUP BY 1")
 sql("distinct_counts", """
 SELECT 'distinct_guests' AS metric, count(DISTINCT guest_id) AS value FROM fact_stays
 UNION ALL SELECT 'distinct_hotels', count(DISTINCT hotel_id) FROM fact_stays
@@ -470,6 +471,7 @@ sql("kpi_averages", f"""
 SELECT 'avg_revpar' AS metric, {dec_avg('revpar')} AS value FROM kpi_revpar
 UNION ALL SELECT 'avg_adr', {dec_avg('adr')} FROM kpi_adr
 UNION ALL SELECT 'avg_attachment_rate', {dec_avg('attachment_rate_percentage')} FROM kpi_ancillary
+UNION ALL SELECT 'avg_ancillary_per_guest', {dec_avg('avg_ancillary_per_guest')} FROM kpi_ancillary
 UNION ALL SELECT 'avg_turnover_minutes', {dec_avg('avg_turnover_time_minutes')} FROM kpi_turnover
 """)
 sql("guests_multi_version", """
@@ -483,7 +485,8 @@ WHERE check_in_date IS NOT NULL AND check_out_date IS NOT NULL AND check_out_dat
 sql("availability_calendar", """
 SELECT CAST(t.d AS DATE) AS date, i.hotel_id, i.room_number, i.room_type, c.res_id IS NULL AS is_available,
   c.res_id, c.guest_id, coalesce(c.is_overbooked, false) AS is_overbooked
-FROM inv_clean i CROSS JOIN generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-12-31', INTERVAL 1 DAY) t(d)
+FROM inv_clean i CROSS JOIN generate_series((SELECT CAST(min(date) AS TIMESTAMP) FROM calendar),
+  (SELECT CAST(max(date) AS TIMESTAMP) FROM calendar), INTERVAL 1 DAY) t(d)
 LEFT JOIN calendar c ON c.hotel_id = i.hotel_id AND c.room_number = i.room_number AND c.date = CAST(t.d AS DATE)
 """)
 sql("orphan_stays", "SELECT * FROM orphans")
@@ -527,7 +530,9 @@ sql("dq_null_critical", "SELECT count(*) AS rows, " + ", ".join(
     ["res_id", "guest_id", "hotel_id", "room_number", "check_in_date", "check_out_date", "total_price",
      "created_at"]) + " FROM bronze_reservations")
 sql("dq_fk_violations", """
-SELECT orphan_reason AS kind, count(*) AS violations FROM orphans GROUP BY 1
+SELECT 'guest' AS kind, count(*) AS violations FROM orphans WHERE orphan_reason = 'guest'
+UNION ALL
+SELECT 'hotel' AS kind, count(*) AS violations FROM orphans WHERE orphan_reason = 'hotel'
 UNION ALL
 SELECT 'room' AS kind, count(*) AS violations FROM res_clean r WHERE room_number IS NOT NULL
   AND NOT EXISTS (SELECT 1 FROM inv_clean i WHERE i.hotel_id = r.hotel_id AND i.room_number = r.room_number)
@@ -538,7 +543,7 @@ SELECT count(*) AS total_rows, count(DISTINCT guest_id) AS unique_guests,
   count(*) FILTER (WHERE is_current) AS current_rows, count(*) FILTER (WHERE NOT is_current) AS historical_rows
 FROM scd2_hist
 """)
-sql("dq_latest_load", "SELECT max(created_at) AS latest_created_at, count(*) AS rows FROM res_clean")
+sql("dq_latest_load", "SELECT max(created_at) AS latest_created_at, count(*) AS rows FROM fact_stays")
 
 
 def _shape(c: str) -> str:
@@ -766,3 +771,37 @@ FROM corrections_detect WHERE cur_id IS NULL OR loyalty_tier <> cur_tier
 """)
 
 sql("json_pinned_schema", "SELECT * FROM bronze_reservations")
+
+
+sql("calendar_date_range", "SELECT min(date) AS min_date, max(date) AS max_date FROM calendar")
+sql("json_rescued_count", """
+SELECT count(*) AS records_read,
+  count(*) FILTER (WHERE booking_channel IS NOT NULL OR created_at IS NOT NULL) AS records_rescued
+FROM bronze_reservations
+""")
+sql("stream_replay_reset", "SELECT * FROM fact_stays")
+sql("table_overwrite_scan", "SELECT * FROM res_clean")
+sql("table_partitioned_calendar", "SELECT * FROM calendar")
+sql("compacted_calendar", "SELECT * FROM calendar")
+sql("table_append_counts", """
+SELECT 'pos' AS "table", count(*) AS rows FROM pos_clean
+UNION ALL SELECT 'missing', CAST(NULL AS BIGINT)
+""")
+sql("stream_saved_reservations", """
+SELECT * FROM res_parsed
+WHERE check_in_date IS NOT NULL AND check_out_date IS NOT NULL AND check_out_date > check_in_date
+""")
+sql("persisted_reuse", """
+SELECT 'slots' AS report, CAST(count(*) AS VARCHAR) AS value FROM calendar
+UNION ALL SELECT 'first', CAST(min(date) AS VARCHAR) FROM calendar
+""")
+sql("kpi_weekend_comparison", f"""
+SELECT {r2('weekend_adr')} AS weekend_adr, {r2('weekday_adr')} AS weekday_adr, {r2('weekend_occ')} AS weekend_occ,
+  {r2('weekday_occ')} AS weekday_occ, round(prem + sign(prem) * 1e-9, 1) AS premium_pct,
+  abs(prem - 100) < 10 AS premium_validated
+FROM (SELECT *, CASE WHEN coalesce(weekday_adr, 1) > 0
+                THEN (coalesce(weekend_adr, 0) / coalesce(weekday_adr, 1) - 1) * 100 ELSE 0.0 END AS prem
+  FROM (SELECT avg(adr) FILTER (WHERE is_weekend) AS weekend_adr, avg(adr) FILTER (WHERE NOT is_weekend) AS weekday_adr,
+    avg(occupancy_rate) FILTER (WHERE is_weekend) AS weekend_occ,
+    avg(occupancy_rate) FILTER (WHERE NOT is_weekend) AS weekday_occ FROM kpi_weekend))
+""")
