@@ -3,6 +3,8 @@ O04, G03, J04, J05, J16, J17)."""
 
 from __future__ import annotations
 
+from string import Formatter
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from . import silver
 
 WEEKEND_PREMIUM_EXPECTED = 100.0   # fixed value: prices double at weekends
 WEEKEND_PREMIUM_TOLERANCE = 10.0   # fixed value: accepted distance in points
-NAME_DISTANCE_MAX = 3              # our threshold for "same person" in P15
+NAME_DISTANCE_TENTHS = 3           # our threshold for "same person" in P15, of the longer name's length
 
 
 # ----------------------------------------------------------------- P13 late POS
@@ -65,7 +67,7 @@ def weekend_premium(stays: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------- P15 fuzzy guest match
-def fuzzy_guest_match(cleaned_guests: DataFrame, max_distance: int = NAME_DISTANCE_MAX) -> DataFrame:
+def fuzzy_guest_match(cleaned_guests: DataFrame, tenths: int = NAME_DISTANCE_TENTHS) -> DataFrame:
     """Guests that share an e-mail base are compared by name with the
     survivor of their group (W01 winner), not pairwise: one comparison per
     guest, so a huge group costs linear work. ``is_same_person`` when the
@@ -77,7 +79,7 @@ def fuzzy_guest_match(cleaned_guests: DataFrame, max_distance: int = NAME_DISTAN
         F.col("guest_id") != F.col("survivor_guest_id"))
     dist = F.levenshtein(F.lower("name"), F.lower("survivor_name"))
     return j.select("guest_id", "survivor_guest_id", "dedup_key", "name", "survivor_name",
-                    dist.alias("name_distance"), (dist <= max_distance).alias("is_same_person"))
+                    dist.alias("name_distance"), (dist * 10 <= F.greatest(F.length("name"), F.length("survivor_name")) * tenths).alias("is_same_person"))
 
 
 # ------------------------------------------------------------------- summaries
@@ -101,12 +103,12 @@ def distribution(df: DataFrame, col: str) -> DataFrame:
 
 def distinct_counts(stays: DataFrame, calendar: DataFrame) -> DataFrame:
     """Distinct guests and hotels, stays and booked slots, as (metric, value)."""
-    from .quality import _metric, metrics
-    return metrics(_metric(stays, "distinct_guests", F.countDistinct("guest_id")),
-                   _metric(stays, "distinct_hotels", F.countDistinct("hotel_id")),
-                   _metric(stays, "stays", F.count(F.lit(1))),
-                   _metric(calendar, "booked_room_nights", F.count(F.lit(1))),
-                   _metric(calendar, "overbooked_room_nights", F.count_if("is_overbooked")))
+    from .quality import as_metrics
+    s = stays.agg(F.countDistinct("guest_id").alias("distinct_guests"),
+                  F.countDistinct("hotel_id").alias("distinct_hotels"), F.count(F.lit(1)).alias("stays"))
+    c = calendar.agg(F.count(F.lit(1)).alias("booked_room_nights"),
+                     F.count_if("is_overbooked").alias("overbooked_room_nights"))
+    return as_metrics(s).unionByName(as_metrics(c))
 
 
 def date_range(stays: DataFrame) -> DataFrame:
@@ -200,34 +202,39 @@ def full_availability_calendar(inventory_clean: DataFrame, calendar: DataFrame,
 
 
 # ------------------------------------------------------------- B01-B06 via SQL
-def register_views(spark: SparkSession, prefix: str = "hx_", **frames: DataFrame) -> None:
-    for name, df in frames.items():
-        df.createOrReplaceTempView(prefix + name)
+def analyst_sql(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    """Run one documented statement over its input, bound by name for this call only."""
+    return spark.sql(ANALYST_SQL[name], **{analyst_input(name): df})
+
+
+def analyst_input(name: str) -> str:
+    """Name of the table that a documented statement reads."""
+    return next(table for _, table, _, _ in Formatter().parse(ANALYST_SQL[name]) if table)
 
 
 # Output column names are fixed values: the documented ones.
 ANALYST_SQL = {
     "analyst_current_tiers": """
-        SELECT guest_id, name, email, loyalty_tier FROM hx_dim_guests WHERE is_current
+        SELECT guest_id, name, email, loyalty_tier FROM {dim_guests} WHERE is_current
         ORDER BY loyalty_tier DESC, guest_id""",
     "analyst_hotel_revenue": """
         SELECT hotel_id, COUNT(DISTINCT res_id) AS total_reservations,
                ROUND(SUM(total_folio_amount), 2) AS total_revenue,
                ROUND(AVG(total_folio_amount), 2) AS avg_revenue_per_stay
-        FROM hx_fact_stays GROUP BY hotel_id ORDER BY total_revenue DESC""",
+        FROM {fact_stays} GROUP BY hotel_id ORDER BY total_revenue DESC""",
     "analyst_revpar_by_date": """
         SELECT date, CAST(ROUND(AVG(CAST(revpar AS DECIMAL(18,2))), 2) AS DOUBLE) AS avg_revpar_all_hotels
-        FROM hx_kpi_revpar GROUP BY date ORDER BY date""",
+        FROM {kpi_revpar} GROUP BY date ORDER BY date""",
     "analyst_hotels_by_revpar": """
         SELECT hotel_id, CAST(ROUND(AVG(CAST(revpar AS DECIMAL(18,2))), 2) AS DOUBLE) AS avg_revpar
-        FROM hx_kpi_revpar GROUP BY hotel_id ORDER BY avg_revpar DESC""",
+        FROM {kpi_revpar} GROUP BY hotel_id ORDER BY avg_revpar DESC""",
     "analyst_turnover_by_date": """
         SELECT date, CAST(ROUND(AVG(CAST(avg_turnover_time_minutes AS DECIMAL(18,2))), 0) AS DOUBLE)
                AS avg_minutes
-        FROM hx_kpi_turnover GROUP BY date ORDER BY date""",
+        FROM {kpi_turnover} GROUP BY date ORDER BY date""",
     "analyst_low_attachment_hotels": """
         SELECT hotel_id, CAST(ROUND(AVG(CAST(attachment_rate_percentage AS DECIMAL(18,2))), 1) AS DOUBLE) AS attach_rate
-        FROM hx_kpi_ancillary GROUP BY hotel_id
+        FROM {kpi_ancillary} GROUP BY hotel_id
         HAVING attach_rate < 60
         ORDER BY attach_rate""",
 }

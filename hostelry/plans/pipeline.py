@@ -26,7 +26,7 @@ from . import gold, quality, silver
 def _write(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     w = df.write.mode("overwrite")
     if partition_by:
-        df = df.repartition(partition_by)
+        df = df.hint("rebalance", partition_by)
         w = df.write.mode("overwrite").partitionBy(partition_by)
     w.parquet(path)
 
@@ -43,7 +43,7 @@ def run_batch(spark: SparkSession, bronze_dir: str, out_dir: str) -> dict[str, s
         return spark.read.parquet(path)
 
     dim = save("silver", "dim_guests", silver.dim_guests_batch(b.guests))
-    res = silver.clean_reservations(b.reservations)
+    res = save("silver", "clean_reservations", silver.clean_reservations(b.reservations))
     stays = save("silver", "fact_stays_unified",
                  silver.fact_stays_unified(res, silver.clean_pos(b.pos), dim, b.inventory), "check_in_date")
     cal_path = f"{out}/silver/fact_room_availability_daily"

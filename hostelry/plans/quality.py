@@ -34,8 +34,10 @@ def metrics(*parts: DataFrame) -> DataFrame:
     return out
 
 
-def _metric(df: DataFrame, name: str, agg: F.Column) -> DataFrame:
-    return df.agg(agg.cast("long").alias("value")).select(F.lit(name).alias("metric"), "value")
+def as_metrics(row: DataFrame) -> DataFrame:
+    """The columns of a one-row aggregate as (metric, value) rows."""
+    return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("long").alias("value"))
+                                         for c in row.columns])))
 
 
 def duplicate_reservations(parsed_valid: DataFrame, deduped: DataFrame) -> DataFrame:
@@ -43,11 +45,10 @@ def duplicate_reservations(parsed_valid: DataFrame, deduped: DataFrame) -> DataF
     ids (same row apart from res_id and created_at), as (metric, value)."""
     content_cols = [c for c in deduped.columns if c not in ("res_id", "created_at")]
     content = deduped.groupBy(*content_cols).agg(F.count(F.lit(1)).alias("n"))
-    return metrics(
-        _metric(parsed_valid, "rows_before_dedup", F.count(F.lit(1))),
-        _metric(deduped, "rows_after_dedup", F.count(F.lit(1))),
-        _metric(content, "content_duplicates", F.coalesce(F.sum(F.col("n") - 1), F.lit(0))),
-    )
+    after = content.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_after_dedup"),
+                        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("content_duplicates"))
+    before = parsed_valid.agg(F.count(F.lit(1)).alias("rows_before_dedup"))
+    return as_metrics(before).unionByName(as_metrics(after))
 
 
 def overbooked_slots(calendar: DataFrame) -> DataFrame:

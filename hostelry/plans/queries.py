@@ -415,11 +415,9 @@ def dq_dirty_profile(spark, sf):
 # ------------------------------------------------------ documented SQL
 def _analyst_sql(name):
     def run(spark, sf):
-        b = Bronze(spark, sf)
-        revpar, adr, anc, turnover = _kpis(b)
-        analyst.register_views(spark, dim_guests=_dim(b), fact_stays=_stays(b), kpi_revpar=revpar,
-                               kpi_ancillary=anc, kpi_turnover=turnover)
-        return spark.sql(analyst.ANALYST_SQL[name])
+        inputs = {"dim_guests": _dim, "fact_stays": _stays, "kpi_revpar": lambda b: _kpis(b)[0],
+                  "kpi_ancillary": lambda b: _kpis(b)[2], "kpi_turnover": lambda b: _kpis(b)[3]}
+        return analyst.analyst_sql(spark, name, inputs[analyst.analyst_input(name)](Bronze(spark, sf)))
     run.__name__ = name
     return run
 

@@ -16,9 +16,6 @@ PRICE_BOUNDS = (0.0, 10000.0)     # fixed value: open interval for room price
 POS_AMOUNT_BOUNDS = (0.0, 5000.0)  # fixed value: open interval for POS amount
 HOTEL_IDS_BROADCAST_MAX = 1_000_000  # distinct hotel ids broadcast up to this many
 
-RES_COLUMNS = ("res_id", "guest_id", "hotel_id", "room_number", "room_type", "check_in_date",
-               "check_out_date", "total_price", "booking_channel", "created_at")
-
 
 # --------------------------------------------------------------------------- guests
 def clean_guests(guests: DataFrame) -> DataFrame:

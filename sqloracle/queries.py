@@ -434,7 +434,8 @@ FROM (SELECT avg(CASE WHEN dayofweek(check_in_date) IN (0, 6) THEN total_price E
 sql("fuzzy_guest_match", """
 SELECT g.guest_id, s.survivor_guest_id, g.dedup_key, g.name, s.survivor_name,
   CAST(levenshtein(lower(g.name), lower(s.survivor_name)) AS INTEGER) AS name_distance,
-  levenshtein(lower(g.name), lower(s.survivor_name)) <= 3 AS is_same_person
+  levenshtein(lower(g.name), lower(s.survivor_name)) * 10 <= greatest(length(g.name), length(s.survivor_name)) * 3
+    AS is_same_person
 FROM guests_clean g JOIN guest_survivors s ON g.dedup_key = s.dedup_key
 WHERE g.guest_id <> s.survivor_guest_id
 """)
