@@ -223,6 +223,19 @@ def test_search(docs, empty):
     assert search.search(docs, empty).count() == 0 and search.search(empty, docs).count() == 0
 
 
+def test_search_in_shards_without_long_terms(lspark):
+    """One partition of texts without words, one of 30 documents that share no term."""
+    def part(data):
+        return lspark.createDataFrame(data, "doc_id long, text string").coalesce(1)
+    blank = part([(101, None), (102, ""), (103, " \n\t "), (None, "")])
+    alone = part([(i, f"only{i} only{i}") for i in range(30)])
+    n, mean = 34, 60 / 34
+    score = round(math.log1p((n - 0.5) / 1.5) * 2 * 2.2 / (2 + 1.2 * (0.25 + 0.75 * 2 / mean)), 6)
+    docs = blank.union(alone)
+    assert Counter(map(tuple, rows(search.search(docs, docs)))) == Counter((i, 1, i, score) for i in range(30))
+    assert search.search(blank, alone).count() == 0 and search.search(blank, blank).count() == 0
+
+
 # --- 4: archives
 
 def test_warc(lspark):
