@@ -71,7 +71,8 @@ def fuzzy_guest_match(cleaned_guests: DataFrame, tenths: int = NAME_DISTANCE_TEN
     """Guests that share an e-mail base are compared by name with the
     survivor of their group (W01 winner), not pairwise: one comparison per
     guest, so a huge group costs linear work. ``is_same_person`` when the
-    case-insensitive Levenshtein distance is within ``max_distance``."""
+    case-insensitive Levenshtein distance is within ``max_distance``. Guests who
+    differ from the survivor may be alike: see ``fuzzy_name_links``."""
     order = [F.col("updated_at").desc_nulls_last(), F.col("guest_id").desc()]
     survivors = dedup.latest_per_key(cleaned_guests, ["dedup_key"], order).select(
         "dedup_key", F.col("guest_id").alias("survivor_guest_id"), F.col("name").alias("survivor_name"))
@@ -82,6 +83,55 @@ def fuzzy_guest_match(cleaned_guests: DataFrame, tenths: int = NAME_DISTANCE_TEN
                     dist.alias("name_distance"), (dist * 10 <= F.greatest(F.length("name"), F.length("survivor_name")) * tenths).alias("is_same_person"))
 
 
+def fuzzy_name_links(cleaned_guests: DataFrame, tenths: int = NAME_DISTANCE_TENTHS) -> DataFrame:
+    """P15, all pairs of a group: every two names of one e-mail base within the
+    distance of ``fuzzy_guest_match`` that two different guests bear, a name that
+    several guests share being linked with itself. With ``fuzzy_name_members``
+    these are all pairs of guests, without a row for each.
+
+    Exact segment join instead of all pairs: the longer name is cut into one
+    segment more than edits are allowed, so the shorter one holds a segment
+    unchanged, shifted no further than the edits left and right of it permit.
+    Only names that share such a segment are compared. Groups of one guest are
+    left out before names are cut."""
+    names = cleaned_guests.groupBy("dedup_key", "name").agg(F.min("guest_id").alias("first"), F.max("guest_id").alias("last"))
+    names = names.withColumn("low", F.lower("name")).withColumn("size", F.length("name")).withColumn("chars", F.length("low"))
+    shape = F.struct("size", "chars")
+    groups = names.groupBy("dedup_key").agg(F.collect_set(shape).alias("shapes"), F.count(F.lit(1)).alias("n"),
+                                            F.min("first").alias("lo"), F.max("last").alias("hi"))
+    # names of one group differ in few lengths, so that the set of them stays small
+    several = names.join(groups.filter("n > 1 AND lo < hi").select("dedup_key", "shapes"), "dedup_key")
+
+    def cut(df: DataFrame) -> DataFrame:
+        """One row for each segment of a name of ``size`` and ``chars``."""
+        df = df.withColumn("edits", F.expr(f"CAST(size * {tenths} DIV 10 AS INT)"))
+        df = df.withColumn("part", F.explode(F.sequence(F.lit(0), "edits")))
+        return df.withColumn("start", F.expr("CAST(part * chars DIV (edits + 1) AS INT)")).withColumn(
+            "width", F.expr("CAST((part + 1) * chars DIV (edits + 1) AS INT) - start"))
+    key = ["dedup_key", "size", "chars", "part", "piece"]
+    longer = cut(several).select(*key[:-1], F.expr("substring(low, start + 1, width)").alias("piece"), "name", "low", "first", "last", "edits")
+    shorter = several.select("dedup_key", F.col("name").alias("name_2"), F.col("low").alias("low_2"), F.col("first").alias("first_2"),
+                             F.col("last").alias("last_2"), F.col("size").alias("size_2"), F.col("chars").alias("chars_2"),
+                             F.explode("shapes").alias("shape")).select("*", "shape.*").drop("shape")
+    shorter = shorter.filter(f"size >= size_2 AND abs(chars - chars_2) * 10 <= size * {tenths}")
+    shorter = cut(shorter).withColumn("from", F.expr("greatest(0, start - CAST((edits + chars - chars_2) DIV 2 AS INT))")).withColumn(
+        "to", F.expr("least(chars_2 - width, start + CAST((edits - chars + chars_2) DIV 2 AS INT))"))
+    shorter = shorter.filter("`from` <= `to`").withColumn("at", F.explode(F.sequence("from", "to")))
+    shorter = shorter.select(*key[:-1], F.expr("substring(low_2, at + 1, width)").alias("piece"), "name_2", "low_2", "first_2", "last_2", "size_2")
+    pairs = longer.join(shorter, key).filter("size > size_2 OR name > name_2").filter("least(first, first_2) < greatest(last, last_2)")
+    links = pairs.withColumn("name_distance", F.levenshtein("low", "low_2")).filter("name_distance <= edits").select(
+        "dedup_key", F.least("name", "name_2").alias("name"), F.greatest("name", "name_2").alias("other_name"), "name_distance").distinct()
+    shared = names.filter("first < last AND name IS NOT NULL")
+    return links.unionByName(shared.select("dedup_key", "name", F.col("name").alias("other_name"), F.lit(0).alias("name_distance")))
+
+
+def fuzzy_name_members(cleaned_guests: DataFrame) -> DataFrame:
+    """The guests behind the names of ``fuzzy_name_links``, for every
+    e-mail base that several guests share."""
+    groups = cleaned_guests.groupBy("dedup_key").agg(F.min("guest_id").alias("lo"), F.max("guest_id").alias("hi")).filter("lo < hi")
+    return cleaned_guests.select("dedup_key", "name", "guest_id").distinct().join(groups.select("dedup_key"), "dedup_key", "left_semi")
+
+
 # ------------------------------------------------------------------- summaries
 def stays_averages(stays: DataFrame) -> DataFrame:
     """A09 + A16 (Q10): totals and four averages over the stays in one pass."""

@@ -252,6 +252,16 @@ def fuzzy_guest_match(spark, sf):
     return analyst.fuzzy_guest_match(silver.clean_guests(Bronze(spark, sf).guests))
 
 
+@query
+def fuzzy_name_links(spark, sf):
+    return analyst.fuzzy_name_links(silver.clean_guests(Bronze(spark, sf).guests))
+
+
+@query
+def fuzzy_name_members(spark, sf):
+    return analyst.fuzzy_name_members(silver.clean_guests(Bronze(spark, sf).guests))
+
+
 # ------------------------------------------------------------- summaries
 @query
 def stays_summary(spark, sf):

@@ -439,6 +439,16 @@ SELECT g.guest_id, s.survivor_guest_id, g.dedup_key, g.name, s.survivor_name,
 FROM guests_clean g JOIN guest_survivors s ON g.dedup_key = s.dedup_key
 WHERE g.guest_id <> s.survivor_guest_id
 """)
+sql("fuzzy_name_links", """
+SELECT DISTINCT a.dedup_key, least(a.name, b.name) AS name, greatest(a.name, b.name) AS other_name,
+  CAST(levenshtein(lower(a.name), lower(b.name)) AS INTEGER) AS name_distance
+FROM guests_clean a JOIN guests_clean b ON a.dedup_key = b.dedup_key AND a.guest_id < b.guest_id
+WHERE levenshtein(lower(a.name), lower(b.name)) * 10 <= greatest(length(a.name), length(b.name)) * 3
+""")
+sql("fuzzy_name_members", """
+SELECT DISTINCT g.dedup_key, g.name, g.guest_id FROM guests_clean g
+WHERE EXISTS (SELECT 1 FROM guests_clean o WHERE o.dedup_key = g.dedup_key AND o.guest_id <> g.guest_id)
+""")
 sql("stays_summary", f"""
 SELECT count(*) AS total_stays, count(*) FILTER (WHERE pos_item_count > 0) AS stays_with_pos,
   count(*) FILTER (WHERE pos_item_count = 0) AS stays_without_pos, avg(total_price) AS avg_room_price,
