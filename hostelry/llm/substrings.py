@@ -1,4 +1,4 @@
-"""Substring deduplication over prefix-partitioned suffix trees (operator 1).
+"""Substring deduplication by prefix-partitioned window hashes, which stand in for suffix trees (operator 1).
 
 A window is ``WINDOW`` consecutive words. A word goes if a window that covers it
 has the same words as a window of a document with a smaller key; all windows are
@@ -15,9 +15,9 @@ judged on the input.
    words long, and longer (``LADDER``) where a group would exceed
    ``GROUP_SUFFIXES``. What one batch holds several times is settled there and
    sent once, so a passage that a third of all documents share stays small.
-4. In each group the suffixes are sorted by prefix hash, which is the subtree's
-   leaf order at depth WINDOW: leaves with equal hash hang below one deep
-   internal node. Leaves whose key is above the node's smallest are repeats.
+4. In each group the suffixes are sorted by the hash of their first WINDOW words.
+   No tree is built: equal hashes are the leaves that would hang below one node
+   of depth WINDOW. Those whose key is above the node's smallest are repeats.
 5. The repeats of a document, merged, are its maximal repeated spans.
 
 Hashes are 64 bits wide; a class is known by SHA-256.
