@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clean import surrogate_key
@@ -52,7 +52,8 @@ def scd2_from_history(df: DataFrame, key: str = "guest_id", ts: str = "updated_a
 
 def scd2_apply_batch(dim: DataFrame | None, batch: DataFrame, key: str = "guest_id",
                      tracked: str = "loyalty_tier", ts: str = "updated_at",
-                     type1_cols: Sequence[str] = (), reject_out_of_order: bool = False) -> DataFrame:
+                     type1_cols: Sequence[str] = (), reject_out_of_order: bool = False,
+                     processing_time: Column | None = None) -> DataFrame:
     """New dimension = old dimension with changed keys expired + new versions
     + new keys (P02 with J09-J11 and S12 in one plan).
 
@@ -61,7 +62,9 @@ def scd2_apply_batch(dim: DataFrame | None, batch: DataFrame, key: str = "guest_
     row. The expired row's ``valid_to`` is the new version's ``valid_from``.
     Options (D07): ``type1_cols`` are overwritten in place on the current row
     when the tracked value did not change; ``reject_out_of_order`` ignores
-    incoming rows older than the current version. Unchanged keys otherwise
+    incoming rows older than the current version. Option (D06): the expired row
+    ends at ``processing_time`` instead, the new version still begins at its own
+    time; a replay gives the same rows if the time given is the same. Unchanged keys otherwise
     leave the dimension untouched, so applying a batch twice equals once.
     """
     payload = [c for c in DIM_COLUMNS if c not in
@@ -90,7 +93,7 @@ def scd2_apply_batch(dim: DataFrame | None, batch: DataFrame, key: str = "guest_
                .select(*DIM_COLUMNS))
     # one action per touched key: expire (tracked value changed) or type-1 overwrite
     t1 = list(type1_cols)
-    actions = changed.select(F.col(key).alias("_ak"), F.col(ts).cast(vto_type).alias("_end"),
+    actions = changed.select(F.col(key).alias("_ak"), (F.col(ts) if processing_time is None else processing_time).cast(vto_type).alias("_end"),
                              *[F.lit(None).cast(batch.schema[c].dataType).alias(f"_n_{c}") for c in t1])
     if t1:
         same = detect.filter(F.col("_ck").isNotNull() & (F.col(tracked) == F.col("_ctier")))

@@ -329,6 +329,18 @@ def top_revpar_days(spark, sf):
     return analyst.top_revpar_days(_kpis(Bronze(spark, sf))[0])
 
 
+@query
+def reservations_one_per_content(spark, sf):
+    """D02 option: copies of a reservation under new ids go."""
+    return silver.clean_reservations(Bronze(spark, sf).reservations, silver.RESERVATION_CONTENT)
+
+
+@query
+def pos_one_per_content(spark, sf):
+    """D02 option: copies of a charge under new ids go."""
+    return silver.clean_pos(Bronze(spark, sf).pos, silver.POS_CONTENT)
+
+
 @query
 def reservations_one_per_id(spark, sf):
     """dropDuplicates on res_id, keeping columns equal across copies."""
@@ -548,6 +560,16 @@ def stream_dim_guests_type1(spark, sf):
     return table.read()
 
 
+@query
+def stream_dim_guests_processing_time(spark, sf):
+    """D06 option on T01: expired rows end at the time of processing, here a fixed one."""
+    b = Bronze(spark, sf)
+    table = _snapshot(spark, _scratch(spark, "dim-guests-pt"), ["guest_id"])
+    fn = incremental.guests_batch_fn(table, processing_time=F.lit("2026-01-01 12:00:00"))
+    _two_drops(spark, _scratch(spark, "stream-guests-pt"), b.guests, incremental.profile_updates(b.guests), fn)
+    return table.read()
+
+
 @query
 def stream_dim_guests(spark, sf):
     """Guests arrive, then a drop of profile updates; each batch is

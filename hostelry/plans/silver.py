@@ -6,6 +6,8 @@ collected or written here.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +16,10 @@ from ..operators import dedup, filters, joins, nights, scd2
 
 PRICE_BOUNDS = (0.0, 10000.0)     # fixed value: open interval for room price
 POS_AMOUNT_BOUNDS = (0.0, 5000.0)  # fixed value: open interval for POS amount
+#: What copies under new ids have in common.
+RESERVATION_CONTENT = ("guest_id", "hotel_id", "room_number", "room_type", "check_in_date", "check_out_date", "total_price",
+                       "booking_channel")
+POS_CONTENT = ("res_id", "item_name", "category", "amount", "timestamp")
 HOTEL_IDS_BROADCAST_MAX = 1_000_000  # distinct hotel ids broadcast up to this many
 
 
@@ -74,24 +80,29 @@ def parse_reservations(res: DataFrame, checkout_formats=C.CHECKOUT_DATE_FORMATS)
     return filters.valid_interval(r, "check_in_date", "check_out_date")
 
 
-def clean_reservations(res: DataFrame) -> DataFrame:
+def clean_reservations(res: DataFrame, content_key: Sequence[str] = ()) -> DataFrame:
     """Typed, bounded, one row per res_id (W02: latest created_at; ties
-    broken by the row content so the result is deterministic)."""
+    broken by the row content so the result is deterministic). Option (D02):
+    rows equal on ``content_key`` are copies under new ids, and the one of
+    smallest res_id stays."""
     parsed = parse_reservations(res)
     order = [F.col("created_at").desc_nulls_last(), F.col("total_price").desc_nulls_last(),
              F.col("check_in_date").desc(), F.col("check_out_date").desc()]
-    return dedup.latest_per_key(parsed, ["res_id"], order)
+    one = dedup.latest_per_key(parsed, ["res_id"], order)
+    return dedup.latest_per_key(one, content_key, [F.col("res_id").asc()]) if content_key else one
 
 
 # ------------------------------------------------------------------------------ POS
-def clean_pos(pos: DataFrame) -> DataFrame:
-    """C01, C07, C11, C13."""
+def clean_pos(pos: DataFrame, content_key: Sequence[str] = ()) -> DataFrame:
+    """C01, C07, C11, C13. Option (D02): of the rows equal on
+    ``content_key`` the one of smallest txn_id stays."""
     p = filters.require_keys(pos, ["txn_id"])
     p = p.select("txn_id", "res_id", "item_name",
                  C.canonical_category("category").alias("category"),
                  C.null_outside_range("amount", *POS_AMOUNT_BOUNDS).alias("amount"),
                  C.parse_ts_multi("timestamp").alias("timestamp"))
-    return p.filter(F.col("amount").isNotNull() & F.col("timestamp").isNotNull())
+    p = p.filter(F.col("amount").isNotNull() & F.col("timestamp").isNotNull())
+    return dedup.latest_per_key(p, content_key, [F.col("txn_id").asc()]) if content_key else p
 
 
 def pos_by_reservation(pos_clean: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -71,14 +71,15 @@ def stream_to_table(stream: DataFrame, name: str, checkpoint: str) -> "Streaming
 
 
 # ----------------------------------------------------------------- T01 / P02
-def guests_batch_fn(dim_table: BucketedSnapshotTable, type1_cols=(), reject_out_of_order: bool = False
-                    ) -> Callable[[DataFrame, int, str], None]:
+def guests_batch_fn(dim_table: BucketedSnapshotTable, type1_cols=(), reject_out_of_order: bool = False,
+                    processing_time: Column | None = None) -> Callable[[DataFrame, int, str], None]:
     """foreachBatch body for the SCD2 guest dimension (P02 / T01): only the
     buckets of the batch's guests are read and rewritten."""
     def fn(batch: DataFrame, batch_id: int, stream: str = "") -> None:
         latest = silver.latest_guests(silver.clean_guests(batch))
         dim_table.commit(lambda cur, b: scd2.scd2_apply_batch(cur, b, type1_cols=type1_cols,
-                                                             reject_out_of_order=reject_out_of_order),
+                                                             reject_out_of_order=reject_out_of_order,
+                                                             processing_time=processing_time),
                          latest, batch_id, stream)
     return fn
 

@@ -489,6 +489,14 @@ sql("guests_multi_version", """
 SELECT * FROM scd2_hist WHERE guest_id IN (SELECT guest_id FROM scd2_hist GROUP BY guest_id HAVING count(*) > 1)
 """)
 sql("top_revpar_days", "SELECT * FROM kpi_revpar ORDER BY revpar DESC, date, hotel_id LIMIT 10")
+sql("reservations_one_per_content", """
+SELECT * FROM res_clean WHERE res_id IN (SELECT min(res_id) FROM res_clean GROUP BY guest_id, hotel_id, room_number,
+  room_type, check_in_date, check_out_date, total_price, booking_channel)
+""")
+sql("pos_one_per_content", """
+SELECT * FROM pos_clean WHERE txn_id IN (SELECT min(txn_id) FROM pos_clean
+  GROUP BY res_id, item_name, category, amount, "timestamp")
+""")
 sql("reservations_one_per_id", """
 SELECT DISTINCT res_id, hotel_id, guest_id FROM res_parsed
 WHERE check_in_date IS NOT NULL AND check_out_date IS NOT NULL AND check_out_date > check_in_date
@@ -649,6 +657,21 @@ FROM updates_latest u LEFT JOIN dim_v1 v ON u.guest_id = v.guest_id AND v.is_cur
 WHERE v.guest_id IS NULL OR u.loyalty_tier <> v.loyalty_tier
 """)
 
+cte("tier_changes", """
+SELECT u.*, v.version AS old FROM updates_latest u JOIN dim_v1 v ON u.guest_id = v.guest_id AND u.loyalty_tier <> v.loyalty_tier
+""")
+sql("stream_dim_guests_processing_time", """
+SELECT * REPLACE (CASE WHEN guest_id IN (SELECT guest_id FROM tier_changes) THEN TIMESTAMP '2026-01-01 12:00:00' END AS valid_to,
+  guest_id NOT IN (SELECT guest_id FROM tier_changes) AS is_current) FROM dim_v1
+UNION ALL BY NAME
+SELECT CAST(guest_id AS VARCHAR) || '_' || CAST(old + 1 AS VARCHAR) AS guest_sk, guest_id, name, email, loyalty_tier,
+  country, registration_date, updated_at AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, true AS is_current,
+  CAST(old + 1 AS BIGINT) AS version FROM tier_changes
+UNION ALL BY NAME
+SELECT CAST(guest_id AS VARCHAR) || '_1' AS guest_sk, guest_id, name, email, loyalty_tier, country, registration_date,
+  updated_at AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, true AS is_current, CAST(1 AS BIGINT) AS version
+FROM updates_latest WHERE guest_id NOT IN (SELECT guest_id FROM dim_v1)
+""")
 sql("kpi_revpar_inventory_capacity", f"""
 SELECT v.date, v.hotel_id, {r2('v.total_room_revenue')} AS total_room_revenue, v.rooms_sold,
   c.total_available_rooms,
