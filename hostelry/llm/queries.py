@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from hostelry.llm import bpe, jaccard, language, mixing, quality, search, substrings, token_counts, token_files, warc
+from hostelry.llm import bpe, jaccard, language, mixing, quality, search, spelling, substrings, token_counts, token_files, warc
 from hostelry.llm.common import documents, ship
 
 
@@ -57,8 +57,13 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(documents(ship(spark), sf_dir), _tokenizer())
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.spelling_variants(documents(ship(spark), sf_dir))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_substring_dedup, op2_search_top_k, op3_bpe_round_trip, op4_warc_archives, op5_jaccard_components, op6_quality_rules, op7_token_counts, op8_mix_sources,
-                                   op9_language_id, op10_token_files)}
+                                   op9_language_id, op10_token_files, op12_spelling_variants)}
 
 OP2_SQL = r"""
 WITH w AS (
@@ -121,4 +126,27 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n
 FROM w LEFT JOIN k USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_search_top_k": OP2_SQL, "op4_warc_archives": OP4_SQL, "op5_jaccard_components": OP5_SQL}
+#: crc32 by its table, which is made here too. Near words: equal but for one place, or one is the other without one place.
+OP12_SQL = r"""
+WITH RECURSIVE z AS (SELECT list_transform(range(256), lambda b: list_reduce(list_concat([b], range(8)),
+  lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+o AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents),
+d AS (SELECT doc_id, run, count(*) AS n FROM o WHERE length(run) >= 6 GROUP BY doc_id, run),
+y AS (SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM d),
+h AS (SELECT run, n, xor(4294967295, list_reduce(list_concat([4294967295], list_transform(range(length(x) // 2), lambda i: ('0x' || x[2 * i + 1:2 * i + 2])::BIGINT)),
+  lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]))) AS crc FROM y, z),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM (
+  SELECT CASE WHEN crc % 199 = 0 THEN run[:crc % length(run)] || run[crc % length(run) + 2:] ELSE run END AS word, n FROM h)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+v AS (SELECT word, i, word[:i - 1] || word[i + 1:] AS less FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (SELECT a.word AS a, b.word AS b FROM v a JOIN v b USING (i, less) WHERE a.word <> b.word
+  UNION SELECT v.word, w.word FROM v JOIN w ON v.less = w.word
+  UNION SELECT w.word, v.word FROM v JOIN w ON v.less = w.word),
+m AS (SELECT a, count(*) AS n_near, arg_min(b, (-w.n, b)) AS near, max(w.n) AS near_n FROM p JOIN w ON w.word = b GROUP BY a),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form, CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+  FROM w LEFT JOIN m ON a = word),
+r AS (SELECT word, word AS root, form FROM f UNION ALL SELECT r.word, f.word, f.form FROM r JOIN f ON r.form = f.word)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM f JOIN r ON r.word = f.word AND r.form IS NULL
+"""
+
+SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_search_top_k": OP2_SQL, "op4_warc_archives": OP4_SQL, "op5_jaccard_components": OP5_SQL, "op12_spelling_variants": OP12_SQL}
