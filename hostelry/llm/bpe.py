@@ -10,7 +10,9 @@ fragments, mostly words, are then encoded once per worker instead of once per
 occurrence. Decoding looks bytes up by id and reads them as UTF-8.
 
 Edge cases: null text is empty text (no ids, empty decoded text). A text
-without such a boundary is one fragment. Special strings inside a text are
+without such a boundary is one fragment; a fragment of more than
+``LONG_FRAGMENT`` characters (a million blanks or letters) is encoded by the
+library. Special strings inside a text are
 treated as the tokenizers library does by default; they contain no white
 space, so no cut falls into one. Rows keep their number, order within a
 partition and repetition; columns other than those asked for are left alone.
@@ -37,6 +39,9 @@ FRAGMENT_CACHE = 400_000
 ENCODE_BYTES = 8 << 20
 #: Fragments given to the library in one string.
 TOGETHER = 64
+#: Characters of a fragment from which on it goes to the library: the rank-based
+#: encoder's pattern overflows its stack on a million blanks in a row.
+LONG_FRAGMENT = 100_000
 #: Fixed value: the pattern by which byte-level BPE splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _CUT = re.compile(r"(?<=\S)[ \n]")
@@ -143,7 +148,7 @@ class FragmentEncoder:
         for i in range(0, len(fragments), together):
             group = fragments[i:i + together]
             joined = "".join(group)
-            if any(a in joined for a in self.added):
+            if max(map(len, group)) > LONG_FRAGMENT or any(a in joined for a in self.added):
                 got = self.tokenizer.encode(joined, add_special_tokens=False).ids
             else:
                 got = self.ranked.encode_ordinary(joined)

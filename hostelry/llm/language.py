@@ -41,7 +41,7 @@ BUCKETS = (256, 2048, 4096)
 WIDTH = sum(BUCKETS)
 EPOCHS, REGULAR = 200, 1e-4
 _OTHER = re.compile(r"[\W\d_]+")
-_LETTER = re.compile(r"[^\W\d_]")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 def family(lang: str) -> str:
@@ -50,8 +50,8 @@ def family(lang: str) -> str:
 
 def describe(text: str) -> np.ndarray | None:
     """Feature vector of a text; None without a letter."""
-    if not _LETTER.search(text):
-        return None
+    if not any(c.isalpha() for m in _WORD.finditer(text) for c in m[0]):
+        return None  # numeric characters such as fractions are no letters
     b = np.frombuffer(f" {_OTHER.sub(' ', text).strip().lower()} ".encode(), np.uint8).astype(np.uint32)
     two = (b[:-1] * 0x9E37 + b[1:] * 0x85EB) >> 3
     three = (b[:-2] * 0x9E3779B1 + b[1:-1] * 0x85EBCA77 + b[2:] * 0xC2B2AE3D) >> 15

@@ -86,6 +86,18 @@ def test_token_counts(docs, empty, tokenizer):
     assert got == want and token_counts.token_counts(empty, PATH).count() == 0
 
 
+LONG = {"blanks": " " * 2_000_000, "tabs": "\t" * 2_000_000, "lines": "\n" * 2_000_000, "letters": "x" * 2_000_000, "mixed": "a " + " " * 1_200_000 + "b"}
+
+
+@pytest.mark.parametrize("kind", LONG)
+def test_long_runs_encode_like_the_library(tokenizer, kind):
+    import pyarrow as pa
+    ids, counts = bpe.FragmentEncoder(PATH).encode(pa.array(["a b", LONG[kind], "c"], pa.large_string()))
+    want = [ids_of(tokenizer, t) for t in ("a b", LONG[kind], "c")]
+    assert counts.tolist() == [len(w) for w in want]
+    assert np.array_equal(ids, np.concatenate([np.array(w, np.uint32) for w in want]))
+
+
 def test_svb_round_trip():
     rng = np.random.default_rng(1)
     for n in (0, 1, 3, 4, 1001):
@@ -358,6 +370,7 @@ def test_language(lspark, docs, empty):
     odd = {r.doc_id: r for r in rows(language.identify(docs))}
     assert all(odd[i].lang_pred == "und" and odd[i].score == 0 for i in (1, 2, 3, 16)) and all(0 <= r.score <= 1 for r in odd.values())
     assert language.identify(empty).count() == 0
+    assert all(language.describe(t) is None for t in ("½ ²", "① ②", "Ⅻ", "12_3 !", "")) and language.describe("½ é") is not None
     assert {r.lang_pred for r in rows(language.predict(docs, None))} == {"und"}
 
 
