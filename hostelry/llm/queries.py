@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from hostelry.llm import bpe, jaccard, language, mixing, quality, search, spelling, substrings, token_counts, token_files, warc
+from hostelry.llm import bpe, jaccard, language, minhash, mixing, quality, search, spelling, substrings, token_counts, token_files, warc
 from hostelry.llm.common import documents, ship
 
 
@@ -62,8 +62,13 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op13_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.minhash_components(documents(ship(spark), sf_dir))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES = {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_substring_dedup, op2_search_top_k, op3_bpe_round_trip, op4_warc_archives, op5_jaccard_components, op6_quality_rules, op7_token_counts, op8_mix_sources,
-                                   op9_language_id, op10_token_files, op12_spelling_variants)}
+                                   op9_language_id, op10_token_files, op12_spelling_variants, op13_minhash_components)}
 
 OP2_SQL = r"""
 WITH w AS (
@@ -113,6 +118,9 @@ SELECT s.doc_id, len(s.sh)::BIGINT AS n_shingles, coalesce(k.component, s.doc_id
 FROM s LEFT JOIN k ON list_sort(s.sh) = k.sh
 """
 
+#: The same with the other threshold, and whether a document stands for its component.
+OP13_SQL = OP5_SQL.replace(">= 80 *", ">= 85 *").replace("AS component_id\n", "AS component_id, s.doc_id = coalesce(k.component, s.doc_id) AS kept\n")
+
 OP1_SQL = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 x AS (SELECT doc_id, unnest(range(1, len(ws) - 48)) AS s, ws FROM w WHERE len(ws) >= 50),
@@ -149,4 +157,4 @@ r AS (SELECT word, word AS root, form FROM f UNION ALL SELECT r.word, f.word, f.
 SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n FROM f JOIN r ON r.word = f.word AND r.form IS NULL
 """
 
-SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_search_top_k": OP2_SQL, "op4_warc_archives": OP4_SQL, "op5_jaccard_components": OP5_SQL, "op12_spelling_variants": OP12_SQL}
+SQL: dict[str, str] = {"op1_substring_dedup": OP1_SQL, "op2_search_top_k": OP2_SQL, "op4_warc_archives": OP4_SQL, "op5_jaccard_components": OP5_SQL, "op12_spelling_variants": OP12_SQL, "op13_minhash_components": OP13_SQL}
