@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from hostelry.llm import bpe, jaccard, language, minhash, mixing, quality, search, spelling, substrings, token_counts, token_files, warc
+from hostelry.llm import bpe, jaccard, language, minhash, mixing, quality, search, spelling, substrings, token_counts, token_files, turns, warc
 from hostelry.llm.common import documents, ship
 
 
@@ -57,6 +57,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(documents(ship(spark), sf_dir), _tokenizer())
 
 
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.repair_conversations(ship(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spelling.spelling_variants(documents(ship(spark), sf_dir))
     return found.select("word", "form", "root", "n", "n_near", "form_n")
@@ -68,7 +72,7 @@ def op13_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_substring_dedup, op2_search_top_k, op3_bpe_round_trip, op4_warc_archives, op5_jaccard_components, op6_quality_rules, op7_token_counts, op8_mix_sources,
-                                   op9_language_id, op10_token_files, op12_spelling_variants, op13_minhash_components)}
+                                   op9_language_id, op10_token_files, op11_repair_conversations, op12_spelling_variants, op13_minhash_components)}
 
 OP2_SQL = r"""
 WITH w AS (
