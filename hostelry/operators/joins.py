@@ -9,34 +9,13 @@ from pyspark.sql import functions as F
 
 from . import ordered
 
-# Default row bound under which a dimension side is broadcast explicitly.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only behind a checked size bound.
-
-    The check runs ``limit(max_rows + 1).count()``, which stops scanning as soon
-    as the bound is exceeded. Above the bound the side is returned unhinted
-    and the planner (with AQE's runtime statistics) chooses the join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def keep_known(df: DataFrame, known: DataFrame, keys: Sequence[str],
-               small_domain_rows: int | None = None) -> DataFrame:
-    """Rows whose key exists in ``known`` (J02, J03, J05): a left-semi join,
-    which never multiplies rows.
-
-    ``small_domain_rows``: the key has a small domain (e.g. hotel ids). Its
-    distinct values are then broadcast behind the size check of
-    ``broadcast_if_small`` -- a shuffle on such a key would send all rows of
-    one hotel to one task."""
-    right = known.select(*keys)
-    if small_domain_rows:
-        right = broadcast_if_small(right.distinct(), small_domain_rows)
-    return df.join(right, list(keys), "left_semi")
+def keep_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key exists in ``known`` (J02, J03, J05, J15): a left-semi join,
+    which never multiplies rows. The known keys are made distinct first, so of a small
+    domain (e.g. hotel ids) a few values are left, whose measured size lets
+    adaptive execution broadcast them instead of gathering a hotel's rows in one task; a
+    large domain is joined by shuffle, and skewed keys are split."""
+    return df.join(known.select(*keys).distinct(), list(keys), "left_semi")
 
 
 def orphans(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -72,7 +51,7 @@ def last_before(facts: DataFrame, anchors: DataFrame, key: str, fact_at: str, an
     ``anchor_at <= fact_at`` (ties: highest id) (J17).
 
     Union + ``last(ignorenulls)`` over one time-ordered stream per key
-    (segment-wise, so a hot key is split): linear, no pairs between facts
+    (a prefix scan, so a hot key is split): linear, no pairs between facts
     and anchors.
     """
     fcols = list(facts.columns)

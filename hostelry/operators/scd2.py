@@ -1,12 +1,14 @@
 """Slowly changing dimension, type 2 (catalogue W04-W07, J09-J11, S12, J16).
 
-Two entry points:
+Three entry points:
 
 * ``scd2_from_history`` builds versions from a change log in one pass of
   windows over the key (batch form).
-* ``scd2_apply_batch`` folds one micro-batch into an existing dimension and
-  returns the whole new dimension as one DataFrame, so expiry and insertion
-  commit together (the caller swaps snapshots).
+* ``scd2_merge_changes`` puts changes into an existing history, wherever in time they
+  belong, and returns the rows that are new or changed by that.
+* ``scd2_apply_batch`` folds one micro-batch into an existing dimension, taking what comes as the
+  newest, and returns the new dimension as one DataFrame, so expiry and insertion
+  are written together.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ def scd2_from_history(df: DataFrame, key: str = "guest_id", ts: str = "updated_a
     one run share a version. ``collapse=True`` keeps the first row of each run
     with the run's end, making (key, version) unique; runs are folded by a
     (key, version) aggregation, which combines map-side.
-    The ordered scan is segment-wise (``ordered.change_versions``), so one key
+    The ordered scan is a prefix scan (``ordered.change_versions``), so one key
     with a huge history does not become one task.
     Adds ``valid_from``, ``valid_to``, ``is_current``, ``version`` and ``guest_sk``.
     """
@@ -50,6 +52,32 @@ def scd2_from_history(df: DataFrame, key: str = "guest_id", ts: str = "updated_a
     return out.withColumns({"is_current": F.col("valid_to").isNull(), "guest_sk": surrogate_key(key, "version")})
 
 
+def scd2_merge_changes(history: DataFrame, changes: DataFrame, key: str = "guest_id", ts: str = "updated_at",
+                       tracked: str = "loyalty_tier", seq: str = "change_seq") -> DataFrame:
+    """Changes at any time put into a history: the interval that a change falls into is
+    split and the versions from there on are numbered anew.
+
+    ``history`` has the columns of ``changes`` (key, ts, tracked, seq) and ``version``, one row
+    for each (key, seq), as this function returned them; rows of ``changes``
+    that it has already make no difference. Returns the rows to store: of each
+    key in ``changes``, the row before its earliest change (whose end moves) and all rows after it,
+    with ``valid_to`` and ``version``. Rows before that are not read into
+    the scan, and other keys are not read at all beyond a semi join.
+    """
+    cols = [key, ts, tracked, seq]
+    new = changes.select(*cols).dropDuplicates([key, seq])
+    at = ordered.order_struct([(ts, True), (seq, True)])
+    starts = new.groupBy(F.col(key).alias("_key")).agg(F.min(at).alias("_start"))
+    touched = history.select(*cols, "version", at.alias("_at")).join(starts, F.col(key) == F.col("_key"))
+    before = touched.filter(F.col("_at") < F.col("_start")).groupBy("_key").agg(
+        F.max("_at").alias("_from"), F.max_by("version", "_at").alias("_base"))
+    rest = touched.drop("_start").join(before, "_key", "left").filter(F.col("_from").isNull() | (F.col("_at") >= F.col("_from")))
+    every = rest.select(*cols).unionByName(new).dropDuplicates([key, seq])
+    scanned = ordered.change_versions(every, key, [(ts, True), (seq, True)], tracked, ts)
+    out = scanned.join(before.select("_key", "_base"), F.col(key) == F.col("_key"), "left")
+    return out.select(*cols, F.col("_next_ts").alias("valid_to"), (F.col("version") + F.coalesce("_base", F.lit(1)) - 1).alias("version"))
+
+
 def scd2_apply_batch(dim: DataFrame | None, batch: DataFrame, key: str = "guest_id",
                      tracked: str = "loyalty_tier", ts: str = "updated_at",
                      type1_cols: Sequence[str] = (), reject_out_of_order: bool = False,
@@ -79,6 +107,9 @@ def scd2_apply_batch(dim: DataFrame | None, batch: DataFrame, key: str = "guest_
     current = dim.filter(F.col("is_current")).select(
         F.col(key).alias("_ck"), F.col(tracked).alias("_ctier"), F.col("version").alias("_cver"),
         F.col("valid_from").alias("_cfrom"))
+    # what an older version says already came before (files read again after a lost checkpoint)
+    past = dim.filter(~F.col("is_current")).select(F.col(key).alias("_pk"), F.col("valid_from").alias("_pfrom"), F.col(tracked).alias("_ptier"))
+    batch = batch.join(past, (F.col(key) == F.col("_pk")) & (F.col(ts) == F.col("_pfrom")) & (F.col(tracked) == F.col("_ptier")), "left_anti")
     detect = batch.join(current, batch[key] == current["_ck"], "left")               # J09
     if reject_out_of_order:
         detect = detect.filter(F.col("_ck").isNull() | (F.col(ts) >= F.col("_cfrom")))
@@ -118,8 +149,8 @@ def asof_version(facts: DataFrame, versions: DataFrame, key: str, at: str,
 
     Instead of a range join (all versions x all facts of a key), facts and
     versions are merged into one time-ordered stream per key and each fact
-    takes the last version seen so far (``last(..., ignorenulls)``, computed
-    segment-wise by ``ordered.carry_last_nonnull``): linear in the input, no
+    takes the last version seen so far (``last(..., ignorenulls)``, a prefix
+    scan by ``ordered.carry_last_nonnull``): linear in the input, no
     pairs, balanced under a hot key. Versions sort before facts at equal times and by
     ``order_tie`` among themselves, so zero-length versions lose to their
     successor exactly as the interval test says.

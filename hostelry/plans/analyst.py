@@ -220,8 +220,7 @@ def orphan_stays(stays_all: DataFrame, dim: DataFrame, raw_inventory: DataFrame)
     """Stays whose guest or hotel is unknown, one row per reason."""
     cols = ["res_id", "guest_id", "hotel_id"]
     g = joins.orphans(stays_all.select(*cols), dim, ["guest_id"]).withColumn("orphan_reason", F.lit("guest"))
-    hotels = joins.broadcast_if_small(raw_inventory.select("hotel_id").distinct(), silver.HOTEL_IDS_BROADCAST_MAX)
-    h = joins.orphans(stays_all.select(*cols), hotels, ["hotel_id"]).withColumn(
+    h = joins.orphans(stays_all.select(*cols), raw_inventory.select("hotel_id").distinct(), ["hotel_id"]).withColumn(
         "orphan_reason", F.lit("hotel"))
     return g.unionByName(h)
 

@@ -460,13 +460,17 @@ RESERVATIONS_NARROW = schemas._schema(*[(f.name, f.dataType) for f in schemas.RE
                                         if f.name not in ("booking_channel", "created_at")])
 
 
+#: Records of a landed JSON file, as in the source's generator.
+LANDED_RECORDS = 50_000
+
+
 def _scratch(spark, what: str) -> str:
     return scratch_path(spark, "hostelry", f"{what}-{uuid.uuid4().hex[:12]}")
 
 
 def _reservations_json(spark, sf) -> str:
     path = _scratch(spark, "bronze-reservations")
-    json_io.chunked_json_sink(Bronze(spark, sf).reservations, path, 3000)   # S16
+    json_io.chunked_json_sink(Bronze(spark, sf).reservations, path, LANDED_RECORDS)   # S16
     return path
 
 
@@ -511,25 +515,19 @@ def json_evolved_schema(spark, sf):
     return json_io.json_scan(spark, path, evolved)
 
 
-def _snapshot(spark, path, keys):
-    from ..sources.tables import BucketedSnapshotTable
-    return BucketedSnapshotTable(spark, path, keys, buckets=16)
-
-
-def _two_drops(spark, src: str, first: DataFrame, second: DataFrame, fn) -> None:
-    """Write ``first`` as JSON files, drain the stream, then append ``second``
-    and drain again with the same checkpoint: the second run sees only the
-    new files."""
-    ckpt = _scratch(spark, "ckpt")
-    for part in (first, second):
-        json_io.chunked_json_sink(part, src, 3000, mode="append")
-        stream = incremental.json_stream(spark, src, _schema_of(part))
+def _drops(spark, src: str, parts, fn, ckpt: str | None = None, files: int | None = None) -> None:
+    """Append each part as JSON files and drain the stream with one checkpoint: each
+    run sees only the new files, ``files`` of them in a micro-batch."""
+    ckpt = ckpt or _scratch(spark, "ckpt")
+    for part in parts:
+        json_io.chunked_json_sink(part, src, LANDED_RECORDS, mode="append")
+        stream = incremental.json_stream(spark, src, _schema_of(part), files)
         incremental.run_available_now(incremental.foreach_batch_sink(stream, fn, ckpt))
 
 
 def _schema_of(df: DataFrame):
     names = set(df.columns)
-    for sch in schemas.BY_ENTITY.values():
+    for sch in [*schemas.BY_ENTITY.values(), schemas.GUEST_CHANGES]:
         if set(sch.fieldNames()) == names:
             return sch
     raise ValueError("no declared schema for these columns")
@@ -537,15 +535,38 @@ def _schema_of(df: DataFrame):
 
 @query
 def stream_fact_stays(spark, sf):
-    """T02/P04 (+T04): reservations arrive in two file drops, the second with
-    corrected re-sends; each micro-batch is upserted by res_id."""
+    """T02/P04 (+T04): charges arrive, then reservations in two file drops, the second with
+    corrected re-sends, which win by their time."""
     from ..sources.driver_views import reservation_drops
-    b = Bronze(spark, sf)
+    b, base = Bronze(spark, sf), _scratch(spark, "fact-stays")
+    _drops(spark, _scratch(spark, "stream-pos"), [b.pos], incremental.pos_batch_fn(base))
+    _drops(spark, _scratch(spark, "stream-reservations"), reservation_drops(spark, sf), incremental.reservations_batch_fn(base))
+    return incremental.stays(spark, base, _guest_ids(b), b.inventory)
+
+
+@query
+def stream_late_pos(spark, sf):
+    """Half of the charges come after the reservations they belong to; the folio
+    totals of these follow, as in the batch run."""
+    from ..sources.driver_views import reservation_drops
+    b, base = Bronze(spark, sf), _scratch(spark, "late-pos")
     first, second = reservation_drops(spark, sf)
-    table = _snapshot(spark, _scratch(spark, "fact-stays"), ["res_id"])
-    fn = incremental.stays_batch_fn(table, _pos(b), _guest_ids(b), b.inventory)
-    _two_drops(spark, _scratch(spark, "stream-reservations"), first, second, fn)
-    return table.read()
+    late = F.pmod(F.floor(F.col("txn_id") / 10) + F.col("txn_id"), F.lit(2)) == 1
+    pos_src, pos_ckpt = _scratch(spark, "late-pos-charges"), _scratch(spark, "ckpt")
+    res_src, res_ckpt = _scratch(spark, "late-pos-reservations"), _scratch(spark, "ckpt")
+    pos_fn, res_fn = incremental.pos_batch_fn(base), incremental.reservations_batch_fn(base)
+    _drops(spark, pos_src, [b.pos.filter(~late)], pos_fn, pos_ckpt)
+    _drops(spark, res_src, [second], res_fn, res_ckpt)       # corrections before what they correct
+    _drops(spark, pos_src, [b.pos.filter(late)], pos_fn, pos_ckpt)
+    _drops(spark, res_src, [first], res_fn, res_ckpt)
+    return incremental.stays(spark, base, _guest_ids(b), b.inventory)
+
+
+def _guest_stream(spark, sf, second, **options) -> DataFrame:
+    """The guest dimension after the guests and a second drop of them."""
+    guests, path = Bronze(spark, sf).guests, _scratch(spark, "dim-guests")
+    _drops(spark, _scratch(spark, "stream-guests"), [guests, second(guests)], incremental.guests_batch_fn(path, **options))
+    return incremental.guests_dimension(spark, path)
 
 
 @query
@@ -553,48 +574,73 @@ def stream_dim_guests_type1(spark, sf):
     """D07 options on T01: name/email/country corrections overwrite the
     current row (type 1), and updates older than the current version are
     rejected."""
-    b = Bronze(spark, sf)
-    table = _snapshot(spark, _scratch(spark, "dim-guests-t1"), ["guest_id"])
-    fn = incremental.guests_batch_fn(table, type1_cols=("name", "email", "country"), reject_out_of_order=True)
-    _two_drops(spark, _scratch(spark, "stream-guests-t1"), b.guests, incremental.profile_corrections(b.guests), fn)
-    return table.read()
+    return _guest_stream(spark, sf, incremental.profile_corrections, type1_cols=("name", "email", "country"), reject_out_of_order=True)
 
 
 @query
 def stream_dim_guests_processing_time(spark, sf):
     """D06 option on T01: expired rows end at the time of processing, here a fixed one."""
-    b = Bronze(spark, sf)
-    table = _snapshot(spark, _scratch(spark, "dim-guests-pt"), ["guest_id"])
-    fn = incremental.guests_batch_fn(table, processing_time=F.lit("2026-01-01 12:00:00"))
-    _two_drops(spark, _scratch(spark, "stream-guests-pt"), b.guests, incremental.profile_updates(b.guests), fn)
-    return table.read()
+    return _guest_stream(spark, sf, incremental.profile_updates, processing_time=F.lit("2026-01-01 12:00:00"))
 
 
 @query
 def stream_dim_guests(spark, sf):
     """Guests arrive, then a drop of profile updates; each batch is
     folded into the SCD2 dimension (J09-J11 detect, S12 expire, insert)."""
-    b = Bronze(spark, sf)
-    table = _snapshot(spark, _scratch(spark, "dim-guests"), ["guest_id"])
-    _two_drops(spark, _scratch(spark, "stream-guests"), b.guests, incremental.profile_updates(b.guests),
-               incremental.guests_batch_fn(table))
-    return table.read()
+    return _guest_stream(spark, sf, incremental.profile_updates)
+
+
+@query
+def stream_scd2_history(spark, sf):
+    """The change log comes in three drops out of order, the last two into the middle of
+    the history; then the checkpoint is lost and all files are read again."""
+    changes, path = Bronze(spark, sf).guest_changes, _scratch(spark, "history")
+    src, fn = _scratch(spark, "stream-changes"), incremental.history_batch_fn(path)
+    third = F.pmod(F.xxhash64("change_seq"), F.lit(3))
+    _drops(spark, src, [changes.filter(third == k) for k in (2, 0, 1)], fn)
+    _drops(spark, src, [changes.filter("1 = 0")], fn)
+    return incremental.guest_history(spark, path)
 
 
 @query
 def stream_replay_reset(spark, sf):
-    """The stream stops, its checkpoint is lost, and a new one applies all
+    """Both streams stop, their checkpoints are lost, and new ones apply all
     files again together with those that came since: nothing is lost or doubled."""
     from ..sources.driver_views import reservation_drops
-    b = Bronze(spark, sf)
-    table = _snapshot(spark, _scratch(spark, "replay"), ["res_id"])
-    fn = incremental.stays_batch_fn(table, _pos(b), _guest_ids(b), b.inventory)
-    src = _scratch(spark, "replay-reservations")
-    for part in reservation_drops(spark, sf):
-        json_io.chunked_json_sink(part, src, 3000, mode="append")
-        stream = incremental.json_stream(spark, src, _schema_of(part))
-        incremental.run_available_now(incremental.foreach_batch_sink(stream, fn, _scratch(spark, "ckpt")))
-    return table.read()
+    b, base = Bronze(spark, sf), _scratch(spark, "replay")
+    src, pos_src = _scratch(spark, "replay-reservations"), _scratch(spark, "replay-pos")
+    pos = [b.pos.filter("txn_id % 3 = 0"), b.pos.filter("txn_id % 3 <> 0")]
+    for part, charges in zip(reservation_drops(spark, sf), pos, strict=True):
+        _drops(spark, src, [part], incremental.reservations_batch_fn(base))
+        _drops(spark, pos_src, [charges], incremental.pos_batch_fn(base))
+    return incremental.stays(spark, base, _guest_ids(b), b.inventory)
+
+
+@query
+def stream_evolving_reservations(spark, sf):
+    """S03-S05 on S02: the first drop lacks two columns; the second has them, lines cut off in
+    the middle and texts in place of numbers. Neither columns nor lines are lost."""
+    from ..sources.driver_views import reservation_drops
+    path, src, ckpt = _scratch(spark, "evolving"), _scratch(spark, "stream-lines"), _scratch(spark, "ckpt")
+    first, second = reservation_drops(spark, sf)
+    json_io.chunked_json_sink(first.select(*RESERVATIONS_NARROW.fieldNames()), src, LANDED_RECORDS, mode="append")
+    fn = incremental.evolving_batch_fn(path, RESERVATIONS_NARROW)
+    incremental.run_available_now(incremental.foreach_batch_sink(incremental.text_stream(spark, src), fn, ckpt))
+    def as_json(hotel):
+        return F.to_json(F.struct(*[hotel.alias(c) if c == "hotel_id" else c for c in second.columns]))
+    whole = F.when(F.col("res_id") % 75 == 0, as_json(F.lit("n/a"))).otherwise(as_json(F.col("hotel_id")))
+    line = F.when(F.col("res_id") % 50 == 0, F.concat(F.lit("{\"res_id\":"), F.col("res_id").cast("string"))).otherwise(whole)
+    second.select(line.alias("value")).write.mode("append").text(src)
+    incremental.run_available_now(incremental.foreach_batch_sink(incremental.text_stream(spark, src), fn, ckpt))
+    return incremental.evolved_rows(spark, path)
+
+
+@query
+def merge_upsert_reservations(spark, sf):
+    """The corrected re-sends merged into the reservations by res_id."""
+    from ..sources.driver_views import reservation_drops
+    first, second = reservation_drops(spark, sf)
+    return tables.merge_upsert(silver.clean_reservations(first), silver.clean_reservations(second), ["res_id"], check_unique=True)
 
 
 # --------------------------------------------------------- saved tables

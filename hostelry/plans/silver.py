@@ -20,7 +20,6 @@ POS_AMOUNT_BOUNDS = (0.0, 5000.0)  # fixed value: open interval for POS amount
 RESERVATION_CONTENT = ("guest_id", "hotel_id", "room_number", "room_type", "check_in_date", "check_out_date", "total_price",
                        "booking_channel")
 POS_CONTENT = ("res_id", "item_name", "category", "amount", "timestamp")
-HOTEL_IDS_BROADCAST_MAX = 1_000_000  # distinct hotel ids broadcast up to this many
 
 
 # --------------------------------------------------------------------------- guests
@@ -57,11 +56,19 @@ def dim_guests_batch(guests: DataFrame, collapse: bool = False) -> DataFrame:
     return dim.select(*scd2.DIM_COLUMNS)
 
 
+HISTORY_COLUMNS = ("guest_sk", "guest_id", "loyalty_tier", "valid_from", "valid_to", "is_current", "version")
+
+
 def scd2_history(changes: DataFrame, collapse: bool = False) -> DataFrame:
     """W04-W07 over an undeduplicated change log (guest_id, tier, updated_at, change_seq)."""
     h = scd2.scd2_from_history(changes, tie=["change_seq"], collapse=collapse)
-    return h.select("guest_sk", "guest_id", "loyalty_tier", "valid_from", "valid_to", "is_current",
-                    "version")
+    return h.select(*HISTORY_COLUMNS)
+
+
+def history_columns(rows: DataFrame) -> DataFrame:
+    """The history's columns from its stored rows (updated_at, valid_to, version)."""
+    return rows.withColumns({"valid_from": F.col("updated_at"), "is_current": F.col("valid_to").isNull(),
+                             "guest_sk": C.surrogate_key("guest_id", "version")}).select(*HISTORY_COLUMNS)
 
 
 # --------------------------------------------------------------------- reservations
@@ -85,22 +92,26 @@ def clean_reservations(res: DataFrame, content_key: Sequence[str] = ()) -> DataF
     broken by the row content so the result is deterministic). Option (D02):
     rows equal on ``content_key`` are copies under new ids, and the one of
     smallest res_id stays."""
-    parsed = parse_reservations(res)
+    one = latest_reservations(parse_reservations(res))
+    return dedup.latest_per_key(one, content_key, [F.col("res_id").asc()]) if content_key else one
+
+
+def latest_reservations(parsed: DataFrame) -> DataFrame:
+    """Of each res_id the row created last."""
     order = [F.col("created_at").desc_nulls_last(), F.col("total_price").desc_nulls_last(),
              F.col("check_in_date").desc(), F.col("check_out_date").desc()]
-    one = dedup.latest_per_key(parsed, ["res_id"], order)
-    return dedup.latest_per_key(one, content_key, [F.col("res_id").asc()]) if content_key else one
+    return dedup.latest_per_key(parsed, ["res_id"], order)
 
 
 # ------------------------------------------------------------------------------ POS
-def clean_pos(pos: DataFrame, content_key: Sequence[str] = ()) -> DataFrame:
+def clean_pos(pos: DataFrame, content_key: Sequence[str] = (), also: Sequence[str] = ()) -> DataFrame:
     """C01, C07, C11, C13. Option (D02): of the rows equal on
-    ``content_key`` the one of smallest txn_id stays."""
+    ``content_key`` the one of smallest txn_id stays. ``also``: further columns kept as they are."""
     p = filters.require_keys(pos, ["txn_id"])
     p = p.select("txn_id", "res_id", "item_name",
                  C.canonical_category("category").alias("category"),
                  C.null_outside_range("amount", *POS_AMOUNT_BOUNDS).alias("amount"),
-                 C.parse_ts_multi("timestamp").alias("timestamp"))
+                 C.parse_ts_multi("timestamp").alias("timestamp"), *also)
     p = p.filter(F.col("amount").isNotNull() & F.col("timestamp").isNotNull())
     return dedup.latest_per_key(p, content_key, [F.col("txn_id").asc()]) if content_key else p
 
@@ -157,9 +168,12 @@ def fact_stays(res_clean: DataFrame, pos_totals: DataFrame) -> DataFrame:
 def fact_stays_unified(res_clean: DataFrame, pos_clean: DataFrame, dim_guests: DataFrame,
                        raw_inventory: DataFrame) -> DataFrame:
     """Folio fact restricted to known guests (J02) and hotels."""
-    stays = fact_stays(res_clean, pos_by_reservation(pos_clean))
-    stays = joins.keep_known(stays, dim_guests, ["guest_id"])
-    return joins.keep_known(stays, raw_inventory, ["hotel_id"], small_domain_rows=HOTEL_IDS_BROADCAST_MAX)
+    return known_stays(fact_stays(res_clean, pos_by_reservation(pos_clean)), dim_guests, raw_inventory)
+
+
+def known_stays(stays: DataFrame, dim_guests: DataFrame, raw_inventory: DataFrame) -> DataFrame:
+    """Stays of known guests in known hotels."""
+    return joins.keep_known(joins.keep_known(stays, dim_guests, ["guest_id"]), raw_inventory, ["hotel_id"])
 
 
 # ------------------------------------------------------------------ daily calendar

@@ -40,29 +40,8 @@ ISO_TS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one driver table, spread over the cluster's cores.
-
-    The given files hold a single row group each, so a scan is one task and
-    all per-row cleaning downstream would run on one core. When the scan has
-    fewer splits than the default parallelism, rows are dealt round-robin to
-    that many partitions (deterministic on retry); a scan of many files, as
-    at scale, is left alone.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    try:
-        target = spark.sparkContext.defaultParallelism
-        key = (path, target)
-        if key not in _SPLITS:
-            _SPLITS[key] = df.rdd.getNumPartitions()
-    except Exception:  # no RDD API (e.g. a remote session): leave the scan as it is
-        return df
-    if _SPLITS[key] < target:
-        df = df.repartition(target)
-    return df
-
-
-_SPLITS: dict[tuple[str, int], int] = {}
+    """Scan one driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _idiv(a: Column, b: int) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 RESCUED = "_rescued"
 CORRUPT = "_corrupt_record"
+MAX_NEW_KEYS = 1_000
 
 
 def json_scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -49,10 +50,26 @@ def pin_schema(spark: SparkSession, sample_path: str, schema_path: str) -> T.Str
     if text is not None:
         return T.StructType.fromJson(json.loads(text[0]))
     schema = spark.read.json(sample_path).schema
-    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(schema_path)
+    store_schema(spark, schema, schema_path)
     return schema
 
 
+def store_schema(spark: SparkSession, schema: T.StructType, path: str) -> None:
+    """A schema as a one-line JSON text file on the shared storage."""
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def stored_schemas(spark: SparkSession, path: str) -> dict[int, T.StructType]:
+    """The schemas stored as ``path/version=<n>`` by their numbers."""
+    try:
+        rows = spark.read.text(path).select("value", F.col("version").cast("int")).collect()
+    except AnalysisException as e:
+        if not is_missing(e):
+            raise
+        return {}
+    return {r.version: T.StructType.fromJson(json.loads(r.value)) for r in rows}
+
+
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Raw lines of the JSON files (input for rescue and evolution)."""
     return spark.read.text(path)
@@ -61,11 +78,14 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 def unknown_keys(lines: DataFrame, schema: T.StructType) -> list[str]:
     """Top-level keys present in the data but absent from ``schema``.
 
-    The result is the set of new column *names*, bounded by the width of the
-    source, never by its row count."""
+    The result is the set of new column *names*. Keys that are data (an id as
+    a key) would make columns without end, so more than ``MAX_NEW_KEYS`` are refused."""
     known = F.array(*[F.lit(f.name) for f in schema.fields])
     keys = F.explode(F.array_except(F.map_keys(F.from_json("value", "map<string,string>")), known))
-    return sorted(r[0] for r in lines.select(keys.alias("k")).distinct().collect())
+    found = [r[0] for r in lines.select(keys.alias("k")).distinct().limit(MAX_NEW_KEYS + 1).collect()]
+    if len(found) > MAX_NEW_KEYS:
+        raise ValueError(f"more than {MAX_NEW_KEYS} unknown keys: the source's keys are not columns")
+    return sorted(found)
 
 
 def evolve_schema(lines: DataFrame, schema: T.StructType) -> T.StructType:

@@ -1,11 +1,8 @@
 """Tables and upserts without a transactional table format (catalogue S06-S11,
 S17, S18).
 
-Plain Parquet has no MERGE. An upsert here computes the whole new snapshot as
-one DataFrame (``merge_upsert``) and writes it as a new version partition of
-the table folder (``SnapshotTable``). Readers take the highest committed
-version, so a reader never sees half of a merge; a replayed batch finds its
-version already committed and leaves it as it is.
+Plain Parquet has no MERGE: ``merge_upsert`` gives the merged rows as one DataFrame,
+which the caller writes to a new place. Streams do not rewrite tables; see ``batches``.
 """
 
 from __future__ import annotations
@@ -13,12 +10,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostelry.sources.json_io import is_missing
-
 
 def table_scan(spark: SparkSession, name: str) -> DataFrame:
     """S06."""
@@ -76,184 +70,3 @@ def persist_reuse(df: DataFrame) -> DataFrame:
     """Keep a table used by several consumers; spills to disk instead of
     recomputing when memory is short. Call ``unpersist()`` when done."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-class SnapshotTable:
-    """A Parquet folder of immutable versions ``<path>/snapshot_id=<n>``."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-
-    def _all(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.path)
-        except AnalysisException as e:
-            if not is_missing(e):
-                raise
-            return None  # no committed version yet
-
-    def current_version(self, before: int | None = None) -> int | None:
-        """Highest committed version (strictly below ``before`` if given)."""
-        df = self._all()
-        if df is None:
-            return None
-        if before is not None:
-            df = df.filter(F.col("snapshot_id") < before)
-        v = df.select(F.max("snapshot_id")).first()[0]
-        return None if v is None else int(v)
-
-    def read(self, version: int | None = None) -> DataFrame | None:
-        df = self._all()
-        if df is None:
-            return None
-        v = self.current_version() if version is None else version
-        if v is None:
-            return None
-        return df.filter(F.col("snapshot_id") == v).drop("snapshot_id")
-
-    def write(self, df: DataFrame, version: int) -> None:
-        """Commit ``df`` as ``version``; rewriting an existing version replaces
-        only that version (dynamic partition overwrite)."""
-        (df.withColumn("snapshot_id", F.lit(version).cast("long")).write
-         .option("partitionOverwriteMode", "dynamic").mode("overwrite")
-         .partitionBy("snapshot_id").parquet(self.path))
-
-    def commit(self, build, version: int) -> DataFrame:
-        """Write ``build(previous_snapshot_or_None)`` as ``version``.
-
-        The previous snapshot is the highest version *below* ``version``, so a
-        replayed batch recomputes exactly the same snapshot and never reads
-        the partition it overwrites."""
-        if self.has_version(version):
-            # Replay after a failure that followed the commit: the snapshot is
-            # already there and, being a function of the same inputs, equal to
-            # what we would write. Rewriting it would pull files from under
-            # readers of that version.
-            return self.read(version)
-        prev_v = self.current_version(before=version)
-        prev = None if prev_v is None else self.read(prev_v)
-        self.write(build(prev), version)
-        return self.read(version)
-
-    def has_version(self, version: int) -> bool:
-        df = self._all()
-        return df is not None and df.filter(F.col("snapshot_id") == version).limit(1).count() > 0
-
-    def upsert(self, source: DataFrame, keys: Sequence[str], version: int) -> DataFrame:
-        """S11 on storage: version = merge(previous version, source)."""
-        return self.commit(lambda cur: source if cur is None else merge_upsert(cur, source, keys), version)
-
-
-class BucketedSnapshotTable:
-    """Versioned table whose upserts rewrite only the key buckets they touch.
-
-    Layout under ``path``:
-
-    * ``data/snapshot_id=<n>/bucket=<b>/`` -- rows of bucket b as of batch n;
-    * ``commits/snapshot_id=<n>/`` -- the (bucket, stream, batch_id) rows of the
-      commit, written after its data, so a bucket version is visible only once
-      committed.
-
-    A batch is known by its stream and its number in that stream: numbers start
-    again at 0 in a second stream, or once a checkpoint is deleted, and such
-    batches are new ones. Snapshots are numbered by the table, one writer at a time.
-
-    The current table is, per bucket, the highest committed snapshot that
-    rewrote it. The (bucket, snapshot) map comes from the commit log (at most
-    ``buckets`` rows per batch) and is broadcast into a semi join on the two
-    partition columns. A batch rewrites the buckets its keys hash to: of a batch
-    with many more keys than ``buckets`` that is every bucket. A replayed batch
-    whose commit exists is skipped; one that failed before its commit leaves an
-    invisible snapshot, which the next commit writes over.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], buckets: int = 64):
-        self.spark, self.keys, self.buckets = spark, list(keys), buckets
-        base = path.rstrip("/")
-        self.data, self.commits = f"{base}/data", f"{base}/commits"
-
-    def bucket_of(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
-
-    def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.commits)
-        except AnalysisException as e:
-            if not is_missing(e):
-                raise
-            return None  # nothing committed yet
-
-    def _next(self, batch_id: int, stream: str) -> int | None:
-        """Number of the next snapshot; None if the stream's batch is committed."""
-        log = self._log()
-        if log is None:
-            return 0
-        same = (F.col("batch_id") == batch_id) & (F.col("stream") == stream)
-        last, done = log.agg(F.max("snapshot_id"), F.count_if(same)).first()
-        return None if done else int(last) + 1
-
-    def current_map(self) -> DataFrame | None:
-        """(bucket, snapshot_id) of the live version of each bucket."""
-        log = self._log()
-        if log is None:
-            return None
-        return log.groupBy("bucket").agg(F.max("snapshot_id").alias("snapshot_id"))
-
-    def _read_buckets(self, buckets: DataFrame | None = None) -> DataFrame | None:
-        live = self.current_map()
-        if live is None:
-            return None
-        if buckets is not None:
-            live = live.join(buckets, "bucket", "left_semi")
-        if live.limit(1).count() == 0:
-            return None
-        data = self.spark.read.parquet(self.data)
-        # at most `buckets` rows: a proven bound for the broadcast
-        return data.join(F.broadcast(live), ["bucket", "snapshot_id"], "left_semi").drop("snapshot_id")
-
-    def read(self) -> DataFrame | None:
-        df = self._read_buckets()
-        return None if df is None else df.drop("bucket")
-
-    def superseded(self, keep_after: int | None = None) -> DataFrame | None:
-        """(snapshot_id, bucket) partitions no reader of the current version
-        needs: a later committed snapshot rewrote the bucket. Snapshots above
-        ``keep_after`` are kept for readers of older versions. The listing is
-        what a retention job deletes; nothing is removed here."""
-        log, live = self._log(), self.current_map()
-        if log is None:
-            return None
-        old = (log.join(live.withColumnRenamed("snapshot_id", "_live"), "bucket")
-               .filter(F.col("snapshot_id") < F.col("_live")).drop("_live"))
-        if keep_after is not None:
-            old = old.filter(F.col("snapshot_id") <= keep_after)
-        return old.select("snapshot_id", "bucket")
-
-    def commit(self, build, batch: DataFrame, batch_id: int, stream: str = "") -> None:
-        """Rewrite the buckets of ``batch``'s keys as the next snapshot with
-        ``build(current rows of those buckets or None, batch)``; nothing if batch
-        ``batch_id`` of ``stream`` is committed already. Duplicate keys in the
-        batch are refused, as MERGE does."""
-        version = self._next(batch_id, stream)
-        if version is None:
-            return
-        batch = persist_reuse(batch)  # its rows are read by the checks and both writes
-        try:
-            assert_unique_keys(batch, self.keys)
-            keyed = self.bucket_of(batch)
-            touched = keyed.select("bucket").distinct()
-            base = self._read_buckets(touched)
-            new = build(None if base is None else base.drop("bucket"), batch)
-            (self.bucket_of(new).withColumn("snapshot_id", F.lit(version).cast("long"))
-             .hint("rebalance", "bucket").write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
-             .partitionBy("snapshot_id", "bucket").parquet(self.data))
-            (touched.withColumn("stream", F.lit(stream)).withColumn("batch_id", F.lit(batch_id).cast("long"))
-             .withColumn("snapshot_id", F.lit(version).cast("long")).coalesce(1).write
-             .option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("snapshot_id")
-             .parquet(self.commits))
-        finally:
-            batch.unpersist()
-
-    def upsert(self, source: DataFrame, batch_id: int, stream: str = "") -> None:
-        """S11 per touched bucket: merge_upsert(current bucket rows, source)."""
-        self.commit(lambda cur, src: src if cur is None else merge_upsert(cur, src, self.keys), source, batch_id, stream)

@@ -814,6 +814,33 @@ SELECT count(*) AS records_read,
 FROM bronze_reservations
 """)
 sql("stream_replay_reset", "SELECT * FROM fact_stays")
+sql("stream_late_pos", "SELECT * FROM fact_stays")
+sql("stream_scd2_history", "SELECT * FROM scd2_hist")
+# of the re-sent reservations some lines are cut off, and some have a text as their hotel
+sql("stream_evolving_reservations", """
+SELECT * REPLACE (CAST(NULL AS VARCHAR) AS booking_channel, CAST(NULL AS VARCHAR) AS created_at), CAST(NULL AS VARCHAR) AS _rescued, 0 AS schema_version
+FROM reservations_first
+UNION ALL BY NAME
+SELECT * REPLACE (CASE WHEN res_id % 75 = 0 THEN NULL ELSE hotel_id END AS hotel_id),
+  CASE WHEN res_id % 75 = 0 THEN '{"hotel_id":"n/a"}' END AS _rescued, 1 AS schema_version
+FROM reservations_resent WHERE res_id % 50 <> 0
+UNION ALL BY NAME
+SELECT CAST(json_object('_line', '{"res_id":' || CAST(res_id AS VARCHAR)) AS VARCHAR) AS _rescued, 1 AS schema_version
+FROM reservations_resent WHERE res_id % 50 = 0
+""")
+sql("merge_upsert_reservations", f"""
+SELECT * EXCLUDE (resent) FROM (
+ SELECT res_id, guest_id, hotel_id, room_number,
+   {canon('room_type', ['Standard', 'Deluxe', 'Suite', 'Presidential'], 'Standard')} AS room_type,
+   {date_multi('check_in_date')} AS check_in_date,
+   {date_multi('check_out_date', ('%Y-%m-%d', '%d/%m/%Y', '%m-%d-%Y', '%m/%d/%Y'))} AS check_out_date,
+   CASE WHEN total_price > 0 AND total_price < 10000 THEN total_price END AS total_price,
+   {canon('booking_channel', ['Website', 'Phone', 'OTA'], 'Unknown', [('WALK', 'Walk-in')])} AS booking_channel,
+   {ts_multi('created_at')} AS created_at, resent
+ FROM (SELECT *, false AS resent FROM reservations_first UNION ALL SELECT *, true FROM reservations_resent))
+WHERE check_out_date > check_in_date
+QUALIFY row_number() OVER (PARTITION BY res_id ORDER BY resent DESC, created_at DESC NULLS LAST, total_price DESC NULLS LAST) = 1
+""")
 sql("table_overwrite_scan", "SELECT * FROM res_clean")
 sql("table_partitioned_calendar", "SELECT * FROM calendar")
 sql("compacted_calendar", "SELECT * FROM calendar")

@@ -105,21 +105,23 @@ SELECT k AS res_id,
 FROM res_base
 """
 
-_RESERVATIONS = f"""
-SELECT * FROM ({_RES_ROWS})
-UNION ALL
+_RESENT = f"""
 SELECT k AS res_id, o_custkey AS guest_id, k % 5 + 1 AS hotel_id, {_ROOM} AS room_number,
   {_ROOM_TYPE} AS room_type, strftime(ci, '%Y-%m-%d') AS check_in_date,
   strftime(ci + n, '%Y-%m-%d') AS check_out_date, CAST(price AS DOUBLE) AS total_price,
   {_CHANNEL} AS booking_channel,
   strftime({_CREATED} + INTERVAL 1 DAY, {ISO_TS}) AS created_at
 FROM res_base WHERE k % 25 = 0
-UNION ALL
+"""
+
+_COPIES = f"""
 SELECT res_id + 1000000000000 AS res_id, guest_id, hotel_id, room_number, room_type, check_in_date,
   check_out_date, total_price, booking_channel, created_at
 FROM ({_RES_ROWS}) WHERE res_id % 101 = 0
 """
 
+_RESERVATIONS = f"{_RES_ROWS} UNION ALL {_RESENT} UNION ALL {_COPIES}"
+
 _POS_TS = ("(CAST(DATE '2024-01-01' + CAST(l_orderkey * 37 % 366 + (l_linenumber * 3 + l_partkey) "
            "% (l_orderkey % 7 + 2) AS INTEGER) AS TIMESTAMP) + to_seconds((l_partkey % 24) * 3600 "
            "+ (l_suppkey % 60) * 60))")
@@ -169,11 +171,13 @@ VIEWS: dict[str, str] = {
     "bronze_inventory": _INVENTORY,
     "res_base": _RES_BASE,
     "bronze_reservations": _RESERVATIONS,
+    "reservations_first": f"{_RES_ROWS} UNION ALL {_COPIES}",
+    "reservations_resent": _RESENT,
     "bronze_pos": _POS,
     "bronze_housekeeping": _HOUSEKEEPING,
 }
 
-_DEPENDS = {"bronze_reservations": ["res_base"]}
+_DEPENDS = {n: ["res_base"] for n in ("bronze_reservations", "reservations_first", "reservations_resent")}
 
 
 def with_views(body: str, *ctes: tuple[str, str]) -> str:

@@ -20,18 +20,37 @@ def _plain_versions(df):
 
 
 def test_hot_guest_history_is_split_and_exact(spark):
+    """One guest holds a third of all rows, all of them in one month and many at one instant."""
     log = Bronze(spark, SF01).guest_changes
-    # one guest holds a third of all change rows
-    hot = log.withColumn("guest_id", F.when(F.col("change_seq") % 3 == 0, F.lit(7)).otherwise(F.col("guest_id")))
-    segs = ordered.segment(hot, [("updated_at", True), ("change_seq", True)])
-    per_seg = segs.filter(F.col("guest_id") == 7).groupBy(ordered.SEG).count()
-    assert per_seg.count() > 12        # the hot guest is cut into many segments
-    got = silver.scd2_history(hot.select("guest_id", "loyalty_tier", "updated_at", "change_seq")) \
-        .select("guest_id", "version", "valid_to")
-    want = _plain_versions(hot).select("guest_id", "version", "valid_to")
+    hot = F.col("change_seq") % 3 == 0
+    at = F.timestamp_add("SECOND", F.col("change_seq") % 40 * 60000, F.lit("2024-02-01").cast("timestamp_ntz"))
+    log = log.withColumns({"guest_id": F.when(hot, F.lit(7)).otherwise(F.col("guest_id")), "updated_at": F.when(hot, at).otherwise(F.col("updated_at"))})
+    parts = ordered.ordered_parts(log, "guest_id", [("updated_at", True), ("change_seq", True)])
+    sizes = sorted(r["count"] for r in parts.groupBy(ordered.PART).count().collect())
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]   # no task above twice the median
+    assert parts.filter("guest_id = 7").select(ordered.PART).distinct().count() >= 2
+    got = silver.scd2_history(log).select("guest_id", "version", "valid_to")
+    want = _plain_versions(log).select("guest_id", "version", "valid_to")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_prefix_scan_with_null_keys_and_values(spark):
+    rows = [(None if i % 5 == 0 else i % 2, (i * 7) % 50, i, None if i % 3 else f"v{i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, t int, i int, v string")
+    got = ordered.carry_last_nonnull(df, "k", [("t", True), ("i", True)], "v", "o").select("i", "o")
+    w = Window.partitionBy("k").orderBy("t", "i").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("o", F.last("v", ignorenulls=True).over(w)).select("i", "o")
+    assert got.exceptAll(want).count() == 0 and got.count() == 400
+    none = ordered.change_versions(df.limit(0), "k", [("t", True)], "v", "t")
+    assert none.count() == 0
+
+
+def test_ordered_scans_shuffle_the_rows_twice(spark):
+    """Once by range (written), once for the window; the rest moves a few rows a partition."""
+    plan = silver.scd2_history(Bronze(spark, SF01).guest_changes)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 0 and "BroadcastHashJoin" in plan
+
+
 def test_date_window_filter_sits_before_the_generator(spark):
     stays = silver.clean_reservations(Bronze(spark, SF01).reservations)
     plan = nights.explode_nights(stays, lo="2024-03-01", hi="2024-03-31")._jdf.queryExecution() \
@@ -46,17 +65,15 @@ def test_top1_dedup_is_limited_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
-def test_hotel_ids_are_broadcast(spark):
+def test_hotel_ids_are_broadcast_by_their_measured_size(spark):
+    """No hint and no count beforehand: adaptive execution sees how few hotels there are."""
     b = Bronze(spark, SF01)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        stays = silver.fact_stays_unified(silver.clean_reservations(b.reservations), silver.clean_pos(b.pos),
-                                          silver.dim_guests_batch(b.guests), b.inventory)
-        plan = stays._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert any("BroadcastHashJoin" in line and "LeftSemi" in line and "hotel_id" in line
-               for line in plan.splitlines())
+    stays = silver.known_stays(silver.fact_stays(silver.clean_reservations(b.reservations), silver.pos_by_reservation(silver.clean_pos(b.pos))),
+                               silver.dim_guests_batch(b.guests), b.inventory)
+    stays.collect()
+    plan = stays._jdf.queryExecution().executedPlan().toString()
+    final = plan[:plan.index("Initial Plan")]
+    assert any("BroadcastHashJoin" in line and "LeftSemi" in line and "hotel_id" in line for line in final.splitlines())
 
 
 def test_turnover_join_is_linear_in_checkouts(spark):
