@@ -10,11 +10,12 @@ if it has fewer words). Two documents link when 100 * intersection >= 85 * union
    ones with less; nothing else can lose a link.
 4. Stars: in each bucket every class is compared with the one that has most company in
    all its buckets, such as the original of many edited copies: one comparison a member, no pairs.
-5. What still is in different components inside a bucket meets in blocks of at most
-   ``BLOCK`` classes, every pair of blocks in a task of its own, signatures against
-   signatures; a pair goes on from the first band it shares only.
-6. Pairs pass if the sizes allow a link and the signatures agree in ``AGREE`` places (seven standard deviations under
-   what is expected at the threshold); links are confirmed on the full sets.
+5. What still is in different components inside a bucket meets in cells, pairs of blocks of at most
+   ``BLOCK`` classes: first signatures against signatures, which names the members that have a candidate, then
+   the full sets of these. A pair counts in the first band it shares only, and a cell gives
+   links until its components are joined, so its rows are fewer than its members.
+6. Candidates are pairs whose sizes allow a link and whose signatures agree in ``AGREE`` places (seven standard
+   deviations under what is expected at the threshold); links are confirmed on the full sets.
 7. Components by alternating large-star and small-star.
 
 No limit is set on buckets, partners or candidates.
@@ -45,8 +46,8 @@ N, PERCENT = 5, 85
 ROWS, BANDS = 6, 40
 #: Places in which the signatures of a candidate pair agree at least.
 AGREE = 165
-#: Classes of a block at most.
-BLOCK = 1024
+#: Classes of a block, about.
+BLOCK = 512
 #: Tokens hashed at once, and bytes of text.
 PART, SLICE = 1 << 16, 1 << 20
 #: Universal hashes x -> (a x + b) mod 2^64, of which the upper bits count; a is odd. Fixed by the seed.
@@ -108,16 +109,19 @@ def token_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "fp long, tokens binary")
 
 
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two full sets link."""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
 def linked(pairs: DataFrame) -> DataFrame:
     """Those (a, b) of rows (a, b, tokens_a, tokens_b) whose full sets link."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
-                keep.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            keep = [_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64))
+                    for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
     return pairs.select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a long, b long")
 
@@ -135,49 +139,78 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, ROWS * BANDS)
 
 
-def blocks_compared(members: DataFrame) -> DataFrame:
-    """(a, b) that agree enough, of members (cell: bucket and pair of blocks, band, one: both
-    blocks are the same, side, fp, root, size, sig) in different components; each pair in the first band it shares."""
+def _near(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """(row, later or opposite rows whose signatures agree enough) of a cell: members of different
+    components whose sizes allow a link, in the first band that they share."""
+    root, size, side = (table.column(c).to_numpy() for c in ("root", "size", "side"))
+    sig = _matrix(table.column("sig"))
+    band, one = table.column("band")[0].as_py(), table.column("one")[0].as_py()
+    across = np.flatnonzero(side == 1)
+    for i in range(table.num_rows) if one else np.flatnonzero(side == 0):
+        to = np.arange(i + 1, table.num_rows) if one else across
+        to = to[(root[to] != root[i]) & (100 * np.minimum(size[to], size[i]) >= PERCENT * np.maximum(size[to], size[i]))]
+        if len(to):
+            same = sig[to] == sig[i]
+            to, same = (x[same.sum(1) >= AGREE] for x in (to, same))
+            to = to[same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band]
+        if len(to):
+            yield int(i), to
+
+
+def near_members(members: DataFrame) -> DataFrame:
+    """(cell, fp) of the members that have a candidate in their cell, once each. members: (cell:
+    bucket and pair of blocks, band, one: both blocks are the same, side, fp, root, size, sig)."""
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        some = np.zeros(table.num_rows, bool)
+        for i, to in _near(table):
+            some[i] = some[to] = True
+        return table.select(["cell", "fp"]).filter(pa.array(some))
+    return members.groupBy("cell").applyInArrow(run, "cell long, fp long")
+
+
+def cell_links(members: DataFrame) -> DataFrame:
+    """(a, b) of the links between components inside each cell, by the full sets in ``tokens``;
+    as many as it takes to join them, so fewer than the cell has members."""
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        fp, root, size, side = (table.column(c).to_numpy() for c in ("fp", "root", "size", "side"))
-        sig = _matrix(table.column("sig"))
-        band, one = table.column("band")[0].as_py(), table.column("one")[0].as_py()
-        found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        across = np.flatnonzero(side == 1)
-        for i in range(len(fp)) if one else np.flatnonzero(side == 0):
-            to = np.arange(i + 1, len(fp)) if one else across
-            to = to[(root[to] != root[i]) & (100 * np.minimum(size[to], size[i]) >= PERCENT * np.maximum(size[to], size[i]))]
-            if len(to):
-                same = sig[to] == sig[i]
-                to, same = (x[same.sum(1) >= AGREE] for x in (to, same))
-                to = to[same.reshape(-1, BANDS, ROWS).all(2).argmax(1) == band]
-                found_a.append(np.full(len(to), fp[i]))
-                found_b.append(fp[to])
-        a, b = np.concatenate(found_a), np.concatenate(found_b)
-        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+        fp, root = table.column("fp").to_numpy(), table.column("root").to_pylist()
+        sets = [np.frombuffer(t.as_buffer(), np.uint64) for t in table.column("tokens").combine_chunks()] if table.num_rows else []
+        parent: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+        found = []
+        for i, to in _near(table):
+            for j in to:
+                x, y = find(root[i]), find(root[j])
+                if x != y and _linked(sets[i], sets[j]):
+                    parent[max(x, y)] = min(x, y)
+                    found.append((int(fp[i]), int(fp[j])))
+        return pa.table({"a": pa.array([max(p) for p in found], pa.int64()), "b": pa.array([min(p) for p in found], pa.int64())})
     return members.groupBy("cell").applyInArrow(run, "a long, b long")
 
 
 def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b) of classes (their fp): enough links for all components. docs: (key, text);
     classes: (fp, class_id: smallest key, size, sig, n: rows of that key) of non-empty sets."""
-    def compared(pairs: DataFrame, name: str) -> DataFrame:
-        """Links among pairs (a, b), by signatures and then by the full sets of what is left."""
-        sigs = classes.select("fp", "sig")
-        near = pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b")
-        near = materialize(agreeing(near), f"{name}-near")
-        return confirmed(near, name)
-
-    def confirmed(near: DataFrame, name: str) -> DataFrame:
-        asked = near.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-        own = materialize(asked.join(classes, "fp").select("fp", F.col("class_id").alias("key"), "n"), f"{name}-classes")
+    def sets_of(some: DataFrame, name: str) -> DataFrame:
+        """(fp, tokens) of the classes in column fp, each from one of its texts."""
+        own = some.select("fp").distinct().join(classes, "fp").select("fp", F.col("class_id").alias("key"), "n")
+        own = materialize(own, f"{name}-classes")
         texts = docs.join(own.select("key", "n").distinct(), "key")
         once = token_sets(texts.filter("n = 1").select("key", "text"))
         repeated = token_sets(texts.filter("n > 1").select("key", "text")).join(own, "fp", "left_semi").dropDuplicates(["fp"])
-        sets = materialize(once.unionAll(repeated), f"{name}-sets")
-        full = near.join(sets.toDF("a", "tokens_a"), "a").join(sets.toDF("b", "tokens_b"), "b")
-        return materialize(linked(full), f"{name}-links")
+        return materialize(once.unionAll(repeated), name)
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        """Links among pairs (a, b), by signatures and then by the full sets of what is left."""
+        sigs = classes.select("fp", "sig")
+        near = materialize(agreeing(pairs.join(sigs.toDF("a", "sig_a"), "a").join(sigs.toDF("b", "sig_b"), "b")), "minhash-near")
+        sets = sets_of(near.select(F.explode(F.array("a", "b")).alias("fp")), "minhash-star-sets")
+        return materialize(linked(near.join(sets.toDF("a", "tokens_a"), "a").join(sets.toDF("b", "tokens_b"), "b")), "minhash-links")
 
     allowed = F.expr(f"100 * least(size, size_b) >= {PERCENT} * greatest(size, size_b)")
     bucket = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
@@ -190,7 +223,7 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     lead = shared.join(known, "fp").groupBy("bucket").agg(F.max(F.struct("all", F.col("fp").alias("b"), F.col("size").alias("size_b"))).alias("lead"))
     stars = shared.join(lead.select("bucket", "lead.b", "lead.size_b"), "bucket").filter(F.col("fp") != F.col("b")).filter(allowed)
     stars = materialize(stars.select(F.greatest("fp", "b").alias("a"), F.least("fp", "b").alias("b")).distinct(), "minhash-stars")
-    found = compared(stars, "minhash-star")
+    found = compared(stars)
     # buckets that still hold several components
     roots = materialize(connected_components(found), "minhash-roots")
     placed = shared.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
@@ -202,8 +235,10 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     cells = open_.select("*", other).select(
         F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "band", (F.col("own") == F.col("other")).alias("one"),
         (F.col("own") > F.col("other")).cast("int").alias("side"), "fp", "root", "size", "sig")
-    rest = materialize(blocks_compared(cells), "minhash-rest")
-    return found.unionAll(confirmed(rest, "minhash-block"))
+    cells = materialize(cells, "minhash-cells")
+    asked = materialize(near_members(cells), "minhash-asked")
+    sets = sets_of(asked, "minhash-sets")
+    return found.unionAll(cell_links(cells.join(asked, ["cell", "fp"]).join(sets, "fp")))
 
 
 def minhash_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -75,23 +75,23 @@ def test_odd_rows(lspark, docs, empty):
     assert minhash.minhash_components(empty).count() == 0
 
 
-def test_blocks_find_what_stars_do_not(lspark):
+def test_cells_find_what_stars_do_not(lspark):
     """Pairs that no star compares: members of different components of one bucket."""
     rng = np.random.default_rng(6)
-    sets = [rng.integers(0, 1 << 64, 400, np.uint64) for _ in range(3)]
-    sets += [np.concatenate([s[:380], rng.integers(0, 1 << 64, 20, np.uint64)]) for s in sets]
+    sets = [np.sort(rng.integers(0, 1 << 64, 400, np.uint64)) for _ in range(3)]
+    sets += [np.sort(np.concatenate([s[:n], rng.integers(0, 1 << 64, 400 - n, np.uint64)])) for s, n in zip(sets, (380, 375, 355), strict=True)]
     sig = minhash.signatures(sets)
-    members = [(7, 0, True, 0, i, i, len(s), bytes(x)) for i, (s, x) in enumerate(zip(sets, sig, strict=True))]
-    schema = "cell long, band int, one boolean, side int, fp long, root long, size long, sig binary"
-    whole = set()
-    for band in range(minhash.BANDS):
-        df = lspark.createDataFrame([(c, band, *rest) for c, _, *rest in members], schema)
-        new = [(r.a, r.b) for r in minhash.blocks_compared(df).collect()] if band < 4 else []
-        assert not whole & set(new)  # a pair comes from its first band only
-        whole |= set(new)
-    assert whole <= {(3, 0), (4, 1), (5, 2)} and whole
-    same = lspark.createDataFrame([(c, b, o, s, fp, 1, n, x) for c, b, o, s, fp, _, n, x in members], schema)
-    assert minhash.blocks_compared(same).count() == 0  # one component: nothing to find
+    rows = [(i, i, len(s), bytes(x), s.tobytes()) for i, (s, x) in enumerate(zip(sets, sig, strict=True))]
+    schema = "cell long, band int, one boolean, side int, fp long, root long, size long, sig binary, tokens binary"
+    cells = lspark.createDataFrame([(b, b, True, 0, *r) for b in range(minhash.BANDS) for r in rows], schema)
+    asked = {(r.cell, r.fp) for r in minhash.near_members(cells.drop("tokens")).collect()}
+    first = {p: next(b for b in range(minhash.BANDS) if (sig[p[0]].reshape(-1, 6)[b] == sig[p[1]].reshape(-1, 6)[b]).all()) for p in ((0, 3), (1, 4), (2, 5))}
+    assert asked == {(b, k) for p, b in first.items() for k in p}  # a pair counts in its first band only
+    links = {(r.a, r.b) for r in minhash.cell_links(cells).collect()}
+    assert links == {(3, 0), (4, 1)}  # similarities 0.905, 0.882 and 0.798
+    assert minhash.near_members(cells.withColumn("root", F.lit(1).cast("long"))).count() == 0  # one component: nothing to find
+    two = lspark.createDataFrame([(1, first[0, 3], False, int(r[0] > 2), *r) for r in rows], schema)
+    assert (3, 0) in {(r.a, r.b) for r in minhash.cell_links(two).collect()}
 
 
 def test_signatures(monkeypatch):
