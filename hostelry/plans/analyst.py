@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
-from ..operators import dedup, joins, nights, scd2
-from . import silver
+from ..operators import dedup, identity, joins, nights, scd2
+from . import gold, silver
 
 WEEKEND_PREMIUM_EXPECTED = 100.0   # fixed value: prices double at weekends
 WEEKEND_PREMIUM_TOLERANCE = 10.0   # fixed value: accepted distance in points
@@ -71,7 +71,7 @@ def fuzzy_guest_match(cleaned_guests: DataFrame, tenths: int = NAME_DISTANCE_TEN
     """Guests that share an e-mail base are compared by name with the
     survivor of their group (W01 winner), not pairwise: one comparison per
     guest, so a huge group costs linear work. ``is_same_person`` when the
-    case-insensitive Levenshtein distance is within ``max_distance``. Guests who
+    case-insensitive Levenshtein distance is within ``tenths`` of the longer name's length. Guests who
     differ from the survivor may be alike: see ``fuzzy_name_links``."""
     order = [F.col("updated_at").desc_nulls_last(), F.col("guest_id").desc()]
     survivors = dedup.latest_per_key(cleaned_guests, ["dedup_key"], order).select(
@@ -132,6 +132,21 @@ def fuzzy_name_members(cleaned_guests: DataFrame) -> DataFrame:
     return cleaned_guests.select("dedup_key", "name", "guest_id").distinct().join(groups.select("dedup_key"), "dedup_key", "left_semi")
 
 
+def guest_identities(cleaned_guests: DataFrame, tenths: int = NAME_DISTANCE_TENTHS) -> DataFrame:
+    """One survivor for all guests of an e-mail base whose names are linked, directly or
+    by way of others (A like B, B like C). The survivor is chosen as in W01: the latest update, then the highest id.
+    Names without a link are identities of their own."""
+    links = fuzzy_name_links(cleaned_guests, tenths).filter("name <> other_name")
+    roots = identity.components(links, "dedup_key", "name", "other_name")
+    g = cleaned_guests.select("guest_id", "dedup_key", "name", "updated_at")
+    g = g.join(roots.withColumnRenamed("node", "name"), ["dedup_key", "name"], "left").withColumn("root", F.coalesce("root", "name"))
+    order = [F.col("updated_at").desc_nulls_last(), F.col("guest_id").desc()]
+    survivors = dedup.latest_per_key(g, ["dedup_key", "root"], order).select(
+        F.col("dedup_key").alias("_group"), F.col("root").alias("_root"), F.col("guest_id").alias("identity_guest_id"))
+    same = F.col("dedup_key").eqNullSafe(F.col("_group")) & F.col("root").eqNullSafe(F.col("_root"))
+    return g.join(survivors, same).select("guest_id", "dedup_key", "name", "identity_guest_id")
+
+
 # ------------------------------------------------------------------- summaries
 def stays_averages(stays: DataFrame) -> DataFrame:
     """A09 + A16 (Q10): totals and four averages over the stays in one pass."""
@@ -190,17 +205,27 @@ def kpi_weekend_comparison(weekend_kpi: DataFrame) -> DataFrame:
                     (F.abs(prem - WEEKEND_PREMIUM_EXPECTED) < WEEKEND_PREMIUM_TOLERANCE).alias("premium_validated"))
 
 
-def kpi_averages(revpar: DataFrame, adr: DataFrame, anc: DataFrame, turnover: DataFrame) -> DataFrame:
-    """The mean of each KPI column as (metric, value). KPIs are rounded to
-    cents, so their mean is taken in DECIMAL(18,2) arithmetic (exact), then rounded."""
-    def mean(df, col, name):
-        v = F.round(F.avg(F.col(col).cast("decimal(18,2)")), 2).cast("double")
-        return df.agg(v.alias("value")).select(F.lit(name).alias("metric"), "value")
-    from .quality import metrics
-    return metrics(mean(revpar, "revpar", "avg_revpar"), mean(adr, "adr", "avg_adr"),
-                   mean(anc, "attachment_rate_percentage", "avg_attachment_rate"),
-                   mean(anc, "avg_ancillary_per_guest", "avg_ancillary_per_guest"),
-                   mean(turnover, "avg_turnover_time_minutes", "avg_turnover_minutes"))
+def kpi_averages(measures: DataFrame, rooms: DataFrame, turnover: DataFrame) -> DataFrame:
+    """The mean of each KPI column as (metric, value). The stay KPIs are columns of one
+    join of the night measures and the rooms, so all their means are one aggregation.
+    KPIs are rounded to cents, so their mean is taken in DECIMAL(18,2) arithmetic (exact), then rounded."""
+    def mean(col, name):
+        return F.round(F.avg(col.cast("decimal(18,2)")), 2).cast("double").alias(name)
+    revenue, sold = F.col("total_room_revenue"), F.col("rooms_sold")
+    j = measures.join(rooms, list(gold.KEYS), "full_outer")
+
+    def of_sales(ratio):
+        return F.when(sold.isNotNull(), ratio)
+    a = j.agg(
+        mean(F.when(F.col("total_available_rooms").isNotNull(), C.safe_ratio(F.coalesce(revenue, F.lit(0.0)), "total_available_rooms")), "avg_revpar"),
+        mean(of_sales(C.safe_ratio(revenue, sold)), "avg_adr"),
+        mean(of_sales(C.safe_percent("guests_with_ancillary_spend", sold)), "avg_attachment_rate"),
+        mean(of_sales(C.safe_ratio("total_ancillary_revenue", sold)), "avg_ancillary_per_guest"))
+    t = turnover.agg(mean(F.col("avg_turnover_time_minutes"), "avg_turnover_minutes"))
+
+    def unpivot(row):
+        return row.select(F.inline(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value")) for c in row.columns])))
+    return unpivot(a).unionByName(unpivot(t))
 
 
 def multi_version_guests(history: DataFrame) -> DataFrame:
@@ -239,15 +264,13 @@ def stays_with_tier_asof(stays: DataFrame, history: DataFrame) -> DataFrame:
         "version", "version_at_check_in")
 
 
-def full_availability_calendar(inventory_clean: DataFrame, calendar: DataFrame,
-                               start: str | None = None, end: str | None = None) -> DataFrame:
-    """Every inventory room on every date of [start, end], free or booked.
-    Unset bounds are the calendar's first and last night, found by one
-    aggregation whose two dates come to the driver; without nights there are no dates."""
-    if start is None or end is None:
-        lo, hi = calendar_range(calendar).first()
-        start, end = start or lo, end or hi
-    return nights.availability_calendar(inventory_clean, calendar, start, end)
+def full_availability_calendar(inventory_clean: DataFrame, res_clean: DataFrame) -> DataFrame:
+    """Every inventory room on every date from the first to the last night of the
+    reservations with a room, free or booked. The two dates come from the reservations by one
+    aggregation before their nights are made; without any there are no dates."""
+    with_rooms = res_clean.filter(F.col("room_number").isNotNull())
+    first, last = with_rooms.agg(F.min("check_in_date"), F.date_sub(F.max("check_out_date"), 1)).first()
+    return nights.availability_calendar(inventory_clean, silver.fact_room_availability_daily(res_clean), first, last)
 
 
 # ------------------------------------------------------------- B01-B06 via SQL

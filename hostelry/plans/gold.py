@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import clean as C
 from ..operators import filters, joins, nights
 
-KEYS = ("date", "hotel_id")
+KEYS = ("date", "hotel_id")  # also the order of the KPI tables (O01)
 MAX_TURNOVER_MINUTES = 600.0  # fixed value: turnover cap (10 h)
 
 
@@ -71,13 +71,13 @@ def kpi_revpar(measures: DataFrame, rooms: DataFrame) -> DataFrame:
     j = rooms.join(measures.select(*KEYS, "total_room_revenue"), list(KEYS), "left")
     rev = F.coalesce(F.col("total_room_revenue"), F.lit(0.0))
     return j.select(*KEYS, F.round(rev, 2).alias("total_room_revenue"), "total_available_rooms",
-                    C.safe_ratio(rev, "total_available_rooms").alias("revpar"))
+                    C.safe_ratio(rev, "total_available_rooms").alias("revpar")).orderBy(*KEYS)
 
 
 def kpi_adr(measures: DataFrame) -> DataFrame:
     """Revenue per room-night sold. All-NULL revenue gives NULL."""
     return measures.select(*KEYS, F.round("total_room_revenue", 2).alias("total_room_revenue"),
-                           "rooms_sold", C.safe_ratio("total_room_revenue", "rooms_sold").alias("adr"))
+                           "rooms_sold", C.safe_ratio("total_room_revenue", "rooms_sold").alias("adr")).orderBy(*KEYS)
 
 
 def kpi_ancillary(measures: DataFrame) -> DataFrame:
@@ -86,7 +86,7 @@ def kpi_ancillary(measures: DataFrame) -> DataFrame:
         *KEYS, F.col("rooms_sold").alias("total_guests"), "guests_with_ancillary_spend",
         C.safe_percent("guests_with_ancillary_spend", "rooms_sold").alias("attachment_rate_percentage"),
         F.round("total_ancillary_revenue", 2).alias("total_ancillary_revenue"),
-        C.safe_ratio("total_ancillary_revenue", "rooms_sold").alias("avg_ancillary_per_guest"))
+        C.safe_ratio("total_ancillary_revenue", "rooms_sold").alias("avg_ancillary_per_guest")).orderBy(*KEYS)
 
 
 def kpi_ancillary_per_guest(stays: DataFrame) -> DataFrame:
@@ -120,7 +120,7 @@ def kpi_dashboard(measures: DataFrame, rooms: DataFrame) -> DataFrame:
     ).select(*KEYS, "revpar",
              F.when(F.col("_m"), F.col("adr_raw")).alias("adr"),
              F.when(F.col("_m"), F.col("att_raw")).alias("attachment_rate_percentage"),
-             F.when(F.col("_m"), F.col("anc_raw")).alias("avg_ancillary_per_guest"))
+             F.when(F.col("_m"), F.col("anc_raw")).alias("avg_ancillary_per_guest")).orderBy(*KEYS)
 
 
 def kpi_weekend_vs_weekday(measures: DataFrame, rooms: DataFrame) -> DataFrame:
@@ -135,7 +135,7 @@ def kpi_weekend_vs_weekday(measures: DataFrame, rooms: DataFrame) -> DataFrame:
         C.safe_ratio("total_room_revenue", "total_available_rooms").alias("revpar"),
         C.safe_percent("rooms_sold", "total_available_rooms").alias("occupancy_rate"),
         "rooms_sold", "total_available_rooms",
-        F.round("total_room_revenue", 2).alias("total_room_revenue"))
+        F.round("total_room_revenue", 2).alias("total_room_revenue")).orderBy(*KEYS)
 
 
 def ancillary_by_category(stays: DataFrame, pos_clean: DataFrame,
@@ -188,6 +188,15 @@ def kpi_housekeeping_turnover(checkouts: DataFrame, cleanings: DataFrame,
     below which half of the weight lies, over the distinct durations of a (date,
     hotel), of which the cap allows ``60 * max_minutes`` at most."""
     by = ["check_out_date", "hotel_id"]
+    return turnover_stats(turnover_histogram(checkouts, cleanings, max_minutes, first_clean_only), by).withColumnRenamed(
+        "check_out_date", "date").orderBy(*KEYS)
+
+
+def turnover_histogram(checkouts: DataFrame, cleanings: DataFrame, max_minutes: float = MAX_TURNOVER_MINUTES,
+                       first_clean_only: bool = False) -> DataFrame:
+    """How often each duration occurs on a (check-out date, hotel): at most ``60 * max_minutes``
+    rows each. Histograms of days add up to those of any range."""
+    by = ["check_out_date", "hotel_id"]
     if first_clean_only:
         checkouts = checkouts.distinct()
         t = turnover_pairs(checkouts, cleanings, max_minutes)
@@ -197,7 +206,12 @@ def kpi_housekeeping_turnover(checkouts: DataFrame, cleanings: DataFrame,
     else:
         t = turnover_pairs(checkouts, cleanings, max_minutes).withColumn(
             "_w", F.col("n_checkouts") * F.col("n_cleanings"))
-    d = t.groupBy(*by, "turnover_time_minutes", "_turnover_seconds").agg(F.sum("_w").alias("_w"))
+    return t.groupBy(*by, "turnover_time_minutes", "_turnover_seconds").agg(F.sum("_w").alias("_w"))
+
+
+def turnover_stats(d: DataFrame, by: Sequence[str]) -> DataFrame:
+    """A06 + A07 of histograms, which may hold a duration several times, at the keys ``by``."""
+    d = d.groupBy(*by, "turnover_time_minutes", "_turnover_seconds").agg(F.sum("_w").alias("_w"))
     w = Window.partitionBy(*by)
     d = (d.withColumn("_upto", F.sum("_w").over(w.orderBy("turnover_time_minutes").rowsBetween(
             Window.unboundedPreceding, Window.currentRow)))
@@ -210,5 +224,4 @@ def kpi_housekeeping_turnover(checkouts: DataFrame, cleanings: DataFrame,
         .alias("avg_turnover_time_minutes"),
         F.round(F.min(F.when(F.col("_upto") * 2 >= F.col("_all"), m)), 2).alias("median_turnover_time_minutes"),
         F.round(F.min(m), 2).alias("min_turnover_time_minutes"),
-        F.round(F.max(m), 2).alias("max_turnover_time_minutes"))
-        .withColumnRenamed("check_out_date", "date"))
+        F.round(F.max(m), 2).alias("max_turnover_time_minutes")))

@@ -23,37 +23,33 @@ from ..sources.tables import compact_clustered
 from . import gold, quality, silver
 
 
-def _write(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    w = df.write.mode("overwrite")
-    if partition_by:
-        df = df.hint("rebalance", partition_by)
-        w = df.write.mode("overwrite").partitionBy(partition_by)
-    w.parquet(path)
-
-
 def run_batch(spark: SparkSession, bronze_dir: str, out_dir: str) -> dict[str, str]:
     b = LandedBronze(spark, bronze_dir)
     out = out_dir.rstrip("/")
     paths: dict[str, str] = {}
-
-    def save(layer: str, name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        path = f"{out}/{layer}/{name}"
-        _write(df, path, partition_by)
-        paths[name] = path
-        return spark.read.parquet(path)
-
-    dim = save("silver", "dim_guests", silver.dim_guests_batch(b.guests))
-    res = save("silver", "clean_reservations", silver.clean_reservations(b.reservations))
-    stays = save("silver", "fact_stays_unified",
-                 silver.fact_stays_unified(res, silver.clean_pos(b.pos), dim, b.inventory), "check_in_date")
-    cal_path = f"{out}/silver/fact_room_availability_daily"
-    compact_clustered(silver.fact_room_availability_daily(res), cal_path, ["date", "hotel_id"],
-                      spark.sparkContext.defaultParallelism)
-    paths["fact_room_availability_daily"] = cal_path
-    cal = spark.read.parquet(cal_path)
-
-    measures = gold.nightly_measures(stays)
-    rooms = gold.rooms_by_day(cal)
+    steps = quality.StepCounts(spark)
+
+    def path(layer: str, name: str) -> str:
+        paths[name] = f"{out}/{layer}/{name}"
+        return paths[name]
+
+    def save(layer: str, name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(path(layer, name))
+        return spark.read.parquet(paths[name])
+
+    # silver: each table is counted while it is written
+    dim = steps.write("guests", b.guests, silver.dim_guests_batch, path("silver", "dim_guests"))
+    res = steps.write("reservations", b.reservations, silver.clean_reservations, path("silver", "clean_reservations"))
+    stays = steps.write("fact_stays_unified", res,
+                        lambda d: silver.fact_stays_unified(d, silver.clean_pos(b.pos), dim, b.inventory),
+                        path("silver", "fact_stays_unified"), "check_in_date")
+    save("silver", "fact_room_availability_written", silver.fact_room_availability_daily(res))
+    compact_clustered(spark, paths.pop("fact_room_availability_written"), path("silver", "fact_room_availability_daily"), ["date", "hotel_id"])
+    cal = spark.read.parquet(paths["fact_room_availability_daily"])
+
+    # gold: the nights are made once, and five KPIs read the stored measures
+    measures = save("gold", "nightly_measures", gold.nightly_measures(stays))
+    rooms = save("gold", "rooms_by_day", gold.rooms_by_day(cal))
     save("gold", "kpi_revpar", gold.kpi_revpar(measures, rooms))
     save("gold", "kpi_adr", gold.kpi_adr(measures))
     save("gold", "kpi_ancillary_attachment_rate", gold.kpi_ancillary(measures))
@@ -62,10 +58,7 @@ def run_batch(spark: SparkSession, bronze_dir: str, out_dir: str) -> dict[str, s
     save("gold", "kpi_weekend_vs_weekday_revenue", gold.kpi_weekend_vs_weekday(measures, rooms))
     save("gold", "kpi_executive_dashboard", gold.kpi_dashboard(measures, rooms))
 
-    save("quality", "step_counts", quality.metrics(
-        quality.step_counts("guests", b.guests, dim),
-        quality.step_counts("reservations", b.reservations, res),
-        quality.step_counts("fact_stays_unified", res, stays)))
+    save("quality", "step_counts", steps.report())
     save("quality", "overbooked_slots", quality.overbooked_slots(cal))
     save("quality", "dimension_totals", quality.dimension_totals(dim))
     return paths

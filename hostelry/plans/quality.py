@@ -3,7 +3,7 @@ only report rows ever reach the driver."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
@@ -15,15 +15,33 @@ def _count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def step_counts(entity: str, read: DataFrame, kept: DataFrame) -> DataFrame:
-    """Q01 for one entity: records read, kept and dropped. Both counts come
-    from one aggregation over the tagged union of the two inputs."""
-    tagged = (read.select(F.lit(1).alias("_r"), F.lit(0).alias("_k"))
-              .unionByName(kept.select(F.lit(0).alias("_r"), F.lit(1).alias("_k"))))
-    a = tagged.agg(F.sum("_r").cast("long").alias("records_read"), F.sum("_k").cast("long").alias("records_kept"))
-    return a.select(F.lit(entity).alias("entity"), F.coalesce("records_read", F.lit(0)).alias("records_read"),
-                    F.coalesce("records_kept", F.lit(0)).alias("records_kept"),
-                    F.coalesce(F.col("records_read") - F.col("records_kept"), F.lit(0)).alias("records_dropped"))
+STEP_SCHEMA = "entity string, records_read long, records_kept long, records_dropped long"
+
+
+class StepCounts:
+    """Q01: records read, kept and dropped by each step, counted while its table is written:
+    the counts ride on the write as named metrics, so no input is read for them. (A stage that
+    Spark runs again after a lost executor may be counted again.)"""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.rows = spark, []
+
+    def write(self, entity: str, read: DataFrame, step, path: str, partition_by: str | None = None) -> DataFrame:
+        """Writes ``step(read)`` to ``path`` and returns the stored table."""
+        before, after = Observation(f"{entity} read"), Observation(f"{entity} kept")
+        rows = F.count(F.lit(1)).alias("rows")
+        out = step(read.observe(before, rows)).observe(after, rows)
+        if partition_by:
+            out.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+        else:
+            out.write.mode("overwrite").parquet(path)
+        n, kept = before.get["rows"], after.get["rows"]
+        self.rows.append((entity, n, kept, n - kept))
+        return self.spark.read.parquet(path)
+
+    def report(self) -> DataFrame:
+        """One row for each step (the rows of the report are all that the driver holds)."""
+        return self.spark.createDataFrame(self.rows, STEP_SCHEMA)
 
 
 def metrics(*parts: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import driver_views, landing
+from ..operators import filters
 from ..operators import joins as joins_mod
 from . import gold, silver
 
@@ -262,6 +263,11 @@ def fuzzy_name_members(spark, sf):
     return analyst.fuzzy_name_members(silver.clean_guests(Bronze(spark, sf).guests))
 
 
+@query
+def guest_identities(spark, sf):
+    return analyst.guest_identities(silver.clean_guests(Bronze(spark, sf).guests))
+
+
 # ------------------------------------------------------------- summaries
 @query
 def stays_summary(spark, sf):
@@ -270,7 +276,7 @@ def stays_summary(spark, sf):
 
 @query
 def tier_distribution(spark, sf):
-    return analyst.distribution(_dim(Bronze(spark, sf)).filter(F.col("is_current")), "loyalty_tier")
+    return analyst.distribution(filters.flag_filter(_dim(Bronze(spark, sf)), "is_current"), "loyalty_tier")
 
 
 @query
@@ -316,7 +322,8 @@ def _kpis(b: Bronze):
 
 @query
 def kpi_averages(spark, sf):
-    return analyst.kpi_averages(*_kpis(Bronze(spark, sf)))
+    b = Bronze(spark, sf)
+    return analyst.kpi_averages(gold.nightly_measures(_stays(b)), gold.rooms_by_day(_calendar(b)), _kpis(b)[3])
 
 
 @query
@@ -353,7 +360,7 @@ def reservations_one_per_id(spark, sf):
 @query
 def availability_calendar(spark, sf):
     b = Bronze(spark, sf)
-    return analyst.full_availability_calendar(silver.clean_inventory(b.inventory), _calendar(b))
+    return analyst.full_availability_calendar(silver.clean_inventory(b.inventory), _res(b))
 
 
 @query
@@ -378,14 +385,15 @@ def stays_with_tier_asof(spark, sf):
 # --------------------------------------------------------------- quality (Q01-Q13)
 @query
 def dq_step_counts(spark, sf):
-    b = Bronze(spark, sf)
-    return quality.metrics(
-        quality.step_counts("guests", b.guests, silver.latest_guests(silver.clean_guests(b.guests))),
-        quality.step_counts("reservations", b.reservations, _res(b)),
-        quality.step_counts("pos_transactions", b.pos, _pos(b)),
-        quality.step_counts("hotel_inventory", b.inventory, silver.clean_inventory(b.inventory)),
-        quality.step_counts("housekeeping_logs", b.housekeeping, silver.clean_housekeeping(b.housekeeping)),
-        quality.step_counts("fact_stays_unified", _res(b), _stays(b)))
+    """Q01: counted while the silver tables are written."""
+    b, out, steps = Bronze(spark, sf), _scratch(spark, "silver"), quality.StepCounts(spark)
+    guests = steps.write("guests", b.guests, lambda d: silver.latest_guests(silver.clean_guests(d)), f"{out}/guests")
+    res = steps.write("reservations", b.reservations, silver.clean_reservations, f"{out}/reservations")
+    pos = steps.write("pos_transactions", b.pos, silver.clean_pos, f"{out}/pos")
+    steps.write("hotel_inventory", b.inventory, silver.clean_inventory, f"{out}/inventory")
+    steps.write("housekeeping_logs", b.housekeeping, silver.clean_housekeeping, f"{out}/housekeeping")
+    steps.write("fact_stays_unified", res, lambda d: silver.fact_stays_unified(d, pos, guests, b.inventory), f"{out}/stays")
+    return steps.report()
 
 
 @query
@@ -691,16 +699,38 @@ def stream_saved_reservations(spark, sf):
 
 @query
 def compacted_calendar(spark, sf):
-    """The calendar rewritten range-clustered by hotel and date, then read."""
-    path = _scratch(spark, "compacted")
-    tables.compact_clustered(_calendar(Bronze(spark, sf)), path, ["hotel_id", "date"], 8)
+    """The stored calendar rewritten clustered by hotel and date at once, then read."""
+    source, path = _scratch(spark, "calendar"), _scratch(spark, "compacted")
+    _calendar(Bronze(spark, sf)).write.parquet(source)
+    tables.compact_clustered(spark, source, path, ["hotel_id", "date"])
     return spark.read.parquet(path)
 
 
 @query
 def persisted_reuse(spark, sf):
-    """One kept calendar serves both the slot counts and the date range."""
+    """One kept calendar serves both the slot counts and the date range, and is given
+    back when both are there (a row each)."""
     kept = tables.persist_reuse(_calendar(Bronze(spark, sf)))
-    slots, dates = quality.overbooked_slots(kept), analyst.calendar_range(kept)
-    return slots.select(F.lit("slots").alias("report"), F.col("booked_slots").cast("string").alias("value")).unionByName(
-        dates.select(F.lit("first").alias("report"), F.col("min_date").cast("string").alias("value")))
+    try:
+        slots, first = quality.overbooked_slots(kept).first()["booked_slots"], analyst.calendar_range(kept).first()["min_date"]
+    finally:
+        kept.unpersist()
+    return spark.createDataFrame([("slots", str(slots)), ("first", None if first is None else str(first))], "report string, value string")
+
+
+# ------------------------------------------------------------- roll-ups
+from . import rollup  # noqa: E402
+
+
+@query
+def rollup_months(spark, sf):
+    """Months out of stored day states; approximate values are checked against exact ones."""
+    b, path = Bronze(spark, sf), _scratch(spark, "day-states")
+    stays = tables.persist_reuse(_stays(b))
+    try:
+        rollup.write_day_states(stays, silver.checkout_events(b.reservations), silver.clean_housekeeping(b.housekeeping), path)
+        checked = _scratch(spark, "months")
+        rollup.months_checked(rollup.months(spark, path), stays).write.parquet(checked)
+    finally:
+        stays.unpersist()
+    return spark.read.parquet(checked)

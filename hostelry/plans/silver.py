@@ -110,9 +110,8 @@ def clean_pos(pos: DataFrame, content_key: Sequence[str] = (), also: Sequence[st
     p = filters.require_keys(pos, ["txn_id"])
     p = p.select("txn_id", "res_id", "item_name",
                  C.canonical_category("category").alias("category"),
-                 C.null_outside_range("amount", *POS_AMOUNT_BOUNDS).alias("amount"),
-                 C.parse_ts_multi("timestamp").alias("timestamp"), *also)
-    p = p.filter(F.col("amount").isNotNull() & F.col("timestamp").isNotNull())
+                 "amount", C.parse_ts_multi("timestamp").alias("timestamp"), *also)
+    p = filters.drop_null(filters.drop_outside_range(p, "amount", *POS_AMOUNT_BOUNDS), "timestamp")
     return dedup.latest_per_key(p, content_key, [F.col("txn_id").asc()]) if content_key else p
 
 
@@ -153,16 +152,13 @@ def clean_inventory(inv: DataFrame) -> DataFrame:
 def fact_stays(res_clean: DataFrame, pos_totals: DataFrame) -> DataFrame:
     """Reservations with their POS totals (before the
     orphan filter)."""
-    j = res_clean.join(pos_totals, "res_id", "left")
+    j = res_clean.join(pos_totals, "res_id", "left").withColumns(C.fill_missing({"total_pos_amount": 0.0, "pos_item_count": 0}))
     return j.select(
         "res_id", "guest_id", "hotel_id", "room_type", "check_in_date", "check_out_date",
         C.nights("check_in_date", "check_out_date").alias("stay_length_nights"),
         "total_price", "booking_channel",
-        F.coalesce(F.col("total_pos_amount"), F.lit(0.0)).alias("total_pos_amount"),
-        C.null_safe_sum("total_price", F.coalesce(F.col("total_pos_amount"), F.lit(0.0)))
-        .alias("total_folio_amount"),
-        F.coalesce(F.col("pos_item_count"), F.lit(0).cast("long")).alias("pos_item_count"),
-        "created_at")
+        "total_pos_amount", C.null_safe_sum("total_price", "total_pos_amount").alias("total_folio_amount"),
+        "pos_item_count", "created_at")
 
 
 def fact_stays_unified(res_clean: DataFrame, pos_clean: DataFrame, dim_guests: DataFrame,

@@ -73,9 +73,12 @@ def bronze_guests(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(k % 30 == 0, F.lit("invalid-email"))
              .when(k % 20 == 0, F.concat(F.lit("guest"), (k - 1).cast("string"), F.lit("+alt@inn.example")))
              .when(k % 45 == 44, F.concat(F.lit("guest"), (k - 1).cast("string"), F.lit("@inn.example")))
+             .when((k % 60).between(32, 34), F.concat(F.lit("guest"), (k - k % 60 + 31).cast("string"), F.lit("@inn.example")))
              .when(k % 9 == 0, F.concat(F.lit(" "), F.upper(base), F.lit(" ")))
              .otherwise(base))
     name = (F.when(k % 40 == 1, F.lit(None).cast("string"))
+            .when(k % 60 == 33, F.concat(F.col("c_name"), F.lit(" Junior")))  # like the next one only
+            .when(k % 60 == 34, F.concat(F.col("c_name"), F.lit(" Jr.")))
             .when(k % 10 == 3, F.concat(F.lit("  "), F.col("c_name"), F.lit("   ")))
             .when(k % 10 == 7, F.regexp_replace(F.col("c_name"), "#", "   #"))
             .when(k % 10 == 9, F.lower(F.col("c_name")))

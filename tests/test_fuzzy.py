@@ -52,3 +52,29 @@ def test_links_are_all_pairs(spark):
     got = [tuple(r) for r in analyst.fuzzy_name_links(spark.createDataFrame(rows, SCHEMA)).collect()]
     want = _wanted(rows)
     assert len(want) > 200 and len(got) == len(set(got)) and set(got) == want
+
+
+def test_chains_have_one_survivor(spark):
+    import datetime as dt
+    day = [dt.datetime(2024, 1, d) for d in range(1, 9)]
+    chain = ["aaaaaaaaaa", "aaaaaaabbb", "aaaabbbbbb", "abbbbbbbbb", "bbbbbbbbbb"]  # each like its neighbours only
+    rows = [(i, "a@x", n, day[i]) for i, n in enumerate(chain)] + [(7, "a@x", "zzzzzzzzzz", day[7]), (8, "b@x", "aaaaaaaaaa", day[0]), (9, "b@x", "aaaaaaaaaa", None)]
+    got = {r.guest_id: r.identity_guest_id for r in analyst.guest_identities(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {0: 4, 1: 4, 2: 4, 3: 4, 4: 4, 7: 7, 8: 8, 9: 8}
+
+
+def test_components_of_random_groups(spark):
+    from hostelry.operators import identity
+    rng = random.Random(6)
+    links = [(g, rng.randrange(60), rng.randrange(60)) for g in "pq" for _ in range(45)] + [("r", i, i + 1) for i in range(40)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+    for g, a, b in links:
+        lo, hi = sorted((find((g, a)), find((g, b))))
+        root[hi] = lo
+    got = identity.components(spark.createDataFrame(links, "g string, a long, b long"), "g", "a", "b").collect()
+    assert {(r.g, r.node): r.root for r in got} == {x: find(x)[1] for x in list(root)} and len(got) == len(root)

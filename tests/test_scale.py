@@ -92,3 +92,51 @@ def test_turnover_join_is_linear_in_checkouts(spark):
     assert r["avg_turnover_time_minutes"] == 120.0 and r["max_turnover_time_minutes"] == 180.0
     f = gold.kpi_housekeeping_turnover(co, cl, first_clean_only=True).first()
     assert f["total_checkouts"] == 500 and f["median_turnover_time_minutes"] == 60.0
+
+
+def _scans(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("FileScan")
+
+
+def test_reports_read_their_inputs_once(spark):
+    """The mean KPIs come from one build of the stays and one of the calendar; a silver step is
+    counted by the write that stores it."""
+    from hostelry.plans import quality
+    from hostelry.plans.queries import QUERIES
+    b = Bronze(spark, SF01)
+    one = _scans(QUERIES["kpi_revpar"](spark, SF01))
+    assert _scans(QUERIES["kpi_averages"](spark, SF01)) <= one + 6  # and charges, check-outs, cleanings
+    import tempfile
+    steps = quality.StepCounts(spark)
+    path = tempfile.mkdtemp(prefix="steps-", dir="/tmp") + "/hk"
+    back = steps.write("housekeeping_logs", b.housekeeping, silver.clean_housekeeping, path)
+    (row,) = steps.report().collect()
+    n, kept = b.housekeeping.count(), back.count()
+    assert tuple(row) == ("housekeeping_logs", n, kept, n - kept) and 0 < kept < n
+
+
+def test_kpi_tables_are_in_order(spark):
+    from hostelry.plans.queries import QUERIES
+    for name in ("kpi_revpar", "kpi_adr", "kpi_ancillary_attachment_rate", "kpi_housekeeping_turnover_time",
+                 "kpi_weekend_vs_weekday_revenue", "kpi_executive_dashboard"):
+        keys = [(r["date"], r["hotel_id"]) for r in QUERIES[name](spark, SF01).collect()]
+        assert keys == sorted(keys) and keys, name
+
+
+def test_day_states_add_up(spark):
+    """Months out of day states against the rows, with many more guests than a sketch keeps."""
+    import tempfile
+
+    from hostelry.plans import rollup
+    stays = spark.range(60_000).selectExpr(
+        "id % 2 AS hotel_id", "id * 7919 % 17000 AS guest_id", "date_add(DATE'2024-01-30', CAST(id % 5 AS INT)) AS check_in_date",
+        "CASE WHEN id % 9 = 0 THEN NULL ELSE CAST(id * 31 % 4001 AS DOUBLE) END AS total_folio_amount")
+    co = spark.createDataFrame([], "res_id long, hotel_id long, room_number string, check_out_date date, checkout_timestamp timestamp")
+    cl = spark.createDataFrame([], "hotel_id long, room_number string, timestamp timestamp")
+    path = tempfile.mkdtemp(prefix="states-", dir="/tmp")
+    rollup.write_day_states(stays, co, cl, path)
+    assert spark.read.parquet(path + "/stays").count() == 10
+    rows = rollup.months_checked(rollup.months(spark, path), stays).collect()
+    assert len(rows) == 4 and all(r.guests_near and r.median_near and r.turnovers is None for r in rows)
+    assert sum(r.stays for r in rows) == 60_000
