@@ -5,6 +5,7 @@ import json
 import math
 import random
 import re
+import time
 import zipfile
 import zlib
 from collections import Counter, defaultdict
@@ -77,7 +78,31 @@ def test_long_texts_resynchronise(tokenizer):
     for _ in range(30):
         t = "".join(rng.choices(["word", " ", "\n", "  ", "'s ", "é", "日本", "<|endoftext|>", "longerword "], k=400))
         assert token_counts.count_tokens(t, tokenizer, chunk=90, overlap=8) == len(ids_of(tokenizer, t))
-    assert token_counts.count_tokens("x" * 5000, tokenizer, chunk=90, overlap=8) == len(ids_of(tokenizer, "x" * 5000))
+    for kind in ["x", "日本", " ", "\n", "a1", "!'s", "é\u00b2"]:
+        assert token_counts.count_tokens(kind * 2500, tokenizer, chunk=90, overlap=8) == len(ids_of(tokenizer, kind * 2500))
+
+
+def test_stable_places_are_cuts_in_any_context(tokenizer):
+    """Wherever a text is cut at a stable place, both sides encode as they do together."""
+    rng = random.Random(8)
+    alphabet = ["a", "Zé", "я", "日本語", "、", "。", "7", "42", "!", "'", "'s", "'ll", "#", "[x]", " ", "\n", "\t", "한", "½", "_", "\\", "<|endoftext|"]
+    for _ in range(400):
+        t = "".join(rng.choices(alphabet, k=12))
+        whole = ids_of(tokenizer, t)
+        for m in token_counts._STABLE.finditer(t, 1):
+            assert ids_of(tokenizer, t[:m.start()]) + ids_of(tokenizer, t[m.start():]) == whole, (t, m.start())
+
+
+def test_long_texts_take_linear_time(tokenizer):
+    rng = random.Random(9)
+    for alphabet in ("abcdefgh", "日本語中国人民共和"):
+        took = []
+        for n in (400_000, 800_000):
+            text = "".join(rng.choices(alphabet, k=n))
+            start = time.process_time()
+            assert token_counts.count_tokens(text, tokenizer) == len(ids_of(tokenizer, text))
+            took.append(time.process_time() - start)
+        assert took[1] <= 2.9 * took[0] + 1
 
 
 def test_token_counts(docs, empty, tokenizer):
