@@ -13,7 +13,8 @@ family's lead and the language's.
 Edge cases: a null text, or one without a letter, is ``und`` with score 0.
 Null or unlisted languages: null is not learned; a language outside
 ``FAMILIES`` is a family of its own. Without any training rows everything is
-``und``. Null keys are predicted like others and never learned from.
+``und``. Null keys are predicted like others and never learned from. A very long text
+is described whole, in memory in proportion to its bytes.
 """
 
 from __future__ import annotations

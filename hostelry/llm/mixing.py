@@ -24,7 +24,8 @@ Edge cases: a null text has no words. Documents without words take none. A
 null source is a source of its own. Null keys and repeated rows are documents
 like others; equal rows are told apart only by position, so which of them gets
 an extra copy does not show. Without any words every target is 0. The table of
-sources (one row each) passes through the driver.
+sources (one row each) passes through the driver. A very long text weighs what its words
+number and is never cut, so a source may miss its target by as much.
 """
 
 from __future__ import annotations

@@ -21,6 +21,7 @@ Edge cases: null or empty text has no words and fails the base rules. Null
 keys are measured and scored; they match no label. Repeated rows are each
 measured. Labels for a document given several times count as bad if any is.
 Without labels of both kinds nothing is calibrated and only the base rules reject.
+A very long text is measured alone, whole; one huge word fails the base rules.
 """
 
 from __future__ import annotations

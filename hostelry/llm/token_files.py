@@ -19,7 +19,7 @@ a task that is run again leaves at most an unlisted file.
 
 Edge cases: a null text is empty, its document holds the end id alone. Null
 keys come first. Repeated keys keep all their rows, in order of content. An
-empty table gives no rows.
+empty table gives no rows. A very long text is encoded alone, whole, and spans blocks.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ sum over the pages' digests; no group of copies is ever gathered.
 Edge cases: a null payload is empty. A null URL is left out of the record.
 Pages with a null id are responses unless a page with an id holds the same
 payload. Repeated rows of the smallest id are all responses. An empty table
-makes no archive and gives no rows.
+makes no archive and gives no rows. A very long payload is one record, written and read
+whole; ZIP64 lengths leave it no limit.
 """
 
 from __future__ import annotations
