@@ -2,7 +2,8 @@
 
 Each stage applies one operator to all that its predecessor kept, is written as
 Parquet in the shared folder and read back as the next one's documents. All but
-the last return the columns of ``documents``. ORACLE_SQL is None: the quality
+the last return the columns of ``documents``. A very long text goes through
+every stage whole. ORACLE_SQL is None: the quality
 verdicts, the mixing rates and the ids are not expressible in SQL.
 """
 
