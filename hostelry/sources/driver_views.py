@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 # Fixed parameters of the derivation (shared with the SQL oracle).
 STAY_YEAR_START = "2024-01-01"
 STAY_DAYS = 366              # check-ins spread over the leap year 2024
-ROOMS_PER_HOTEL = 40         # reservations use room numbers 0..39
+ROOMS_PER_HOTEL = 40         # three in four reservations use room numbers 0..39, the others one by their guest
 HOTELS = 5
+UNKNOWN_HOTELS = 900         # ids from here on are in no inventory
 ORPHAN_GUEST_OFFSET = 1_000_000
 ORPHAN_RES_OFFSET = 2_000_000_000_000
 COPY_RES_OFFSET = 1_000_000_000_000
@@ -160,12 +161,14 @@ def _reservation_columns(o: DataFrame, corrected: bool) -> DataFrame:
                  .otherwise("Penthouse"))
     room = (F.when(k % 20 == 3, F.lit("9999"))
             .when(k % 13 == 5, F.lit(None).cast("string"))
+            .when(k % 4 == 0, (ROOMS_PER_HOTEL + _idiv(F.col("o_custkey"), 5)).cast("string"))
             .otherwise((_idiv(k, 5) % ROOMS_PER_HOTEL).cast("string")))
+    hotel = F.when(k % 211 == 17, UNKNOWN_HOTELS + k % HOTELS).otherwise(k % HOTELS + 1).alias("hotel_id")
     created = _ts(F.date_sub(ci, (k % 60).cast("int")), k * 13 % 86400)
     if corrected:
         # A corrected re-send of the same reservation: clean formats, one day later.
         return o.select(
-            k.alias("res_id"), F.col("o_custkey").alias("guest_id"), (k % HOTELS + 1).alias("hotel_id"),
+            k.alias("res_id"), F.col("o_custkey").alias("guest_id"), hotel,
             room.alias("room_number"), room_type.alias("room_type"),
             F.date_format(ci, "yyyy-MM-dd").alias("check_in_date"),
             F.date_format(F.date_add(ci, n.cast("int")), "yyyy-MM-dd").alias("check_out_date"),
@@ -187,7 +190,7 @@ def _reservation_columns(o: DataFrame, corrected: bool) -> DataFrame:
                     .otherwise(F.date_format(created, ISO_TS)))
     guest = F.when(k % 20 == 7, F.col("o_custkey") + ORPHAN_GUEST_OFFSET).otherwise(F.col("o_custkey"))
     return o.select(
-        k.alias("res_id"), guest.alias("guest_id"), (k % HOTELS + 1).alias("hotel_id"),
+        k.alias("res_id"), guest.alias("guest_id"), hotel,
         room.alias("room_number"), room_type.alias("room_type"),
         ci_text.alias("check_in_date"), co_text.alias("check_out_date"),
         total.alias("total_price"), channel.alias("booking_channel"), created_text.alias("created_at"))

@@ -86,14 +86,15 @@ _CHANNEL = """CASE WHEN k % 11 = 6 THEN 'fax' WHEN k % 9 = 4 THEN 'walk in desk'
 _ROOM_TYPE = """CASE (k // 3) % 6 WHEN 0 THEN 'standard' WHEN 1 THEN 'DELUXE' WHEN 2 THEN 'Suite'
        WHEN 3 THEN 'presidential' WHEN 4 THEN NULL ELSE 'Penthouse' END"""
 _ROOM = """CASE WHEN k % 20 = 3 THEN '9999' WHEN k % 13 = 5 THEN NULL
-       ELSE CAST((k // 5) % 40 AS VARCHAR) END"""
+       WHEN k % 4 = 0 THEN CAST(40 + o_custkey // 5 AS VARCHAR) ELSE CAST((k // 5) % 40 AS VARCHAR) END"""
+_HOTEL = "(CASE WHEN k % 211 = 17 THEN 900 + k % 5 ELSE k % 5 + 1 END)"
 _CREATED = "(CAST(ci - CAST(k % 60 AS INTEGER) AS TIMESTAMP) + to_seconds(k * 13 % 86400))"
 _CO = "(CASE WHEN k % 31 = 4 THEN ci WHEN k % 37 = 6 THEN ci - 2 ELSE ci + n END)"
 
 _RES_ROWS = f"""
 SELECT k AS res_id,
   CASE WHEN k % 20 = 7 THEN o_custkey + 1000000 ELSE o_custkey END AS guest_id,
-  k % 5 + 1 AS hotel_id, {_ROOM} AS room_number, {_ROOM_TYPE} AS room_type,
+  {_HOTEL} AS hotel_id, {_ROOM} AS room_number, {_ROOM_TYPE} AS room_type,
   CASE WHEN k % 17 = 2 THEN NULL WHEN k % 41 = 40 THEN 'TBD' ELSE
     {_dt("ci", "k % 10", [(6, "%d/%m/%Y"), (7, "%d/%m/%Y"), (8, "%m/%d/%Y")], "%Y-%m-%d")} END AS check_in_date,
   CASE WHEN k % 23 = 8 THEN NULL ELSE
@@ -109,7 +110,7 @@ FROM res_base
 """
 
 _RESENT = f"""
-SELECT k AS res_id, o_custkey AS guest_id, k % 5 + 1 AS hotel_id, {_ROOM} AS room_number,
+SELECT k AS res_id, o_custkey AS guest_id, {_HOTEL} AS hotel_id, {_ROOM} AS room_number,
   {_ROOM_TYPE} AS room_type, strftime(ci, '%Y-%m-%d') AS check_in_date,
   strftime(ci + n, '%Y-%m-%d') AS check_out_date, CAST(price AS DOUBLE) AS total_price,
   {_CHANNEL} AS booking_channel,
