@@ -27,8 +27,10 @@ from hostelry.llm import files
 from hostelry.session import ensure_checkpoint_dir
 
 #: Bytes of text handled at once inside a task; a longer document is handled alone.
-CHUNK_BYTES = 4 << 20
-#: Words remembered by a worker's hash table before it starts anew.
+CHUNK_BYTES = 1 << 20
+#: The same where a task sums up what it has handled at once before it sends that on.
+SUMMED_BYTES = 4 << 20
+#: Words remembered by a worker's hash table before it starts anew; it is emptied after each task.
 WORD_CACHE = 250_000
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -98,7 +100,9 @@ def row_chunks(lengths: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[
 
 
 def release_memory() -> None:
-    """Give freed memory back to the system: workers live on between tasks."""
+    """Forget words and give freed memory back to the system: workers live on between tasks
+    and stages, and an executor has several."""
+    _HASHES.clear()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # not a GNU C library
         ctypes.CDLL(None).malloc_trim(0)

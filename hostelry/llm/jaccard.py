@@ -14,13 +14,17 @@ whole sequence if it has fewer words). Two documents link when
 3. Stars: every class is compared with the smallest class of tokens it shares,
    if it shares enough of them. Linked ones are in one component; a large group of near copies is
    settled here with one comparison a copy and no pairs.
-4. Groups: classes are partitioned into groups of similar documents (those that
-   share a smallest token), of at most ``GROUP`` members; a group keeps the
-   union of its members' tokens and their smallest and largest size. A class
-   that shares a prefix token with a group in another component asks it: first
-   the sizes must allow a link, then the class's overlap with the group's union
-   must reach what its smallest possible partner needs. Only groups that pass
-   are opened and their members compared.
+4. Token-group matrix: the classes of different components that share a prefix token meet in cells
+   (the token's classes, in pairs of blocks of about ``BLOCK``). A cell's classes are partitioned into groups of
+   ``GROUP`` similar ones (of one component, of like size); a group keeps the union of its members' tokens and their
+   smallest and largest size. A class asks each group: the sizes must allow a link, and the bound of its
+   overlap with the group's union must reach what its smallest possible partner needs. Only groups that pass are
+   opened and their members bounded one by one. Token sets stand there as bitmaps of ``BITS`` hash values, which give
+   upper bounds: a bit that the union lacks is a token that it lacks, and sets whose
+   parities differ in many bits differ in as many tokens. Cells of up to ``SMALL`` classes have no groups.
+   A pair counts in the first token that both classes are known to have. The classes that have a candidate come
+   again with their full sets, and a cell gives links until its components are joined, so that
+   its rows are fewer than its classes.
 5. Components of all links found; links inside a component are not needed again.
 
 Every comparison is exact (64-bit hashes, two for the identity of sets). No
@@ -30,7 +34,8 @@ Edge cases: null, empty or blank text has an empty set and links with nothing;
 its component is its own key. A row with a null key belongs to the class of its
 set; a set that only such rows have is compared with no other, and its
 component is null. Repeated rows are members like others, and a key that
-several texts share belongs to the components of each.
+several texts share belongs to the components of each. A very long text is handled alone, whole,
+and its set with it; one huge word is a set of one.
 """
 
 from __future__ import annotations
@@ -43,14 +48,18 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hostelry.llm.common import hash_words, materialize, mix, ngram_hashes, only, partitions, signed, text_chunks
+from hostelry.llm.common import SUMMED_BYTES, hash_words, materialize, mix, ngram_hashes, only, partitions, signed, text_chunks
 from hostelry.llm.components import connected_components
 
 N, PERCENT = 5, 80
 #: All tokens up to this hash, three in ten, are sent and put first in the common order.
 LIMIT = np.uint64((1 << 64) * 3 // 10)
-#: Members of a group at most.
-GROUP = 64
+#: Members of a group at most, and classes of a block, about.
+GROUP, BLOCK = 64, 2048
+#: Classes of a cell that are bounded pair by pair.
+SMALL = 16
+#: Bits of a set's bitmap, and first tokens of a class by which a pair is told to have met before.
+BITS, FIRST = 512, 16
 
 
 def shingles(raw: bytes, n: int = N) -> np.ndarray:
@@ -86,14 +95,21 @@ def identity(tokens: np.ndarray) -> tuple[int, int]:
     return (int(np.uint64(xxhash.xxh64_intdigest(data, 1)).astype(np.int64)), int(np.uint64(xxhash.xxh64_intdigest(data, 2)).astype(np.int64)))
 
 
+def bitmaps(tokens: np.ndarray) -> bytes:
+    """Which of ``BITS`` hash values the tokens have, and which an odd number of them has."""
+    counts = np.bincount((tokens >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64), minlength=BITS)
+    return np.packbits([counts > 0, counts & 1 > 0], axis=1).tobytes()
+
+
 def set_rows(docs: DataFrame) -> DataFrame:
-    """(key, fp, fp2, size) of each row of (key, text)."""
+    """(key, fp, fp2, size, bits) of each row of (key, text)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, raw in text_chunks(batches):
-            rows = [(*identity(s), len(s)) for s in map(shingles, raw)]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), *[pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]], ["key", "fp", "fp2", "size"])
-    return docs.mapInArrow(run, "key long, fp long, fp2 long, size long")
+            rows = [(*identity(s), len(s), bitmaps(s)) for s in map(shingles, raw)]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]],
+                                             ["key", "fp", "fp2", "size", "bits"])
+    return docs.mapInArrow(run, "key long, fp long, fp2 long, size long, bits binary")
 
 
 def shared_tokens(docs: DataFrame, buckets: int) -> DataFrame:
@@ -103,7 +119,7 @@ def shared_tokens(docs: DataFrame, buckets: int) -> DataFrame:
         def rows(found: list[tuple[int, bytes, bytes, str]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], k) for i, k in enumerate((pa.int32(), pa.binary(), pa.binary(), pa.string()))],
                                               ["bucket", "tokens", "fps", "kind"])
-        for _, raw in text_chunks(batches):
+        for _, raw in text_chunks(batches, limit=SUMMED_BYTES):
             distinct = {}
             for s in map(shingles, raw):
                 if len(s):
@@ -193,33 +209,145 @@ def linked(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "tokens_a", "tokens_b").mapInArrow(run, "a long, b long")
 
 
-def passing(asked: DataFrame) -> DataFrame:
-    """Those (a, g) of rows (a, g, tokens_a, union, low, high) whose overlap
-    with the group's union allows a link with one of its members."""
+def open_groups(queries: tuple, members: tuple, group: int = GROUP) -> tuple[list[np.ndarray], np.ndarray]:
+    """The matrix of a cell: the members' groups (their positions), and for every query and group whether
+    it must be opened. queries and members: (root, size, bitmaps of the tokens)."""
+    root, size, bits = members
+    order = np.lexsort((size, root))
+    groups = np.split(order, np.arange(group, len(order), group))
+    starts = np.arange(0, len(order), group)
+    union = np.bitwise_or.reduceat(bits[order], starts, axis=0)
+    low, high = np.minimum.reduceat(size[order], starts), np.maximum.reduceat(size[order], starts)
+    first, last = np.minimum.reduceat(root[order], starts), np.maximum.reduceat(root[order], starts)
+    q_root, q_size, q_bits = (x[:, None] for x in queries)
+    lacking = np.bitwise_count(q_bits & ~union[None]).sum(axis=2, dtype=np.int64)
+    # the smallest partner that the sizes allow needs the least
+    least, most = np.maximum(low, -(-PERCENT * q_size // 100)), np.minimum(high, 100 * q_size // PERCENT)
+    other = (first != q_root) | (last != q_root)
+    return groups, (least <= most) & other & (q_size - lacking >= needed(q_size, least))
+
+
+def candidates(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """(class, its candidates) of a cell, by position; each pair once, and only in the first token that both
+    are known to have."""
+    root, size, side = (table.column(c).to_numpy() for c in ("root", "size", "side"))
+    bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(root), 2, -1)
+    held, odd = bits[:, 0], bits[:, 1]
+    token, one = table.column("token")[0].as_py(), table.column("one")[0].as_py()
+    asking, inside = (np.arange(len(root)),) * 2 if one else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+    if not len(asking) or not len(inside):
+        return
+    first = np.full((len(root), FIRST), token, np.int64)
+    for i, tokens in enumerate(table.column("first").to_pylist()):
+        first[i, :len(tokens)] = tokens
+    groups, opened = open_groups((root[asking], size[asking], held[asking]), (root[inside], size[inside], held[inside]))
+    for k in np.flatnonzero(opened.any(axis=1)):
+        i = asking[k]
+        to = inside[np.concatenate([groups[g] for g in np.flatnonzero(opened[k])])]
+        to = to[(root[to] != root[i]) & (100 * np.minimum(size[to], size[i]) >= PERCENT * np.maximum(size[to], size[i]))]
+        if one:
+            to = to[to > i]
+        differ = np.bitwise_count(odd[to] ^ odd[i]).sum(axis=1, dtype=np.int64)
+        to = to[(size[to] + size[i] - differ) // 2 >= needed(size[to], size[i])]
+        before = first[i][first[i] < token]
+        if len(before) and len(to):
+            to = to[~(first[to][:, :, None] == before).any(axis=(1, 2))]
+        if len(to):
+            yield int(i), to
+
+
+def cell_pairs(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Candidates (positions i, j) of all cells of a table sorted by cell. Most cells have a few
+    classes only: these are bounded pair by pair, all cells at once."""
+    cell = table.column("cell").to_numpy()
+    _, at, counts = np.unique(cell, return_index=True, return_counts=True)
+    few = np.repeat(counts <= SMALL, counts)
+    found_i, found_j = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for d in range(1, SMALL):
+        i = np.flatnonzero((cell[d:] == cell[:-d]) & few[:-d])
+        if not len(i):
+            break
+        found_i.append(i)
+        found_j.append(i + d)
+    i, j = np.concatenate(found_i), np.concatenate(found_j)
+    root, size, side, token, one = (table.column(c).to_numpy() for c in ("root", "size", "side", "token", "one"))
+    ok = (root[i] != root[j]) & (100 * np.minimum(size[i], size[j]) >= PERCENT * np.maximum(size[i], size[j])) & (one[i] | (side[i] != side[j]))
+    i, j = i[ok], j[ok]
+    odd = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(root), 2, -1)[:, 1]
+    ok = (size[i] + size[j] - np.bitwise_count(odd[i] ^ odd[j]).sum(axis=1, dtype=np.int64)) // 2 >= needed(size[i], size[j])
+    i, j = i[ok], j[ok]
+    # a token before this one that both have: they met there
+    lists = table.column("first").combine_chunks()
+    ends = lists.offsets.to_numpy()
+    lens = np.diff(ends)
+    first = np.full((len(root), FIRST), np.iinfo(np.int64).max, np.int64)
+    first[np.repeat(np.arange(len(root)), lens), np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)] = lists.flatten().to_numpy()
+    for k in range(0, len(i), 50_000):
+        x, y, t = first[i[k:k + 50_000]], first[j[k:k + 50_000]], token[i[k:k + 50_000]]
+        before = ((x[:, :, None] == y[:, None, :]) & (x < t[:, None])[:, :, None]).any(axis=(1, 2))
+        i[k:k + 50_000][before] = -1
+    found_i, found_j = [i[i >= 0]], [j[i >= 0]]
+    for a, n in zip(at[counts > SMALL].tolist(), counts[counts > SMALL].tolist(), strict=True):
+        for k, to in candidates(table.slice(a, n).combine_chunks()):
+            found_i.append(np.full(len(to), a + k))
+            found_j.append(a + to)
+    return np.concatenate(found_i), np.concatenate(found_j)
+
+
+def whole_cells(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The batches, sorted by cell, as tables that no cell crosses."""
+    held = None
+    for b in batches:
+        table = pa.Table.from_batches([b])
+        table = table if held is None else pa.concat_tables([held, table])
+        cell = table.column("cell").to_numpy()
+        cut = int(np.searchsorted(cell, cell[-1], "left")) if len(cell) else 0
+        if cut:
+            yield table.slice(0, cut).combine_chunks()
+        held = table.slice(cut)
+    if held is not None and held.num_rows:
+        yield held.combine_chunks()
+
+
+def _by_cell(members: DataFrame) -> DataFrame:
+    return members.repartition(partitions(members.sparkSession), "cell").sortWithinPartitions("cell")
+
+
+def asked(members: DataFrame) -> DataFrame:
+    """(cell, fp) of the classes that have a candidate in their cell, once each. members: (cell, token,
+    one: both blocks are the same, side, fp, root, size, bits, first)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, _, both = _overlaps(b.column(2), b.column(3))
-            low = b.column(4).to_numpy()
-            # the smallest partner that the sizes allow needs the least
-            least = np.maximum(low, -(-PERCENT * x // 100))
-            yield b.select([0, 1]).filter(pa.array(both >= needed(x, least)))
-    return asked.select("a", "g", "tokens_a", "union", "low").mapInArrow(run, "a long, g long")
+        for table in whole_cells(batches):
+            some = np.zeros(table.num_rows, bool)
+            for i in cell_pairs(table):
+                some[i] = True
+            yield from table.select(["cell", "fp"]).filter(pa.array(some)).to_batches()
+    return _by_cell(members).mapInArrow(run, "cell long, fp long")
 
 
-def make_groups(members: DataFrame) -> DataFrame:
-    """(g, union, low, high) of rows (g, tokens): the matrix row of each group."""
+def cell_links(members: DataFrame) -> DataFrame:
+    """(a, b) of links between components inside the cells, by the full sets in ``tokens``: as
+    many as it takes to join what the cells of a batch can join."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            unions, low, high = [], [], []
-            for row in b.column(1):
-                sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in row.values]
-                unions.append(np.unique(np.concatenate(sets)).tobytes())
-                low.append(min(map(len, sets)))
-                high.append(max(map(len, sets)))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(unions, pa.binary()), pa.array(low, pa.int64()), pa.array(high, pa.int64())], ["g", "union", "low", "high"])
-    # a group has at most GROUP members
-    gathered = members.groupBy("g").agg(F.collect_list("tokens").alias("sets"))
-    return gathered.mapInArrow(run, "g long, union binary, low long, high long")
+        for table in whole_cells(batches):
+            fp, root = table.column("fp").to_numpy(), table.column("root").to_pylist()
+            sets = table.column("tokens").combine_chunks()
+            parent: dict[int, int] = {}
+
+            def find(x: int, parent: dict[int, int] = parent) -> int:
+                while parent.get(x, x) != x:
+                    x = parent[x]
+                return x
+            found = []
+            for i, j in zip(*(x.tolist() for x in cell_pairs(table)), strict=True):
+                u, v = find(root[i]), find(root[j])
+                if u != v:
+                    x, y, both = (int(n[0]) for n in _overlaps(sets.slice(i, 1), sets.slice(j, 1)))
+                    if both >= needed(x, y):
+                        parent[max(u, v)] = min(u, v)
+                        found.append((int(fp[i]), int(fp[j])))
+            yield pa.RecordBatch.from_arrays([pa.array([max(p) for p in found], pa.int64()), pa.array([min(p) for p in found], pa.int64())], ["a", "b"])
+    return _by_cell(members).mapInArrow(run, "a long, b long")
 
 
 def candidate_tokens(sent: DataFrame, classes: DataFrame) -> DataFrame:
@@ -243,8 +371,8 @@ def candidate_tokens(sent: DataFrame, classes: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b) of classes (their fp): enough links for all components. docs:
-    (key, text); classes: (fp, class_id: smallest key, size, n: rows of that
-    key) of non-empty sets."""
+    (key, text); classes: (fp, class_id: smallest key, size, bits, n: rows
+    of that key) of non-empty sets."""
     buckets = partitions(docs.sparkSession)
     sent = materialize(shared_tokens(docs, buckets), "jaccard-sent")
     shared = materialize(candidate_tokens(sent, classes), "jaccard-shared")
@@ -276,36 +404,18 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     placed = shared.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
     open_ = placed.join(mixed, "token").select("token", "fp", "size", "root")
-    # groups of similar classes: those with the same smallest open token
+    # the matrix: the classes of each open token, in pairs of blocks
     open_ = materialize(open_, "jaccard-open")
-    seat = open_.groupBy("fp").agg(F.min("token").alias("head"), F.min("size").alias("size"), F.min("root").alias("root"))
-    seat = materialize(chunked(seat), "jaccard-seats")
-    open_ = materialize(open_.join(seat.select("fp", "g"), "fp"), "jaccard-seated")
-    # the matrix by prefix token: a class asks the other groups that have one of its prefix tokens
-    cells = open_.groupBy("token", "g").agg(F.min("size").alias("low"), F.max("size").alias("high"),
-                                            F.min("root").alias("lo"), F.max("root").alias("hi"))
-    asking = open_.select("token", F.col("fp").alias("a"), F.col("root").alias("root_a"), "size", F.col("g").alias("own"))
-    asked = (asking.join(cells, "token").filter("own <> g and (lo <> root_a or hi <> root_a)").groupBy("a", "g", "size")
-             .agg(F.count(F.lit(1)).alias("met"), F.min("low").alias("low"), F.max("high").alias("high"))
-             .filter(may_link()).select("a", "g"))
-    asked = materialize(asked, "jaccard-asked")
-    # inside a group, at most GROUP classes meet
-    other = open_.select("token", F.col("g").alias("own"), F.col("fp").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("low"))
-    inner = (asking.join(other, ["token", "own"]).filter("a > b and root_a <> root_b").groupBy("a", "b", "size", "low")
-             .agg(F.count(F.lit(1)).alias("met")).withColumn("high", F.col("low")).filter(may_link()).select("a", "b"))
-    inner = materialize(inner, "jaccard-inner")
-    members = seat.join(asked.select("g").distinct(), "g", "left_semi").select("fp", "g", "root", "size")
-    sets = sets_of(asked.select(F.col("a").alias("fp")).unionAll(members.select("fp")).unionAll(both(inner)), "jaccard-sets")
-    matrix = materialize(make_groups(members.join(sets, "fp").select("g", "tokens")), "jaccard-groups")
-    # the unions come last: they are read where they lie, once for each class that asks, and move once a group
-    asked = asked.join(sets.select(F.col("fp").alias("a"), F.col("tokens").alias("tokens_a")), "a").join(matrix, "g")
-    opened = materialize(passing(asked), "jaccard-opened")
-    inside = members.select("g", F.col("fp").alias("b"), F.col("root").alias("root_b"), F.col("size").alias("size_b"))
-    own = seat.select(F.col("fp").alias("a"), F.col("root").alias("root_a"), F.col("size").alias("size_a"))
-    rest = (opened.join(inside, "g").join(own, "a").filter("root_a <> root_b")
-            .filter(f"100 * least(size_a, size_b) >= {PERCENT} * greatest(size_a, size_b)")
-            .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
-    return found.unionAll(compared(rest.unionAll(inner).distinct(), sets))
+    met = open_.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    about = open_.groupBy("fp").agg(F.slice(F.sort_array(F.collect_set("token")), 1, FIRST).alias("first"))
+    about = materialize(about.join(classes.select("fp", "bits"), "fp"), "jaccard-about")
+    placed = open_.join(met, "token").join(about, "fp").withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+    cells = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
+        F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "token", (F.col("own") == F.col("other")).alias("one"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"), "fp", "root", "size", "bits", "first")
+    near = materialize(asked(cells), "jaccard-asked")
+    sets = sets_of(near, "jaccard-sets")
+    return found.unionAll(cell_links(cells.join(near, ["cell", "fp"]).join(sets, "fp")))
 
 
 def may_link():
@@ -320,32 +430,21 @@ def may_link():
     return F.expr(f"{small} <= {large} and met >= least({least_met(small)}, {least_met(large)})")
 
 
-def chunked(seat: DataFrame) -> DataFrame:
-    """(fp, root, size, g): the classes of one head in chunks of at most
-    ``GROUP`` of like size. A head with many is first cut into parts by a hash."""
-    heads = seat.groupBy("head").agg(F.count(F.lit(1)).alias("n"))
-    cut = seat.join(heads, "head").withColumn("part", F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / (GROUP * GROUP))))
-    rank = F.row_number().over(Window.partitionBy("head", "part").orderBy("size", "fp")) - 1
-    cut = cut.withColumn("chunk", F.floor(rank / GROUP))
-    # a group is named after its smallest member
-    least = F.min("fp").over(Window.partitionBy("head", "part", "chunk"))
-    return cut.select("fp", "root", "size", least.alias("g"))
-
-
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_shingles, class_id, component_id) of every row. class_id: the
     smallest key with the same set."""
     src = only(docs, key, text).toDF("key", "text").withColumn("key", F.col("key").cast("long"))
     rows = materialize(set_rows(src), "jaccard-rows")
-    classes = rows.filter("size > 0").groupBy("fp", "fp2").agg(F.min("key").alias("class_id"), F.first("size").alias("size"))
+    classes = rows.filter("size > 0").groupBy("fp", "fp2").agg(
+        F.min("key").alias("class_id"), F.first("size").alias("size"), F.first("bits").alias("bits"))
     times = rows.groupBy(F.col("key").alias("class_id")).agg(F.count(F.lit(1)).alias("n"))
     classes = materialize(classes.join(times, "class_id", "left"), "jaccard-classes")
-    found = links(src, classes.filter("class_id is not null").select("fp", "class_id", "size", "n"))
+    found = links(src, classes.filter("class_id is not null").select("fp", "class_id", "size", "bits", "n"))
     roots = connected_components(materialize(found, "jaccard-links")).withColumnRenamed("node", "fp")
-    rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = classes.drop("bits").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     component = rooted.groupBy("root").agg(F.min("class_id").alias("component"))
     named = rooted.join(component, "root").select("fp", "fp2", "class_id", "component")
-    out = rows.join(named, ["fp", "fp2"], "left")
+    out = rows.drop("bits").join(named, ["fp", "fp2"], "left")
     some = F.col("size") > 0
     return out.select(F.col("key").alias(key), F.col("size").alias("n_shingles"),
                       F.when(some, F.col("class_id")).otherwise(F.col("key")).alias("class_id"),

@@ -24,7 +24,8 @@ Hashes are 64 bits wide; a class is known by SHA-256.
 
 Edge cases: null, empty and blank texts have no words and lose none. Rows with a
 null key keep all words and are nobody's repeat. Rows with equal keys are never
-repeats of each other. A window that recurs only inside its own document stays.
+repeats of each other. A window that recurs only inside its own document stays. A very long
+text is handled alone in its task, whole; one huge word is one word.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hostelry.llm.common import hash_words, materialize, mix, ngram_hashes, only, partitions, signed, text_chunks
+from hostelry.llm.common import SUMMED_BYTES, hash_words, materialize, mix, ngram_hashes, only, partitions, signed, text_chunks
 
 WINDOW, GRAM = 50, 8
 LADDER = (8, 16, 32, WINDOW)
@@ -68,7 +69,7 @@ def window_anchors(hashes: np.ndarray, window: int = WINDOW, gram: int = GRAM) -
 def row_facts(docs: DataFrame) -> DataFrame:
     """(key, class, sha: SHA-256 of the words joined by a space, n_words)."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, raw in text_chunks(batches):
+        for part, raw in text_chunks(batches, limit=SUMMED_BYTES):
             rows = []
             for x in raw:
                 words = x.split()
@@ -81,7 +82,7 @@ def row_facts(docs: DataFrame) -> DataFrame:
 def anchors(docs: DataFrame, window: int) -> DataFrame:
     """(anchor, class) of documents with a key, repeated classes of a batch once."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, raw in text_chunks(batches):
+        for _, raw in text_chunks(batches, limit=SUMMED_BYTES):
             found: dict[int, np.ndarray] = {}
             for x in raw:
                 words = x.split()
@@ -97,7 +98,7 @@ def stretches(near: DataFrame, window: int) -> DataFrame:
     """(key, class, start, words: bytes of word hashes, n: windows) for each run
     of windows of (key, text, class, nth, shared) whose anchors are shared."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, raw in text_chunks(batches):
+        for part, raw in text_chunks(batches, limit=SUMMED_BYTES):
             rows = []
             for key, x, c, nth, shared in zip(part.column(0).to_pylist(), raw, part.column(2).to_pylist(), part.column(3).to_pylist(), part.column(4), strict=True):
                 words = x.split()
@@ -294,7 +295,7 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     joined, found = with_removals(only(docs, key, text), key, text, window)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, raw in text_chunks(batches, text):
+        for part, raw in text_chunks(batches, text, SUMMED_BYTES):
             rows = []
             for x, f in zip(raw, part.column(2), strict=True):
                 kept, n = kept_words(x, f.as_py(), window)
@@ -314,7 +315,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     joined, found = with_removals(docs, key, text, window)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, raw in text_chunks(batches, text):
+        for part, raw in text_chunks(batches, text, SUMMED_BYTES):
             old, new, stay = part.column(at).to_pylist(), [], []
             for x, f, was in zip(raw, part.column(len(columns)), old, strict=True):
                 if f.is_valid:

@@ -232,6 +232,46 @@ def test_jaccard_of_many_edited_copies(lspark):
     assert got == brute_components(data)
 
 
+@pytest.mark.parametrize("block", [5, 20, 2048])
+def test_jaccard_matrix(lspark, monkeypatch, block):
+    """The cells and their matrix find links that no star compares, also across blocks, and open few groups."""
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = np.random.default_rng(10)
+    sets, pairs = [], []
+    for _ in range(20):
+        base = rng.integers(0, 1 << 64, 300, np.uint64)
+        for keep in (300, 285, 262):  # similarities to the first: 0.905 and 0.776
+            sets.append(np.unique(np.concatenate([base[:keep], rng.integers(0, 1 << 64, 300 - keep, np.uint64)])))
+        pairs.append((len(sets) - 2, len(sets) - 3))
+    common = rng.integers(0, 1 << 63, 1, np.uint64)  # one token that all have
+    sets = [np.unique(np.append(s, common)) for s in sets]
+    token = int(common.astype(np.int64)[0])
+    rows = [(i, i, len(s), jaccard.bitmaps(s), [token], s.tobytes()) for i, s in enumerate(sets)]
+    blocks = -(-len(sets) // block)
+    cells = [(min(a, b) * 1000 + max(a, b), token, a == b, int(a > b), *r) for r in rows for a in [r[0] % blocks] for b in range(blocks)]
+    df = lspark.createDataFrame(cells, "cell long, token long, one boolean, side int, fp long, root long, size long, bits binary, first array<long>, tokens binary")
+    near = {r.fp for r in jaccard.asked(df.drop("tokens")).collect()}
+    assert {x for p in pairs for x in p} <= near
+    assert {(r.a, r.b) for r in jaccard.cell_links(df).collect()} == set(pairs)
+    met = df.withColumn("first", F.array(F.lit(token - 1), F.lit(token)))  # they met in an earlier token
+    assert jaccard.asked(met.drop("tokens")).count() == 0
+    bits = np.frombuffer(b"".join(jaccard.bitmaps(s) for s in sets), np.uint64).reshape(len(sets), 2, -1)[:, 0]
+    whole = (np.arange(len(sets)), np.array([len(s) for s in sets]), bits)
+    groups, opened = jaccard.open_groups(whole, whole, group=3)
+    assert len(groups) == 20 and opened.sum() <= 0.2 * opened.size
+    assert all(opened[i, i // 3] for i in range(len(sets)))
+
+
+def test_bitmap_bounds(lspark):
+    rng = np.random.default_rng(11)
+    for _ in range(200):
+        both = rng.integers(0, 1 << 64, rng.integers(1, 300), np.uint64)
+        x, y = (np.unique(np.concatenate([both, rng.integers(0, 1 << 64, rng.integers(0, 300), np.uint64)])) for _ in range(2))
+        (h, p), (g, q) = (np.frombuffer(jaccard.bitmaps(s), np.uint64).reshape(2, -1) for s in (x, y))
+        n = len(np.intersect1d(x, y))
+        assert n <= len(x) - np.bitwise_count(h & ~g).sum() and 2 * n <= len(x) + len(y) - int(np.bitwise_count(p ^ q).sum())
+
+
 def test_components_of_a_path(lspark):
     edges = lspark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.root for r in rows(connected_components(edges))}
