@@ -439,6 +439,44 @@ def test_language(lspark, docs, empty):
     assert {r.lang_pred for r in rows(language.predict(docs, None))} == {"und"}
 
 
+def naive_features(text):
+    """Counts of the letters' 1- to 3-byte sequences, one by one."""
+    letters = "".join(c if re.fullmatch(r"[^\W\d_]", c) else " " for c in text).split()
+    data = f" {' '.join(letters).lower()} ".encode()
+    tables = [[0] * n for n in language.BUCKETS]
+    for i, a in enumerate(data):
+        tables[0][a & 255] += 1
+        if i + 1 < len(data):
+            tables[1][(((a * 0x9E37 + data[i + 1] * 0x85EB) % (1 << 32)) >> 3) & (language.BUCKETS[1] - 1)] += 1
+        if i + 2 < len(data):
+            tables[2][(((a * 0x9E3779B1 + data[i + 1] * 0x85EBCA77 + data[i + 2] * 0xC2B2AE3D) % (1 << 32)) >> 15) & (language.BUCKETS[2] - 1)] += 1
+    return [v / math.sqrt(sum(x * x for x in t)) for t in tables for v in t]
+
+
+def test_language_decisions():
+    """Features, margins, votes and ties against a naive version."""
+    rng = np.random.default_rng(14)
+    text = "Über 12 garçons, x_y ½ naïve! " * 3
+    assert np.allclose(language.describe(text), naive_features(text), atol=1e-5)
+    langs = ["de", "en", "nl", "es", "fr", "xx"]
+    model = language.Hierarchy(rng.random((60, language.WIDTH)).astype(np.float32), langs * 10)
+    families = {"germanic": ["de", "en", "nl"], "romance": ["es", "fr"], "xx": ["xx"]}
+    for _ in range(300):
+        margins = np.round(rng.normal(size=len(model.weights)) * 2) / 2  # with ties
+        top = sorted(range(3), key=lambda k: (-margins[k], sorted(families)[k]))
+        own = families[sorted(families)[top[0]]]
+        rest = dict(zip([(a, b) for f in sorted(families) for i, a in enumerate(families[f]) for b in families[f][i + 1:]], margins[3:], strict=True))
+        against = {v: [m if v == a else -m for (a, b), m in rest.items() if v in (a, b)] for v in own}
+        won = {v: sum((m >= 0) if v == a else (m < 0) for (a, b), m in rest.items() if v in (a, b)) for v in own}
+        best = sorted(own, key=lambda v: (-won[v], -sum(against[v]), v))[0]
+        score = 1 / (1 + math.exp(-min([max(margins[top[0]] - margins[top[1]], 0.0), *against[best], 10.0])))
+        got = model._decide(margins.tolist())
+        assert got[0] == best and abs(got[1] - score) < 1e-9
+    x = np.stack([language.describe(t) for t in ("the house", "das Haus")])
+    naive = [[sum(float(a) * float(b) for a, b in zip(w[:-1], v, strict=True)) + float(w[-1]) for w in model.weights] for v in x]
+    assert [m for m, _ in model.predict(x)] == [model._decide(m)[0] for m in naive]
+
+
 def test_scratch_tables_survive(lspark):
     df = materialize(lspark.range(5).select(F.col("id")), "t")
     assert df.count() == 5 and "t-" in df.inputFiles()[0] and scratch(lspark, "a") != scratch(lspark, "a")
