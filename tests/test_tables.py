@@ -1,7 +1,6 @@
 """Catalog tables and sinks."""
 import tempfile
 
-from pyspark.sql import functions as F
 
 from hostelry import schemas
 from hostelry.plans import quality, silver
