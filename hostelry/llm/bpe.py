@@ -34,9 +34,9 @@ from pyspark.sql import DataFrame
 from hostelry.llm.common import only, text_parts, texts
 
 #: Fragments remembered by a worker before it starts anew.
-FRAGMENT_CACHE = 400_000
+FRAGMENT_CACHE = 200_000
 #: Bytes of text encoded at once: more means fewer lookups of the same fragment.
-ENCODE_BYTES = 8 << 20
+ENCODE_BYTES = 4 << 20
 #: Fragments given to the library in one string.
 TOGETHER = 64
 #: Characters of a fragment from which on it goes to the library: the rank-based
