@@ -45,16 +45,21 @@ def availability_calendar(inventory: DataFrame, occupied: DataFrame, start: str
                           end: str | _dt.date) -> DataFrame:
     """Full room x date calendar with ``is_available``.
 
-    Each inventory room generates its own dates with ``sequence`` (a narrow
-    generator, no cross join), then occupied nights are matched by a left join
-    on (hotel_id, room_number, date). ``occupied`` must hold one row per
+    The occupied nights of a room are gathered first, at most one for each day of the
+    range, and meet the room in one join of rooms; the dates are generated after it, so the
+    calendar's rows are neither shuffled nor sorted. ``occupied`` must hold one row per
     (hotel_id, room_number, date), e.g. the resolved daily calendar.
     """
-    days = F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"),
-                                F.expr("INTERVAL 1 DAY")))
-    rooms = inventory.select("hotel_id", "room_number", "room_type", days.alias("date"))
-    occ = occupied.select("hotel_id", "room_number", "date", "res_id", "guest_id", "is_overbooked")
-    return (rooms.join(occ, ["hotel_id", "room_number", "date"], "left")
+    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    slot = F.struct("date", "res_id", "guest_id", "is_overbooked")
+    occ = (occupied.filter(F.col("date").between(first, last)).groupBy("hotel_id", "room_number")
+           .agg(F.collect_list(slot).alias("_occ")))
+    rooms = inventory.select("hotel_id", "room_number", "room_type").join(occ, ["hotel_id", "room_number"], "left")
+    rooms = rooms.withColumn("_occ", F.coalesce("_occ", F.array().cast(occ.schema["_occ"].dataType)))
+    free = F.array_except(F.sequence(first, last, F.expr("INTERVAL 1 DAY")), F.col("_occ.date"))
+    # the booked nights come first; the zip fills the columns of the free ones with NULL
+    days = F.arrays_zip(F.concat(F.col("_occ.date"), free), F.col("_occ.res_id"), F.col("_occ.guest_id"), F.col("_occ.is_overbooked"))
+    return (rooms.select("hotel_id", "room_number", "room_type", F.inline(days).alias("date", "res_id", "guest_id", "_over"))
             .select("date", "hotel_id", "room_number", "room_type",
                     F.col("res_id").isNull().alias("is_available"), "res_id", "guest_id",
-                    F.coalesce(F.col("is_overbooked"), F.lit(False)).alias("is_overbooked")))
+                    F.coalesce(F.col("_over"), F.lit(False)).alias("is_overbooked")))

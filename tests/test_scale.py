@@ -140,3 +140,25 @@ def test_day_states_add_up(spark):
     rows = rollup.months_checked(rollup.months(spark, path), stays).collect()
     assert len(rows) == 4 and all(r.guests_near and r.median_near and r.turnovers is None for r in rows)
     assert sum(r.stays for r in rows) == 60_000
+
+
+def _lines(df, word):
+    plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    return [i for i, line in enumerate(plan) if word in line]
+
+
+def test_calendar_dates_are_made_after_the_join(spark):
+    """Rooms twice, free, unknown and without a number; a night out of range: as a plain join of all rows."""
+    inv = spark.createDataFrame([(1, "a", "Suite"), (1, "a", "Deluxe"), (1, "b", None), (None, "a", "Suite"), (2, None, "Suite")],
+                                "hotel_id long, room_number string, room_type string")
+    occ = spark.createDataFrame([(1, "a", "2024-01-02", 7, 70, True), (1, "a", "2024-01-04", 8, None, False), (1, "a", "2024-02-01", 9, 90, False),
+                                 (9, "z", "2024-01-02", 6, 60, False), (2, None, "2024-01-02", 5, 50, True)],
+                                "hotel_id long, room_number string, date string, res_id long, guest_id long, is_overbooked boolean")
+    occ = occ.withColumn("date", F.to_date("date"))
+    got = nights.availability_calendar(inv, occ, "2024-01-01", "2024-01-05")
+    day = F.explode(F.expr("sequence(date'2024-01-01', date'2024-01-05')")).alias("date")
+    want = inv.select("*", day).join(occ, ["hotel_id", "room_number", "date"], "left").select(
+        "date", "hotel_id", "room_number", "room_type", F.col("res_id").isNull(), "res_id", "guest_id", F.coalesce("is_overbooked", F.lit(False)))
+    assert got.count() == 25 and sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect())))
+    assert _lines(got, "Generate")[-1] < _lines(got, "Join")[0]
+    assert nights.availability_calendar(inv, occ, None, None).count() == 0
