@@ -107,12 +107,17 @@ def stored_bytes(df: DataFrame) -> int:
     return files.agg(F.sum("n")).first()[0] or 0
 
 
+#: Rows of a compacted file at most: they are sorted in one task, in which they are far larger than stored.
+FILE_ROWS = 2_000_000
+
+
 def compact_clustered(spark: SparkSession, source: str, target: str, cols: Sequence[str], file_bytes: int = 128 << 20) -> None:
     """A stored table rewritten into files of about ``file_bytes``, clustered by all of
     ``cols`` at once (the OPTIMIZE/ZORDER idea): the content is unchanged, and a filter on any one of the
-    columns skips most files and row groups. Small files of a feed become few."""
+    columns skips most files and row groups. Small files of a feed become few. A file has
+    ``FILE_ROWS`` rows at most, so the memory of the task that sorts it does not grow with the table."""
     df = spark.read.parquet(source)
-    files = max(1, -(-stored_bytes(df) // file_bytes))
+    files = max(1, -(-stored_bytes(df) // file_bytes), -(-df.count() // FILE_ROWS))
     (df.withColumn("_curve", curve_value(df, cols)).repartitionByRange(files, "_curve", *cols).sortWithinPartitions("_curve", *cols)
      .drop("_curve").write.mode("overwrite").parquet(target))
 

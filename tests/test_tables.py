@@ -65,6 +65,20 @@ def test_compaction_clusters_by_two_keys_at_once(spark):
     assert spark.read.parquet(base + "/none_curve").count() == 0
 
 
+def test_compacted_files_are_bounded_by_rows(spark, monkeypatch):
+    """Rows that store well make few bytes, but the task that sorts a file holds them at full size."""
+    import glob
+
+    import pyarrow.parquet as pq
+    base = tempfile.mkdtemp(prefix="rows-", dir="/tmp")
+    df = spark.range(4000).selectExpr("id % 7 as a", "date_add(date'2024-01-01', cast(id % 90 as int)) as d")
+    df.write.parquet(base + "/in")
+    monkeypatch.setattr(tables, "FILE_ROWS", 500, raising=False)
+    tables.compact_clustered(spark, base + "/in", base + "/out", ["a", "d"])
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in glob.glob(base + "/out/*.parquet")]
+    assert len(sizes) == 8 and max(sizes) <= 1000 and sum(sizes) == 4000
+
+
 def test_kept_tables_are_given_back(spark):
     from hostelry.plans.queries import QUERIES
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
