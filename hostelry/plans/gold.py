@@ -92,13 +92,33 @@ def kpi_ancillary(measures: DataFrame) -> DataFrame:
 def kpi_ancillary_per_guest(stays: DataFrame) -> DataFrame:
     """P09 with ``per='guest'`` (D11, the spec's reading): distinct guests in
     house per (date, hotel), distinct guests with POS spend, and each stay's POS
-    total spread evenly over its nights."""
-    n = nights.explode_nights(stays.select("guest_id", "hotel_id", "check_in_date", "check_out_date",
-                                           "stay_length_nights", "total_pos_amount", "pos_item_count"))
-    m = n.groupBy(*KEYS).agg(
-        F.countDistinct("guest_id").alias("total_guests"),
-        F.countDistinct(F.when(F.col("pos_item_count") > 0, F.col("guest_id"))).alias("guests_with_ancillary_spend"),
-        F.sum(F.col("total_pos_amount") / F.col("stay_length_nights")).alias("total_ancillary_revenue"))
+    total spread evenly over its nights.
+
+    No nights are made to tell guests apart: of a guest's stays in a hotel, in the order of
+    their check-in, each counts the guest from where the earlier ones end. These spans
+    (date to date) cover each of the guest's nights once. Equal spans of a hotel are
+    summed before their nights are made. Equal stays of a guest are one row, so a
+    guest's rows are bounded by the calendar."""
+    s = stays.groupBy("hotel_id", "guest_id", "check_in_date", "check_out_date").agg(
+        F.sum(F.col("total_pos_amount") / F.col("stay_length_nights")).alias("pos"),
+        F.max(F.col("pos_item_count") > 0).alias("spends"))
+    earlier = (Window.partitionBy("hotel_id", "guest_id").orderBy("check_in_date", "check_out_date")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    known, spends = F.col("guest_id").isNotNull(), F.col("guest_id").isNotNull() & F.col("spends")
+    s = s.withColumns({"_new": F.greatest("check_in_date", F.max("check_out_date").over(earlier)),
+                       "_spends": F.greatest("check_in_date", F.max(F.when(F.col("spends"), F.col("check_out_date"))).over(earlier))})
+
+    def span(start, guest, spender, pos, stay=False):
+        return F.struct(F.lit(stay).alias("stay"), F.col(start).alias("start"), F.col("check_out_date").alias("end"), F.when(guest, 1).otherwise(0).alias("guests"),
+                        F.when(spender, 1).otherwise(0).alias("spenders"), pos.cast("double").alias("pos"))
+    no, nothing = F.lit(False), F.lit(None)
+    spans = F.array(span("check_in_date", no, no, F.col("pos"), True), span("_new", known, no, nothing), span("_spends", no, spends, nothing))
+    spans = s.select("hotel_id", F.inline(spans)).filter("stay or start < end").groupBy("hotel_id", "start", "end").agg(
+        F.sum("guests").alias("guests"), F.sum("spenders").alias("spenders"), F.sum("pos").alias("pos"))
+    m = nights.explode_nights(spans, "start", "end").groupBy(*KEYS).agg(
+        F.sum("guests").alias("total_guests"),
+        F.sum("spenders").alias("guests_with_ancillary_spend"),
+        F.sum("pos").alias("total_ancillary_revenue"))
     return m.select(
         *KEYS, "total_guests", "guests_with_ancillary_spend",
         C.safe_percent("guests_with_ancillary_spend", "total_guests").alias("attachment_rate_percentage"),

@@ -162,3 +162,28 @@ def test_calendar_dates_are_made_after_the_join(spark):
     assert got.count() == 25 and sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect())))
     assert _lines(got, "Generate")[-1] < _lines(got, "Join")[0]
     assert nights.availability_calendar(inv, occ, None, None).count() == 0
+
+
+STAYS = "res_id long, guest_id long, hotel_id long, check_in_date date, check_out_date date, stay_length_nights int, total_price double, total_pos_amount double, pos_item_count long"
+
+
+def _stays(spark):
+    """Overlapping, touching, equal and contained stays of three guests and of none."""
+    import datetime as dt
+    rows = [(i, [1, 2, 3, None][i % 4], i // 4 % 2 + 1, i * i % 11, i % 6 + 1, i * 7 % 5 if i % 9 else None) for i in range(120)]
+    d0 = dt.date(2024, 1, 1)
+    return spark.createDataFrame([(i, g, h, d0 + dt.timedelta(days=a), d0 + dt.timedelta(days=a + n), n, 420.0 * i if i % 8 else None,
+                                   None if items is None else 10.0 * items, items) for i, g, h, a, n, items in rows], STAYS)
+
+
+def test_guests_in_house_without_a_row_a_night(spark):
+    from hostelry.plans import gold
+    stays = _stays(spark)
+    got = gold.kpi_ancillary_per_guest(stays)
+    plain = nights.explode_nights(stays).groupBy("date", "hotel_id").agg(
+        F.countDistinct("guest_id"), F.countDistinct(F.when(F.col("pos_item_count") > 0, F.col("guest_id"))),
+        F.round(F.sum(F.col("total_pos_amount") / F.col("stay_length_nights")), 2))
+    got = got.select("date", "hotel_id", "total_guests", "guests_with_ancillary_spend", "total_ancillary_revenue")
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, plain.collect())))
+    assert not _lines(gold.kpi_ancillary_per_guest(stays), "Expand")
+    assert _lines(got, "Generate")[0] < _lines(got, "Window")[0]  # dates after the spans
