@@ -78,8 +78,8 @@ def parse_reservations(res: DataFrame, checkout_formats=C.CHECKOUT_DATE_FORMATS)
     r = r.select(
         "res_id", "guest_id", "hotel_id", "room_number",
         C.canonical_room_type("room_type").alias("room_type"),
-        C.parse_date_multi("check_in_date").alias("check_in_date"),
-        C.parse_date_multi("check_out_date", checkout_formats).alias("check_out_date"),
+        filters.computed_once(C.parse_date_multi("check_in_date").alias("check_in_date"),
+                              C.parse_date_multi("check_out_date", checkout_formats).alias("check_out_date")),
         C.null_outside_range("total_price", *PRICE_BOUNDS).alias("total_price"),
         C.canonical_channel("booking_channel").alias("booking_channel"),
         C.parse_ts_multi("created_at").alias("created_at"),
@@ -110,7 +110,7 @@ def clean_pos(pos: DataFrame, content_key: Sequence[str] = (), also: Sequence[st
     p = filters.require_keys(pos, ["txn_id"])
     p = p.select("txn_id", "res_id", "item_name",
                  C.canonical_category("category").alias("category"),
-                 "amount", C.parse_ts_multi("timestamp").alias("timestamp"), *also)
+                 "amount", filters.computed_once(C.parse_ts_multi("timestamp").alias("timestamp")), *also)
     p = filters.drop_null(filters.drop_outside_range(p, "amount", *POS_AMOUNT_BOUNDS), "timestamp")
     return dedup.latest_per_key(p, content_key, [F.col("txn_id").asc()]) if content_key else p
 
@@ -196,8 +196,8 @@ def fact_room_availability_raw(res: DataFrame) -> DataFrame:
     r = filters.require_keys(res, ["res_id", "room_number"])
     r = filters.drop_sentinel(r, "room_number", C.INVALID_ROOM_SENTINEL)
     r = r.select("res_id", "guest_id", "hotel_id", "room_number", "room_type",
-                 C.parse_date_multi("check_in_date", C.SHORT_DATE_FORMATS).alias("check_in_date"),
-                 C.parse_date_multi("check_out_date", C.SHORT_DATE_FORMATS).alias("check_out_date"))
+                 filters.computed_once(C.parse_date_multi("check_in_date", C.SHORT_DATE_FORMATS).alias("check_in_date"),
+                                       C.parse_date_multi("check_out_date", C.SHORT_DATE_FORMATS).alias("check_out_date")))
     r = filters.valid_interval(r, "check_in_date", "check_out_date")
     # W03 orders by check_in only; ties are broken on the rest of the row.
     r = dedup.latest_per_key(r, ["res_id"], [F.col("check_in_date").asc(), F.col("check_out_date").asc(),
@@ -211,7 +211,7 @@ def clean_housekeeping(logs: DataFrame) -> DataFrame:
     """P20: 'Clean' events with a valid time."""
     h = filters.require_keys(logs, ["log_id"])
     h = h.select("hotel_id", "room_number", C.canonical_status("status").alias("status"),
-                 C.parse_ts_multi("timestamp").alias("timestamp"))
+                 filters.computed_once(C.parse_ts_multi("timestamp").alias("timestamp")))
     return h.filter((F.col("status") == "Clean") & F.col("timestamp").isNotNull())
 
 
@@ -220,6 +220,6 @@ def checkout_events(res: DataFrame, checkout_time: str = C.CHECKOUT_TIME_OF_DAY)
     formats, C29). Not deduplicated, as in the source."""
     r = filters.require_keys(res, ["res_id", "room_number"])
     r = r.select("res_id", "hotel_id", "room_number",
-                 C.parse_date_multi("check_out_date", C.SHORT_DATE_FORMATS).alias("check_out_date"))
+                 filters.computed_once(C.parse_date_multi("check_out_date", C.SHORT_DATE_FORMATS).alias("check_out_date")))
     r = filters.drop_null(r, "check_out_date")
     return r.withColumn("checkout_timestamp", C.at_time_of_day("check_out_date", checkout_time))

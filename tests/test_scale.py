@@ -164,6 +164,14 @@ def test_calendar_dates_are_made_after_the_join(spark):
     assert nights.availability_calendar(inv, occ, None, None).count() == 0
 
 
+def test_parsed_columns_are_computed_once(spark):
+    """No filter writes the parsing of dates and times out again below the projection."""
+    b = Bronze(spark, SF01)
+    for df in (silver.clean_reservations(b.reservations), silver.clean_pos(b.pos), silver.clean_housekeeping(b.housekeeping),
+               silver.checkout_events(b.reservations), silver.fact_room_availability_raw(b.reservations)):
+        assert not set(_lines(df, "RLIKE")) & set(_lines(df, "Filter"))
+
+
 STAYS = "res_id long, guest_id long, hotel_id long, check_in_date date, check_out_date date, stay_length_nights int, total_price double, total_pos_amount double, pos_item_count long"
 
 
@@ -176,6 +184,16 @@ def _stays(spark):
                                    None if items is None else 10.0 * items, items) for i, g, h, a, n, items in rows], STAYS)
 
 
+def test_nights_are_made_after_stays_are_summed(spark):
+    from hostelry.plans import gold
+    stays = _stays(spark)
+    got = gold.nightly_measures(stays)
+    plain = nights.allocate_per_night(nights.explode_nights(stays)).groupBy("date", "hotel_id").agg(
+        F.sum("daily_room_revenue"), F.count(F.lit(1)), F.count_if(F.col("pos_item_count") > 0), F.sum("total_pos_amount"))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, plain.collect())))
+    assert len(_lines(got, "Aggregate")) == 2 and _lines(got, "Generate")[0] < _lines(got, "Aggregate")[1]
+
+
 def test_guests_in_house_without_a_row_a_night(spark):
     from hostelry.plans import gold
     stays = _stays(spark)
