@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schemas
 from ..operators import scd2
 from ..plans import silver
-from ..sources import json_io
+from ..sources import json_io, tables
 from ..sources.batches import FILE, once_per_file, read_batches, write_batch
 
 BatchFn = Callable[[DataFrame, int, str], None]
@@ -117,13 +117,21 @@ def guest_history(spark: SparkSession, path: str) -> DataFrame:
 
 def history_batch_fn(path: str) -> BatchFn:
     """foreachBatch body for a history of tier changes that come in any order (T01, T04): of
-    the batch's guests, the intervals its changes fall into are split and what follows is numbered anew."""
+    the batch's guests, the intervals its changes fall into are split and what follows is numbered anew.
+    Changes that the history has, as when files are read again, change nothing and go first. The others and
+    the history of their guests are used several times, so they are kept while the batch is written."""
     def fn(batch: DataFrame, batch_id: int, stream: str) -> None:
-        new = batch.filter("guest_id is not null")
         others = read_batches(batch.sparkSession, path, HISTORY_SCHEMA, but=(stream, batch_id))
-        known = _change_rows(others.join(new.select("guest_id").distinct(), "guest_id", "left_semi"))
-        rows = scd2.scd2_merge_changes(known, new)
-        write_batch(rows.select(*HISTORY_SCHEMA.fieldNames()), path, stream, batch_id)
+        seen = others.select(F.col("guest_id").alias("_guest"), F.col("change_seq").alias("_seq"))
+        same = (F.col("guest_id") == F.col("_guest")) & F.col("change_seq").eqNullSafe(F.col("_seq"))
+        new = tables.persist_reuse(batch.filter("guest_id is not null").join(seen, same, "left_anti"))
+        known = tables.persist_reuse(_change_rows(others.join(new.select("guest_id").distinct(), "guest_id", "left_semi")))
+        try:
+            rows = scd2.scd2_merge_changes(known, new)
+            write_batch(rows.select(*HISTORY_SCHEMA.fieldNames()), path, stream, batch_id)
+        finally:
+            known.unpersist()
+            new.unpersist()
     return fn
 
 

@@ -116,6 +116,19 @@ def test_late_change_touches_only_what_follows(spark):
     assert got == {1: (1, 11), 11: (2, 16), 16: (3, 21), 21: (4, 31), 31: (4, None)}
 
 
+def test_changes_read_again_leave_nothing(spark):
+    whole, _ = change_drops(spark)
+    path = folder("history")
+    fn = incremental.history_batch_fn(path)
+    fn(whole.filter("change_seq <> 105"), 0, "s")
+    fn(whole, 0, "t")               # a lost checkpoint, and one change that came since
+    fn(whole, 0, "u")
+    again = read_batches(spark, path, incremental.HISTORY_SCHEMA)
+    assert again.filter("stream = 't'").select("guest_id").distinct().collect() == [(1,)]
+    assert again.filter("stream = 'u'").count() == 0
+    assert rows(incremental.guest_history(spark, path)) == rows(silver.scd2_history(whole))
+
+
 def test_totals_follow_late_charges(spark):
     """Charges before, after and without their reservation, equal charges in one file, files read again."""
     base = folder("pos")
