@@ -313,6 +313,39 @@ def test_search_in_shards_without_long_terms(lspark):
     assert search.search(blank, alone).count() == 0 and search.search(blank, blank).count() == 0
 
 
+def test_search_queries_go_through_files(lspark, docs, monkeypatch):
+    """Every query is in one file with all its terms, no row carries a block of queries, and the number of blocks shows nowhere."""
+    want = Counter(map(tuple, rows(search.search(docs, docs))))
+    terms = lspark.createDataFrame([(q, 10 * q + i, q + i) for q in range(40) for i in range(1 + q % 3)], "query long, term long, df long")
+    written = search.write_queries(terms, search.scratch(lspark, "test-queries"), 7)
+    uris = [r.queries for r in written.collect()]
+    assert written.columns == ["queries"] and 1 < len(uris) <= 7
+    got = {}
+    for uri in uris:
+        ids, own = search.load_queries(uri, 100)
+        got.update((q, dict(zip(t.tolist(), w.tolist(), strict=True))) for q, (t, w) in zip(ids.tolist(), own, strict=True))
+    assert got == {q: {10 * q + i: search.weight(100, float(q + i)) for i in range(1 + q % 3)} for q in range(40)}
+    monkeypatch.setattr(search, "QUERY_BLOCK", 3)
+    assert Counter(map(tuple, rows(search.search(docs, docs)))) == want
+
+
+def test_search_carries_the_score_to_beat_over_shards(lspark):
+    """What one shard has found is kept for the next: no more than ``top`` rows a query leave a group
+    of shards, they are the best of all, with ties to smaller keys, and blocks that cannot beat them stay closed."""
+    def shard(keys, times):
+        found = [search.terms_of(b" ".join([b"every"] * times + [b"own%d" % k])) for k in keys]
+        return search.Shard(search.Shard.build(list(keys), found), 4.0)
+    asked = (np.unique(search.hash_words([b"every"])), np.array([2.0]))
+    best = search.Best(np.array([7]), [asked], 3)
+    best.look_in(shard(range(100, 200), 3))
+    best.look_in(shard(range(300, 400), 1))
+    best.look_in(shard(range(2, 50, 2), 3))
+    got = best.rows().to_pydict()
+    score = float(np.round(2.0 * search.factors(np.array(3.0), np.array(4.0), 4.0), search.DIGITS))
+    assert got == {"query": [7] * 3, "key": [2, 4, 6], "score": [score] * 3}
+    assert [len(d) for d, _ in shard(range(300, 400), 1).search([asked], 3, np.array([score]))] == [0]
+
+
 # --- 4: archives
 
 def test_warc(lspark):
