@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hostelry.llm import bpe, jaccard, mixing, quality, substrings
-from hostelry.llm.common import documents, materialize, ship
+from hostelry.llm.common import documents, settled, ship
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     one of its rows if it is repeated. Documents without words stay. Rows with a
     null id, which link with nothing, stay once for each text."""
     ship(spark)
-    found = materialize(jaccard.jaccard_components(docs), "jaccard-groups-found")
+    found = settled(lambda: jaccard.jaccard_components(docs), "jaccard-groups-found")
     own = found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
     stay = docs.join(own, "doc_id")
     once = stay.filter("n = 1").select(docs.columns)
@@ -49,8 +49,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it. Rows of a repeated id share
     that id's copies evenly."""
     ship(spark)
-    copies = mixing.mix(docs).groupBy("doc_id").agg(F.sum("copies").alias("total"), F.count(F.lit(1)).alias("n")).filter("total > 0")
-    copies = materialize(copies.withColumnRenamed("doc_id", "mixed_id"), "mix-taken")
+    def mixed() -> DataFrame:
+        copies = mixing.mix(docs).groupBy("doc_id").agg(F.sum("copies").alias("total"), F.count(F.lit(1)).alias("n")).filter("total > 0")
+        return copies.withColumnRenamed("doc_id", "mixed_id")
+    copies = settled(mixed, "mix-taken")
     taken = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("mixed_id")))
     once = taken.filter("n = 1").withColumn("own", F.col("total"))
     nth = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
@@ -80,5 +82,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn over the documents of ``sf_dir``."""
     docs = documents(ship(spark), sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = settled(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

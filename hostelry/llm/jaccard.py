@@ -48,7 +48,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hostelry.llm.common import SUMMED_BYTES, hash_words, materialize, mix, ngram_hashes, only, partitions, signed, text_chunks
+from hostelry.llm.common import SUMMED_BYTES, hash_words, materialize, mix, ngram_hashes, only, partitions, settled, signed, text_chunks
 from hostelry.llm.components import connected_components
 
 N, PERCENT = 5, 80
@@ -374,8 +374,7 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
     (key, text); classes: (fp, class_id: smallest key, size, bits, n: rows
     of that key) of non-empty sets."""
     buckets = partitions(docs.sparkSession)
-    sent = materialize(shared_tokens(docs, buckets), "jaccard-sent")
-    shared = materialize(candidate_tokens(sent, classes), "jaccard-shared")
+    shared = settled(lambda: candidate_tokens(materialize(shared_tokens(docs, buckets), "jaccard-sent"), classes), "jaccard-shared")
 
     def sets_of(some: DataFrame, name: str) -> DataFrame:
         """(fp, tokens) of the classes in column fp, each from one of its texts."""
@@ -398,9 +397,9 @@ def links(docs: DataFrame, classes: DataFrame) -> DataFrame:
              .groupBy(F.col("fp").alias("a"), F.col("lead.fp").alias("b"), "size", F.col("lead.size").alias("low"))
              .agg(F.count(F.lit(1)).alias("met")).withColumn("high", F.col("low")).filter(may_link()).select("a", "b"))
     stars = materialize(stars, "jaccard-star-pairs")
-    found = materialize(compared(stars, sets_of(both(stars), "jaccard-star-sets")), "jaccard-stars")
+    found = settled(lambda: compared(stars, sets_of(both(stars), "jaccard-star-sets")), "jaccard-stars")
     # tokens that classes of more than one component share so far
-    roots = materialize(connected_components(found), "jaccard-roots")
+    roots = settled(lambda: connected_components(found), "jaccard-roots")
     placed = shared.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     mixed = placed.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("token")
     open_ = placed.join(mixed, "token").select("token", "fp", "size", "root")
@@ -439,8 +438,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
         F.min("key").alias("class_id"), F.first("size").alias("size"), F.first("bits").alias("bits"))
     times = rows.groupBy(F.col("key").alias("class_id")).agg(F.count(F.lit(1)).alias("n"))
     classes = materialize(classes.join(times, "class_id", "left"), "jaccard-classes")
-    found = links(src, classes.filter("class_id is not null").select("fp", "class_id", "size", "bits", "n"))
-    roots = connected_components(materialize(found, "jaccard-links")).withColumnRenamed("node", "fp")
+    known = classes.filter("class_id is not null").select("fp", "class_id", "size", "bits", "n")
+    found = settled(lambda: links(src, known), "jaccard-links")
+    roots = connected_components(found).withColumnRenamed("node", "fp")
     rooted = classes.drop("bits").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     component = rooted.groupBy("root").agg(F.min("class_id").alias("component"))
     named = rooted.join(component, "root").select("fp", "fp2", "class_id", "component")

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hostelry.llm.common import SUMMED_BYTES, hash_words, materialize, mix, ngram_hashes, only, partitions, signed, text_chunks
+from hostelry.llm.common import SUMMED_BYTES, hash_words, materialize, mix, ngram_hashes, only, partitions, settled, signed, text_chunks
 
 WINDOW, GRAM = 50, 8
 LADDER = (8, 16, 32, WINDOW)
@@ -248,6 +248,10 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """(key, found: array of (class, nth, copy, marks)): for each key with a text
     that loses words, its texts by class; copy: all words go, else marks holds
     the starts of the windows that go. docs: (key, text)."""
+    return settled(lambda: _removals(docs, window), "substring-removals")
+
+
+def _removals(docs: DataFrame, window: int) -> DataFrame:
     buckets = partitions(docs.sparkSession)
     rows = materialize(row_facts(docs.filter("key is not null")).filter(F.col("n_words") >= window).select("key", "class", "sha"), "substring-rows")
     classes = rows.groupBy("class", "sha").agg(F.min("key").alias("first"))
@@ -264,7 +268,7 @@ def removals(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     copies = rows.join(classes, ["class", "sha"]).filter(F.col("key") > F.col("first")).select("key", "class").distinct()
     copies = copies.select("key", "class", F.lit(0).alias("nth"), F.lit(True).alias("copy"), F.lit(None).cast("array<binary>").alias("marks"))
     every = marked.unionAll(copies)
-    return materialize(every.groupBy("key").agg(F.collect_list(F.struct("class", "nth", "copy", "marks")).alias("found")), "substring-removals")
+    return every.groupBy("key").agg(F.collect_list(F.struct("class", "nth", "copy", "marks")).alias("found"))
 
 
 def kept_words(raw: bytes, found: list[dict] | None, window: int) -> tuple[list[bytes], int]:
