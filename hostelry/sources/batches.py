@@ -41,6 +41,9 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType, but: tupl
 
 def once_per_file(rows: DataFrame) -> DataFrame:
     """Rows that belong to no key of their own (equal ones are different rows): of a file that several
-    batches have read, as after a lost checkpoint, the rows of one batch. Files never change, and a batch has all of a file."""
-    one = rows.groupBy(F.col(FILE).alias("_of")).agg(F.min(F.struct("stream", "batch")).alias("_by"))
-    return rows.join(one, (F.col(FILE) == F.col("_of")) & (F.struct("stream", "batch") == F.col("_by")), "left_semi")
+    batches have read, as after a lost checkpoint, the rows of one batch. Files never change, and a batch has all of a file.
+    The batch of each file is broadcast, a row a file (the file stream lists these in the driver too), so that the rows
+    themselves are not shuffled by the few values of their file."""
+    seen = rows.groupBy(F.col(FILE).alias("_of"), "stream").agg(F.min("batch").alias("batch"))  # of few rows the smallest pair
+    one = seen.groupBy("_of").agg(F.min(F.struct("stream", "batch")).alias("_by"))
+    return rows.join(F.broadcast(one), (F.col(FILE) == F.col("_of")) & (F.struct("stream", "batch") == F.col("_by")), "left_semi")

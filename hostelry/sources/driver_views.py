@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import filters
+
 # Fixed parameters of the derivation (shared with the SQL oracle).
 STAY_YEAR_START = "2024-01-01"
 STAY_DAYS = 366              # check-ins spread over the leap year 2024
@@ -140,6 +142,8 @@ def bronze_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _reservation_columns(o: DataFrame, corrected: bool) -> DataFrame:
+    """The days and the time of a reservation are computed once and then formatted: written out in every
+    branch of the texts they make a generated method that is too long for the JVM to compile."""
     k = F.col("o_orderkey")
     ci = _day(k * 37 % STAY_DAYS)
     n = k % 7 + 1
@@ -165,6 +169,8 @@ def _reservation_columns(o: DataFrame, corrected: bool) -> DataFrame:
             .otherwise((_idiv(k, 5) % ROOMS_PER_HOTEL).cast("string")))
     hotel = F.when(k % 211 == 17, UNKNOWN_HOTELS + k % HOTELS).otherwise(k % HOTELS + 1).alias("hotel_id")
     created = _ts(F.date_sub(ci, (k % 60).cast("int")), k * 13 % 86400)
+    o = o.select("*", filters.computed_once(ci.alias("_in"), co.alias("_out"), created.alias("_created")))
+    ci, co, created = F.col("_in"), F.col("_out"), F.col("_created")
     if corrected:
         # A corrected re-send of the same reservation: clean formats, one day later.
         return o.select(

@@ -1,10 +1,14 @@
 """Plan shape and hot-key behaviour of the scale-sensitive operators."""
+import re
+import tempfile
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hostelry.operators import nights, ordered
 from hostelry.plans import silver
 from hostelry.plans.queries import Bronze
+from hostelry.sources import driver_views
 from conftest import SF01
 
 
@@ -195,3 +199,18 @@ def test_guests_in_house_without_a_row_a_night(spark):
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, plain.collect())))
     assert not _lines(gold.kpi_ancillary_per_guest(stays), "Expand")
     assert _lines(got, "Generate")[0] < _lines(got, "Window")[0]  # dates after the spans
+
+
+def test_reservation_texts_are_made_in_methods_that_the_jvm_compiles(spark):
+    """The JVM interprets methods of 8000 bytes and more; dates stay as they were, a null key included."""
+    base = tempfile.mkdtemp(prefix="orders-", dir="/tmp")
+    rows = [(k, 5, 50_000.0, "1-URGENT") for k in (4, 43, 106, None)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string").write.parquet(f"{base}/orders.parquet")
+    first, second = driver_views.reservation_drops(spark, base)
+    for df in (first, second):
+        text = df._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+        sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+        assert sizes and max(sizes) < 8000
+    got = {r.res_id: (r.check_in_date, r.check_out_date, r.created_at) for r in first.collect()}
+    assert got == {4: ("2024-05-28", "2024-05-28", "2024-05-24T00:00:52Z"), 43: ("2024-05-07", "2024-05-05", "2024-03-25T00:09:19Z"),
+                   106: ("19/09/2024", "2024-09-21", "2024-08-04T00:22:58Z"), None: (None, None, None)}

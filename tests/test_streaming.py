@@ -10,7 +10,7 @@ from hostelry import schemas
 from hostelry.plans import silver
 from hostelry.plans.queries import Bronze
 from hostelry.sources import json_io
-from hostelry.sources.batches import read_batches
+from hostelry.sources.batches import once_per_file, read_batches
 from hostelry.streaming import incremental
 from conftest import SF001
 
@@ -157,6 +157,21 @@ def test_totals_follow_late_charges(spark):
     assert folio() == want  # an older correction that comes late does not win
 
 
+def test_rows_of_files_read_again_count_once_without_a_shuffle_of_rows(spark):
+    """Files read by several batches and streams, equal rows in a file, ids that are not in order of time."""
+    read = {"a": [("t", 1), ("s", 10), ("s", 9)], "b": [("t", 0)], "c": [("s", 9), ("r", 12)]}
+    df = spark.createDataFrame([(f, s, b, v) for f, by in read.items() for s, b in by for v in (1, 1, 2)], "_file string, stream string, batch long, v int")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for sizes that are not known before the run
+    try:
+        got = once_per_file(df)
+        assert sorted(map(tuple, got.collect())) == [(f, s, b, v) for f, s, b in (("a", "s", 9), ("b", "t", 0), ("c", "r", 12)) for v in (1, 1, 2)]
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_schema_grows_with_the_feed(spark):
     base = folder("evolve")
     fn = incremental.evolving_batch_fn(f"{base}/t", schemas._schema(("id", schemas._L), ("name", schemas._S)))
