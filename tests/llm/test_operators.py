@@ -329,6 +329,24 @@ def test_search_queries_go_through_files(lspark, docs, monkeypatch):
     assert Counter(map(tuple, rows(search.search(docs, docs)))) == want
 
 
+def test_search_sends_no_terms_through_the_driver(lspark, docs, monkeypatch):
+    """Terms and their frequencies are shuffled, never broadcast: the driver would hold all terms of the corpus."""
+    want, plans = Counter(map(tuple, rows(search.search(docs, docs)))), {}
+
+    def planned(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return materialize(df, name)
+    monkeypatch.setattr(search, "materialize", planned)
+    before = lspark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    lspark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64m")
+    try:
+        assert Counter(map(tuple, rows(search.search(docs, docs)))) == want
+    finally:
+        lspark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {"query-terms", "query-blocks"} <= set(plans) and "Join" in plans["query-blocks"]
+    assert [name for name, plan in plans.items() if "Broadcast" in plan] == []
+
+
 def test_search_carries_the_score_to_beat_over_shards(lspark):
     """What one shard has found is kept for the next: no more than ``top`` rows a query leave a group
     of shards, they are the best of all, with ties to smaller keys, and blocks that cannot beat them stay closed."""
